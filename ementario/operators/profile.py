@@ -126,19 +126,23 @@ def profile_simple(
 def _typed_values(long: DataFrame, keep: list[str]) -> DataFrame:
     values = long.filter(F.col("value").isNotNull()).withColumn("clean", ws_normalize(F.col("value")))
     clean = F.col("clean")
+    # Numbers and dates start with a sign, a point or a digit, all between "+" and "9":
+    # one byte decides, so long texts are never put through the number patterns.
+    may_be_number = F.left(clean, F.lit(1)).between("+", "9")
     read = values.select(
         *keep,
         "column",
         "is_bool",
         "clean",
-        number_or_null(clean).alias("num"),
-        int_strict(clean).isNotNull().alias("is_int"),
+        F.when(may_be_number, number_or_null(clean)).alias("num"),
+        F.when(may_be_number, int_strict(clean)).isNotNull().alias("is_int"),
+        F.when(may_be_number, is_date_text(clean)).alias("is_date"),
     )
     kind = (
         F.when(F.col("is_bool"), KIND_BOOL)
         .when(F.col("is_int"), KIND_INT)
         .when(F.col("num").isNotNull(), KIND_FLOAT)
-        .when(is_date_text(clean), KIND_DATE)
+        .when(F.col("is_date"), KIND_DATE)
         .otherwise(KIND_STRING)
     )
     return read.select(

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ementario.sources.tables import read_table
+from ementario.sources.tables import read_table, spread
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -29,7 +29,8 @@ def judged_like(spark: SparkSession, sf_dir: str, court: bool = False, text: boo
     ``court`` joins the customer for court and judge; ``text`` joins a document as the
     summary. Queries ask only for what they read.
     """
-    o = read_table(spark, sf_dir, "orders")
+    # Dealt out while the rows are still narrow; the texts join after that.
+    o = spread(read_table(spark, sf_dir, "orders"))
     if court:
         c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
         o = o.join(c, F.col("o_custkey") == F.col("c_custkey"), "left")

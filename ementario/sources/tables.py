@@ -10,6 +10,16 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal a scan's rows out to all cores when it has fewer splits than there are cores.
+
+    For work that is heavy per row over a few small files. A scan with enough splits, as
+    any large one has, is returned as it is and pays no shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def schema_probe(df: DataFrame) -> list[str]:
     """Column names without reading data."""
     return df.schema.names
