@@ -74,13 +74,17 @@ KIND_NAMES = {
 
 
 def kind_code(c: Column) -> Column:
-    """Kind of one text value: integer, float, date or string, tried in that order."""
-    return (
-        F.when(int_strict(c).isNotNull(), KIND_INT)
-        .when(number_or_null(c).isNotNull(), KIND_FLOAT)
+    """Kind of one text value: integer, float, date or string, tried in that order.
+
+    All but strings start with a sign, a point or a digit, so one byte settles most text.
+    """
+    readable = F.left(strip(c), F.lit(1)).between("+", "9")
+    number = (
+        F.when(number_or_null(c).isNotNull(), F.when(F.contains(c, F.lit(".")), KIND_FLOAT).otherwise(KIND_INT))
         .when(is_date_text(c), KIND_DATE)
-        .when(c.isNotNull(), KIND_STRING)
+        .otherwise(KIND_STRING)
     )
+    return F.when(readable, number).when(c.isNotNull(), KIND_STRING)
 
 
 def kind_name(code: Column) -> Column:
@@ -96,6 +100,9 @@ def decimal_places(value: Column) -> Column:
     """Digits after the point in the shortest plain form of a double (``12.0`` has 1)."""
     text = value.cast("string")
     mantissa = F.regexp_extract(text, r"\.([0-9]+)", 1)
-    exponent = F.coalesce(F.regexp_extract(text, r"E(-?[0-9]+)\z", 1).try_cast("int"), F.lit(0))
+    exponent = F.regexp_extract(text, r"E(-?[0-9]+)\z", 1).try_cast("int")
     digits = F.when(mantissa == "0", 0).otherwise(F.char_length(mantissa))
-    return F.greatest(digits - exponent, F.lit(1))
+    # Only very large and very small values are written with an exponent.
+    return F.when(
+        F.contains(text, F.lit("E")), F.greatest(digits - exponent, F.lit(1))
+    ).otherwise(F.char_length(F.substring_index(text, ".", -1)))

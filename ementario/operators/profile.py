@@ -22,7 +22,6 @@ from ementario.functions.numbers import (
     KIND_STRING,
     decimal_places,
     int_lenient,
-    int_strict,
     is_date_text,
     kind_name,
     number_or_null,
@@ -31,20 +30,33 @@ from ementario.functions.text import ws_normalize
 from ementario.schemas import ID_COLUMN, LONG_FIELDS
 
 _NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType, T.BinaryType)
+_TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
 _SEQ = "_seq"
 
 
 def to_long(df: DataFrame, columns: list[str] | None = None, seq: str | None = None) -> DataFrame:
-    """``column, value, is_bool[, _seq]`` of the atomic columns; nested ones are skipped."""
+    """``column, value, native[, _seq]`` of the atomic columns; nested ones are skipped.
+
+    ``native`` tells what the schema already knows (number, date or boolean), so values
+    of typed columns skip the text tests; it is null for text.
+    """
     kinds = {f.name: f.dataType for f in df.schema.fields}
     atomic = [
         c for c in (columns or df.columns) if not isinstance(kinds[c], _NESTED) and c != _SEQ
     ]
-    bools = [c for c in atomic if isinstance(kinds[c], T.BooleanType)]
+    known = {
+        KIND_BOOL: [c for c in atomic if isinstance(kinds[c], T.BooleanType)],
+        KIND_INT: [c for c in atomic if isinstance(kinds[c], T.NumericType)],
+        KIND_DATE: [c for c in atomic if isinstance(kinds[c], _TEMPORAL)],
+    }
+    native = F.lit(None).cast("int")
+    for code, names in known.items():
+        if names:
+            native = F.when(F.col("column").isin(*names), code).otherwise(native)
     ids = [F.col(seq).alias(_SEQ)] if seq else []
     text = df.select(*ids, *[F.col(c).cast("string").alias(c) for c in atomic])
     long = text.unpivot([_SEQ] if seq else [], atomic, "column", "value")
-    return _named(long.withColumn("is_bool", F.col("column").isin(*bools) if bools else F.lit(False)))
+    return _named(long.withColumn("native", native))
 
 
 def records_to_long(records: DataFrame, fields: str = "fields", seq: str | None = None) -> DataFrame:
@@ -53,14 +65,17 @@ def records_to_long(records: DataFrame, fields: str = "fields", seq: str | None
     entries = records.select(*ids, F.explode(fields).alias("column", "v")).withColumn(
         "_type", F.schema_of_variant("v")
     )
+    kind = F.col("_type")
     atomic = entries.filter(
-        ~(F.startswith("_type", F.lit("ARRAY")) | F.startswith("_type", F.lit("OBJECT")))
+        ~(F.startswith(kind, F.lit("ARRAY")) | F.startswith(kind, F.lit("OBJECT")))
     )
-    keep = [_SEQ] if seq else []
+    number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | F.startswith(kind, F.lit("DECIMAL"))
     return _named(
         atomic.select(
-            *keep, "column", F.try_variant_get("v", "$", "string").alias("value"),
-            (F.col("_type") == "BOOLEAN").alias("is_bool"),
+            *([_SEQ] if seq else []),
+            "column",
+            F.try_variant_get("v", "$", "string").alias("value"),
+            F.when(kind == "BOOLEAN", KIND_BOOL).when(number, KIND_INT).alias("native"),
         )
     )
 
@@ -77,6 +92,19 @@ def _magnitude(n: Column) -> Column:
     return F.when(n == F.lit(lowest), F.lit(2**63 - 1)).otherwise(F.abs(n))
 
 
+def _clean_values(long: DataFrame) -> DataFrame:
+    """Non-null values with ``clean``; only text needs cleaning."""
+    value = F.col("value")
+    return long.filter(value.isNotNull()).withColumn(
+        "clean", F.when(F.col("native").isNull(), ws_normalize(value)).otherwise(value)
+    )
+
+
+def _finite(text: Column) -> Column:
+    number = text.try_cast("double")
+    return F.when(F.abs(number) < float("inf"), number)
+
+
 def _is_long_field() -> Column:
     return F.col("column").isin(*LONG_FIELDS)
 
@@ -91,9 +119,13 @@ def profile_simple(
     """
     lowered = F.lower("column")
     numeric_name = F.contains(lowered, F.lit("numero")) | F.contains(lowered, F.lit("id"))
-    values = long.filter(F.col("value").isNotNull()).withColumn("clean", ws_normalize(F.col("value")))
-    number = F.when(numeric_name & ~F.col("is_bool"), int_lenient(F.col("clean"))).when(
-        numeric_name, (F.col("clean") == "true").cast("bigint")
+    values = _clean_values(long)
+    value, native = F.col("value"), F.col("native")
+    number = F.when(
+        numeric_name,
+        F.when(native == KIND_BOOL, (value == "true").cast("bigint"))
+        .when(native == KIND_INT, F.coalesce(value.try_cast("bigint"), _finite(value).try_cast("bigint")))
+        .otherwise(int_lenient(F.col("clean"))),
     )
     keep = [_SEQ] if mode == "first_seen" else []
     facts = values.select(*by, "column", *keep, F.char_length("clean").alias("len"), number.alias("num"))
@@ -124,24 +156,27 @@ def profile_simple(
 
 
 def _typed_values(long: DataFrame, keep: list[str]) -> DataFrame:
-    values = long.filter(F.col("value").isNotNull()).withColumn("clean", ws_normalize(F.col("value")))
-    clean = F.col("clean")
+    values = _clean_values(long)
+    clean, native = F.col("clean"), F.col("native")
     # Numbers and dates start with a sign, a point or a digit, all between "+" and "9":
     # one byte decides, so long texts are never put through the number patterns.
-    may_be_number = F.left(clean, F.lit(1)).between("+", "9")
+    readable = native.isNull() & F.left(clean, F.lit(1)).between("+", "9")
     read = values.select(
         *keep,
         "column",
-        "is_bool",
+        "native",
         "clean",
-        F.when(may_be_number, number_or_null(clean)).alias("num"),
-        F.when(may_be_number, int_strict(clean)).isNotNull().alias("is_int"),
-        F.when(may_be_number, is_date_text(clean)).alias("is_date"),
+        F.when(native == KIND_INT, _finite(clean)).when(readable, number_or_null(clean)).alias("num"),
+        F.when(readable, F.contains(clean, F.lit("."))).alias("has_point"),
+        F.when(readable, is_date_text(clean)).alias("is_date"),
     )
+    num = F.col("num")
     kind = (
-        F.when(F.col("is_bool"), KIND_BOOL)
-        .when(F.col("is_int"), KIND_INT)
-        .when(F.col("num").isNotNull(), KIND_FLOAT)
+        F.when(native == KIND_BOOL, KIND_BOOL)
+        .when(native == KIND_DATE, KIND_DATE)
+        # A typed number is whole by value, a written one by not having a point.
+        .when(num.isNotNull() & (native == KIND_INT), F.when(num == F.floor(num), KIND_INT).otherwise(KIND_FLOAT))
+        .when(num.isNotNull(), F.when(F.col("has_point"), KIND_FLOAT).otherwise(KIND_INT))
         .when(F.col("is_date"), KIND_DATE)
         .otherwise(KIND_STRING)
     )

@@ -103,10 +103,10 @@ def legal_refs(df: DataFrame, id_col: str, refs: Column, mode: str = "intended")
         "id_julgado_fk",
         *[c.alias(n) for n, c in reference_parts(F.col("_text"), mode).items()],
     )
-    return (
-        parts.select("id_julgado_fk", reference_row(mode).alias("_ref"))
-        .filter(F.col("_ref").isNotNull())
-        .select("id_julgado_fk", "_ref.*")
+    # Items without a citation leave as empty arrays: a filter on the parsed row would be
+    # pushed below it and run every pattern a second time.
+    return parts.select(
+        "id_julgado_fk", F.inline(F.array_compact(F.array(reference_row(mode))))
     )
 
 

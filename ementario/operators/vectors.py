@@ -108,12 +108,10 @@ CELL_ROWS = 20_000
 def knn_single(vectors: DataFrame, query: Sequence[float], k: int = 5, key: str = "vec_id") -> DataFrame:
     """The ``k`` nearest to one vector: one scan, a top-k per task, one small merge."""
     dist = F.round(cosine_distance_to(F.col("embedding"), query), DISTANCE_DECIMALS)
-    return (
-        vectors.select(key, dist.alias("dist"))
-        .filter(F.col("dist").isNotNull())
-        .orderBy("dist", key)
-        .limit(k)
-    )
+    # Vectors without a distance sort last and go after the limit; filtering them first
+    # would compute every distance twice.
+    nearest = vectors.select(key, dist.alias("dist")).orderBy(F.asc_nulls_last("dist"), key).limit(k)
+    return nearest.filter(F.col("dist").isNotNull())
 
 
 def _unit_rows(column: pd.Series, dim: int) -> tuple[np.ndarray, np.ndarray]:
@@ -203,13 +201,13 @@ def _grid(
     query, never its pairs.
     """
     q = queries.select(
-        F.pmod(F.xxhash64("qid"), F.lit(q_blocks)).alias("qb"),
+        F.pmod(F.xxhash64("qid", "vec"), F.lit(q_blocks)).alias("qb"),
         F.explode(F.sequence(F.lit(0), F.lit(v_blocks - 1))).alias("vb"),
         F.col("qid").alias("id"), "vec",
     )
     v = vectors.select(
         F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("qb"),
-        F.pmod(F.xxhash64("vid"), F.lit(v_blocks)).alias("vb"),
+        F.pmod(F.xxhash64("vid", "vec"), F.lit(v_blocks)).alias("vb"),
         F.col("vid").alias("id"), "vec",
     )
     q, v = (d.withColumns({"qb": F.col("qb").cast("int"), "vb": F.col("vb").cast("int")}) for d in (q, v))

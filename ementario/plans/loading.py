@@ -29,7 +29,7 @@ from ementario.plans.registry import query
 from ementario.session import scratch_path
 from ementario.sources.json_files import read_dynamic, read_records
 from ementario.sources.manifest import pending
-from ementario.sources.tables import ordered_projection, preview, read_table
+from ementario.sources.tables import ordered_projection, preview, read_table, spread
 
 # --- record files ------------------------------------------------------------------
 
@@ -220,6 +220,13 @@ def pack_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- text ----------------------------------------------------------------------------
 
 
+def _shown(df: DataFrame, key: str, items: str) -> DataFrame:
+    """An array as its size and joined text, which every engine prints alike."""
+    return df.select(
+        key, F.size(items).cast("bigint").alias("n"), F.array_join(items, "|").alias(items)
+    )
+
+
 def _noisy() -> Column:
     return F.concat(F.lit(" \x0c"), F.replace("text", F.lit(". "), F.lit(".\t\r\n ")), F.lit(" "))
 
@@ -247,14 +254,16 @@ def normalize_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("array_clean", f"""
-SELECT doc_id, list_transform(CASE WHEN lang = 'de' THEN []::VARCHAR[] ELSE string_split(text, chr(10)) END,
-  lambda x: coalesce({sql_clean("x || chr(9)")}, '')) AS items FROM documents""")
+SELECT doc_id, len(items) AS n, array_to_string(items, '|') AS items FROM (SELECT doc_id,
+  list_transform(CASE WHEN lang = 'de' THEN []::VARCHAR[] ELSE string_split(text, chr(10)) END,
+  lambda x: coalesce({sql_clean("x || chr(9)")}, '')) AS items FROM documents)""")
 def array_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = F.when(
         F.col("lang") != "de",
         F.transform(F.split("text", "\n", -1), lambda x: F.concat(x, F.lit("\t"))),
     )
-    return read_table(spark, sf_dir, "documents").select("doc_id", clean_array(lines).alias("items"))
+    cleaned = read_table(spark, sf_dir, "documents").select("doc_id", clean_array(lines).alias("items"))
+    return _shown(cleaned, "doc_id", "items")
 
 
 @query("truncate_columns", """
@@ -270,10 +279,12 @@ def truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("split_terms", f"""
-SELECT id_dw, list_filter(list_transform(string_split({sql_clean_full('termosAuxiliares')}, ';'), lambda x: trim(x)), lambda x: x <> '') AS termos
-FROM {judged_sql()}""")
+SELECT id_dw, len(termos) AS n, array_to_string(termos, '|') AS termos FROM (SELECT id_dw,
+  list_filter(list_transform(string_split({sql_clean_full('termosAuxiliares')}, ';'), lambda x: trim(x)), lambda x: x <> '') AS termos
+  FROM {judged_sql()})""")
 def terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judged_like(spark, sf_dir).select("id_dw", split_terms(F.col("termosAuxiliares")).alias("termos"))
+    split = judged_like(spark, sf_dir).select("id_dw", split_terms(F.col("termosAuxiliares")).alias("termos"))
+    return _shown(split, "id_dw", "termos")
 
 
 @query("embed_text", """
@@ -331,13 +342,13 @@ def dates_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("date_typed", f"""
-SELECT id_dw, {sql_typed_date('"dataDecisao"')} AS dt_decisao, {sql_typed_date('"dataPublicacao"')} AS dt_publicacao
+SELECT id_dw, {sql_typed_date('"dataDecisao"')}::VARCHAR AS dt_decisao, {sql_typed_date('"dataPublicacao"')}::VARCHAR AS dt_publicacao
 FROM {judged_sql()}""")
 def dates_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged_like(spark, sf_dir).select(
         "id_dw",
-        date_typed(F.col("dataDecisao")).alias("dt_decisao"),
-        date_typed(F.col("dataPublicacao")).alias("dt_publicacao"),
+        date_typed(F.col("dataDecisao")).cast("string").alias("dt_decisao"),
+        date_typed(F.col("dataPublicacao")).cast("string").alias("dt_publicacao"),
     )
 
 
@@ -360,7 +371,7 @@ def _number_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "empty": F.lit(""),
     }
     return (
-        read_table(spark, sf_dir, "orders")
+        spread(read_table(spark, sf_dir, "orders"))
         .select("o_orderkey", *[c.alias(n) for n, c in forms.items()])
         .unpivot("o_orderkey", list(forms), "form", "v")
     )

@@ -40,14 +40,14 @@ from ementario.plans.bindings import (
 )
 from ementario.plans.registry import query
 from ementario.schemas import DIM_SUBJECTS_KEY, LONG_FIELDS, STAGING_WIDTHS
-from ementario.sources.tables import read_table
+from ementario.sources.tables import read_table, spread
 
 # --- fact and dimensions ---------------------------------------------------------------
 
 
 @query("fact_projection", f"""
 SELECT TRY_CAST(id_origem AS INT) AS id_julgado, id_dw, CAST(TRY_CAST(id_origem AS INT) AS VARCHAR) AS id_origem_natural,
-  {sql_typed_date('"dataDecisao"')} AS dt_decisao, {sql_typed_date('"dataPublicacao"')} AS dt_publicacao,
+  {sql_typed_date('"dataDecisao"')}::VARCHAR AS dt_decisao, {sql_typed_date('"dataPublicacao"')}::VARCHAR AS dt_publicacao,
   {sql_clean_full('siglaClasse')} AS classe_sigla, {sql_clean_full('nomeOrgaoJulgador')} AS orgao_julgador,
   {sql_clean_full('ministroRelator')} AS ministro_relator, {sql_outcome('decisao', 'ementa')} AS resultado_binario,
   {sql_clean_full('tema')} AS tema_repetitivo, {sql_clean_full('ementa')} AS ementa_limpa,
@@ -56,7 +56,9 @@ SELECT TRY_CAST(id_origem AS INT) AS id_julgado, id_dw, CAST(TRY_CAST(id_origem
   {sql_clean_full('jurisprudenciaCitada')} AS jurisprudencia_citada_limpa
 FROM {judged_sql(court=True, text=True)} WHERE TRY_CAST(id_origem AS INT) IS NOT NULL""")
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fact_projection(judged_like(spark, sf_dir, court=True, text=True)).drop("teor_bruto_json")
+    facts = fact_projection(judged_like(spark, sf_dir, court=True, text=True)).drop("teor_bruto_json")
+    # Dates as ISO text, which every engine prints alike.
+    return facts.withColumns({c: F.col(c).cast("string") for c in ("dt_decisao", "dt_publicacao")})
 
 
 @query("outcome_classify", f"""
@@ -323,7 +325,7 @@ _ATOMIC = {
 
 def _sql_table_long() -> str:
     return " UNION ALL ".join(
-        f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", {sql_clean(f'CAST({c} AS VARCHAR)')} AS v FROM {t} WHERE {c} IS NOT NULL"
+        f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", {sql_clean(f'CAST({c} AS VARCHAR)')} AS v, typeof({c}) AS typ FROM {t} WHERE {c} IS NOT NULL"
         for t, cols in _ATOMIC.items()
         for c in cols.split()
     )
@@ -331,7 +333,7 @@ def _sql_table_long() -> str:
 
 def _all_tables_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = [
-        to_long(read_table(spark, sf_dir, t)).withColumn("table", F.lit(t)) for t in TABLES
+        to_long(spread(read_table(spark, sf_dir, t))).withColumn("table", F.lit(t)) for t in TABLES
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -352,7 +354,8 @@ def ddl_simple(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("suggest_ddl_typed", f"""
-WITH vals AS (SELECT *, CASE WHEN x IS NOT NULL AND NOT contains(v, '.') THEN 'int' WHEN x IS NOT NULL THEN 'float'
+WITH vals AS (SELECT *, CASE WHEN typ = 'TIMESTAMP' THEN 'date' WHEN typ = 'DOUBLE' AND x = trunc(x) THEN 'int'
+      WHEN x IS NOT NULL AND NOT contains(v, '.') THEN 'int' WHEN x IS NOT NULL THEN 'float'
       WHEN try_strptime(v, ['%Y-%m-%d %H:%M:%S', '%Y-%m-%d', '%d/%m/%Y']) IS NOT NULL THEN 'date' ELSE 'string' END AS k
     FROM (SELECT *, CASE WHEN regexp_full_match(v, '{_SQL_NUMBER}') THEN TRY_CAST(v AS DOUBLE) END AS x FROM ({_sql_table_long()}))),
   agg AS (SELECT "table", "column", bool_or(k = 'date') AS d, bool_or(k = 'string') AS s, bool_or(k = 'float') AS f,
