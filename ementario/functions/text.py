@@ -85,6 +85,19 @@ def clean_array_if_text(arr: Column) -> Column:
     )
 
 
+def clean_json_array(c: Column) -> Column:
+    """:func:`clean_array_if_text` of an array held as JSON text; other text is cleaned whole."""
+    items = F.from_json(c, "array<variant>")
+    all_text = F.forall(items, lambda v: F.schema_of_variant(v) == "STRING")
+    cleaned = F.to_json(F.transform(F.from_json(c, "array<string>"), ws_normalize))
+    return (
+        F.when(~F.startswith(c, F.lit("[")), ws_normalize(c))
+        .when(items.isNull(), ws_normalize(c))
+        .when(all_text, cleaned)
+        .otherwise(c)
+    )
+
+
 def load_limits(columns: list[str], widths: str = "schema") -> dict[str, int]:
     """Truncation limit per column outside the long fields.
 

@@ -9,11 +9,13 @@ from pyspark.sql import types as T
 from ementario.functions.dates import apply_date_fields
 from ementario.functions.text import (
     clean_array_if_text,
+    clean_json_array,
     load_limits,
     truncate_columns,
     ws_normalize,
 )
 from ementario.schemas import (
+    ARRAY_FIELDS,
     DATE_FIELDS,
     ID_COLUMN,
     ID_KEYS,
@@ -48,12 +50,14 @@ def rename_map_key(fields: Column, keys: tuple[str, ...] = ID_KEYS) -> Column:
 
 
 def clean_fields(df: DataFrame, skip: tuple[str, ...] = ()) -> DataFrame:
-    """Clean every string and string-array column, leaving other types as they are."""
+    """Clean strings and arrays of strings, whether typed or JSON text; leave other types."""
     out = {}
     for f in df.schema.fields:
         if f.name in skip:
             continue
-        if isinstance(f.dataType, T.StringType):
+        if isinstance(f.dataType, T.StringType) and f.name in ARRAY_FIELDS:
+            out[f.name] = clean_json_array(F.col(f.name))
+        elif isinstance(f.dataType, T.StringType):
             out[f.name] = ws_normalize(F.col(f.name))
         elif isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StringType):
             out[f.name] = clean_array_if_text(F.col(f.name))

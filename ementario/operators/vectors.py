@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
@@ -41,15 +42,18 @@ def embed_with(
     df: DataFrame, text_col: str, factory: Callable[[], Embedder], out: str = "embedding"
 ) -> DataFrame:
     """Embed with a model: ``factory`` runs once per task, then gets texts in batches."""
-    columns = df.columns
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = factory()
         for batch in batches:
-            vectors = [list(map(float, v)) for v in model(batch[text_col].tolist())]
-            yield batch[columns].assign(**{out: vectors})
-
-    return df.mapInPandas(run, f"{df.schema.toDDL()}, {out} array<float>")
+            found = [[float(x) for x in v] for v in model(batch.column(text_col).to_pylist())]
+            # The other columns pass through as they came.
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(found, pa.list_(pa.float32()))],
+                names=[*batch.schema.names, out],
+            )
+
+    return df.mapInArrow(run, f"{df.schema.toDDL()}, {out} array<float>")
 
 
 def pending_vectors(

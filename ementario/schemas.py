@@ -79,16 +79,14 @@ def _strings(names: tuple[str, ...] | list[str]) -> list[T.StructField]:
     return [T.StructField(n, T.StringType()) for n in names]
 
 
-# One source record, as published (arrays kept as arrays).
+# One source record. Every field is read as text, so no value can contradict the schema:
+# arrays and nested objects arrive as their JSON text.
 SOURCE = T.StructType(
     _strings(
         ["id", "id_registro", "numeroProcesso", "numeroRegistro", "Obs", "dataDecisao",
          "dataPublicacao", "ministroRelator", "nomeOrgaoJulgador", "tipoDeDecisao", "siglaClasse"]
     )
-    + [
-        T.StructField(n, T.ArrayType(T.StringType()) if n in ARRAY_FIELDS else T.StringType())
-        for n in LONG_FIELDS
-    ]
+    + _strings(LONG_FIELDS)
 )
 
 STAGING = T.StructType(

@@ -15,7 +15,7 @@ from ementario.functions.urls import relative_path
 from ementario.schemas import SOURCE
 
 CORRUPT = "_corrupt"
-DYNAMIC_TYPE = "array<map<string,variant>>"
+FIELDS_TYPE = "map<string,variant>"
 
 
 PATTERN = "*.json"
@@ -61,8 +61,11 @@ def read_records(
         .withColumn("rel_path", relative_path(F.col("_metadata.file_path"), base))
     )
     records = raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    # Spark refuses a query on the corrupt column alone, so a field, null in such rows, is
+    # read along with it.
+    text = F.concat_ws("", CORRUPT, F.col(schema.fieldNames()[0]).cast("string"))
     rejects = raw.filter(F.col(CORRUPT).isNotNull()).select(
-        "rel_path", reject_reason(F.col(CORRUPT)).alias("reason")
+        "rel_path", reject_reason(text).alias("reason")
     )
     return records, rejects
 
@@ -92,7 +95,12 @@ def parse_texts(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     ``records`` is ``rel_path, pos, fields``, where ``fields`` maps every key to a variant.
     """
-    parsed = texts.withColumn("items", F.from_json("text", DYNAMIC_TYPE))
+    is_object = F.startswith(F.ltrim(F.col("text"), F.lit(" \t\r\n")), F.lit("{"))
+    one = F.from_json("text", FIELDS_TYPE)
+    items = F.when(is_object, F.when(one.isNotNull(), F.array(one))).otherwise(
+        F.from_json("text", f"array<{FIELDS_TYPE}>")
+    )
+    parsed = texts.withColumn("items", items)
     records = parsed.filter(F.col("items").isNotNull()).select(
         "rel_path", F.posexplode("items").alias("pos", "fields")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,18 +67,24 @@ class _ResourceLinks(HTMLParser):
         )
 
 
-def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+_LINK_SCHEMA = pa.schema(
+    [("page_id", pa.int64()), ("page_url", pa.string()), ("pos", pa.int32()), ("href", pa.string())]
+)
+
+
+def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out: dict[str, list] = {"page_id": [], "page_url": [], "pos": [], "href": []}
-        for page_id, url, html in zip(batch["page_id"], batch["url"], batch["html"], strict=True):
+        out: dict[str, list] = {name: [] for name in _LINK_SCHEMA.names}
+        for page in batch.to_pylist():
             parser = _ResourceLinks()
-            parser.feed(html or "")
+            parser.feed(page["html"] or "")
             parser.close()
-            out["page_id"] += [page_id] * len(parser.hrefs)
-            out["page_url"] += [url] * len(parser.hrefs)
-            out["pos"] += range(len(parser.hrefs))
-            out["href"] += parser.hrefs
-        yield pd.DataFrame(out)
+            found = parser.hrefs
+            out["page_id"] += [page["page_id"]] * len(found)
+            out["page_url"] += [page["url"]] * len(found)
+            out["pos"] += range(len(found))
+            out["href"] += found
+        yield pa.RecordBatch.from_pydict(out, schema=_LINK_SCHEMA)
 
 
 def resource_links(pages: DataFrame) -> DataFrame:
@@ -87,6 +93,6 @@ def resource_links(pages: DataFrame) -> DataFrame:
     The position in nested lists is beyond a regular expression, so each page goes
     through the standard library's HTML parser; pages without such links give no rows.
     """
-    return pages.select("page_id", "url", "html").mapInPandas(
+    return pages.select("page_id", "url", "html").mapInArrow(
         _parse_batches, "page_id bigint, page_url string, pos int, href string"
     )

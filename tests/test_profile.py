@@ -24,7 +24,7 @@ def rows_of(df):
 
 
 def test_sizing(spark):
-    lengths = {0: 50, 8: 50, 9: 50, 14: 50, 44: 60, 65: 90, 79: 100, 80: 150, 103: 150, 234: 300, 255: 350}
+    lengths = {0: 50, 8: 50, 9: 50, 14: 50, 44: 60, 65: 90, 79: 100, 80: 100, 81: 150, 103: 150, 234: 300, 255: 350}
     df = spark.createDataFrame([(n,) for n in [*lengths, 256, 4908]], "n int")
     got = [r[0] for r in df.select(varchar_ddl(F.col("n"))).collect()]
     assert got == [f"VARCHAR({w})" for w in lengths.values()] + ["TEXT", "TEXT"]
