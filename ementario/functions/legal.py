@@ -55,14 +55,20 @@ def _any_pattern(text: Column, patterns: Sequence[str]) -> Column:
     return reduce(Column.__or__, tests)
 
 
-def outcome_of_clean(
-    decisao: Column,
-    ementa: Column,
+def outcome_text(decisao: Column, ementa: Column) -> Column:
+    """The text that outcome phrases are searched in, from already cleaned parts."""
+    return F.upper(F.concat(decisao, F.lit(" "), ementa))
+
+
+def outcome_of_text(
+    text: Column,
     favourable: Sequence[str] = FAVOURABLE,
     unfavourable: Sequence[str] = UNFAVOURABLE,
 ) -> Column:
-    """True, false or unknown from already cleaned texts; favourable is tried first."""
-    text = F.upper(F.concat(decisao, F.lit(" "), ementa))
+    """True, false or unknown; favourable is tried first.
+
+    ``text`` is read once per phrase, so pass a column that is already computed.
+    """
     return F.when(_any_pattern(text, favourable), True).when(
         _any_pattern(text, unfavourable), False
     )
@@ -74,9 +80,8 @@ def outcome(
     favourable: Sequence[str] = FAVOURABLE,
     unfavourable: Sequence[str] = UNFAVOURABLE,
 ) -> Column:
-    return outcome_of_clean(
-        ws_normalize_full(decisao), ws_normalize_full(ementa), favourable, unfavourable
-    )
+    text = outcome_text(ws_normalize_full(decisao), ws_normalize_full(ementa))
+    return outcome_of_text(text, favourable, unfavourable)
 
 
 def reference_items(json_text: Column) -> Column:

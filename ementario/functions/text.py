@@ -57,11 +57,17 @@ def ws_normalize(c: Column) -> Column:
     )
 
 
-def ws_normalize_full(c: Column) -> Column:
-    """Every whitespace run becomes one space; null becomes the empty string."""
-    spaced = F.when(
-        _may_hold_rare_space(c), F.regexp_replace(c, rf"[{WS_CLASS}]+", " ")
-    ).otherwise(F.regexp_replace(c, rf"[{WS_LATIN1}]+", " "))
+def ws_normalize_full(c: Column, long: bool = True) -> Column:
+    """Every whitespace run becomes one space; null becomes the empty string.
+
+    ``long=False`` leaves out the search for rare spaces: on codes and names it costs more
+    than it saves, and it keeps the generated code of wide projections small.
+    """
+    spaced = F.regexp_replace(c, rf"[{WS_CLASS}]+", " ")
+    if long:
+        spaced = F.when(_may_hold_rare_space(c), spaced).otherwise(
+            F.regexp_replace(c, rf"[{WS_LATIN1}]+", " ")
+        )
     return F.coalesce(F.trim(spaced), F.lit(""))
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from ementario.functions.dates import date_typed
 from ementario.functions.legal import (
-    outcome_of_clean,
+    outcome_of_text,
+    outcome_text,
     reference_items,
     reference_parts,
     reference_row,
@@ -17,7 +18,7 @@ from ementario.functions.legal import (
 from ementario.functions.numbers import int_id
 from ementario.functions.text import ws_normalize_full
 from ementario.operators.upsert import collapse, dim_upsert, fact_policy, merge
-from ementario.schemas import DIM_REFS_KEY, DIM_SUBJECTS_KEY
+from ementario.schemas import DIM_REFS_KEY, DIM_SUBJECTS_KEY, LONG_FIELDS
 from ementario.session import materialize
 
 
@@ -49,9 +50,9 @@ def fact_projection(staging: DataFrame) -> DataFrame:
     rows, _ = id_fallback_parse(staging)
 
     def clean(name: str) -> Column:
-        return ws_normalize_full(_col_or_null(staging, name))
+        return ws_normalize_full(_col_or_null(staging, name), long=name in LONG_FIELDS and name != "tema")
 
-    # Two steps, so that the cleaned texts are computed once and read twice.
+    # Steps, so that the cleaned texts and the searched text are computed once each.
     cleaned = rows.select(
         "id_julgado",
         *[c for c in ("id_dw", "load_id") if c in staging.columns],
@@ -71,16 +72,19 @@ def fact_projection(staging: DataFrame) -> DataFrame:
         clean("jurisprudenciaCitada").alias("jurisprudencia_citada_limpa"),
         pack_row_json(source_columns).alias("teor_bruto_json"),
     )
-    return cleaned.select(
+    searched = cleaned.withColumn(
+        "_text", outcome_text(F.col("decsiao_teor_limpo"), F.col("ementa_limpa"))
+    )
+    return searched.select(
         "id_julgado",
         *[c for c in ("id_dw", "load_id") if c in staging.columns],
-        ws_normalize_full(F.col("_natural")).alias("id_origem_natural"),
+        ws_normalize_full(F.col("_natural"), long=False).alias("id_origem_natural"),
         "dt_decisao",
         "dt_publicacao",
         "classe_sigla",
         "orgao_julgador",
         "ministro_relator",
-        outcome_of_clean(F.col("decsiao_teor_limpo"), F.col("ementa_limpa")).alias("resultado_binario"),
+        outcome_of_text(F.col("_text")).alias("resultado_binario"),
         "tema_repetitivo",
         "ementa_limpa",
         "decsiao_teor_limpo",
@@ -98,7 +102,7 @@ def legal_refs(df: DataFrame, id_col: str, refs: Column, mode: str = "intended")
     so the work of one long record spreads over rows and stays in generated code.
     """
     items = df.select(F.col(id_col).alias("id_julgado_fk"), F.explode(refs).alias("_item"))
-    texts = items.select("id_julgado_fk", ws_normalize_full(F.col("_item")).alias("_text"))
+    texts = items.select("id_julgado_fk", ws_normalize_full(F.col("_item"), long=False).alias("_text"))
     parts = texts.select(
         "id_julgado_fk",
         *[c.alias(n) for n, c in reference_parts(F.col("_text"), mode).items()],

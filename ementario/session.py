@@ -14,6 +14,9 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # HotSpot never compiles methods above 8000 bytes. Wide projections full of patterns
+    # exceed that as one generated loop, so they run per operator, in small methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
