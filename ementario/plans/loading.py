@@ -255,7 +255,7 @@ def normalize_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("array_clean", f"""
 SELECT doc_id, len(items) AS n, array_to_string(items, '|') AS items FROM (SELECT doc_id,
-  list_transform(CASE WHEN lang = 'de' THEN []::VARCHAR[] ELSE string_split(text, chr(10)) END,
+  list_transform(CASE WHEN lang = 'de' OR text IS NULL THEN []::VARCHAR[] ELSE string_split(text, chr(10)) END,
   lambda x: coalesce({sql_clean("x || chr(9)")}, '')) AS items FROM documents)""")
 def array_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = F.when(

@@ -105,7 +105,7 @@ def literals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("embed_hashed", rf"""
-SELECT doc_id, {VECTOR_DIM}::BIGINT AS dim, len(list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')) AS n_tokens,
+SELECT doc_id, {VECTOR_DIM}::BIGINT AS dim, len(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')) AS n_tokens,
   CASE WHEN regexp_matches(text, '[\p{{L}}\p{{N}}]') THEN 1.0 ELSE 0.0 END::DOUBLE AS norm FROM documents""")
 def hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = embed_hashed(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
@@ -153,7 +153,7 @@ def nearest_to_each(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH top AS (SELECT * FROM {_SQL_TOP3}),
   ctx AS (SELECT qid, string_agg(text, chr(10) || chr(10) ORDER BY rank) AS context FROM top JOIN documents ON doc_id = vid GROUP BY qid)
 SELECT doc_id AS qid, 'Use o contexto abaixo para responder:' || chr(10) || chr(10) || coalesce(context, '') || chr(10) || chr(10)
-  || 'Pergunta: ' || text || chr(10) || 'Resposta:' AS prompt
+  || 'Pergunta: ' || coalesce(text, '') || chr(10) || 'Resposta:' AS prompt
 FROM documents JOIN embeddings ON vec_id = doc_id LEFT JOIN ctx ON ctx.qid = doc_id""")
 def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
