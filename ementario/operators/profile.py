@@ -28,6 +28,7 @@ from ementario.functions.numbers import (
 )
 from ementario.functions.text import ws_normalize
 from ementario.schemas import ID_COLUMN, LONG_FIELDS
+from ementario.session import materialize
 
 _NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType, T.BinaryType)
 _TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -247,6 +248,10 @@ def _typed_first_seen(long: DataFrame, by: tuple[str, ...]) -> DataFrame:
         F.min_by(kind, _SEQ).alias("first_kind"),
         F.min(F.when(kind == KIND_FLOAT, F.col(_SEQ))).alias("float_seq"),
     )
+    # One row per column, joined to every value. Written out first, its size is known when
+    # the join is planned, so it is broadcast unless there are very many columns; otherwise
+    # all values would be shuffled to a handful of hot keys.
+    lock = materialize(lock, "profile-lock")
     counted_int = (kind == KIND_INT) & (
         F.col("float_seq").isNull() | (F.col(_SEQ) < F.col("float_seq"))
     )

@@ -39,14 +39,14 @@ def shared_dir(spark: SparkSession) -> str:
     set for local masters (tests); on a cluster that would lose data with the machine,
     so it is an error.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    known = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if known:
+        return known.rstrip("/")
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    path = tempfile.mkdtemp(prefix="ementario-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="ementario-"))
+    return context.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
