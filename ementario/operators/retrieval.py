@@ -17,6 +17,21 @@ SYSTEM_TEMPLATE = (
     "mas mantenha a resposta no idioma Português do Brasil.\n"
     "Contexto: {context}"
 )
+LANGUAGE_TEMPLATE = "\n    ".join(
+    (
+        "Você é um agente especialista em direito e deve responder a perguntas com base"
+        " exclusivamente no contexto fornecido. ",
+        "Sua resposta deve ser sempre concisa, objetiva e, mais importante, **estritamente no"
+        " idioma: {language}**.",
+        "",
+        'Se o contexto não contiver a resposta, diga "Não tenho informações suficientes no'
+        ' contexto para responder."',
+        "",
+        "Contexto: {context}",
+        "Pergunta: {question}",
+        "Resposta em {language}:",
+    )
+)
 PASSAGE_SEPARATOR = "\n\n"
 # --- end of fixed values -----------------------------------------------------------
 
@@ -41,12 +56,17 @@ def fill(template: str, **values: Column) -> Column:
 
 
 def rag_prompts(
-    questions: DataFrame, neighbours: DataFrame, passages: DataFrame, template: str = SHORT_TEMPLATE
+    questions: DataFrame,
+    neighbours: DataFrame,
+    passages: DataFrame,
+    template: str = SHORT_TEMPLATE,
+    **extra: Column,
 ) -> DataFrame:
     """``qid, prompt`` from ``(qid, question)``, ``(qid, rank, vid, dist)``, ``(vid, passage)``.
 
     Neighbours carry ids only until here; texts join last. A question gathers at most k
-    passages. Questions without neighbours keep an empty context.
+    passages. Questions without neighbours keep an empty context. ``extra`` fills further
+    places of the template, such as ``language``.
     """
     context = (
         neighbours.join(passages.select("vid", "passage"), "vid")
@@ -54,6 +74,5 @@ def rag_prompts(
         .agg(F.array_sort(F.collect_list(F.struct("rank", "passage"))).alias("found"))
         .select("qid", F.array_join(F.col("found.passage"), PASSAGE_SEPARATOR).alias("context"))
     )
-    return questions.join(context, "qid", "left").select(
-        "qid", fill(template, context=F.col("context"), question=F.col("question")).alias("prompt")
-    )
+    filled = fill(template, context=F.col("context"), question=F.col("question"), **extra)
+    return questions.join(context, "qid", "left").select("qid", filled.alias("prompt"))

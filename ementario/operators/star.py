@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +19,7 @@ from ementario.functions.legal import (
 )
 from ementario.functions.numbers import int_id
 from ementario.functions.text import ws_normalize_full
-from ementario.operators.upsert import collapse, dim_upsert, fact_policy, merge
+from ementario.operators.upsert import collapse, fact_policy, merge, new_keys
 from ementario.schemas import DIM_REFS_KEY, DIM_SUBJECTS_KEY, LONG_FIELDS
 from ementario.session import materialize
 
@@ -162,13 +164,14 @@ def current_table(spark: SparkSession, name: str) -> DataFrame | None:
         raise
 
 
-def publish(spark: SparkSession, name: str, df: DataFrame, location: str) -> None:
-    """Write a new snapshot at ``location`` and point the table at it.
+def publish(spark: SparkSession, name: str, df: DataFrame, root: str) -> None:
+    """Write a new snapshot below ``root`` and point the table at it.
 
-    The old snapshot is never overwritten, so readers and the job that derives the new
-    one from it are safe, and a failed write leaves the table as it was.
+    Every snapshot has its own folder, so nothing that is being read is overwritten, and a
+    failed write leaves the table as it was. Old snapshots stay until they are removed.
     """
-    df.write.mode("overwrite").parquet(location)
+    location = f"{root}/snapshot-{uuid.uuid4().hex}"
+    df.write.parquet(location)
     if spark.catalog.tableExists(name):
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
         spark.catalog.refreshTable(name)
@@ -176,13 +179,35 @@ def publish(spark: SparkSession, name: str, df: DataFrame, location: str) -> Non
         spark.catalog.createTable(name, path=location, source="parquet")
 
 
+def append_dimension(
+    spark: SparkSession, name: str, rows: DataFrame, keys: list[str], location: str, load_id: str
+) -> None:
+    """Add the natural keys a dimension does not hold yet, as the load's own partition.
+
+    Nothing already stored is rewritten. A repeated load compares with the other loads
+    only and overwrites its partition, so it ends in the same table.
+    """
+    part = f"load-{load_id}"  # never reads as a number, so the partition value stays text
+    old = current_table(spark, name)
+    fresh = rows.select(*keys).dropDuplicates(keys)
+    if old is not None:
+        fresh = new_keys(old.filter(F.col("load") != part), fresh, keys)
+    fresh.write.mode("overwrite").parquet(f"{location}/load={part}")
+    if old is None:
+        spark.catalog.createTable(name, path=location, source="parquet")
+    spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
+
+
 def load_star(
     spark: SparkSession, staging: DataFrame, root: str, load_id: str, mode: str = "intended",
     prefix: str = "",
 ) -> None:
     """Upsert a staging table into ``fato_julgados_stj`` and its dimensions.
 
-    Repeating a load leaves the tables as they are. ``staging`` is read once per table
+    Repeating a load leaves the tables as they are. The fact is rewritten as a new snapshot,
+    which suits large loads; for small frequent ones keep it as states with
+    ``streaming.upserts``, whose cost follows the batch. Dimensions only grow. ``staging`` is read once per table
     with only the columns that table needs, which costs less than caching wide text.
     """
     fact, refs, subj = star_rows(staging, mode)
@@ -195,11 +220,9 @@ def load_star(
     changes = collapse(fact, ["id_julgado"], policy, order)
     if old is not None:
         changes = merge(old, materialize(changes, name), ["id_julgado"], policy)
-    publish(spark, name, changes, f"{root}/{name}/load={load_id}")
+    publish(spark, name, changes, f"{root}/{name}")
     for name, rows, keys in (
         (f"{prefix}dim_referencias_legais", refs, DIM_REFS_KEY),
         (f"{prefix}dim_assuntos_stj", subj, DIM_SUBJECTS_KEY),
     ):
-        old = current_table(spark, name)
-        target = old if old is not None else spark.createDataFrame([], rows.select(*keys).schema)
-        publish(spark, name, dim_upsert(target, rows, keys), f"{root}/{name}/load={load_id}")
+        append_dimension(spark, name, rows, keys, f"{root}/{name}", load_id)

@@ -97,12 +97,16 @@ def upsert(
     return merge(target, collapse(batch, keys, policy, order), keys, policy)
 
 
-def dim_upsert(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Add rows whose natural key is new; nothing is changed or removed."""
-    fresh = rows.select(*keys).dropDuplicates(keys).alias("n").join(
+def new_keys(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The natural keys of ``rows``, each once, that ``target`` does not hold."""
+    return rows.select(*keys).dropDuplicates(keys).alias("n").join(
         target.select(*keys).alias("t"), _same_key("n", "t", keys), "left_anti"
     )
-    return target.select(*keys).unionByName(fresh)
+
+
+def dim_upsert(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Add rows whose natural key is new; nothing is changed or removed."""
+    return target.select(*keys).unionByName(new_keys(target, rows, keys))
 
 
 def fact_policy(columns: list[str], key: str = "id_julgado", raw: str = "teor_bruto_json") -> dict[str, str]:

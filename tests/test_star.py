@@ -86,17 +86,23 @@ def test_load_is_idempotent_and_ordered(spark, tmp_path):
 
     load_star(spark, first, str(tmp_path), "1", prefix="t1_")
     once = state()
+    load_star(spark, first, str(tmp_path), "1", prefix="t1_")  # repeated at once
+    assert state() == once
     load_star(spark, first.repartition(3), str(tmp_path), "2", prefix="t1_")
     assert state() == once
     fact = {r.id_julgado: r for r in spark.table("t1_fato_julgados_stj").collect()}
     assert fact[389583].ementa_limpa == "NOVA"
     assert json.loads(fact[389583].teor_bruto_json)["ementa"] == "MANDADO\nDE  SEGURANÇA"
     assert (len(once[names[1]]), len(once[names[2]])) == (4, 6)
+    load_star(spark, first, str(tmp_path), "1", prefix="t1_")  # the same load again
+    assert state() == once
 
     load_star(spark, staging(spark, [{**ROW, "id_origem": "3"}, {**ROW, "siglaClasse": "AR"}]), str(tmp_path), "3", prefix="t1_")
     fact = {r.id_julgado: r for r in spark.table("t1_fato_julgados_stj").collect()}
     assert sorted(fact) == [2, 3, 389583] and fact[389583].classe_sigla == "AR"
     assert json.loads(fact[389583].teor_bruto_json)["siglaClasse"] == "MS"
+    assert spark.table("t1_dim_referencias_legais").groupBy("load").count().count() == 2
+    assert spark.table("t1_dim_referencias_legais").count() == 6
 
 
 def test_upsert_rules(spark):

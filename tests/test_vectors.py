@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ementario.operators import vectors as ve
 from ementario.operators.links import download_plan
-from ementario.operators.retrieval import SYSTEM_TEMPLATE, fill, rag_prompts
+from ementario.operators.retrieval import LANGUAGE_TEMPLATE, SYSTEM_TEMPLATE, fill, rag_prompts
 from ementario.schemas import VECTORS
 
 RNG = np.random.default_rng(7)
@@ -92,6 +92,8 @@ def test_prompts(spark):
     got = {r.qid: r.prompt for r in rag_prompts(questions, near, passages).collect()}
     assert got[1] == "Use o contexto abaixo para responder:\n\nP{question}\n\nR\n\nPergunta: por {context}?\nResposta:"
     assert got[2] == "Use o contexto abaixo para responder:\n\n\n\nPergunta: q2\nResposta:"
+    told = rag_prompts(questions, near, passages, LANGUAGE_TEMPLATE, language=F.lit("Português")).filter("qid = 2").first().prompt
+    assert told.endswith("Contexto: \n    Pergunta: q2\n    Resposta em Português:") and told.count("Português") == 2
     system = spark.range(1).select(fill(SYSTEM_TEMPLATE, context=F.lit("C")).alias("p")).first().p
     assert system.endswith("Contexto: C") and "{context}" not in system
 
