@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ementario.llm import chat, hosts, lines, oracles, quality
+from ementario.llm import bpe, chat, hosts, lines, oracles, packing, planes, quality, simhash
+from ementario.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +34,12 @@ def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+@query("op3_simhash_dedup")
+def simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query("op4_line_dedup", oracles.LINE_DEDUP)
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = lines.dedup_lines(table(spark, sf_dir, "documents"))
@@ -56,6 +63,28 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.read_back(windows))
 
 
+@query("op6_best_fit_packing")
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 @query("op7_quality_rules", oracles.QUALITY)
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(table(spark, sf_dir, "documents"))
+
+
+@query("op8_bpe")
+def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode_documents(table(spark, sf_dir, "documents"))
+    return coded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+@query("op10_token_planes")
+def token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-planes")
+    planes.write_tokens(table(spark, sf_dir, "documents"), path)
+    read = planes.read_tokens(spark, path)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
