@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ementario.llm import bpe, chat, hosts, lines, oracles, packing, planes, quality, simhash
+from ementario.llm import bpe, chat, hosts, lines, neighbours, oracles, packing, planes, quality, simhash
 from ementario.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,6 +82,11 @@ def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op9_embedding_dedup")
+def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query("op10_token_planes")
 def token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-planes")
