@@ -8,6 +8,7 @@ level by level: their differing bits add up and a pair beyond the budget is drop
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 from itertools import combinations
 
@@ -67,31 +68,34 @@ def _bits(fp: Column, start: int, width: int) -> Column:
     return F.shiftrightunsigned(fp, start).bitwiseAND(F.lit((1 << width) - 1))
 
 
-def tries(fps: DataFrame, budget: int, blocks: int) -> DataFrame:
+def tries(fps: DataFrame, budget: int, blocks: int, bits: int = 64) -> DataFrame:
     """Each fingerprint once per trie: ``trie``, ``lead`` (the agreeing blocks), ``rest`` (the bits below) and ``sub``.
 
-    ``sub`` is -1, or for keys with more than ``HOT`` fingerprints a pair of nodes ``SPLIT_BITS`` levels
-    down: their rows are copied to every pair that the budget allows, so no key stays whole in one task.
+    ``fps`` has node, fp (its low ``bits``) and seg, which numbers the fingerprints of a node. ``sub`` is -1, or for keys with
+    more than ``HOT`` fingerprints a pair of nodes ``SPLIT_BITS`` levels down: their rows are copied to every pair that
+    the budget allows, so no key stays whole in one task.
     """
-    width = 64 // blocks
-    rows = None
-    for k, agree in enumerate(combinations(range(blocks), blocks - budget)):
-        below = [b for b in range(blocks) if b not in agree]
-
-        def gather(order: Iterable[int]) -> Column:
-            out = F.lit(0).cast("long")
-            for b in order:
-                out = F.shiftleft(out, width).bitwiseOR(_bits(F.col("fp"), b * width, width))
-            return out
-
-        entry = F.struct(F.lit(k).alias("trie"), gather(agree).alias("lead"), gather(below).alias("rest"))
-        rows = [*(rows or []), entry]
-    entered = fps.select("node", F.explode(F.array(*rows)).alias("e")).select("node", "e.*")
+    width = bits // blocks
+    choices = list(combinations(range(blocks), blocks - budget))
+
+    def gather(order: Iterable[int]) -> Column:
+        out = F.lit(0).cast("long")
+        for b in order:
+            out = F.shiftleft(out, width).bitwiseOR(_bits(F.col("fp"), b * width, width))
+        return out
+
+    entries = [
+        F.struct(
+            (F.col("seg") * len(choices) + k).cast("int").alias("trie"), gather(agree).alias("lead"),
+            gather(b for b in range(blocks) if b not in agree).alias("rest"),
+        )
+        for k, agree in enumerate(choices)
+    ]
+    entered = fps.select("node", F.explode(F.array(*entries)).alias("e")).select("node", "e.*")
     hot = entered.groupBy("trie", "lead").agg(F.count("*").alias("n")).where(F.col("n") > HOT)
     hot = materialize(hot.select("trie", "lead", F.lit(True).alias("hot")), "simhash-hot")
-    depth = width * budget - SPLIT_BITS
     near = [x for x in range(1 << SPLIT_BITS) if x.bit_count() <= budget]
-    top = F.shiftright("rest", depth)
+    top = F.shiftright("rest", width * budget - SPLIT_BITS)
     other = F.transform(F.array(*map(F.lit, near)), lambda x: top.bitwiseXOR(x))
     pairs = F.transform(other, lambda o: (F.least(o, top) * (1 << SPLIT_BITS) + F.greatest(o, top)).cast("long"))
     subs = F.when(F.col("hot"), pairs).otherwise(F.array(F.lit(-1).cast("long")))
@@ -100,13 +104,39 @@ def tries(fps: DataFrame, budget: int, blocks: int) -> DataFrame:
     )
 
 
-def traverse(values: np.ndarray, bounds: np.ndarray, bits: int, budget: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of all pairs within ``budget`` bits, inside each of the groups that ``bounds`` sets apart.
-
-    ``values`` are distinct and sorted within a group, so a trie node is a range of positions, halved at each level by the
-    count of set bits before it. A pair of nodes is (range, range, differing bits so far).
+KEYS = ["trie", "lead", "sub"]
+#: Pairs held at once.
+PAIRS = 1_000_000
+
+
+def _ranges(al: np.ndarray, ah: np.ndarray, bl: np.ndarray, bh: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs between positions of range a and of range b (equal ranges: each pair once), in bounded pieces."""
+    # One row per position of a: it pairs with a run of positions of b.
+    n = ah - al
+    a = np.repeat(al - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+    start, end = np.repeat(bl, n), np.repeat(bh, n)
+    start = np.where(np.repeat(al == bl, n), a + 1, start)
+    size = end - start
+    total = np.cumsum(size)
+    at = 0
+    while at < len(a):
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + PAIRS)))
+        k = size[at:to]
+        i = np.repeat(a[at:to], k)
+        j = np.repeat(start[at:to] - np.concatenate(([0], np.cumsum(k)[:-1])), k) + np.arange(k.sum())
+        if len(i):
+            yield i, j
+        at = to
+
+
+def traverse(
+    values: np.ndarray, bounds: np.ndarray, bits: int, budget: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of all pairs within ``budget`` bits, inside each of the groups that ``bounds`` sets apart, in pieces.
+
+    ``values`` are sorted within a group, so a trie node is a range of positions, halved at each level by the count of
+    set bits before it. A pair of nodes is (range, range, differing bits so far).
     """
-    found_a, found_b = [], []
     counts = [
         np.concatenate(([0], np.cumsum((values >> np.uint64(bits - 1 - d)) & np.uint64(1), dtype=np.int64)))
         for d in range(bits)
@@ -118,14 +148,13 @@ def traverse(values: np.ndarray, bounds: np.ndarray, bits: int, budget: int) ->
     while stack:
         depth, al, ah, bl, bh, err = stack.pop()
         while depth < bits and len(al):
-            if len(al) > 1_000_000:  # bounded memory: one half waits
+            if len(al) > PAIRS:  # bounded memory: one half waits
                 half = len(al) // 2
                 stack.append((depth, *(x[half:] for x in (al, ah, bl, bh, err))))
                 al, ah, bl, bh, err = (x[:half] for x in (al, ah, bl, bh, err))
             c = counts[depth]
             am, bm = ah - (c[ah] - c[al]), bh - (c[bh] - c[bl])
-            same = al == bl
-            diff = ~same
+            diff = al != bl
             parts = [
                 (al, am, bl, bm, err),
                 (am, ah, bm, bh, err),
@@ -140,15 +169,21 @@ def traverse(values: np.ndarray, bounds: np.ndarray, bits: int, budget: int) ->
             if alone.any():  # single paths to the end are compared at once
                 a, b = al[alone], bl[alone]
                 near = np.bitwise_count(values[a] ^ values[b]) <= budget
-                found_a.append(a[near])
-                found_b.append(b[near])
+                yield a[near], b[near]
                 al, ah, bl, bh, err = (x[~alone] for x in (al, ah, bl, bh, err))
-    join = lambda x: np.concatenate(x) if x else np.empty(0, np.int64)
-    return join(found_a), join(found_b)
+        yield from _ranges(al, ah, bl, bh)
+
+
+def forest(n: int, pairs: Iterable[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """For each of n positions the root of its tree, from links in pieces."""
+    root = np.arange(n)
+    for a, b in pairs:
+        root = roots(n, np.concatenate((a, np.arange(n))), np.concatenate((b, root)))
+    return root
 
 
 def near_pairs(fps: DataFrame, budget: int = 2, blocks: int | None = None) -> DataFrame:
-    """Links a-b between the ``node`` ids of distinct fingerprints (columns fp and node) within ``budget`` bits.
+    """Links a-b between the ``node`` ids of fingerprints (columns fp and node) within ``budget`` bits.
 
     Of the links that a task finds in a key only a spanning forest is returned; no component is lost by that.
     """
@@ -158,13 +193,12 @@ def near_pairs(fps: DataFrame, budget: int = 2, blocks: int | None = None) -> Da
     def run(rows: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
         values = rows.column("rest").to_numpy().view(np.uint64)
         node = rows.column("node").to_numpy()
-        a, b = traverse(values, bounds, bits, budget)
-        root = roots(len(values), a, b)
+        root = forest(len(values), traverse(values, bounds, bits, budget))
         far = np.flatnonzero(root != np.arange(len(root)))
         yield pa.RecordBatch.from_arrays([pa.array(node[far]), pa.array(node[root[far]])], ["a", "b"])
 
-    entered = tries(fps, budget, blocks)
-    return map_groups(entered, ["trie", "lead", "sub"], run, "a long, b long", order=("rest",))
+    entered = tries(fps.withColumn("seg", F.lit(0)), budget, blocks)
+    return map_groups(entered, KEYS, run, "a long, b long", order=("rest",))
 
 
 def near_duplicates(docs: DataFrame, size: int = 3, budget: int = 2) -> DataFrame:
@@ -185,3 +219,121 @@ def near_duplicates(docs: DataFrame, size: int = 3, budget: int = 2) -> DataFram
     # Written, so that the rows of a fingerprint with many copies can be split in the join.
     named = materialize(named, "simhash-components")
     return prints.join(named, F.col("fp") == F.col("fp_n"), "left").select("doc_id", "fp", "component_id")
+
+
+# Similar texts: signatures of several fingerprints, for a Jaccard similarity well below that of near-identical texts.
+
+#: 64-bit fingerprints in a signature; each gives two tries of 32 bits.
+WORDS64 = 10
+SEGMENT, SEGMENT_BUDGET, SEGMENT_BLOCKS = 32, 2, 4
+#: Fixed odd numbers that make independent hashes of one.
+MIX = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1)) & (2**64 - 1) for k in range(1, WORDS64 + 1)], np.uint64)
+
+
+def signature(hashes: np.ndarray) -> bytes:
+    """``WORDS64`` fingerprints of the set of shingles, as little-endian bytes."""
+    hashes = np.unique(hashes)
+    ones = np.zeros((WORDS64, 64), np.int64)
+    for at in range(0, len(hashes), 8192):
+        h = hashes[at : at + 8192]
+        for k in range(WORDS64):
+            x = (h ^ (h >> np.uint64(29))) * MIX[k]
+            x ^= x >> np.uint64(32)
+            x *= np.uint64(0xD6E8FEB86659FD93)
+            x ^= x >> np.uint64(32)
+            ones[k] += np.unpackbits(x.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > len(hashes), axis=1, bitorder="little").tobytes()
+
+
+def signatures(docs: DataFrame, size: int) -> DataFrame:
+    """doc_id, sig, and h1 and h2, a 128-bit hash of the words; texts without words have no signature and hash null."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: tuple[list, list, list] = ([], [], [])
+            for text in batch.column("text"):
+                h = shingle_hashes(text.as_py(), size)
+                words = b" ".join((text.as_py() or "").encode("utf-8", "replace").lower().split())
+                digest = np.frombuffer(xxhash.xxh128_digest(words), "<i8").tolist() if len(h) else (None, None)
+                for column, v in zip(out, (signature(h) if len(h) else None, *digest), strict=True):
+                    column.append(v)
+            arrays = [pa.array(v, t) for v, t in zip(out, (pa.binary(), pa.int64(), pa.int64()), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), *arrays], ["doc_id", "sig", "h1", "h2"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, sig binary, h1 long, h2 long")
+
+
+def most_bits(similarity: float) -> int:
+    """Differing bits of two signatures whose sets of equal size have this Jaccard similarity, on average."""
+    cosine = 2 * similarity / (1 + similarity)
+    return math.floor(64 * WORDS64 * math.acos(cosine) / math.pi)
+
+
+def _rows64(column: pa.ChunkedArray) -> np.ndarray:
+    data = column.combine_chunks().cast(pa.binary(8 * WORDS64))
+    return np.frombuffer(data.buffers()[1], "<u8", len(data) * WORDS64, data.offset * 8 * WORDS64).reshape(-1, WORDS64)
+
+
+def similar_documents(docs: DataFrame, size: int = 5, similarity: float = 0.8, slack: float = 0.03) -> DataFrame:
+    """doc_id and component_id (the smallest doc_id reachable) by links between texts of at least this similarity.
+
+    Texts with the same words are one node. A signature of 640 SimHash bits over the set of shingles stands for a text; links
+    are pairs within the bits that a Jaccard ``similarity`` less ``slack`` gives. ``slack`` is one standard error of the
+    similarity that a signature shows: pairs above the similarity are rarely missed. Candidates come
+    from 20 binary tries of 32 bits each under a budget of two: a first traversal tells which fingerprints have any
+    partner, and only these are dealt out again, with their signatures, for a second one that verifies and returns
+    a spanning forest. No pairs leave a task. Texts without words link with nothing. A null doc_id has itself as component.
+    """
+    prints = materialize(signatures(docs, size), "similar-prints")
+    nodes = materialize(prints.where("sig is not null and doc_id is not null").groupBy("h1", "h2").agg(
+        F.min("doc_id").alias("node"), F.first("sig").alias("sig")
+    ), "similar-nodes")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = _rows64(pa.chunked_array([batch.column("sig")]))
+            halves = np.ascontiguousarray(words).view("<u4").astype(np.int64)
+            n = halves.shape[1]
+            columns = [np.repeat(batch.column("node").to_numpy(), n), np.tile(np.arange(n, dtype=np.int32), len(halves)), halves.ravel()]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["node", "seg", "fp"])
+
+    bits = SEGMENT // SEGMENT_BLOCKS * SEGMENT_BUDGET
+
+    def partnered(rows: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+        values = rows.column("rest").to_numpy().view(np.uint64)
+        found = np.zeros(len(values), bool)
+        for a, b in traverse(values, bounds, bits, SEGMENT_BUDGET):
+            found[a] = True
+            found[b] = True
+        yield from rows.filter(pa.array(found)).select([*KEYS, "rest", "node"]).combine_chunks().to_batches()
+
+    limit = most_bits(similarity - slack)
+
+    def verified(rows: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+        values = rows.column("rest").to_numpy().view(np.uint64)
+        node, sig = rows.column("node").to_numpy(), _rows64(rows.column("sig"))
+
+        def close() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for a, b in traverse(values, bounds, bits, SEGMENT_BUDGET):
+                near = np.zeros(len(a), bool)
+                for at in range(0, len(a), 200_000):
+                    x, y = a[at : at + 200_000], b[at : at + 200_000]
+                    near[at : at + 200_000] = np.bitwise_count(sig[x] ^ sig[y]).sum(axis=1, dtype=np.int64) <= limit
+                yield a[near], b[near]
+
+        root = forest(len(values), close())
+        far = np.flatnonzero(root != np.arange(len(root)))
+        yield pa.RecordBatch.from_arrays([pa.array(node[far]), pa.array(node[root[far]])], ["a", "b"])
+
+    segments = nodes.select("node", "sig").mapInArrow(cut, "node long, seg int, fp long")
+    entered = tries(segments, SEGMENT_BUDGET, SEGMENT_BLOCKS, SEGMENT)
+    schema = "trie int, lead long, sub long, rest long, node long"
+    met = materialize(map_groups(entered, KEYS, partnered, schema, order=("rest",)), "similar-met")
+    again = met.join(nodes.select("node", "sig"), "node")
+    links = materialize(map_groups(again, KEYS, verified, "a long, b long", order=("rest",)).distinct(), "similar-links")
+    groups = connected_components(links)
+    named = nodes.join(groups, "node", "left").select("h1", "h2", F.coalesce("component", "node").alias("component"))
+    named = materialize(named, "similar-components")
+    return prints.join(named, ["h1", "h2"], "left").select(
+        "doc_id", F.coalesce("component", "doc_id").alias("component_id")
+    )
