@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ementario.llm.tokens import VOCABULARY, encode_texts
@@ -118,11 +118,16 @@ def write_tokens(
     ordered.mapInArrow(run, CHUNKS).write.option("compression", "uncompressed").parquet(path)
 
 
-def read_index(spark: SparkSession, path: str) -> DataFrame:
-    """shard and ``base``: the ids of all shards before it. One row per shard; shards are in doc_id order."""
-    sums = spark.read.schema(CHUNKS).parquet(path).groupBy("shard").agg(F.sum("n_ids").alias("n"))
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    return sums.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+def shard_starts(spark: SparkSession, path: str) -> np.ndarray:
+    """For each shard the ids of all shards before it.
+
+    The index has one row per shard, and there are no more shards than Spark has shuffle partitions, so it fits the driver.
+    """
+    sums = spark.read.schema(CHUNKS).parquet(path).groupBy("shard").agg(F.sum("n_ids").alias("n")).collect()
+    starts = np.zeros(max((r.shard for r in sums), default=-1) + 2, np.int64)
+    for r in sums:
+        starts[r.shard + 1] = r.n
+    return np.cumsum(starts)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -134,19 +139,13 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                 ids = decode_chunk(batch.column("data")[k].as_py()).astype("<u4")
                 sizes = batch.column("doc_sizes")[k].values.to_numpy()
                 ends = np.cumsum(sizes)
-                shards = np.full(len(sizes), batch.column("shard")[k].as_py(), np.int32)
                 starts = ends - sizes
+                base = starts_of[batch.column("shard")[k].as_py()] + batch.column("first")[k].as_py()
                 blobs = [ids[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-                columns = [
-                    pa.array(shards), batch.column("doc_ids")[k].values,
-                    pa.array(starts + batch.column("first")[k].as_py()), pa.array(sizes), pa.array(blobs, pa.binary()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["shard", "doc_id", "local", "n_tokens", "ids"])
-
-    read = spark.read.schema(CHUNKS).parquet(path).mapInArrow(
-        run, "shard int, doc_id long, local long, n_tokens long, ids binary"
-    )
-    return read.join(read_index(spark, path), "shard").select(
-        "doc_id", (F.col("base") + F.col("local")).alias("start"), "n_tokens", "ids"
-    )
+                columns = [batch.column("doc_ids")[k].values, pa.array(base + starts), pa.array(sizes), pa.array(blobs, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids"])
 
+    starts_of = shard_starts(spark, path)
+    return spark.read.schema(CHUNKS).parquet(path).mapInArrow(
+        run, "doc_id long, start long, n_tokens long, ids binary"
+    )
