@@ -29,6 +29,9 @@ def pieces(text: str) -> list[str]:
     return _CUT.split(text) if _UNSAFE.search(text) else text.split(" ")
 
 
+MARKS = (",", ".")
+
+
 class Table:
     """Ids of pieces as bytes, in two generations: what is not asked for during a whole one is forgotten."""
 
@@ -45,7 +48,14 @@ class Table:
                 missing.append(p)
             else:
                 young[p] = known
-        young.update(zip(missing, self.encode([" " + p for p in missing]), strict=True))
+        # A word with a comma or full stop is the word and the mark; most such words are known without it.
+        bare = [p for p in missing if p[-1:] not in MARKS or p[:-1] not in young or not p[:-1].isalpha()]
+        young.update(zip(bare, self.encode([" " + p for p in bare]), strict=True))
+        if len(bare) < len(missing):
+            ends = dict(zip(MARKS, self.encode(list(MARKS)), strict=True))
+            for p in missing:
+                if p not in young:
+                    young[p] = young[p[:-1]] + ends[p[-1]]
         find = young.__getitem__
         out = [b"".join([head, *map(find, c[1:])]) for head, c in zip(heads, cut, strict=True)]
         for p in missing:
@@ -80,7 +90,7 @@ class Splitter:
         bare = text[1:] if text[:1] == " " else text
         if bare.isalpha():  # letters are one word of the pattern
             return [text]
-        if bare[-1:] in (",", ".") and bare[:-1].isalpha():
+        if bare[-1:] in MARKS and bare[:-1].isalpha():
             return [text[:-1], text[-1]]
         if self.marks is None or not self.marks.search(text):
             return self.words(text)
@@ -106,6 +116,9 @@ def library_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
         known: dict[str, list[int]] = {}
         out = []
         for p in parts:
+            if p[1:].isalpha() and p.isascii() and p[0] == " ":  # the usual case, without detours
+                out.append(array("I", [t.id for t in merge(blank + p[1:])]).tobytes())
+                continue
             found: list[int] = []
             for w in split(p):
                 if w not in known:
@@ -114,6 +127,7 @@ def library_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
             out.append(array("I", found).tobytes())
         return out
 
+    blank = byte_letters()[32]
     return encode
 
 
