@@ -63,8 +63,8 @@ def decode_chunk(data: bytes, first: int = 0, last: int | None = None) -> np.nda
         if kind == BIT_PLANES:
             rows = np.packbits(np.stack([np.unpackbits(r, count=size) for r in rows]).T, axis=1, bitorder="little")
         else:
-            rows = np.ascontiguousarray(np.stack(rows).T)
-        out.append(rows.view("<u4").reshape(-1))
+            rows = np.stack(rows).T
+        out.append(np.ascontiguousarray(rows).view("<u4").reshape(-1))
     skipped = first // block * block
     return np.concatenate(out)[first - skipped : max(first, last) - skipped]
 
