@@ -87,15 +87,17 @@ def outcome(
 def reference_items(json_text: Column) -> Column:
     """Citation strings in a JSON list of strings or of ``{"referencia": ...}`` objects.
 
-    Null, invalid JSON and anything that is not a list give an empty array.
+    Null, invalid JSON, text after the list and anything that is not a list give an empty array.
     """
-    items = F.coalesce(
-        F.from_json(json_text, "array<string>"), F.array().cast("array<string>")
-    )
+    # The list is read as a value of an object with an end mark: found only if the text was one list and no more.
+    wrapped = F.concat(F.lit('{"v":'), json_text, F.lit(',"fim":1}'))
+    read = F.from_json(wrapped, "v array<string>, fim int", {"allowSingleQuotes": "false"})
+    none = F.array().cast("array<string>")
+    items = F.transform(F.array(read), lambda r: F.when(r["fim"].isNotNull(), F.coalesce(r["v"], none)).otherwise(none))
     return F.transform(
-        items,
+        items[0],
         lambda x: F.when(
-            F.startswith(F.ltrim(x), F.lit("{")),
+            F.startswith(F.ltrim(x), F.lit("{")) & F.try_parse_json(x).isNotNull(),
             F.coalesce(F.get_json_object(x, "$.referencia"), F.lit("")),
         ).otherwise(F.coalesce(x, F.lit(""))),
     )

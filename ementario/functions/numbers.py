@@ -39,13 +39,17 @@ def int_strict(c: Column) -> Column:
 
 
 def int_id(primary: Column, fallback: Column) -> Column:
-    """A 32-bit id from the first column that holds one; null when neither does."""
+    """A 64-bit id: the first column's where that holds an integer, else the second's.
+
+    An integer that does not fit 64 bits gives null, not the fallback: the row has another id than that.
+    """
 
     def as_int(c: Column) -> Column:
-        t = strip(c)
-        return F.when(t.rlike(INTEGER), F.replace(t, F.lit("_"), F.lit("")).try_cast("int"))
+        return F.replace(strip(c), F.lit("_"), F.lit("")).try_cast("bigint")
 
-    return F.coalesce(as_int(primary), as_int(fallback))
+    return F.when(F.coalesce(strip(primary).rlike(INTEGER), F.lit(False)), as_int(primary)).when(
+        strip(fallback).rlike(INTEGER), as_int(fallback)
+    )
 
 
 def is_date_text(c: Column) -> Column:

@@ -22,21 +22,20 @@ def dense_keys(df: DataFrame, keys: list[str], name: str, hex_digits: int = 3) -
     ``hex_digits`` with the data.
     """
     joined = F.concat_ws("\x1f", *[F.col(k).cast("string") for k in keys])
-    rows = df.withColumn("_nk", joined).withColumn(
-        "_bucket", F.substring(F.md5(F.col("_nk")), 1, hex_digits)
-    )
+    rows = df.withColumn("_bucket", F.substring(F.md5(joined), 1, hex_digits))
     sizes = rows.groupBy("_bucket").agg(F.count("*").alias("_size"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
     )
-    inside = Window.partitionBy("_bucket").orderBy("_nk")
+    # By the keys themselves: null and empty parts, or parts that hold the separator, must not tie.
+    inside = Window.partitionBy("_bucket").orderBy(*keys)
     # The offsets have at most 16 ** hex_digits rows, so broadcasting them is bounded.
     return (
         rows.withColumn("_rn", F.row_number().over(inside))
         .join(F.broadcast(offsets), "_bucket")
         .withColumn(name, (F.col("_offset") + F.col("_rn")).cast("bigint"))
-        .drop("_bucket", "_nk", "_offset", "_rn")
+        .drop("_bucket", "_offset", "_rn")
     )
 
 

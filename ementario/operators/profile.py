@@ -10,7 +10,7 @@ what a sequential reader would report and needs a sequence column.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,8 +27,10 @@ from ementario.functions.numbers import (
     number_or_null,
 )
 from ementario.functions.text import ws_normalize
+from ementario.operators.reports import file_inventory
 from ementario.schemas import ID_COLUMN, LONG_FIELDS
 from ementario.session import materialize
+from ementario.sources.json_files import PATTERN, list_files, parse_items, read_texts
 
 _NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType, T.BinaryType)
 _TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -110,6 +112,15 @@ def _is_long_field() -> Column:
     return F.col("column").isin(*LONG_FIELDS)
 
 
+def with_declared(profile: DataFrame, declared: tuple[str, ...]) -> DataFrame:
+    """The profile with a row for each declared column that no record fills: text of length 0."""
+    names = profile.sparkSession.createDataFrame([(c,) for c in declared], "column string")
+    unfilled = names.join(profile.select("column"), "column", "left_anti")
+    return profile.unionByName(
+        unfilled.withColumns({"type": F.lit("string"), "max_len": F.lit(0)}), allowMissingColumns=True
+    )
+
+
 def profile_simple(
     long: DataFrame, mode: str = "lattice", by: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -279,3 +290,21 @@ def _typed_first_seen(long: DataFrame, by: tuple[str, ...]) -> DataFrame:
         agg.withColumn("code", code).withColumn("len", F.when(~_is_long_field(), F.col("len"))),
         by,
     )
+
+
+def profile_files(
+    spark: SparkSession, folder: str, typed: bool = False, pattern: str = PATTERN
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(inventory, profile, rejects)`` of a folder of record files.
+
+    The files are parsed once. Columns are those that any record has, and the long fields always; ``inventory`` counts
+    the records, the files and the folders that hold files or lead to them. ``operators.sizing`` makes column types of
+    the profile.
+    """
+    parsed = materialize(parse_items(read_texts(spark, folder, folder, pattern)), "profile-files")
+    records = parsed.filter(F.col("reason").isNull()).select("rel_path", F.explode("items").alias("fields"))
+    long = records_to_long(records)
+    profile = profile_typed(long) if typed else profile_simple(long)
+    inventory = file_inventory(list_files(spark, folder, pattern), records)
+    rejects = parsed.filter(F.col("reason").isNotNull()).select("rel_path", "reason")
+    return inventory, with_declared(profile, LONG_FIELDS), rejects

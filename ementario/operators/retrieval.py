@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ementario.session import materialize
+
 # --- fixed values: prompt templates and how passages are joined ---------------------
 SHORT_TEMPLATE = (
     "Use o contexto abaixo para responder:\n\n{context}\n\nPergunta: {question}\nResposta:"
@@ -17,21 +19,14 @@ SYSTEM_TEMPLATE = (
     "mas mantenha a resposta no idioma Português do Brasil.\n"
     "Contexto: {context}"
 )
-LANGUAGE_TEMPLATE = "\n    ".join(
-    (
-        "Você é um agente especialista em direito e deve responder a perguntas com base"
-        " exclusivamente no contexto fornecido. ",
-        "Sua resposta deve ser sempre concisa, objetiva e, mais importante, **estritamente no"
-        " idioma: {language}**.",
-        "",
-        'Se o contexto não contiver a resposta, diga "Não tenho informações suficientes no'
-        ' contexto para responder."',
-        "",
-        "Contexto: {context}",
-        "Pergunta: {question}",
-        "Resposta em {language}:",
-    )
-)
+LANGUAGE_TEMPLATE = """Você é um agente especialista em direito e deve responder a perguntas com base exclusivamente no contexto fornecido. 
+    Sua resposta deve ser sempre concisa, objetiva e, mais importante, **estritamente no idioma: {language}**.
+    
+    Se o contexto não contiver a resposta, diga "Não tenho informações suficientes no contexto para responder."
+    
+    Contexto: {context}
+    Pergunta: {question}
+    Resposta em {language}:"""
 PASSAGE_SEPARATOR = "\n\n"
 # --- end of fixed values -----------------------------------------------------------
 
@@ -68,8 +63,9 @@ def rag_prompts(
     passages. Questions without neighbours keep an empty context. ``extra`` fills further
     places of the template, such as ``language``.
     """
+    # Written first, so that the rows of a passage that very many questions find can be split in the join.
     context = (
-        neighbours.join(passages.select("vid", "passage"), "vid")
+        materialize(neighbours, "neighbours").join(passages.select("vid", "passage"), "vid")
         .groupBy("qid")
         .agg(F.array_sort(F.collect_list(F.struct("rank", "passage"))).alias("found"))
         .select("qid", F.array_join(F.col("found.passage"), PASSAGE_SEPARATOR).alias("context"))

@@ -23,13 +23,25 @@ from ementario.schemas import (
     REQUIRED_FIELDS,
     STAGING_WIDTHS,
 )
-from ementario.sources.json_files import list_files, read_records, read_texts
-from ementario.sources.manifest import append_manifest, pending, read_manifest
+from ementario.session import materialize, scratch_path
+from ementario.sources.json_files import (
+    MALFORMED,
+    PATTERN,
+    list_files,
+    parse_items,
+    read_texts,
+    record_id,
+    typed_fields,
+)
+from ementario.sources.manifest import append_manifest, next_load, pending, read_manifest
+
+rename_map_key = record_id
 
-# Up to this many pending files are named to the reader, which then opens only those.
-# Beyond it the path list would grow without bound on the driver, so the folder is read
-# and joined to the pending paths instead.
-MAX_NAMED_FILES = 10_000
+#: Columns that say where a row comes from, and why it was put aside; they are not cleaned.
+PLACE = ("rel_path", "pos", "reason", "record")
+
+#: Pending files are opened so many at a time, by name, so that no plan carries a list that grows with the folder.
+FILES_PER_READ = 10_000
 
 
 def rename_key(df: DataFrame, to: str = ID_COLUMN, keys: tuple[str, ...] = ID_KEYS) -> DataFrame:
@@ -41,14 +53,6 @@ def rename_key(df: DataFrame, to: str = ID_COLUMN, keys: tuple[str, ...] = ID_KE
     return df.select(F.coalesce(*[F.col(c) for c in reversed(hits)]).alias(to), *rest)
 
 
-def rename_map_key(fields: Column, keys: tuple[str, ...] = ID_KEYS) -> Column:
-    """The id entry of a record with dynamic keys: the last matching key wins."""
-    hits = F.filter(
-        F.map_entries(fields), lambda e: F.lower(e["key"]).isin(*keys) | (e["key"] == ID_COLUMN)
-    )
-    return F.try_element_at(hits, F.lit(-1))["value"]
-
-
 def clean_fields(df: DataFrame, skip: tuple[str, ...] = ()) -> DataFrame:
     """Clean strings and arrays of strings, whether typed or JSON text; leave other types."""
     out = {}
@@ -78,17 +82,39 @@ def required_field_split(
     )
 
 
-def stage(records: DataFrame, widths: str = "schema") -> tuple[DataFrame, DataFrame]:
-    """Run the whole per-record treatment; no shuffle is involved."""
+def treat(records: DataFrame, widths: str = "schema") -> DataFrame:
+    """Cleaned and typed records, the good and the bad alike; no shuffle is involved."""
     renamed = rename_key(records)
     # Dates are read from the original text: a token ends at the first line break.
     dated = apply_date_fields(renamed)
     dates = tuple(c for c in dated.columns if c.lower() in DATE_FIELDS)
-    cleaned = clean_fields(dated, skip=("rel_path", *dates))
-    cut = truncate_columns(
-        cleaned, load_limits([c for c in cleaned.columns if c != "rel_path"], widths)
-    )
-    return required_field_split(cut)
+    cleaned = clean_fields(dated, skip=(*PLACE, *dates))
+    return truncate_columns(cleaned, load_limits([c for c in cleaned.columns if c not in PLACE], widths))
+
+
+def stage(records: DataFrame, widths: str = "schema") -> tuple[DataFrame, DataFrame]:
+    """Run the whole per-record treatment: ``(kept, rejected)``."""
+    return required_field_split(treat(records, widths))
+
+
+def stage_texts(texts: DataFrame, widths: str = "schema") -> DataFrame:
+    """Files to staging rows in one parse: good rows, rejected rows (``reason``, ``record``) and unreadable files.
+
+    An unreadable file is one row with a ``reason`` and no ``pos``; a file without records one row with neither.
+    """
+    rows = parse_items(texts, "string").select("rel_path", "reason", F.posexplode_outer("items").alias("pos", "fields"))
+    rows = rows.select("rel_path", "pos", "reason", F.to_json("fields").alias("record"), *typed_fields())
+    missing = F.when(F.col("pos").isNotNull() & F.col(ID_COLUMN).isNull(), f"missing {ID_COLUMN}")
+    out = treat(rows, widths).withColumn("reason", F.coalesce("reason", missing))
+    return out.withColumn("record", F.when(F.col("reason").isNotNull(), F.col("record")))
+
+
+def good_rows(staged: DataFrame) -> DataFrame:
+    return staged.filter(F.col("pos").isNotNull() & F.col("reason").isNull())
+
+
+def bad_rows(staged: DataFrame) -> DataFrame:
+    return staged.filter(F.col("reason").isNotNull()).select("rel_path", "reason", "record")
 
 
 def to_staging(rows: DataFrame, load_id: int) -> DataFrame:
@@ -106,6 +132,7 @@ def to_staging(rows: DataFrame, load_id: int) -> DataFrame:
     return rows.select(
         row_id.alias("id_dw"),
         F.lit(load_id).cast("bigint").alias("load_id"),
+        *[c for c in ("rel_path", "pos") if c in kinds],
         *[column(c) for c in [*STAGING_WIDTHS, *LONG_FIELDS]],
     )
 
@@ -116,51 +143,39 @@ def load_files(
     staging_path: str,
     quarantine_path: str,
     manifest_path: str,
-    load_id: int,
-) -> None:
-    """Load the files not yet in the manifest.
-
-    Data first, then quarantine, then manifest. Each load owns the partition
-    ``load_id=N``, which it overwrites, so repeating a load that died half-way adds
-    nothing twice. Unreadable files are left out of the manifest and retried.
+    load_id: int | None = None,
+    pattern: str = PATTERN,
+) -> int | None:
+    """Load the files not yet in the manifest; gives the load's number, or None if there was nothing to load.
+
+    The number is the manifest's next one. A given number must be free: one that holds other files is refused. Data
+    first, then quarantine, then manifest; each load owns the partition ``load_id=N``, so repeating a load that died
+    half-way adds nothing twice. Unreadable files are left out of the manifest and retried. Rows
+    keep ``rel_path`` and ``pos``, their place in the order of the load however Spark splits the files.
     """
-    files = list_files(spark, folder)
-    todo = pending(files, read_manifest(spark, manifest_path))
-    named = [r.file_uri for r in todo.select("file_uri").limit(MAX_NAMED_FILES + 1).collect()]
-    if not named:
-        return
-    if len(named) <= MAX_NAMED_FILES:
-        records, bad_files = read_records(spark, [_plain(p) for p in named], folder)
-    else:
-        records, bad_files = read_records(spark, folder, folder)
-        keep = todo.select("rel_path")
-        records = records.join(keep, "rel_path", "left_semi")
-        bad_files = bad_files.join(keep, "rel_path", "left_semi")
-
-    good, rejected = stage(records)
-    to_staging(good, load_id).drop("load_id").write.mode("overwrite").parquet(
-        f"{staging_path}/load_id={load_id}"
-    )
-    rejected_rows = rejected.select(
-        "rel_path", F.col("reject_reason").alias("reason"), F.to_json(F.struct("*")).alias("record")
-    )
-    bad = bad_files.select("rel_path", "reason", F.lit(None).cast("string").alias("record"))
-    rejected_rows.unionByName(bad).write.mode("overwrite").parquet(
-        f"{quarantine_path}/load_id={load_id}"
+    manifest = read_manifest(spark, manifest_path)
+    todo = materialize(pending(list_files(spark, folder, pattern), manifest), "pending-files")
+    uris = [r.file_uri for r in todo.select("file_uri").collect()]  # the driver has listed them already
+    if not uris:
+        return None
+    number = next_load(manifest, load_id)
+    scratch = scratch_path(spark, "staged")
+    for at in range(0, len(uris), FILES_PER_READ):
+        texts = read_texts(spark, folder, folder, pattern, only=uris[at : at + FILES_PER_READ])
+        stage_texts(texts).write.mode("append").parquet(scratch)
+    staged = spark.read.parquet(scratch)
+
+    to_staging(good_rows(staged), number).drop("load_id").write.mode("overwrite").parquet(
+        f"{staging_path}/load_id={number}"
     )
-    unreadable = (
-        spark.read.parquet(f"{quarantine_path}/load_id={load_id}")
-        .filter(F.col("record").isNull())
-        .select("rel_path")
+    # Readers skip files without a single byte.
+    empty = todo.join(staged.select("rel_path"), "rel_path", "left_anti").select(
+        "rel_path", F.lit(MALFORMED).alias("reason"), F.lit(None).cast("string").alias("record")
     )
-    append_manifest(todo.join(unreadable, "rel_path", "left_anti"), manifest_path)
-
-
-def _plain(file_uri: str) -> str:
-    """A path as the readers take it: unescaped."""
-    from urllib.parse import unquote
-
-    return unquote(file_uri)
+    bad_rows(staged).unionByName(empty).write.mode("overwrite").parquet(f"{quarantine_path}/load_id={number}")
+    unreadable = spark.read.parquet(f"{quarantine_path}/load_id={number}").filter(F.col("record").isNull())
+    append_manifest(todo.join(unreadable, "rel_path", "left_anti"), manifest_path, number)
+    return number
 
 
 def incremental_texts(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:

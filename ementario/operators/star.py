@@ -19,11 +19,36 @@ from ementario.functions.legal import (
 )
 from ementario.functions.numbers import int_id
 from ementario.functions.text import ws_normalize_full
-from ementario.operators.upsert import collapse, fact_policy, merge, new_keys
-from ementario.schemas import DIM_REFS_KEY, DIM_SUBJECTS_KEY, LONG_FIELDS
+from ementario.operators.keys import dense_keys
+from ementario.operators.upsert import FIRST_AT, LAST_AT, collapse_wide, fact_policy, merge_ordered, new_keys
+from ementario.schemas import DIM_PARTITION, DIM_REFS_KEY, DIM_SUBJECTS_KEY, LONG_FIELDS
 from ementario.session import materialize
 
 
+#: Where a staging row stands in the order of all rows. They are no part of the record.
+ORDER_COLUMNS = ("id_dw", "load_id", "rel_path", "pos", "_place")
+
+
+def row_place(df: DataFrame, load_id: str) -> Column:
+    """Text that orders rows: this load, the load of the file, the file and the position in it, or the row's number where
+    files are not known.
+
+    Numbers are padded, so that text compares as they do. The row's content breaks ties.
+    """
+
+    def number(c: Column) -> Column:
+        text = c.cast("string")
+        return F.lpad(text, F.greatest(F.lit(20), F.char_length(text)), F.lit("0"))
+
+    loads = [number(F.lit(load_id)), *[number(F.coalesce(c, F.lit(0))) for c in ("load_id",) if c in df.columns]]
+    if {"rel_path", "pos"} <= set(df.columns):
+        at = [F.col("rel_path"), number(F.col("pos"))]
+    else:
+        at = [number(F.col("id_dw"))] if "id_dw" in df.columns else []
+    content = F.hex(F.xxhash64(*[F.col(c) for c in df.columns if c not in ORDER_COLUMNS]))
+    return F.concat_ws("|", *loads, *at, content)
+
+
 def _col_or_null(df: DataFrame, name: str) -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast("string")
 
@@ -48,7 +73,7 @@ def pack_row_json(columns: list[str]) -> Column:
 
 def fact_projection(staging: DataFrame) -> DataFrame:
     """One fact row per staging row with a usable id. Narrow: no shuffle."""
-    source_columns = [c for c in staging.columns if c not in ("id_dw", "load_id")]
+    source_columns = [c for c in staging.columns if c not in ORDER_COLUMNS]
     rows, _ = id_fallback_parse(staging)
 
     def clean(name: str) -> Column:
@@ -57,7 +82,7 @@ def fact_projection(staging: DataFrame) -> DataFrame:
     # Steps, so that the cleaned texts and the searched text are computed once each.
     cleaned = rows.select(
         "id_julgado",
-        *[c for c in ("id_dw", "load_id") if c in staging.columns],
+        *[c for c in ORDER_COLUMNS if c in staging.columns],
         F.coalesce(
             _col_or_null(staging, "id_origem_natural"), F.col("id_julgado").cast("string")
         ).alias("_natural"),
@@ -79,7 +104,7 @@ def fact_projection(staging: DataFrame) -> DataFrame:
     )
     return searched.select(
         "id_julgado",
-        *[c for c in ("id_dw", "load_id") if c in staging.columns],
+        *[c for c in ORDER_COLUMNS if c in staging.columns],
         ws_normalize_full(F.col("_natural"), long=False).alias("id_origem_natural"),
         "dt_decisao",
         "dt_publicacao",
@@ -179,10 +204,17 @@ def publish(spark: SparkSession, name: str, df: DataFrame, root: str) -> None:
         spark.catalog.createTable(name, path=location, source="parquet")
 
 
+def check_dimension(spark: SparkSession, name: str) -> None:
+    """A dimension that exists must be partitioned by load; asked before anything is written."""
+    old = current_table(spark, name)
+    if old is not None and DIM_PARTITION not in old.columns:
+        raise ValueError(f"{name} has no column {DIM_PARTITION}; create it with the library's layout")
+
+
 def append_dimension(
-    spark: SparkSession, name: str, rows: DataFrame, keys: list[str], location: str, load_id: str
+    spark: SparkSession, name: str, rows: DataFrame, keys: list[str], key_name: str, location: str, load_id: str
 ) -> None:
-    """Add the natural keys a dimension does not hold yet, as the load's own partition.
+    """Add the natural keys a dimension does not hold yet, numbered on from its largest surrogate key.
 
     Nothing already stored is rewritten. A repeated load compares with the other loads
     only and overwrites its partition, so it ends in the same table.
@@ -190,12 +222,21 @@ def append_dimension(
     part = f"load-{load_id}"  # never reads as a number, so the partition value stays text
     old = current_table(spark, name)
     fresh = rows.select(*keys).dropDuplicates(keys)
+    start = 0
     if old is not None:
-        fresh = new_keys(old.filter(F.col("load") != part), fresh, keys)
-    fresh.write.mode("overwrite").parquet(f"{location}/load={part}")
+        others = old.filter(F.col(DIM_PARTITION) != part)
+        fresh = new_keys(others, fresh, keys)
+        # Numbers of the load itself, if it is repeated, are given again; later loads have numbers of their own.
+        mine = old.filter(F.col(DIM_PARTITION) == part).agg(F.min(key_name)).first()[0]
+        start = mine - 1 if mine else (old.agg(F.max(key_name)).first()[0] or 0)
+    numbered = dense_keys(materialize(fresh, f"{name}-keys"), keys, key_name)
+    path = f"{location}/{DIM_PARTITION}={part}"
+    numbered.select((F.col(key_name) + start).alias(key_name), *keys).write.mode("overwrite").parquet(path)
     if old is None:
         spark.catalog.createTable(name, path=location, source="parquet")
-    spark.catalog.recoverPartitions(name)
+        spark.catalog.recoverPartitions(name)
+    else:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({DIM_PARTITION}='{part}') LOCATION '{path}'")
     spark.catalog.refreshTable(name)
 
 
@@ -203,26 +244,35 @@ def load_star(
     spark: SparkSession, staging: DataFrame, root: str, load_id: str, mode: str = "intended",
     prefix: str = "",
 ) -> None:
-    """Upsert a staging table into ``fato_julgados_stj`` and its dimensions.
+    """Upsert a staging table, or the part of it that is new, into ``fato_julgados_stj`` and its dimensions.
 
-    Repeating a load leaves the tables as they are. The fact is rewritten as a new snapshot,
-    which suits large loads; for small frequent ones keep it as states with
-    ``streaming.upserts``, whose cost follows the batch. Dimensions only grow. ``staging`` is read once per table
-    with only the columns that table needs, which costs less than caching wide text.
+    The fact keeps the places of each row's first and last write, so loads may be repeated or arrive in any order and end
+    in the same tables. Rows without a usable id are written below ``rejeitados`` as records. The fact is rewritten
+    as a new snapshot, which suits large loads; for small frequent ones keep it as states with ``streaming.upserts``,
+    whose cost follows the batch. Dimensions only grow. ``staging`` is read once per table with only the columns that
+    table needs, which costs less than caching wide text.
     """
+    names = {t: f"{prefix}{t}" for t in ("fato_julgados_stj", "dim_referencias_legais", "dim_assuntos_stj")}
+    for dim in ("dim_referencias_legais", "dim_assuntos_stj"):
+        check_dimension(spark, names[dim])
+    _, without = id_fallback_parse(staging)
+    without.select(F.lit("no usable id").alias("reason"), F.to_json(F.struct("*")).alias("record")).write.mode(
+        "overwrite"
+    ).parquet(f"{root}/{prefix}rejeitados/{DIM_PARTITION}=load-{load_id}")
+
+    placed = staging.withColumn("_place", row_place(staging, load_id))
     fact, refs, subj = star_rows(staging, mode)
-    order = [c for c in ("load_id", "id_dw") if c in fact.columns]
-    fact_cols = [c for c in fact.columns if c not in ("load_id", "id_dw")]
-    policy = fact_policy(fact_cols)
-
-    name = f"{prefix}fato_julgados_stj"
+    fact = fact_projection(placed).withColumnRenamed("_place", "at")
+    policy = fact_policy([c for c in fact.columns if c not in (*ORDER_COLUMNS, "at")])
+    name = names["fato_julgados_stj"]
     old = current_table(spark, name)
-    changes = collapse(fact, ["id_julgado"], policy, order)
-    if old is not None:
-        changes = merge(old, materialize(changes, name), ["id_julgado"], policy)
+    # Written once: the cleaned texts are joined to the winning places, never aggregated or computed again.
+    changes = collapse_wide(materialize(fact, f"{name}-rows").dropDuplicates(["id_julgado", "at"]), "id_julgado", policy, "at")
+    if old is not None and {FIRST_AT, LAST_AT} <= set(old.columns):
+        changes = merge_ordered(old, materialize(changes, name), "id_julgado", policy)
     publish(spark, name, changes, f"{root}/{name}")
-    for name, rows, keys in (
-        (f"{prefix}dim_referencias_legais", refs, DIM_REFS_KEY),
-        (f"{prefix}dim_assuntos_stj", subj, DIM_SUBJECTS_KEY),
+    for dim, rows, keys, key_name in (
+        ("dim_referencias_legais", refs, DIM_REFS_KEY, "id_ref_legal"),
+        ("dim_assuntos_stj", subj, DIM_SUBJECTS_KEY, "id_assunto"),
     ):
-        append_dimension(spark, name, rows, keys, f"{root}/{name}", load_id)
+        append_dimension(spark, names[dim], rows, keys, key_name, f"{root}/{names[dim]}", load_id)

@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ementario.session import materialize
+
 FIRST, LAST = "first", "last"
 
 
@@ -59,6 +61,47 @@ def collapse(df: DataFrame, keys: list[str], policy: dict[str, str], order: list
     return state_rows(partial_state(df, keys, policy, order), keys, policy)
 
 
+FIRST_AT, LAST_AT = "ordem_primeira", "ordem_ultima"
+
+
+def collapse_wide(df: DataFrame, key: str, policy: dict[str, str], at: str) -> DataFrame:
+    """One row per key, with the places of its first and last write, for rows too wide to aggregate.
+
+    ``at`` is a column of text that orders all rows and is never equal for two of them. Only it and the key are
+    aggregated; each wide column is then joined once, from the row that won.
+    """
+    ends = df.groupBy(key).agg(F.min(at).alias(FIRST_AT), F.max(at).alias(LAST_AT))
+    ends = materialize(ends.where(F.col(key).isNotNull()), "upsert-ends")
+    first = [c for c, rule in policy.items() if rule == FIRST]
+    last = [c for c, rule in policy.items() if rule == LAST]
+    out = ends
+    for columns, place in ((last, LAST_AT), (first, FIRST_AT)):
+        if columns:
+            out = out.join(df.select(key, F.col(at).alias(place), *columns), [key, place])
+    return out.select(key, *policy, FIRST_AT, LAST_AT)
+
+
+def merge_ordered(target: DataFrame, changes: DataFrame, key: str, policy: dict[str, str]) -> DataFrame:
+    """``target`` and ``changes`` (both from :func:`collapse_wide`) as one table: per key the earliest first write and the
+    latest last write, whatever the order in which loads arrive or are repeated."""
+    columns = [*policy, FIRST_AT, LAST_AT]
+    t, c = target.select(key, *columns).alias("t"), changes.select(key, *columns).alias("c")
+    older = F.col(f"t.{FIRST_AT}").isNotNull() & (
+        F.col(f"c.{FIRST_AT}").isNull() | (F.col(f"t.{FIRST_AT}") <= F.col(f"c.{FIRST_AT}"))
+    )
+    newer = F.col(f"t.{LAST_AT}").isNotNull() & (
+        F.col(f"c.{LAST_AT}").isNull() | (F.col(f"t.{LAST_AT}") > F.col(f"c.{LAST_AT}"))
+    )
+
+    def pick(name: str, mine: Column) -> Column:
+        return F.when(mine, F.col(f"t.{name}")).otherwise(F.col(f"c.{name}")).alias(name)
+
+    rules = {n: older if rule == FIRST else newer for n, rule in policy.items()}
+    rules |= {FIRST_AT: older, LAST_AT: newer}
+    joined = t.join(c, F.col(f"t.{key}") == F.col(f"c.{key}"), "full")
+    return joined.select(F.coalesce(f"t.{key}", f"c.{key}").alias(key), *[pick(n, r) for n, r in rules.items()])
+
+
 def _same_key(a: str, b: str, keys: list[str]) -> Column:
     return reduce(
         lambda x, y: x & y, [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys]

@@ -39,17 +39,22 @@ def embed_hashed(df: DataFrame, text_col: str, dim: int = VECTOR_DIM, out: str =
 
 
 def embed_with(
-    df: DataFrame, text_col: str, factory: Callable[[], Embedder], out: str = "embedding"
+    df: DataFrame, text_col: str, factory: Callable[[], Embedder], out: str = "embedding", dim: int | None = None
 ) -> DataFrame:
-    """Embed with a model: ``factory`` runs once per task, then gets texts in batches."""
+    """Embed with a model: ``factory`` runs once per task, then gets texts in batches. Vectors of another length than
+    ``dim``, where that is given, end the job."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = factory()
         for batch in batches:
-            found = [[float(x) for x in v] for v in model(batch.column(text_col).to_pylist())]
+            found = np.asarray(model(batch.column(text_col).to_pylist()), dtype=np.float32)
+            found = found.reshape(batch.num_rows, -1 if batch.num_rows else (dim or 0))
+            if dim is not None and batch.num_rows and found.shape[1] != dim:
+                raise ValueError(f"the model gave vectors of {found.shape[1]}, not {dim}")
+            starts = np.arange(batch.num_rows + 1, dtype=np.int32) * found.shape[1]
             # The other columns pass through as they came.
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(found, pa.list_(pa.float32()))],
+                [*batch.columns, pa.ListArray.from_arrays(pa.array(starts), pa.array(found.ravel()))],
                 names=[*batch.schema.names, out],
             )
 
@@ -91,8 +96,16 @@ def vectorize(
     embed: Callable[[DataFrame], DataFrame],
     refresh: bool = False,
 ) -> DataFrame:
-    """The vector table after embedding what is pending."""
-    todo = pending_vectors(vector_rows(fact), vectors, key="id_julgado_fk", refresh=refresh)
+    """The vector table after embedding what is pending.
+
+    Ids are compared first, so only the texts of pending facts are built; ``refresh`` has to build all to compare them.
+    """
+    if refresh:
+        rows = vector_rows(fact)
+    else:
+        done = vectors.select(F.col("id_julgado_fk").alias("id_julgado"))
+        rows = vector_rows(fact.join(done, "id_julgado", "left_anti"))
+    todo = pending_vectors(rows, vectors, key="id_julgado_fk", refresh=True) if refresh else rows
     # Read several times by the merge, and the dearest step of all: computed once.
     fresh = materialize(embed(todo).select("id_julgado_fk", *VECTOR_POLICY), "vectors")
     return merge(vectors, fresh, ["id_julgado_fk"], VECTOR_POLICY)
@@ -103,8 +116,6 @@ def vectorize(
 # Distances are compared at this many decimals so that equal vectors tie, whatever the
 # summation order, and ties go to the smaller id.
 DISTANCE_DECIMALS = 9
-# Largest query set handed to every task as one matrix; above it the grid is used.
-MAX_QUERY_BYTES = 64 << 20
 # Rows per side of a grid cell.
 CELL_ROWS = 20_000
 
@@ -118,17 +129,15 @@ def knn_single(vectors: DataFrame, query: Sequence[float], k: int = 5, key: str
     return nearest.filter(F.col("dist").isNotNull())
 
 
-def _unit_rows(column: pd.Series, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of the right length and non-zero norm as unit vectors, and their positions."""
-    at = np.array(
-        [i for i, v in enumerate(column) if v is not None and len(v) == dim], dtype=np.int64
-    )
-    if not len(at):
-        return np.empty((0, dim)), at
-    m = np.stack([np.asarray(column.iloc[i], dtype=np.float64) for i in at])
-    length = np.sqrt((m * m).sum(axis=1))
-    good = np.isfinite(length) & (length > 0)
-    return m[good] / length[good, None], at[good]
+def _unit_vectors(df: DataFrame, key: str, name: str) -> DataFrame:
+    """``id, dim, vec``: vectors that have a direction, at length one, written once for all cells that read them."""
+    vec = F.col("embedding").cast("array<double>")
+    finite = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    norm = F.sqrt(F.aggregate(vec, F.lit(0.0), lambda a, x: a + x * x))
+    rows = df.select(F.col(key).cast("bigint").alias("id"), F.when(finite, vec).alias("vec"), F.when(finite, norm).alias("n"))
+    rows = rows.filter((F.col("n") > 0) & (F.col("n") < float("inf")))
+    unit = F.transform("vec", lambda x: x / F.col("n"))
+    return materialize(rows.select("id", F.size("vec").alias("dim"), unit.alias("vec")), name)
 
 
 def _cell_top_k(
@@ -173,73 +182,6 @@ def _best(candidates: DataFrame, k: int) -> DataFrame:
 _CANDIDATES = "qid bigint, vid bigint, dist double"
 
 
-def _with_matrix(vectors: DataFrame, q_ids: np.ndarray, q: np.ndarray, k: int, exclude_self: bool) -> DataFrame:
-    spark = vectors.sparkSession
-    shared = spark.sparkContext.broadcast((q_ids, q))
-    dim = q.shape[1]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, matrix = shared.value
-        best: pd.DataFrame | None = None
-        for batch in batches:
-            v, at = _unit_rows(batch["vec"], dim)
-            found = _cell_top_k(ids, matrix, batch["vid"].to_numpy()[at], v, k, exclude_self)
-            if best is not None:
-                found = pd.concat([best, found], ignore_index=True).sort_values(
-                    ["qid", "dist", "vid"], kind="stable"
-                )
-                found = found.groupby("qid", sort=False).head(k)
-            best = found
-        if best is not None:
-            yield best
-
-    return _best(vectors.mapInPandas(run, _CANDIDATES), k)
-
-
-def _grid(
-    queries: DataFrame, vectors: DataFrame, k: int, exclude_self: bool, q_blocks: int, v_blocks: int
-) -> DataFrame:
-    """Blocks of queries meet blocks of vectors, one bounded cell per task.
-
-    Each side is copied once per block of the other; a cell returns at most ``k`` rows per
-    query, never its pairs.
-    """
-    q = queries.select(
-        F.pmod(F.xxhash64("qid", "vec"), F.lit(q_blocks)).alias("qb"),
-        F.explode(F.sequence(F.lit(0), F.lit(v_blocks - 1))).alias("vb"),
-        F.col("qid").alias("id"), "vec",
-    )
-    v = vectors.select(
-        F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("qb"),
-        F.pmod(F.xxhash64("vid", "vec"), F.lit(v_blocks)).alias("vb"),
-        F.col("vid").alias("id"), "vec",
-    )
-    q, v = (d.withColumns({"qb": F.col("qb").cast("int"), "vb": F.col("vb").cast("int")}) for d in (q, v))
-
-    def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"qid": [], "vid": [], "dist": []})
-        dims: dict[int, list[int]] = {}
-        for i, vec in enumerate(left["vec"]):
-            if vec is not None:
-                dims.setdefault(len(vec), []).append(i)
-        out = []
-        for dim, rows in dims.items():
-            part = left.iloc[rows]
-            qm, q_at = _unit_rows(part["vec"], dim)
-            vm, v_at = _unit_rows(right["vec"], dim)
-            if len(q_at) and len(v_at):
-                out.append(
-                    _cell_top_k(
-                        part["id"].to_numpy()[q_at], qm, right["id"].to_numpy()[v_at], vm, k, exclude_self
-                    )
-                )
-        return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"qid": [], "vid": [], "dist": []})
-
-    cells = q.groupBy("qb", "vb").cogroup(v.groupBy("qb", "vb")).applyInPandas(cell, _CANDIDATES)
-    return _best(cells, k)
-
-
 def knn_join(
     queries: DataFrame,
     vectors: DataFrame,
@@ -247,29 +189,30 @@ def knn_join(
     query_key: str = "vec_id",
     key: str = "vec_id",
     exclude_self: bool = False,
-    max_query_bytes: int = MAX_QUERY_BYTES,
     cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """Exact ``k`` nearest vectors of every query: ``qid, rank, vid, dist``.
 
-    Vectors of another length than the query's, and zero vectors, have no distance and
-    are never returned. A query set whose counted size is small enough goes to all tasks
-    as one matrix, so vectors are scanned in place. Otherwise both sides are cut into
-    blocks and compared cell by cell.
+    Vectors of another length than the query's, and those without a direction, have no distance and are never returned.
+    Blocks of queries meet blocks of vectors, one bounded cell per task: each side is copied once per block of the
+    other, as an exact answer compares all with all. A cell returns at most ``k`` rows per query, never its pairs,
+    and each query's candidates are cut to ``k`` again before they are shuffled.
     """
-    q = queries.select(F.col(query_key).cast("bigint").alias("qid"), F.col("embedding").alias("vec"))
-    v = vectors.select(F.col(key).cast("bigint").alias("vid"), F.col("embedding").alias("vec"))
-    size = q.agg(
-        F.count("*").alias("n"),
-        F.coalesce(F.sum(F.size("vec").cast("bigint") * 8 + 8), F.lit(0)).alias("bytes"),
-        F.min(F.size("vec")).alias("low"),
-        F.max(F.size("vec")).alias("high"),
-    ).first()
-    if size["n"] == 0:
-        return v.sparkSession.createDataFrame([], "qid bigint, rank int, vid bigint, dist double")
-    if size["bytes"] <= max_query_bytes and size["low"] == size["high"]:
-        local = q.toPandas()
-        matrix, at = _unit_rows(local["vec"], size["high"])
-        return _with_matrix(v, local["qid"].to_numpy()[at], matrix, k, exclude_self)
-    blocks = lambda n: max(1, -(-n // cell_rows))
-    return _grid(q, v, k, exclude_self, blocks(size["n"]), blocks(v.count()))
+    q = _unit_vectors(queries, query_key, "knn-queries")
+    v = q if queries is vectors and query_key == key else _unit_vectors(vectors, key, "knn-vectors")
+    q_blocks, v_blocks = (max(1, -(-d.count() // cell_rows)) for d in (q, v))
+
+    def blocked(d: DataFrame, own: str, n: int, other: str, m: int) -> DataFrame:
+        block = F.pmod(F.xxhash64("id", "vec"), F.lit(n)).cast("int").alias(own)
+        return d.select(block, F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias(other), "dim", "id", "vec")
+
+    left, right = blocked(q, "qb", q_blocks, "vb", v_blocks), blocked(v, "vb", v_blocks, "qb", q_blocks)
+
+    def cell(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if a.empty or b.empty:
+            return pd.DataFrame({"qid": [], "vid": [], "dist": []})
+        qm, vm = np.stack(a["vec"].to_numpy()), np.stack(b["vec"].to_numpy())
+        return _cell_top_k(a["id"].to_numpy(), qm, b["id"].to_numpy(), vm, k, exclude_self)
+
+    keys = ["qb", "vb", "dim"]
+    return _best(left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(cell, _CANDIDATES), k)

@@ -226,7 +226,7 @@ def sql_refs(judged: str, mode: str) -> str:
       regexp_extract(n, '{provision}', 2) AS i,
       regexp_extract(n, '{provision}', 3) AS p
     FROM (SELECT id_julgado_fk, {sql_clean_full("CASE json_type(item) WHEN 'OBJECT' THEN item->>'$.referencia' ELSE item->>'$' END")} AS n
-      FROM (SELECT TRY_CAST(id_origem AS INT) AS id_julgado_fk, unnest(json_extract(referenciasLegislativas, '$[*]')) AS item
+      FROM (SELECT TRY_CAST(id_origem AS BIGINT) AS id_julgado_fk, unnest(json_extract(referenciasLegislativas, '$[*]')) AS item
         FROM {judged} WHERE json_valid(referenciasLegislativas)))))
   WHERE is_sum OR t <> '')"""
 
@@ -234,7 +234,7 @@ def sql_refs(judged: str, mode: str) -> str:
 def sql_subjects(judged: str) -> str:
     """``id_julgado_fk, tipo_assunto, termo`` of a judged subquery."""
     return f"""(SELECT * FROM (
-    SELECT TRY_CAST(id_origem AS INT) AS id_julgado_fk, 'TEMA_REPETITIVO' AS tipo_assunto, {sql_clean_full('tema')} AS termo FROM {judged}
-    UNION ALL SELECT TRY_CAST(id_origem AS INT), 'TESE_JURIDICA', {sql_clean_full('teseJuridica')} FROM {judged}
-    UNION ALL SELECT TRY_CAST(id_origem AS INT), 'TERMO_AUXILIAR', trim(unnest(string_split({sql_clean_full('termosAuxiliares')}, ';'))) FROM {judged})
+    SELECT TRY_CAST(id_origem AS BIGINT) AS id_julgado_fk, 'TEMA_REPETITIVO' AS tipo_assunto, {sql_clean_full('tema')} AS termo FROM {judged}
+    UNION ALL SELECT TRY_CAST(id_origem AS BIGINT), 'TESE_JURIDICA', {sql_clean_full('teseJuridica')} FROM {judged}
+    UNION ALL SELECT TRY_CAST(id_origem AS BIGINT), 'TERMO_AUXILIAR', trim(unnest(string_split({sql_clean_full('termosAuxiliares')}, ';'))) FROM {judged})
   WHERE termo <> '')"""

@@ -22,7 +22,7 @@ from ementario.functions.text import (
 from ementario.operators.evolve import add_nullable, drop_column, rename_column
 from ementario.operators.keys import key_discovery, keyset_signatures
 from ementario.operators.reports import inventory_stats
-from ementario.operators.staging import rename_key, required_field_split
+from ementario.operators.staging import load_files, rename_key, required_field_split
 from ementario.operators.star import id_fallback_parse, pack_row_json
 from ementario.plans.bindings import judged_like, judged_sql, sql_clean, sql_clean_full, sql_strip, sql_typed_date
 from ementario.plans.registry import query
@@ -33,27 +33,24 @@ from ementario.sources.tables import ordered_projection, preview, read_table, sp
 
 # --- record files ------------------------------------------------------------------
 
-RECORDS_PER_FILE = 2500
+CONVERSATIONS_PER_FILE = 200
 
 
 def _conversation_files(spark: SparkSession, sf_dir: str, damage: bool) -> str:
-    """Write the conversations as ``*.json`` record files in the shared folder.
+    """Write the conversations as ``*.json``-like record files in the shared folder, indented over several lines.
 
-    Rows are cut into runs of ``RECORDS_PER_FILE`` by position, so no file and no task
-    grows with a hot key. The first row of a run becomes a file holding one object, the
-    others a file holding a list; ``damage`` adds a truncated and a scalar file per run.
+    A file holds the list of the rows of ``CONVERSATIONS_PER_FILE`` neighbouring conversations, but for the first row of
+    the first conversation, which is a file with one object; ``damage`` adds a truncated and a scalar file to each.
     """
-    rows = read_table(spark, sf_dir, "conversations")
-    at = F.monotonically_increasing_id()
-    placed = rows.withColumn("_at", at).select(
-        F.shiftright("_at", 33).alias("part"),
-        F.floor((F.col("_at") % F.lit(1 << 33)) / RECORDS_PER_FILE).alias("run"),
-        ((F.col("_at") % F.lit(1 << 33)) % RECORDS_PER_FILE == 0).alias("single"),
+    single = (F.col("conv_id") % CONVERSATIONS_PER_FILE == 0) & (F.col("turn") == 0)
+    placed = read_table(spark, sf_dir, "conversations").select(
+        F.floor(F.col("conv_id") / CONVERSATIONS_PER_FILE).alias("run"), single.alias("single"),
         F.struct("conv_id", "turn", "role", "text").alias("rec"),
     )
-    whole = placed.groupBy("part", "run", "single").agg(F.collect_list("rec").alias("recs")).select(
-        F.concat_ws("-", "part", "run", F.col("single").cast("string")).alias("f"),
-        F.when(F.col("single"), F.to_json(F.col("recs")[0])).otherwise(F.to_json("recs")).alias("value"),
+    lists = placed.filter(~F.col("single")).groupBy("run").agg(F.to_json(F.collect_list("rec"), {"pretty": "true"}).alias("value"))
+    ones = placed.filter("single").select("run", F.to_json("rec", {"pretty": "true"}).alias("value"))
+    whole = lists.select(F.concat_ws("-", "run", F.lit("list")).alias("f"), "value").union(
+        ones.select(F.concat_ws("-", "run", F.lit("one")).alias("f"), "value")
     )
     if damage:
         cut = F.substring("value", 1, F.floor(F.char_length("value") / 2).cast("int"))
@@ -81,13 +78,40 @@ def json_list_or_object(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.drop("rel_path")
 
 
-@query("json_rejects")
+@query("json_rejects", """
+WITH f AS (SELECT DISTINCT conv_id // 200 AS run, conv_id % 200 = 0 AND turn = 0 AS single FROM conversations)
+SELECT reason, count(*) AS n_files FROM f, (VALUES ('malformed_json'), ('invalid_shape')) AS r(reason) GROUP BY reason""")
 def json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _conversation_files(spark, sf_dir, damage=True)
     _, rejects = read_dynamic(spark, path, path, pattern="*.txt")
     return rejects.groupBy("reason").agg(F.count("*").alias("n_files"))
 
 
+@query("load_incremental", f"""
+SELECT load_id, conv_id || '-' || turn AS id_origem, {sql_clean('text')} AS ementa FROM (
+  SELECT *, 1 + conv_id // 200 % 2 AS load_id FROM conversations WHERE turn % 5 <> 4)
+UNION ALL
+SELECT 1 + conv_id // 200 % 2, 'missing id_origem', count(*)::VARCHAR FROM conversations WHERE turn % 5 = 4 GROUP BY 1""")
+def load_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of a growing folder: what each of them kept, and how many records each put aside."""
+    root = scratch_path(spark, "incremental")
+    run = F.floor(F.col("conv_id") / CONVERSATIONS_PER_FILE)
+    name = F.when(F.col("turn") % 5 != 4, F.concat_ws("-", "conv_id", "turn"))
+    record = F.struct(name.alias("ID_Registro"), F.col("text").alias("ementa"))
+    files = read_table(spark, sf_dir, "conversations").groupBy(run.alias("run")).agg(
+        F.to_json(F.collect_list(record), {"pretty": "true"}).alias("value")
+    )
+    for half in (0, 1):
+        part = files.filter(F.col("run") % 2 == half).select(F.concat(F.lit("[r]"), "run").alias("f"), "value")
+        part.write.mode("append").partitionBy("f").option("compression", "none").text(f"{root}/in")
+        load_files(spark, f"{root}/in", f"{root}/s", f"{root}/q", f"{root}/m", pattern="*.txt")
+    kept = spark.read.parquet(f"{root}/s").select(F.col("load_id").cast("bigint").alias("load_id"), "id_origem", "ementa")
+    aside = spark.read.parquet(f"{root}/q").groupBy(F.col("load_id").cast("bigint").alias("load_id"), F.col("reason").alias("id_origem")).agg(
+        F.count("*").cast("string").alias("ementa")
+    )
+    return kept.unionByName(aside)
+
+
 @query("incremental_files", """
 SELECT d.lang || '/' || d.source || '/' || CAST(d.doc_id AS VARCHAR) || '.json' AS rel_path, d.doc_id
 FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""")
@@ -188,10 +212,11 @@ def required_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("id_fallback_parse", """
-SELECT o_orderkey, coalesce(TRY_CAST(id AS INT), TRY_CAST(id_origem AS INT)) AS id_julgado FROM (
+SELECT o_orderkey, CASE WHEN regexp_full_match(trim(id), '[0-9]+') THEN TRY_CAST(trim(id) AS BIGINT)
+  ELSE TRY_CAST(id_origem AS BIGINT) END AS id_julgado FROM (
   SELECT o_orderkey,
     CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 11 = 0 THEN 'x' || o_orderkey
-         WHEN o_orderkey % 13 = 0 THEN '99999999999' ELSE ' 000' || o_orderkey || ' ' END AS id,
+         WHEN o_orderkey % 13 = 0 THEN '99999999999' WHEN o_orderkey % 17 = 0 THEN '99999999999999999999' ELSE ' 000' || o_orderkey || ' ' END AS id,
     CASE WHEN o_orderkey % 5 = 0 THEN 'sem id' ELSE CAST(o_custkey AS VARCHAR) END AS id_origem
   FROM orders)""")
 def id_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,6 +227,7 @@ def id_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 7 == 0, F.lit(None))
         .when(key % 11 == 0, F.concat(F.lit("x"), text))
         .when(key % 13 == 0, F.lit("99999999999"))
+        .when(key % 17 == 0, F.lit("9" * 20))
         .otherwise(F.concat(F.lit(" 000"), text, F.lit(" "))).alias("id"),
         F.when(key % 5 == 0, "sem id").otherwise(F.col("o_custkey").cast("string")).alias("id_origem"),
     )

@@ -154,11 +154,10 @@ WITH top AS (SELECT * FROM {_SQL_TOP3}),
   ctx AS (SELECT qid, string_agg(text, chr(10) || chr(10) ORDER BY rank) AS context FROM top JOIN documents ON doc_id = vid GROUP BY qid)
 SELECT doc_id AS qid, 'Use o contexto abaixo para responder:' || chr(10) || chr(10) || coalesce(context, '') || chr(10) || chr(10)
   || 'Pergunta: ' || coalesce(text, '') || chr(10) || 'Resposta:' AS prompt
-FROM documents JOIN embeddings ON vec_id = doc_id LEFT JOIN ctx ON ctx.qid = doc_id""")
+FROM documents LEFT JOIN ctx ON ctx.qid = doc_id""")
 def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    asked = read_table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("qid"))
-    questions = docs.select(F.col("doc_id").alias("qid"), F.col("text").alias("question")).join(asked, "qid")
+    questions = docs.select(F.col("doc_id").alias("qid"), F.col("text").alias("question"))
     passages = docs.select(F.col("doc_id").alias("vid"), F.col("text").alias("passage"))
     return rag_prompts(questions, _neighbours(spark, sf_dir), passages)
 

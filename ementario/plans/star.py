@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ementario.functions.legal import outcome, reference_items
 from ementario.operators.keys import dense_keys
-from ementario.operators.profile import profile_simple, profile_typed, to_long
+from ementario.operators.profile import profile_simple, profile_typed, to_long, with_declared
 from ementario.operators.quality import (
     fk_violations,
     not_null_violations,
@@ -46,7 +46,7 @@ from ementario.sources.tables import read_table, spread
 
 
 @query("fact_projection", f"""
-SELECT TRY_CAST(id_origem AS INT) AS id_julgado, id_dw, CAST(TRY_CAST(id_origem AS INT) AS VARCHAR) AS id_origem_natural,
+SELECT TRY_CAST(id_origem AS BIGINT) AS id_julgado, id_dw, CAST(TRY_CAST(id_origem AS BIGINT) AS VARCHAR) AS id_origem_natural,
   {sql_typed_date('"dataDecisao"')}::VARCHAR AS dt_decisao, {sql_typed_date('"dataPublicacao"')}::VARCHAR AS dt_publicacao,
   {sql_clean_full('siglaClasse')} AS classe_sigla, {sql_clean_full('nomeOrgaoJulgador')} AS orgao_julgador,
   {sql_clean_full('ministroRelator')} AS ministro_relator, {sql_outcome('decisao', 'ementa')} AS resultado_binario,
@@ -54,7 +54,7 @@ SELECT TRY_CAST(id_origem AS INT) AS id_julgado, id_dw, CAST(TRY_CAST(id_origem
   {sql_clean_full('decisao')} AS decsiao_teor_limpo, {sql_clean_full('teseJuridica')} AS tese_juridica_limpa,
   {sql_clean_full('acordaosSimilares')} AS acordaos_similares_limpo,
   {sql_clean_full('jurisprudenciaCitada')} AS jurisprudencia_citada_limpa
-FROM {judged_sql(court=True, text=True)} WHERE TRY_CAST(id_origem AS INT) IS NOT NULL""")
+FROM {judged_sql(court=True, text=True)} WHERE TRY_CAST(id_origem AS BIGINT) IS NOT NULL""")
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = fact_projection(judged_like(spark, sf_dir, court=True, text=True)).drop("teor_bruto_json")
     # Dates as ISO text, which every engine prints alike.
@@ -99,7 +99,7 @@ def subject_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("surrogate_keys", f"""
-SELECT id_julgado_fk, tipo_assunto, termo, row_number() OVER (ORDER BY substr(md5(nk), 1, 3), nk) AS id_assunto FROM (
+SELECT id_julgado_fk, tipo_assunto, termo, row_number() OVER (ORDER BY substr(md5(nk), 1, 3), id_julgado_fk, tipo_assunto, termo) AS id_assunto FROM (
   SELECT *, id_julgado_fk || chr(31) || tipo_assunto || chr(31) || termo AS nk
   FROM (SELECT DISTINCT * FROM {sql_subjects(judged_sql())}))""")
 def surrogate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,7 +109,7 @@ def surrogate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("star_join_report", f"""
 SELECT tipo_norma, outcome AS resultado_binario, count(*) AS n
-FROM (SELECT TRY_CAST(id_origem AS INT) AS id, {sql_outcome('decisao', 'ementa')} AS outcome FROM {judged_sql(text=True)}) f
+FROM (SELECT TRY_CAST(id_origem AS BIGINT) AS id, {sql_outcome('decisao', 'ementa')} AS outcome FROM {judged_sql(text=True)}) f
 JOIN {sql_refs(judged_sql(), 'intended')} r ON f.id = r.id_julgado_fk GROUP BY 1, 2""")
 def star_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = fact_projection(judged_like(spark, sf_dir, text=True))
@@ -235,9 +235,14 @@ def _judged_long(spark: SparkSession, sf_dir: str, seq: str | None = None) -> Da
     return to_long(judged, _JUDGED_COLUMNS, seq)
 
 
-@query("profile_columns", _sql_simple(judged_sql(court=True, text=True), _JUDGED_COLUMNS, False))
+def _sql_declared(rest: str) -> str:
+    names = ", ".join(f"'{c}'" for c in LONG_FIELDS)
+    return f""" UNION ALL SELECT c, 'string', 0, {rest} FROM (SELECT unnest([{names}]) AS c) WHERE c NOT IN (SELECT "column" FROM agg)"""
+
+
+@query("profile_columns", _sql_simple(judged_sql(court=True, text=True), _JUDGED_COLUMNS, False) + _sql_declared("NULL"))
 def profile_judged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile_simple(_judged_long(spark, sf_dir))
+    return with_declared(profile_simple(_judged_long(spark, sf_dir)), LONG_FIELDS)
 
 
 _MIXED = ["numeroMisto", "idMisto", "numeroNulo", "texto"]
@@ -294,9 +299,9 @@ SELECT "column", type, CASE WHEN type = 'string' THEN coalesce({base}, 0) END AS
   CASE WHEN type = 'float' THEN coalesce(places, 0) END AS precision FROM typed"""
 
 
-@query("profile_typed", _sql_typed(judged_sql(court=True, text=True), _JUDGED_COLUMNS, False))
+@query("profile_typed", _sql_typed(judged_sql(court=True, text=True), _JUDGED_COLUMNS, False) + _sql_declared("NULL, NULL"))
 def profile_judged_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile_typed(_judged_long(spark, sf_dir))
+    return with_declared(profile_typed(_judged_long(spark, sf_dir)), LONG_FIELDS)
 
 
 @query("profile_typed_first_seen", _sql_typed(_SQL_MIXED, _MIXED, True))

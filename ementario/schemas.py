@@ -97,7 +97,7 @@ STAGING = T.StructType(
 
 FACT = T.StructType(
     [
-        T.StructField("id_julgado", T.IntegerType(), False),
+        T.StructField("id_julgado", T.LongType(), False),
         T.StructField("id_origem_natural", T.StringType(), False),
         T.StructField("dt_decisao", T.DateType()),
         T.StructField("dt_publicacao", T.DateType()),
@@ -112,16 +112,22 @@ FACT = T.StructType(
         T.StructField("acordaos_similares_limpo", T.StringType()),
         T.StructField("jurisprudencia_citada_limpa", T.StringType()),
         T.StructField("teor_bruto_json", T.StringType()),
+        T.StructField("ordem_primeira", T.StringType()),
+        T.StructField("ordem_ultima", T.StringType()),
     ]
 )
 
+#: Column of the load that added a row of a dimension; the dimension tables are partitioned by it.
+DIM_PARTITION = "load"
+
 DIM_REFS = T.StructType(
     [
         T.StructField("id_ref_legal", T.LongType()),
-        T.StructField("id_julgado_fk", T.IntegerType(), False),
+        T.StructField("id_julgado_fk", T.LongType(), False),
         T.StructField("tipo_norma", T.StringType(), False),
         T.StructField("norma_nome", T.StringType(), False),
         T.StructField("artigo_dispositivo", T.StringType(), False),
+        T.StructField(DIM_PARTITION, T.StringType()),
     ]
 )
 DIM_REFS_KEY = ["id_julgado_fk", "tipo_norma", "norma_nome", "artigo_dispositivo"]
@@ -129,16 +135,17 @@ DIM_REFS_KEY = ["id_julgado_fk", "tipo_norma", "norma_nome", "artigo_dispositivo
 DIM_SUBJECTS = T.StructType(
     [
         T.StructField("id_assunto", T.LongType()),
-        T.StructField("id_julgado_fk", T.IntegerType(), False),
+        T.StructField("id_julgado_fk", T.LongType(), False),
         T.StructField("tipo_assunto", T.StringType(), False),
         T.StructField("termo", T.StringType(), False),
+        T.StructField(DIM_PARTITION, T.StringType()),
     ]
 )
 DIM_SUBJECTS_KEY = ["id_julgado_fk", "tipo_assunto", "termo"]
 
 VECTORS = T.StructType(
     [
-        T.StructField("id_julgado_fk", T.IntegerType(), False),
+        T.StructField("id_julgado_fk", T.LongType(), False),
         T.StructField("texto_fonte", T.StringType()),
         T.StructField("tipo_fonte", T.StringType()),
         T.StructField("embedding", T.ArrayType(T.FloatType())),

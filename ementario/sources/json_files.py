@@ -1,8 +1,9 @@
 """Record files: a JSON list of objects or one object per ``*.json`` file.
 
-Two readers. :func:`read_records` uses Spark's JSON source with a fixed schema and is the
-fast path for loading. :func:`read_dynamic` keeps every key it meets, for profiling and
-key discovery. Both put files that cannot be read aside instead of failing.
+A file is read whole and must be one JSON value and nothing else. Text after the value, JSON lines, single
+quotes and empty files make it malformed; such files are put aside instead of failing or losing records.
+:func:`read_records` gives typed columns for loading, :func:`read_dynamic` keeps every key it
+meets, for profiling and key discovery.
 """
 
 from __future__ import annotations
@@ -12,30 +13,76 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ementario.functions.urls import relative_path
-from ementario.schemas import SOURCE
-
-CORRUPT = "_corrupt"
-FIELDS_TYPE = "map<string,variant>"
-
+from ementario.schemas import ID_COLUMN, ID_KEYS, SOURCE
 
 PATTERN = "*.json"
+#: The value is parsed inside an object that ends with this key: it is found only if the text was one value.
+END = "_fim_do_arquivo"
+STRICT = {"allowSingleQuotes": "false"}
+MALFORMED, SHAPE = "malformed_json", "invalid_shape"
 
 
 def _json_reader(spark: SparkSession, pattern: str = PATTERN) -> DataFrameReader:
     return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
 
 
-def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """``rel_path, file_uri`` of every ``*.json`` below ``folder``; contents are not read."""
-    return (
-        _json_reader(spark)
-        .format("binaryFile")
-        .load(folder)
-        .select(
-            relative_path(F.col("_metadata.file_path"), folder).alias("rel_path"),
-            F.col("_metadata.file_path").alias("file_uri"),
-        )
-    )
+def list_files(spark: SparkSession, folder: str, pattern: str = PATTERN) -> DataFrame:
+    """``rel_path, file_uri`` of every matching file below ``folder``, empty ones included; contents are not read."""
+    uris = _json_reader(spark, pattern).format("binaryFile").load(folder).inputFiles()
+    # Local files as the hidden metadata column spells them.
+    files = spark.createDataFrame([(u.replace("file:///", "file:/", 1),) for u in uris], "file_uri string")
+    return files.select(relative_path(F.col("file_uri"), folder).alias("rel_path"), "file_uri")
+
+
+def read_texts(
+    spark: SparkSession, paths: str | list[str], base: str, pattern: str = PATTERN, only: list[str] | None = None
+) -> DataFrame:
+    """``rel_path, text``, one row per file that is not empty; ``only`` names the files to open, by their uri."""
+    raw = _json_reader(spark, pattern).text(paths, wholetext=True)
+    if only is not None:  # a filter on the file's name prunes the scan, whatever characters the name holds
+        raw = raw.filter(F.col("_metadata.file_path").isin(only))
+    return raw.select(relative_path(F.col("_metadata.file_path"), base).alias("rel_path"), F.col("value").alias("text"))
+
+
+def parse_items(texts: DataFrame, kind: str = "variant") -> DataFrame:
+    """``rel_path, items, reason`` of each file: its records as maps in file order, or why it has none."""
+    wrapped = F.concat(F.lit('{"v":'), F.col("text"), F.lit(f',"{END}":1}}'))
+
+    def read(shape: str, items) -> Column:
+        parsed = F.from_json(wrapped, f"v {shape}, {END} int", STRICT)
+        # A lambda variable, so that each text is parsed once.
+        return F.transform(F.array(parsed), lambda r: F.struct(items(r).alias("items"), r[END].alias("whole")))[0]
+
+    one = read(f"map<string,{kind}>", lambda r: F.array(r["v"]))
+    many = read(f"array<map<string,{kind}>>", lambda r: r["v"])
+    is_object = F.startswith(F.ltrim(F.col("text"), F.lit(" \t\r\n")), F.lit("{"))
+    parsed = texts.withColumn("_p", F.when(is_object, one).otherwise(many))
+    fits = F.col("_p.items").isNotNull() & ~F.exists("_p.items", lambda m: m.isNull())
+    reason = F.when(F.col("_p.whole").isNull(), MALFORMED).when(~fits, SHAPE)
+    return parsed.select("rel_path", F.when(reason.isNull(), F.col("_p.items")).alias("items"), reason.alias("reason"))
+
+
+def parse_texts(texts: DataFrame, kind: str = "variant") -> tuple[DataFrame, DataFrame]:
+    """Split ``(rel_path, text)`` files into dynamic records and rejects.
+
+    ``records`` is ``rel_path, pos, fields``, where ``fields`` maps every key to a variant.
+    """
+    parsed = parse_items(texts, kind)
+    records = parsed.filter(F.col("reason").isNull()).select("rel_path", F.posexplode("items").alias("pos", "fields"))
+    return records, parsed.filter(F.col("reason").isNotNull()).select("rel_path", "reason")
+
+
+def record_id(fields: Column, keys: tuple[str, ...] = ID_KEYS) -> Column:
+    """The id entry of a record with dynamic keys, in any case: the last matching key wins."""
+    hits = F.filter(F.map_entries(fields), lambda e: F.lower(e["key"]).isin(*keys) | (e["key"] == ID_COLUMN))
+    return F.try_element_at(hits, F.lit(-1))["value"]
+
+
+def typed_fields(schema: T.StructType = SOURCE) -> list[Column]:
+    """Columns of a record held as ``fields`` (text by key). The id keys of the schema become one ``id_origem``."""
+    names = [f for f in schema.fields if f.name.lower() not in ID_KEYS]
+    own = [F.col("fields")[f.name].try_cast(f.dataType).alias(f.name) for f in names]
+    return own if len(names) == len(schema.fields) else [record_id(F.col("fields")).alias(ID_COLUMN), *own]
 
 
 def read_records(
@@ -47,67 +94,11 @@ def read_records(
 ) -> tuple[DataFrame, DataFrame]:
     """``(records, rejects)`` of all files under ``paths``.
 
-    ``records`` has the schema's columns and ``rel_path``; ``rejects`` has one row
+    ``records`` has the schema's columns, the id under one name, and ``rel_path``; ``rejects`` has one row
     ``rel_path, reason`` per unreadable file.
     """
-    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    raw = (
-        _json_reader(spark, pattern)
-        .schema(with_corrupt)
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(paths)
-        .withColumn("rel_path", relative_path(F.col("_metadata.file_path"), base))
-    )
-    records = raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    # Spark refuses a query on the corrupt column alone, so a field, null in such rows, is
-    # read along with it.
-    text = F.concat_ws("", CORRUPT, F.col(schema.fieldNames()[0]).cast("string"))
-    rejects = raw.filter(F.col(CORRUPT).isNotNull()).select(
-        "rel_path", reject_reason(text).alias("reason")
-    )
-    return records, rejects
-
-
-def reject_reason(text: Column) -> Column:
-    """Why a file's text is no list of objects: its shape, or not being JSON at all."""
-    return F.when(F.try_parse_json(text).isNotNull(), F.lit("invalid_shape")).otherwise(
-        F.lit("malformed_json")
-    )
-
-
-def read_texts(
-    spark: SparkSession, paths: str | list[str], base: str, pattern: str = PATTERN
-) -> DataFrame:
-    """``rel_path, text``, one row per file."""
-    return (
-        _json_reader(spark, pattern)
-        .option("wholetext", True)
-        .text(paths)
-        .select(relative_path(F.col("_metadata.file_path"), base).alias("rel_path"),
-                F.col("value").alias("text"))
-    )
-
-
-def parse_texts(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split ``(rel_path, text)`` files into dynamic records and rejects.
-
-    ``records`` is ``rel_path, pos, fields``, where ``fields`` maps every key to a variant.
-    """
-    is_object = F.startswith(F.ltrim(F.col("text"), F.lit(" \t\r\n")), F.lit("{"))
-    one = F.from_json("text", FIELDS_TYPE)
-    items = F.when(is_object, F.when(one.isNotNull(), F.array(one))).otherwise(
-        F.from_json("text", f"array<{FIELDS_TYPE}>")
-    )
-    parsed = texts.withColumn("items", items)
-    records = parsed.filter(F.col("items").isNotNull()).select(
-        "rel_path", F.posexplode("items").alias("pos", "fields")
-    )
-    rejects = parsed.filter(F.col("items").isNull()).select(
-        "rel_path", reject_reason(F.col("text")).alias("reason")
-    )
-    return records, rejects
+    records, rejects = parse_texts(read_texts(spark, paths, base, pattern), "string")
+    return records.select(*typed_fields(schema), "rel_path"), rejects
 
 
 def read_dynamic(

@@ -6,11 +6,13 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # --- fixed values: link syntax and the place of resource links on an index page -----
-HREF = r'(?is)<a\s[^>]*href="([^"]*)"'
+HREF = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+COMMENT = r"(?s)<!--.*?(?:-->|\z)"
+ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&#x27;": "'", "&#38;": "&", "&amp;": "&"}
 RESOURCE_ROOT_ID = "dataset-resources"
 RESOURCE_PATH = ("ul", "li", "div", "ul", "li", "a")
 RESOURCE_ITEM = 2
@@ -21,11 +23,22 @@ VOID_TAGS = frozenset(
 
 
 def page_links(pages: DataFrame) -> DataFrame:
-    """``page_id, page_url, pos, href`` for every anchor, in page order, inside the JVM."""
+    """``page_id, page_url, pos, href`` for every anchor, in page order, inside the JVM.
+
+    Quoted and bare values count, comments do not, and the usual entities are resolved.
+    """
+    shown = F.when(F.contains("html", F.lit("<!--")), F.regexp_replace("html", COMMENT, " ")).otherwise(F.col("html"))
+
+    def value(raw: Column) -> Column:
+        out = F.when(raw.substr(1, 1).isin('"', "'"), F.substring(raw, F.lit(2), F.char_length(raw) - 2)).otherwise(raw)
+        for entity, char in ENTITIES.items():  # the ampersand last, so that nothing is resolved twice
+            out = F.replace(out, F.lit(entity), F.lit(char))
+        return out
+
     return pages.select(
         "page_id",
         F.col("url").alias("page_url"),
-        F.posexplode(F.regexp_extract_all("html", F.lit(HREF), 1)).alias("pos", "href"),
+        F.posexplode(F.transform(F.regexp_extract_all(shown, F.lit(HREF), 1), value)).alias("pos", "href"),
     )
 
 
@@ -68,7 +81,7 @@ class _ResourceLinks(HTMLParser):
 
 
 _LINK_SCHEMA = pa.schema(
-    [("page_id", pa.int64()), ("page_url", pa.string()), ("pos", pa.int32()), ("href", pa.string())]
+    [("page_id", pa.int64()), ("page_url", pa.string()), ("pos", pa.int32()), ("href", pa.string()), ("error", pa.string())]
 )
 
 
@@ -76,23 +89,32 @@ def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         out: dict[str, list] = {name: [] for name in _LINK_SCHEMA.names}
         for page in batch.to_pylist():
-            parser = _ResourceLinks()
-            parser.feed(page["html"] or "")
-            parser.close()
-            found = parser.hrefs
-            out["page_id"] += [page["page_id"]] * len(found)
-            out["page_url"] += [page["url"]] * len(found)
-            out["pos"] += range(len(found))
-            out["href"] += found
+            parser, error = _ResourceLinks(), None
+            try:
+                parser.feed(page["html"] or "")
+                parser.close()
+            except Exception as err:  # noqa: BLE001  (the parser asserts on some broken markup)
+                error = f"{type(err).__name__}: {err}"[:300]
+            found = [(k, href, None) for k, href in enumerate(parser.hrefs)] + [(None, None, error)] * (error is not None)
+            for pos, href, why in found:
+                row = (page["page_id"], page["url"], pos, href, why)
+                for name, cell in zip(out, row, strict=True):
+                    out[name].append(cell)
         yield pa.RecordBatch.from_pydict(out, schema=_LINK_SCHEMA)
 
 
-def resource_links(pages: DataFrame) -> DataFrame:
-    """``page_id, page_url, pos, href`` of the second entry of each resource's inner list.
+def scan_resources(pages: DataFrame) -> DataFrame:
+    """``page_id, page_url, pos, href, error``: the resource links, and a row with ``error`` for a page that cannot be
+    parsed to its end; the links found before that stay.
 
     The position in nested lists is beyond a regular expression, so each page goes
     through the standard library's HTML parser; pages without such links give no rows.
     """
     return pages.select("page_id", "url", "html").mapInArrow(
-        _parse_batches, "page_id bigint, page_url string, pos int, href string"
+        _parse_batches, "page_id bigint, page_url string, pos int, href string, error string"
     )
+
+
+def resource_links(pages: DataFrame) -> DataFrame:
+    """``page_id, page_url, pos, href`` of the second entry of each resource's inner list."""
+    return scan_resources(pages).filter(F.col("error").isNull()).drop("error")

@@ -2,56 +2,47 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ementario.functions.urls import relative_path
-from ementario.operators.staging import stage, to_staging
-from ementario.schemas import SOURCE
-from ementario.sources.json_files import CORRUPT, reject_reason
+from ementario.operators.staging import bad_rows, good_rows, stage_texts, to_staging
+from ementario.session import materialize
 
 
-def record_stream(
-    spark: SparkSession, folder: str, schema: T.StructType = SOURCE, files_per_batch: int = 1000
-) -> DataFrame:
-    """Records of new ``*.json`` files, with unreadable files marked in ``_corrupt``."""
-    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+def record_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
+    """``rel_path, text`` of new ``*.json`` files."""
     return (
-        spark.readStream.format("json")
-        .schema(with_corrupt)
-        .option("multiLine", True)
+        spark.readStream.format("text")
+        .option("wholetext", True)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.json")
-        .option("columnNameOfCorruptRecord", CORRUPT)
         .option("maxFilesPerTrigger", files_per_batch)
         .load(folder)
-        .withColumn("rel_path", relative_path(F.col("_metadata.file_path"), folder))
+        .select(relative_path(F.col("_metadata.file_path"), folder).alias("rel_path"), F.col("value").alias("text"))
     )
 
 
+def stream_load_id(checkpoint: str, batch_id: int) -> int:
+    """A load number of its own for each stream and micro-batch, beyond those that batch loads count up."""
+    return (1 + zlib.crc32(checkpoint.encode())) * (1 << 30) + batch_id
+
+
 def start_staging(
     stream: DataFrame, staging_path: str, quarantine_path: str, checkpoint: str
 ) -> StreamingQuery:
-    """Treat and store each micro-batch under its own ``load_id``; replays overwrite it."""
+    """Parse each micro-batch once and store it under its own ``load_id``; replays overwrite it."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        good, rejected = stage(batch.filter(F.col(CORRUPT).isNull()).drop(CORRUPT))
-        to_staging(good, batch_id).drop("load_id").write.mode("overwrite").parquet(
-            f"{staging_path}/load_id={batch_id}"
-        )
-        bad_files = batch.filter(F.col(CORRUPT).isNotNull()).select(
-            "rel_path",
-            reject_reason(F.col(CORRUPT)).alias("reason"),
-            F.lit(None).cast("string").alias("record"),
-        )
-        bad_rows = rejected.select(
-            "rel_path", F.col("reject_reason").alias("reason"), F.to_json(F.struct("*")).alias("record")
-        )
-        bad_rows.unionByName(bad_files).write.mode("overwrite").parquet(
-            f"{quarantine_path}/load_id={batch_id}"
+        number = stream_load_id(checkpoint, batch_id)
+        staged = materialize(stage_texts(batch), "staged-batch")
+        to_staging(good_rows(staged), number).drop("load_id").write.mode("overwrite").parquet(
+            f"{staging_path}/load_id={number}"
         )
+        bad_rows(staged).write.mode("overwrite").parquet(f"{quarantine_path}/load_id={number}")
 
     return (
         stream.writeStream.foreachBatch(write)

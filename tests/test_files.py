@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from ementario.functions.text import clean_json_array
 from ementario.operators import staging as st
-from ementario.schemas import SOURCE
+from ementario.operators.profile import profile_files
+from ementario.schemas import LONG_FIELDS, SOURCE
 from ementario.sources import json_files, manifest, tables
-from ementario.sources.pages import page_links, resource_links
+from ementario.sources.pages import page_links, resource_links, scan_resources
 from ementario.streaming.ingest import record_stream, start_staging
 from ementario.streaming.upserts import compact, read_upserted, start_upsert
 from ementario.operators.upsert import FIRST, LAST, collapse
@@ -40,11 +41,20 @@ FILES = {
     "mixed.json": '[1, {"id": "5"}]',
     "empty.json": "[]",
     "noid.json": json.dumps([{"ementa": "sem id"}]),
+    "lines.json": '{"id": "50"}\n{"id": "51"}',
+    "after.json": '[{"id": "52"}] junk',
+    "quotes.json": "{'id': '53'}",
+    "nothing.json": "[null]",
+    "zero.json": "",
+    "a/dados[1].json": json.dumps({"ID": "6"}, indent=2),
+    "a/{x}?.json": json.dumps([{"id": "1", "Id_Registro": "8"}, {"ID_REGISTRO": "1", "id": "9"}], indent=1),
     "ignored.JSON": "[]",
     "ignored.txt": "[]",
 }
 BAD = {"scalar.json": "invalid_shape", "text.json": "invalid_shape", "cut.json": "malformed_json",
-       "mixed.json": "invalid_shape"}
+       "mixed.json": "invalid_shape", "lines.json": "malformed_json", "after.json": "malformed_json",
+       "quotes.json": "malformed_json", "nothing.json": "invalid_shape", "zero.json": "malformed_json"}
+IDS = ["000389583", "2", "3", "6", "8", "9"]
 
 
 def test_readers(spark, tmp_path):
@@ -53,12 +63,14 @@ def test_readers(spark, tmp_path):
     names = {r.rel_path for r in json_files.list_files(spark, base).collect()}
     assert names == {n for n in FILES if n.endswith(".json")}
     records, rejects = json_files.read_records(spark, base, base)
-    assert sorted(r.id or r.id_registro for r in records.collect() if r.rel_path != "noid.json") == ["000389583", "2", "3"]
-    assert {r.rel_path: r.reason for r in rejects.collect()} == BAD
+    assert sorted(r.id_origem for r in records.collect() if r.rel_path != "noid.json") == IDS
+    assert records.count() == 7 and rejects.count() == len(BAD) - 1  # counts work on their own
+    assert dict(rejects.groupBy("rel_path").count().collect())["cut.json"] == 1
+    assert {r.rel_path: r.reason for r in rejects.collect()} == {k: v for k, v in BAD.items() if k != "zero.json"}
     dynamic, rejects = json_files.read_dynamic(spark, base, base)
-    assert {r.rel_path: r.reason for r in rejects.collect()} == BAD
+    assert {r.rel_path: r.reason for r in rejects.collect()} == {k: v for k, v in BAD.items() if k != "zero.json"}
     ids = dynamic.select("rel_path", st.rename_map_key(F.col("fields")).cast("string").alias("id"))
-    assert sorted(r.id for r in ids.collect() if r.id) == ["000389583", "2", "3"]
+    assert sorted(r.id for r in ids.collect() if r.id) == IDS
 
 
 def test_map_key_order(spark):
@@ -84,32 +96,49 @@ def test_json_arrays(column):
     assert column(rows, clean_json_array) == ['["a b","c"]', '["a\\n", 1]', "[bad", '{"a": 1}', "x y", None, "[]"]
 
 
-@pytest.mark.parametrize("named", [10_000, 1])
-def test_incremental_load(spark, tmp_path, monkeypatch, named):
-    monkeypatch.setattr(st, "MAX_NAMED_FILES", named)
+@pytest.mark.parametrize("at_once", [10_000, 2])
+def test_incremental_load(spark, tmp_path, monkeypatch, at_once):
+    monkeypatch.setattr(st, "FILES_PER_READ", at_once)
     base = tmp_path / "in"
     write(base, FILES)
     staging, quarantine, done = (str(tmp_path / n) for n in ("staging", "quarantine", "manifest"))
-    load = lambda n: st.load_files(spark, str(base), staging, quarantine, done, n)
+    load = lambda n=None: st.load_files(spark, str(base), staging, quarantine, done, n)
     seen = lambda: sorted(r.id_origem for r in spark.read.parquet(staging).collect())
-    load(1)
-    assert seen() == ["000389583", "2", "3"]
+    assert load() == 1
+    assert seen() == IDS
     reasons = {(r.rel_path, r.reason) for r in spark.read.parquet(quarantine).collect()}
     assert reasons == {*BAD.items(), ("noid.json", "missing id_origem")}
+    (kept,) = [r.record for r in spark.read.parquet(quarantine).collect() if r.rel_path == "noid.json"]
+    assert json.loads(kept) == {"ementa": "sem id"}
     processed = {r.rel_path for r in manifest.read_manifest(spark, done).collect()}
-    assert processed == {"a/list one+.json", "a/ação.json", "empty.json", "noid.json"}
-    load(2)
-    assert seen() == ["000389583", "2", "3"]
-    write(base, {"cut.json": json.dumps({"id": "4"}), "new/n.json": json.dumps([{"ID": "x", "id": "9"}])})
-    load(3)
-    assert seen() == ["000389583", "2", "3", "4", "9"]
-    load(4)
-    assert seen() == ["000389583", "2", "3", "4", "9"]
-    # A load that died before the manifest was written repeats under its own number.
-    spark.createDataFrame([], "rel_path string").write.mode("overwrite").parquet(done)
+    assert processed == {n for n in FILES if n.endswith(".json") and n not in BAD}
+    assert load() == 2  # what cannot be read is tried again
+    assert seen() == IDS
+    write(base, {"cut.json": json.dumps({"id": "4"}), "new/n.json": json.dumps([{"ID": "x", "id": "99"}])})
+    with pytest.raises(ValueError):
+        load(1)  # it holds other files
+    assert seen() == IDS
+    load()
+    assert seen() == sorted([*IDS, "4", "99"])
+    load()
+    assert seen() == sorted([*IDS, "4", "99"])
     assert manifest.read_manifest(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_a_load_that_died_is_repeated(spark, tmp_path, monkeypatch):
+    base = tmp_path / "in"
+    write(base, {"a.json": '{"id": "1"}'})
+    paths = [str(tmp_path / n) for n in ("staging", "quarantine", "manifest")]
+    with monkeypatch.context() as m:
+        m.setattr(st, "append_manifest", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            st.load_files(spark, str(base), *paths)
+    write(base, {"b.json": '{"id": "2"}'})
+    assert st.load_files(spark, str(base), *paths) == 1
+    assert sorted(r.id_origem for r in spark.read.parquet(paths[0]).collect()) == ["1", "2"]
+    assert st.load_files(spark, str(base), *paths) is None
+
+
 def test_streamed_load_equals_batch(spark, tmp_path):
     base = tmp_path / "in"
     write(base, FILES)
@@ -123,7 +152,8 @@ def test_streamed_load_equals_batch(spark, tmp_path):
     batch = st.to_staging(st.stage(records)[0], 0).drop("id_dw", "load_id")
     streamed = spark.read.parquet(out).select(*batch.columns)
     assert sorted(map(str, streamed.collect())) == sorted(map(str, batch.collect()))
-    assert {(r.rel_path, r.reason) for r in spark.read.parquet(bad).collect()} == {*BAD.items(), ("noid.json", "missing id_origem")}
+    seen_by_stream = {k: v for k, v in BAD.items() if k != "zero.json"}
+    assert {(r.rel_path, r.reason) for r in spark.read.parquet(bad).collect()} == {*seen_by_stream.items(), ("noid.json", "missing id_origem")}
     write(base, {"later.json": json.dumps({"id": "77"})})
     run()
     assert spark.read.parquet(out).filter("id_origem = '77'").count() == 1
@@ -168,3 +198,28 @@ def test_pages(spark):
     df = spark.createDataFrame([(1, "http://h/set", INDEX), (2, "u", "<p>none"), (3, "u", None)], "page_id long, url string, html string")
     assert [(r.page_id, r.pos, r.href) for r in resource_links(df).collect()] == [(1, 0, "f1.json?a=1&b=2"), (1, 1, "/f2.json")]
     assert page_links(df).count() == 9
+
+
+def test_page_links_in_all_forms(spark):
+    html = """<a href='x'>1</a><A class=b HREF = y/z>2</A><!-- <a href="no">c</a> --><a data-href="n" href="a?b=1&amp;c=2">3</a><abbr href="q">"""
+    df = spark.createDataFrame([(1, "u", html), (2, "u", "<!-- <a href='open'>")], "page_id long, url string, html string")
+    assert [(r.pos, r.href) for r in page_links(df).collect()] == [(0, "x"), (1, "y/z"), (2, "a?b=1&c=2")]
+
+
+def test_one_bad_page_does_not_end_the_scan(spark):
+    df = spark.createDataFrame([(1, "http://h/set", INDEX), (2, "u", "<![foo[ x ]]>" + INDEX)], "page_id long, url string, html string")
+    found = scan_resources(df).collect()
+    assert [r.page_id for r in found if r.error is None].count(1) == 2
+    assert resource_links(df).filter("page_id = 1").count() == 2
+
+
+def test_profile_of_a_folder(spark, tmp_path):
+    write(tmp_path, FILES)
+    inventory, profile, rejects = profile_files(spark, str(tmp_path))
+    (n,) = inventory.collect()
+    assert (n.n_rows, n.n_files, n.n_folders) == (7, len([f for f in FILES if f.endswith(".json")]), 2)
+    rows = {r.column: r for r in profile.collect()}
+    assert rows["ministroRelator"].max_len == 95 and rows["tema"].max_len == 0 and rows["numeroProcesso"].max_val == 15
+    assert set(rows) >= set(LONG_FIELDS) and rejects.count() == len(BAD) - 1
+    _, typed, _ = profile_files(spark, str(tmp_path), typed=True)
+    assert {r.column: r.type for r in typed.collect()}["notas"] == "string"

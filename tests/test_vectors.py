@@ -39,14 +39,11 @@ def brute(rows, k, exclude_self):
 def test_knn_join(spark, exclude_self):
     rows, df = data(spark)
     want = brute(rows, 4, exclude_self)
-    same_length = df.filter("vec_id <> 6 AND vec_id <> 7")
-    matrix = ve.knn_join(same_length, df, 4, exclude_self=exclude_self)
-    grid = ve.knn_join(df, df, 4, exclude_self=exclude_self, max_query_bytes=0, cell_rows=30)
-    for got in (matrix, grid):
-        kept = {(r.qid, r["rank"], r.vid) for r in got.collect() if r.qid != 6}
-        assert kept == want
+    for cell_rows in (1000, 30):
+        got = ve.knn_join(df, df, 4, exclude_self=exclude_self, cell_rows=cell_rows)
+        assert {(r.qid, r["rank"], r.vid) for r in got.collect() if r.qid != 6} == want
     assert ve.knn_join(df.limit(0), df, 4).count() == 0
-    wide = ve.knn_join(same_length, df, 500, exclude_self=exclude_self)
+    wide = ve.knn_join(df.filter("vec_id <> 6"), df, 500, exclude_self=exclude_self)
     assert wide.count() == len(brute(rows, 500, exclude_self))
 
 
@@ -64,7 +61,9 @@ def test_embedding(spark):
     assert np.allclose(rows[0], rows[1]) and np.isclose(np.linalg.norm(rows[0]), 1, atol=1e-6)
     assert all(not rows[i].any() for i in (2, 3, 4))
     model = lambda: lambda batch: [[float(len(t or "")), 1.0] for t in batch]
-    got = {r.id: r.embedding for r in ve.embed_with(df, "t", model).collect()}
+    got = {r.id: r.embedding for r in ve.embed_with(df, "t", model, dim=2).collect()}
+    with pytest.raises(Exception, match="vectors of 2, not 3"):
+        ve.embed_with(df, "t", model, dim=3).collect()
     assert got[0] == [24.0, 1.0] and got[3] == [0.0, 1.0]
 
 
