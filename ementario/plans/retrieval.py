@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from ementario.functions.vectors import vector_literal
 from ementario.operators.links import download_plan, resolve_links, url_parts
 from ementario.operators.retrieval import rag_prompts
-from ementario.operators.vectors import embed_hashed, knn_join, knn_single, pending_vectors
+from ementario.operators.vectors import embed_hashed, embed_with, knn_join, knn_single, pending_vectors, vectorize
+from ementario.plans.bindings import sql_strip
 from ementario.plans.registry import query
 from ementario.plans.star import EVENT_POLICY
-from ementario.schemas import VECTOR_DIM
-from ementario.session import scratch_path
+from ementario.schemas import VECTOR_DIM, VECTORS
+from ementario.session import materialize, scratch_path
 from ementario.sources.pages import page_links, resource_links
 from ementario.sources.tables import read_table
 from ementario.streaming.upserts import read_upserted, start_upsert
@@ -117,6 +118,34 @@ def hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _measured(df: DataFrame) -> DataFrame:
+    """A stand-in for a model whose vectors SQL can make too: characters, spaces and commas."""
+
+    def counts(texts: list[str]) -> list[list[float]]:
+        return [[len(t), t.count(" "), t.count(",")] for t in texts]
+
+    return embed_with(df, "texto_fonte", lambda: counts, dim=3)
+
+
+_SQL_TEXT = "'Ementa: ' || coalesce(text, '') || chr(10) || chr(10) || 'Decisão: ' || CASE WHEN doc_id % 2 = 0 THEN source ELSE source || ' 2' END"
+
+
+@query("vectorize", f"""
+SELECT doc_id AS id_julgado_fk, sha256(t) AS texto, length(t)::DOUBLE AS n_chars, (length(t) - length(replace(t, ' ', '')))::DOUBLE AS n_spaces,
+  (length(t) - length(replace(t, ',', '')))::DOUBLE AS n_commas
+FROM (SELECT doc_id, {_SQL_TEXT} AS t FROM documents) WHERE length({sql_strip('t')}) >= 50""")
+def embed_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The even documents are embedded first; a second run, with other texts, adds the odd ones only."""
+    docs = read_table(spark, sf_dir, "documents")
+    fact = docs.select(F.col("doc_id").alias("id_julgado"), F.col("text").alias("ementa_limpa"), F.col("source").alias("decsiao_teor_limpo"))
+    empty = spark.createDataFrame([], VECTORS)
+    first = materialize(vectorize(fact.filter("id_julgado % 2 = 0"), empty, _measured), "vectors-first")
+    changed = fact.withColumn("decsiao_teor_limpo", F.concat("decsiao_teor_limpo", F.lit(" 2")))
+    v = vectorize(changed, first, _measured)
+    numbers = [F.col("embedding")[k].cast("double").alias(n) for k, n in enumerate(("n_chars", "n_spaces", "n_commas"))]
+    return v.select("id_julgado_fk", F.sha2(F.col("texto_fonte").cast("binary"), 256).alias("texto"), *numbers)
+
+
 # A fixed question vector, as one would paste it into a query.
 QUESTION = [round(0.1 * (i + 1), 1) for i in range(64)]
 
@@ -169,10 +198,11 @@ def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT user_id, arg_min(props, (ts, event_id)) AS props, arg_max(event_type, (ts, event_id)) AS event_type,
   arg_max(value, (ts, event_id)) AS value FROM events GROUP BY user_id""")
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events arrive as eight files, two in each micro-batch."""
     root = scratch_path(spark, "stream-upsert")
-    source = f"{sf_dir}/events.parquet"
-    # As a glob, the path may be one file or a folder of them.
-    stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(f"{source}*")
+    events = read_table(spark, sf_dir, "events")
+    events.repartition(8).write.parquet(f"{root}/arrived")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/arrived")
     running = start_upsert(
         stream, f"{root}/states", f"{root}/checkpoint", ["user_id"], EVENT_POLICY, ["ts", "event_id"]
     )

@@ -23,6 +23,7 @@ from ementario.operators.star import (
     explode_subjects,
     fact_projection,
     legal_refs,
+    load_star,
     star_join_report,
     with_id,
 )
@@ -40,6 +41,7 @@ from ementario.plans.bindings import (
 )
 from ementario.plans.registry import query
 from ementario.schemas import DIM_SUBJECTS_KEY, LONG_FIELDS, STAGING_WIDTHS
+from ementario.session import scratch_path
 from ementario.sources.tables import read_table, spread
 
 # --- fact and dimensions ---------------------------------------------------------------
@@ -425,3 +427,63 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .orderBy("orgao_julgador", "ministro_relator")
     )
+
+
+# --- the load itself -----------------------------------------------------------------------
+
+_LOADS = {"1": "id_dw % 3 <> 0", "2": "id_dw % 3 <> 1"}
+
+
+def _loaded(spark: SparkSession, sf_dir: str, prefix: str) -> str:
+    """Two overlapping loads, the second with other texts, and a repetition of the first."""
+    root = scratch_path(spark, "star")
+    rows = judged_like(spark, sf_dir)
+    for name in ("fato_julgados_stj", "dim_referencias_legais", "dim_assuntos_stj"):
+        spark.sql(f"DROP TABLE IF EXISTS {prefix}{name}")
+    for load in ("1", "2", "1"):
+        changed = F.concat("decisao", F.lit(f" CARGA {load}"))
+        odd_id = F.when(F.col("id_dw") % 10 == 0, F.concat(F.lit("sem id "), "id_origem")).otherwise(F.col("id_origem"))
+        part = rows.filter(_LOADS[load]).withColumns({"decisao": changed, "id_origem": odd_id})
+        load_star(spark, part, root, load, prefix=prefix)
+    return root
+
+
+_SQL_LOADED = f"(SELECT * FROM {judged_sql()} WHERE id_dw % 10 <> 0)"
+
+
+@query("load_star_fact", f"""
+SELECT TRY_CAST(id_origem AS BIGINT) AS id_julgado, {sql_clean_full('decisao')} || CASE WHEN {_LOADS['2']} THEN ' CARGA 2' ELSE ' CARGA 1' END AS decisao,
+  decisao || CASE WHEN {_LOADS['1']} THEN ' CARGA 1' ELSE ' CARGA 2' END AS primeira, tema_repetitivo, 0 AS rejeitados
+FROM (SELECT *, {sql_clean_full('tema')} AS tema_repetitivo FROM {_SQL_LOADED})
+UNION ALL SELECT NULL, NULL, NULL, NULL, count(*) FILTER ({_LOADS['1']}) + count(*) FILTER ({_LOADS['2']})
+FROM {judged_sql()} WHERE id_dw % 10 = 0""")
+def load_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last writes, the first raw record, and how many records had no usable id."""
+    root = _loaded(spark, sf_dir, "q1_")
+    none = F.lit(None).cast("string")
+    rejected = spark.read.parquet(f"{root}/q1_rejeitados").agg(F.count("*").alias("rejeitados"))
+    rows = spark.table("q1_fato_julgados_stj").select(
+        "id_julgado", F.col("decsiao_teor_limpo").alias("decisao"),
+        F.get_json_object("teor_bruto_json", "$.decisao").alias("primeira"), "tema_repetitivo",
+        F.lit(0).cast("bigint").alias("rejeitados"),
+    )
+    return rows.unionByName(rejected.select(
+        F.lit(None).cast("bigint").alias("id_julgado"), none.alias("decisao"), none.alias("primeira"),
+        none.alias("tema_repetitivo"), "rejeitados",
+    ))
+
+
+@query("load_star_dims", f"""
+SELECT 'refs' AS dim, count(*) AS n, 1 AS low, count(*) AS high, count(*) AS n_keys FROM (SELECT DISTINCT * FROM {sql_refs(_SQL_LOADED, 'intended')})
+UNION ALL SELECT 'subjects', count(*), 1, count(*), count(*) FROM (SELECT DISTINCT * FROM {sql_subjects(_SQL_LOADED)})""")
+def load_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Natural keys are held once, and their numbers run from 1 without a gap."""
+    _loaded(spark, sf_dir, "q2_")
+    parts = [
+        spark.table(f"q2_{name}").agg(
+            F.lit(label).alias("dim"), F.count("*").alias("n"), F.min(key).alias("low"), F.max(key).alias("high"),
+            F.countDistinct(key).alias("n_keys"),
+        )
+        for label, name, key in (("refs", "dim_referencias_legais", "id_ref_legal"), ("subjects", "dim_assuntos_stj", "id_assunto"))
+    ]
+    return parts[0].unionByName(parts[1])
