@@ -83,7 +83,7 @@ SELECT u.conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text
 FROM u JOIN chars USING (conv_id) GROUP BY u.conv_id
 """
 
-_MEASURES = (("symbol_ratio", 0.1), ("dup_line_ratio", 0.25), ("repeat_ratio", 0.2), ("word_length", 3.0))
+_MEASURES = (("symbol_ratio", 0.05), ("dup_line_ratio", 0.25), ("repeat_ratio", 0.2), ("word_length", 3.0))
 
 QUALITY = """
 WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS text,

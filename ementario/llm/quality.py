@@ -34,7 +34,7 @@ class Measure:
 
 
 MEASURES = (
-    Measure("symbol_ratio", spread=0.1),
+    Measure("symbol_ratio", spread=0.05),
     Measure("dup_line_ratio", spread=0.25),
     Measure("repeat_ratio", spread=0.2),
     Measure("word_length", spread=3.0),
