@@ -76,11 +76,15 @@ SELECT folder, name, arg_min(page_id, (page_id, pos)) AS page_id, arg_min(url, (
 WHERE (folder, name) NOT IN (SELECT (folder, name) FROM parts JOIN pages p USING (page_id) WHERE contains(p.html, 'lang="de"'))
 GROUP BY folder, name""")
 def plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The links of the German pages stand for what earlier runs have fetched."""
+    """The resource links of index pages; those of the German pages stand for what earlier runs have fetched."""
     pages = _pages(spark, sf_dir)
+
+    def parts(some: DataFrame) -> DataFrame:
+        index = some.select("page_id", "url", _index_html().alias("html"))
+        return url_parts(resolve_links(resource_links(index)))
+
     fetched = pages.filter(F.contains("html", F.lit('lang="de"')))
-    control = url_parts(resolve_links(page_links(fetched))).select("folder", "name").distinct()
-    return download_plan(url_parts(resolve_links(page_links(pages))), control)
+    return download_plan(parts(pages), parts(fetched).select("folder", "name").distinct())
 
 
 # --- vectors -----------------------------------------------------------------------------

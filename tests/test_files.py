@@ -14,7 +14,7 @@ from ementario.schemas import LONG_FIELDS, SOURCE
 from ementario.sources import json_files, manifest, tables
 from ementario.sources.pages import page_links, resource_links, scan_resources
 from ementario.streaming.ingest import record_stream, start_staging
-from ementario.streaming.upserts import compact, read_upserted, start_upsert
+from ementario.streaming.upserts import compact, compact_in_place, read_upserted, start_upsert
 from ementario.operators.upsert import FIRST, LAST, collapse
 
 RECORD = {
@@ -172,6 +172,10 @@ def test_streamed_upsert(spark, tmp_path):
     assert sorted(read_upserted(spark, f"{tmp_path}/st", ["k"], policy).collect()) == want
     compact(spark, f"{tmp_path}/st", f"{tmp_path}/st2", ["k"])
     assert sorted(read_upserted(spark, f"{tmp_path}/st2", ["k"], policy).collect()) == want
+    for _ in range(2):  # compacted where it is, also again, and the stream goes on
+        compact_in_place(spark, f"{tmp_path}/st", ["k"])
+        assert sorted(read_upserted(spark, f"{tmp_path}/st", ["k"], policy).collect()) == want
+    assert spark.read.parquet(f"{tmp_path}/st").select("batch_id").distinct().count() == 1
     df.filter("seq > 90").write.mode("append").parquet(src)  # replayed rows change nothing
     stream = spark.readStream.schema(df.schema).parquet(src)
     start_upsert(stream, f"{tmp_path}/st", f"{tmp_path}/ck", ["k"], policy, ["seq"]).awaitTermination()
