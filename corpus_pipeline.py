@@ -29,9 +29,9 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that many of them share; one that loses all its text goes."""
+    """Documents without the lines that many of them share. One that consists of such lines stays, with an empty text; the
+    next stage takes texts without words for copies of each other."""
     kept = lines.dedup_lines(docs.select(*COLUMNS))
-    kept = kept.where((F.col("n_dropped") == 0) | (F.trim("text") != ""))
     return kept.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 

@@ -246,7 +246,7 @@ def signature(hashes: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, sig, and h1 and h2, a 128-bit hash of the words; texts without words have no signature and hash null."""
+    """doc_id, sig, and h1 and h2, a 128-bit hash of the words; texts without words have no signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -254,7 +254,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
             for text in batch.column("text"):
                 h = shingle_hashes(text.as_py(), size)
                 words = b" ".join((text.as_py() or "").encode("utf-8", "replace").lower().split())
-                digest = np.frombuffer(xxhash.xxh128_digest(words), "<i8").tolist() if len(h) else (None, None)
+                digest = np.frombuffer(xxhash.xxh128_digest(words), "<i8").tolist()
                 for column, v in zip(out, (signature(h) if len(h) else None, *digest), strict=True):
                     column.append(v)
             arrays = [pa.array(v, t) for v, t in zip(out, (pa.binary(), pa.int64(), pa.int64()), strict=True)]
@@ -282,10 +282,10 @@ def similar_documents(docs: DataFrame, size: int = 5, similarity: float = 0.8, s
     similarity that a signature shows: pairs above the similarity are rarely missed. Candidates come
     from 20 binary tries of 32 bits each under a budget of two: a first traversal tells which fingerprints have any
     partner, and only these are dealt out again, with their signatures, for a second one that verifies and returns
-    a spanning forest. No pairs leave a task. Texts without words link with nothing. A null doc_id has itself as component.
+    a spanning forest. No pairs leave a task. Texts without words are copies of each other. A null doc_id names no component.
     """
     prints = materialize(signatures(docs, size), "similar-prints")
-    nodes = materialize(prints.where("sig is not null and doc_id is not null").groupBy("h1", "h2").agg(
+    nodes = materialize(prints.where("doc_id is not null").groupBy("h1", "h2").agg(
         F.min("doc_id").alias("node"), F.first("sig").alias("sig")
     ), "similar-nodes")
 
@@ -325,7 +325,7 @@ def similar_documents(docs: DataFrame, size: int = 5, similarity: float = 0.8, s
         far = np.flatnonzero(root != np.arange(len(root)))
         yield pa.RecordBatch.from_arrays([pa.array(node[far]), pa.array(node[root[far]])], ["a", "b"])
 
-    segments = nodes.select("node", "sig").mapInArrow(cut, "node long, seg int, fp long")
+    segments = nodes.where("sig is not null").select("node", "sig").mapInArrow(cut, "node long, seg int, fp long")
     entered = tries(segments, SEGMENT_BUDGET, SEGMENT_BLOCKS, SEGMENT)
     schema = "trie int, lead long, sub long, rest long, node long"
     met = materialize(map_groups(entered, KEYS, partnered, schema, order=("rest",)), "similar-met")
