@@ -2,8 +2,8 @@
 
 Each micro-batch is reduced to one state row per key and written as its own
 ``batch_id=N`` folder, which a replay of the batch overwrites. The cost of a batch is its
-own size, not the table's. Reading combines the states; :func:`compact` does so once and
-for all.
+own size, not the table's. Reading combines the states; :func:`compact_in_place` does so once and
+for all, also while the stream runs.
 """
 
 from __future__ import annotations
