@@ -88,7 +88,7 @@ def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op9_embedding_dedup")
+@query("op9_embedding_dedup", oracles.EMBEDDINGS)
 def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.near_duplicates(table(spark, sf_dir, "embeddings"))
 
