@@ -112,10 +112,11 @@ def test_numbers(column):
 
 
 def test_ids(spark):
-    rows = [("000389583", None), (None, "15"), ("x", " 7 "), ("99999999999", "3"), ("9.5", "a"), (None, None)]
+    rows = [("000389583", None), (None, "15"), ("x", " 7 "), ("99999999999", "3"), ("9.5", "a"), (None, None),
+            ("9" * 20, "3"), ("", "3000000000")]
     df = spark.createDataFrame(rows, "a string, b string")
     got = [r.o for r in df.select(numbers.int_id(F.col("a"), F.col("b")).alias("o")).collect()]
-    assert got == [389583, 15, 7, 3, None, None]
+    assert got == [389583, 15, 7, 99999999999, None, None, None, 3000000000]
 
 
 def test_outcome(column):
