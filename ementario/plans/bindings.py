@@ -187,6 +187,7 @@ def sql_typed_date(e: str) -> str:
     )
 
 
+# --- fixed values: outcome phrases, as the classifier has them -------------------------
 SQL_FAVOURABLE = (
     "DAR PROVIMENTO|DEU PROVIMENTO|ACOLHER OS EMBARGOS|CONHECER.*E DAR PROVIMENTO|JULGAR PROCEDENTE"
 )
@@ -194,6 +195,7 @@ SQL_UNFAVOURABLE = (
     "NEGAR PROVIMENTO|NEGOU PROVIMENTO|REJEITAR OS EMBARGOS|NÃO CONHECER DO RECURSO|"
     "INDEFERIR O PEDIDO|JULGAR IMPROCEDENTE"
 )
+# --- end of fixed values ---------------------------------------------------------------
 
 
 def sql_outcome(decisao: str, ementa: str) -> str:
@@ -206,6 +208,7 @@ def sql_outcome(decisao: str, ementa: str) -> str:
 
 def sql_refs(judged: str, mode: str) -> str:
     """``id_julgado_fk, tipo_norma, norma_nome, artigo_dispositivo`` of a judged subquery."""
+    # The citation patterns, as the parser has them.
     provision = {
         "intended": r"ART:(\w+)(?: INC:(\w+))?(?: PAR:(\w+))?",
         "as_written": r"ART:(\w+) (?:INC:(\w+))? (?:PAR:(\w+))?",
