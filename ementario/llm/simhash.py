@@ -224,7 +224,7 @@ def near_duplicates(docs: DataFrame, size: int = 3, budget: int = 2) -> DataFram
 # Similar texts: signatures of several fingerprints, for a Jaccard similarity well below that of near-identical texts.
 
 #: 64-bit fingerprints in a signature; each gives two tries of 32 bits.
-WORDS64 = 10
+WORDS64 = 20
 SEGMENT, SEGMENT_BUDGET, SEGMENT_BLOCKS = 32, 2, 4
 #: Fixed odd numbers that make independent hashes of one.
 MIX = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1)) & (2**64 - 1) for k in range(1, WORDS64 + 1)], np.uint64)
@@ -246,21 +246,26 @@ def signature(hashes: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, sig, and h1 and h2, a 128-bit hash of the words; texts without words have no signature."""
+    """doc_id, t (a hash of the text as it stands), sig, and node, a 64-bit hash of the words; texts without words have no
+    signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: tuple[list, list, list] = ([], [], [])
+            sigs, nodes = [], []
             for text in batch.column("text"):
                 h = shingle_hashes(text.as_py(), size)
-                words = b" ".join((text.as_py() or "").encode("utf-8", "replace").lower().split())
-                digest = np.frombuffer(xxhash.xxh128_digest(words), "<i8").tolist()
-                for column, v in zip(out, (signature(h) if len(h) else None, *digest), strict=True):
-                    column.append(v)
-            arrays = [pa.array(v, t) for v, t in zip(out, (pa.binary(), pa.int64(), pa.int64()), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), *arrays], ["doc_id", "sig", "h1", "h2"])
+                sigs.append(signature(h) if len(h) else None)
+                nodes.append(words_hash(text.as_py()))
+            columns = [batch.column("doc_id").cast(pa.int64()), batch.column("t"), pa.array(sigs, pa.binary()), pa.array(nodes, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "t", "sig", "node"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, sig binary, h1 long, h2 long")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("t"))
+    return rows.mapInArrow(run, "doc_id long, t long, sig binary, node long")
+
+
+def words_hash(text: str | None) -> int:
+    words = b" ".join((text or "").encode("utf-8", "replace").lower().split())
+    return int(np.frombuffer(xxhash.xxh128_digest(words)[:8], "<i8")[0])
 
 
 def most_bits(similarity: float) -> int:
@@ -274,20 +279,45 @@ def _rows64(column: pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(data.buffers()[1], "<u8", len(data) * WORDS64, data.offset * 8 * WORDS64).reshape(-1, WORDS64)
 
 
-def similar_documents(docs: DataFrame, size: int = 5, similarity: float = 0.8, slack: float = 0.03) -> DataFrame:
-    """doc_id and component_id (the smallest doc_id reachable) by links between texts of at least this similarity.
+#: Nodes of a group of candidates that are compared with each other, and with as many others, at once.
+COMPARED = 512
+
 
-    Texts with the same words are one node. A signature of 640 SimHash bits over the set of shingles stands for a text; links
-    are pairs within the bits that a Jaccard ``similarity`` less ``slack`` gives. ``slack`` is one standard error of the
-    similarity that a signature shows: pairs above the similarity are rarely missed. Candidates come
-    from 20 binary tries of 32 bits each under a budget of two: a first traversal tells which fingerprints have any
-    partner, and only these are dealt out again, with their signatures, for a second one that verifies and returns
-    a spanning forest. No pairs leave a task. Texts without words are copies of each other. A null doc_id names no component.
+def similar_links(node: np.ndarray, sig: np.ndarray, sets: list[np.ndarray], side: np.ndarray | None, limit: int, similarity: float) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs whose sets have this Jaccard similarity, among those within ``limit`` bits.
+
+    ``sets`` have each hash once. With ``side`` only pairs of different sides count. A pair that earlier
+    links connect is not compared.
     """
-    prints = materialize(signatures(docs, size), "similar-prints")
-    nodes = materialize(prints.where("doc_id is not null").groupBy("h1", "h2").agg(
-        F.min("doc_id").alias("node"), F.first("sig").alias("sig")
-    ), "similar-nodes")
+    sizes = np.array([len(x) for x in sets])
+    universe, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    parts = np.split(flat, np.cumsum(sizes)[:-1])
+    mark = np.zeros(len(universe), bool)
+    label = np.arange(len(node))
+    out = []
+    for i in range(len(node) - 1):
+        open_ = label[i + 1 :] != label[i]
+        if side is not None:
+            open_ &= side[i + 1 :] != side[i]
+        js = np.flatnonzero(open_) + i + 1
+        js = js[np.bitwise_count(sig[js] ^ sig[i]).sum(axis=1, dtype=np.int64) <= limit]
+        if not len(js):
+            continue
+        mark[parts[i]] = True
+        for j in js.tolist():
+            if label[j] == label[i]:
+                continue
+            both = int(np.count_nonzero(mark[parts[j]]))
+            if both >= similarity * (sizes[i] + sizes[j] - both) - 1e-9:
+                out.append((int(node[i]), int(node[j])))
+                label[label == label[j]] = label[i]
+        mark[parts[i]] = False
+    return out
+
+
+def candidate_groups(nodes: DataFrame, limit: int) -> DataFrame:
+    """node and component of the nodes (columns node and sig) that have a partner within ``limit`` bits, as far as the tries
+    find it: two signatures are met where they agree within ``SEGMENT_BUDGET`` bits on one of the segments."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -307,9 +337,7 @@ def similar_documents(docs: DataFrame, size: int = 5, similarity: float = 0.8, s
             found[b] = True
         yield from rows.filter(pa.array(found)).select([*KEYS, "rest", "node"]).combine_chunks().to_batches()
 
-    limit = most_bits(similarity - slack)
-
-    def verified(rows: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def near(rows: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
         values = rows.column("rest").to_numpy().view(np.uint64)
         node, sig = rows.column("node").to_numpy(), _rows64(rows.column("sig"))
 
@@ -330,10 +358,78 @@ def similar_documents(docs: DataFrame, size: int = 5, similarity: float = 0.8, s
     schema = "trie int, lead long, sub long, rest long, node long"
     met = materialize(map_groups(entered, KEYS, partnered, schema, order=("rest",)), "similar-met")
     again = met.join(nodes.select("node", "sig"), "node")
-    links = materialize(map_groups(again, KEYS, verified, "a long, b long", order=("rest",)).distinct(), "similar-links")
-    groups = connected_components(links)
-    named = nodes.join(groups, "node", "left").select("h1", "h2", F.coalesce("component", "node").alias("component"))
-    named = materialize(named, "similar-components")
-    return prints.join(named, ["h1", "h2"], "left").select(
-        "doc_id", F.coalesce("component", "doc_id").alias("component_id")
+    links = materialize(map_groups(again, KEYS, near, "a long, b long", order=("rest",)).distinct(), "similar-near")
+    return connected_components(links)
+
+
+def similar_rows(docs: DataFrame, size: int = 5, similarity: float = 0.8, slack: float = 0.15) -> DataFrame:
+    """doc_id, t, node (equal for texts with the same words) and component (the smallest node reachable) of every row, by links
+    between texts whose sets of shingles have this Jaccard similarity or more.
+
+    A signature of 1,280 SimHash bits stands for a text while candidates are sought: a pair is one if it agrees within 2
+    bits on one of 40 segments of 32 bits and within the bits of a Jaccard ``similarity`` less ``slack`` on the whole.
+    Of pairs at 0.8 about 0.993 are met, of those at 0.85 all but one in ten thousand; texts of a few words have coarser
+    signatures and are met less often. Texts that candidates connect form a group; in it the sets themselves are compared, so
+    that a link never joins texts below the similarity. A group is dealt out as pairs of blocks of ``COMPARED`` nodes: its
+    rows are copied to each pair of their block, and no pairs of texts leave a task, only spanning forests.
+    """
+    prints = materialize(signatures(docs, size), "similar-prints")
+    nodes = materialize(prints.groupBy("node").agg(
+        F.first("sig").alias("sig"), F.min(F.struct("doc_id", "t")).alias("of")
+    ), "similar-nodes")
+    limit = most_bits(similarity - slack)
+    groups = materialize(candidate_groups(nodes, limit), "similar-groups")
+    members = groups.union(groups.select("component", "component").distinct())
+    large = members.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") > COMPARED)
+    large = materialize(large.select("component", F.ceil(F.col("n") / COMPARED).cast("int").alias("blocks")), "similar-large")
+    blocks = F.coalesce("blocks", F.lit(1))
+    members = members.join(large, "component", "left").withColumn("blocks", blocks).withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    ).join(nodes, "node").select("component", "blocks", "block", "node", "sig", "of.doc_id", "of.t")
+    members = materialize(members, "similar-members")
+
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(t.as_py(), size)).astype("<u8").tobytes() for t in batch.column("text")]
+            columns = [batch.column(c) for c in ("component", "blocks", "block", "node", "sig")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(sets, pa.binary())], ["component", "blocks", "block", "node", "sig", "set"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id_d"), F.xxhash64("text").alias("t_d"), "text")
+    same = F.col("doc_id").eqNullSafe(F.col("doc_id_d")) & (F.col("t") == F.col("t_d"))
+    schema = "component long, blocks int, block int, node long, sig binary, set binary"
+    sets = texts.join(members, same).select("component", "blocks", "block", "node", "sig", "text").mapInArrow(shingled, schema)
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = sets.withColumn("other", other).select(
+        "component", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "sig", "set"
     )
+
+    def compared(rows: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+        node, sig, block = rows.column("node").to_numpy(), _rows64(rows.column("sig")), rows.column("block").to_numpy()
+        lo, hi, held = rows.column("lo").to_numpy(), rows.column("hi").to_numpy(), rows.column("set")
+        found = []
+        for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            _, at = np.unique(node[start:end], return_index=True)  # repeated rows
+            at += start
+            if len(at) > 1:
+                arrays = [np.frombuffer(held[k].as_buffer(), "<u8") for k in at.tolist()]
+                side = block[at] if lo[start] != hi[start] else None
+                found += similar_links(node[at], sig[at], arrays, side, limit, similarity)
+        ends = np.array(found, np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
+
+    links = materialize(map_groups(dealt, ["component", "lo", "hi"], compared, "a long, b long"), "similar-links")
+    named = nodes.select("node").join(connected_components(links), "node", "left").select(
+        "node", F.coalesce("component", "node").alias("component")
+    )
+    # Written, so that the rows of a node with many copies can be split in the join.
+    return prints.drop("sig").join(materialize(named, "similar-components"), "node", "left").select("doc_id", "t", "node", "component")
+
+
+def similar_documents(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
+    """doc_id and component_id (the smallest doc_id reachable) of every row; see ``similar_rows``.
+
+    Texts without words are copies of each other. A null doc_id names no component: where no other row is reached it is null.
+    """
+    rows = materialize(similar_rows(docs, size, similarity), "similar-rows")
+    least = materialize(rows.groupBy("component").agg(F.min("doc_id").alias("component_id")), "similar-least")
+    return rows.join(least, "component", "left").select("doc_id", "component_id")

@@ -118,6 +118,35 @@ def test_similar_texts(spark):
     assert simhash.similar_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_similar_texts_are_told_at_the_threshold(spark):
+    rng = np.random.default_rng(11)
+    rows, made = [], {}
+    for k in range(120):
+        shared = (390, 400, 410)[k % 3]  # of 500 shingles in both: a similarity of 0.78, 0.80, 0.82
+        words = [f"{x:x}" for x in rng.integers(1 << 40, size=shared + 4)]
+        for c in range(2):
+            own = [f"{x:x}" for x in rng.integers(1 << 40, size=(500 - shared) // 2)]
+            rows.append((2 * k + c, " ".join(words + own)))
+        made[k] = len(set(simhash.shingle_hashes(rows[-1][1], 5)) & set(simhash.shingle_hashes(rows[-2][1], 5)))
+    assert [made[k] for k in range(3)] == [390, 400, 410]
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    linked = [sum(got[2 * k + 1] == 2 * k for k in range(g, 120, 3)) for g in range(3)]
+    assert linked[0] == 0 and linked[1] >= 39 and linked[2] >= 39
+
+
+@pytest.mark.parametrize("compared", [512, 5])
+def test_large_groups_of_similar_texts_are_compared_in_blocks(spark, monkeypatch, compared):
+    monkeypatch.setattr(simhash, "COMPARED", compared)
+    rng = np.random.default_rng(12)
+    words = [f"{x:x}" for x in rng.integers(1 << 40, size=204)]
+    rows = [(k, " ".join([*words[: 204 - k], *(f"n{k}x{j}" for j in range(k))])) for k in range(0, 60, 2)]
+    sets = {i: set(simhash.shingle_hashes(t, 5).tolist()) for i, t in rows}
+    close = [(a, b) for a in sets for b in sets if a < b and 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])]
+    got = simhash.similar_documents(spark.createDataFrame([*rows, rows[3]], "doc_id long, text string")).collect()
+    assert len(got) == len(rows) + 1
+    assert {r.doc_id: r.component_id for r in got} == components(sets, close)
+
+
 def vector_rows():
     rng = np.random.default_rng(4)
     rows, k = [], 0
