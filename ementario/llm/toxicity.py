@@ -1,7 +1,7 @@
 """Toxicity of texts that may be disguised: decode first, then score.
 
 The channel writes letters as digits or signs, stretches them, hides them behind a mask or spaces them out. A disguised
-word is a lattice of characters; the path with the best sum of channel and language model cost is
+word, or a run of spaced characters, whose gaps may each end a word, is a lattice of characters; the path with the best sum of channel and language model cost is
 its restored form. The language model counts character triples over the whole corpus. Words with one path
 (plain letters) are their own restored form. The score weighs restored words and their beginnings,
 learnt from labelled documents.
@@ -35,10 +35,13 @@ LOOKS_LIKE = {
 }
 MASKS = "*#%_?"
 FILLERS = ".-_*~'’/\\,"
-#: Costs (negative logarithms) of the channel: a sign for a letter, a masked letter, a dropped filler, a stretched letter.
+#: Costs (negative logarithms) of the channel: a sign for a letter, a masked letter, a filler dropped or read as the end of
+#: a word, a stretched letter.
 SIGN, MASK, DROP, STRETCH = 1.0, 2.5, 0.7, 0.5
 #: Longer tokens are names, links or code; they are scored as they stand.
 LONGEST = 30
+#: States kept at each place of a lattice, so that its cost is linear in the runs of characters, however many there are.
+BEAM = 200
 #: Bounds of the model: labelled documents that it learns from, features that it keeps.
 MAX_LABELLED, MAX_FEATURES = 30_000, 20_000
 PREFIXES = range(4, 8)
@@ -48,8 +51,10 @@ STRONG = 4.5
 EDGES = "\"“”„«»()[]{}<>.,;:!?*#$%&|~'’`…-_=/\\"
 _SIGNS = "".join(map(re.escape, LOOKS_LIKE)) + "".join(map(re.escape, MASKS + FILLERS))
 _DISGUISED = re.compile(rf"[{_SIGNS}]|(.)\1\1")
-#: Single characters with one and the same kind of gap between them: ``i d i o t``, ``i.d.i.o.t``.
-_SPACED = re.compile(r"(?<![^\W_])[^\W_](?:([ ._*\-])[^\W_])(?:\1[^\W_]){2,}(?![^\W_])")
+_GAPS = r"\s" + "".join(map(re.escape, FILLERS))
+_UNIT = rf"[^\W_{"".join(map(re.escape, FILLERS))}]|[{"".join(map(re.escape, [*LOOKS_LIKE, *(c for c in MASKS if c not in FILLERS)]))}]"
+#: Three or more single characters (letters, digits or signs, each maybe stretched) with any gaps between them.
+_SPACED = re.compile(rf"(?<![^\W_])({_UNIT})\1*(?:[{_GAPS}]+({_UNIT})\2*){{2,}}(?![^\W_])")
 
 
 class LanguageModel:
@@ -61,7 +66,8 @@ class LanguageModel:
         p1 = (c1 + 1) / (c1.sum() + SYMBOLS)
         p2 = (c2 + 20 * p1) / (c2.sum(1, keepdims=True) + 20)
         p3 = (c3 + 5 * p2[None]) / (c3.sum(2, keepdims=True) + 5)
-        self.cost = -np.log(p3).astype(np.float32)
+        self.cost = (-np.log(p3)).astype(np.float32)
+        self.flat = self.cost.ravel().tolist()
         self.symbol = {c: k + 1 for k, c in enumerate(LETTERS)}
 
     def of(self, ch: str) -> int:
@@ -110,7 +116,7 @@ def language_model(docs: DataFrame) -> np.ndarray:
 def lattice(token: str) -> list[list[tuple[str, float]]]:
     """For each place (a run of one character) what may have been written there, with its cost.
 
-    An entry is a string: empty for a dropped filler, two letters for a doubled one.
+    An entry is a string: empty for a dropped filler, a space where it ends a word, two letters for a doubled one.
     """
     out = []
     for m in re.finditer(r"(.)\1*", token, re.DOTALL):
@@ -123,6 +129,8 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
         if ch.isalpha():
             for times in (1, 2):
                 add(ch * times, STRETCH * abs(run - times) if run > 2 else 0.0 if run == times else 3.0)
+        elif ch.isspace():
+            options = {"": 0.0, " ": 0.0}
         else:
             for letter in LOOKS_LIKE.get(ch, ""):
                 for times in {1, min(run, 2)}:
@@ -133,6 +141,8 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
                         add(letter, MASK)
             if ch in FILLERS or ch in MASKS:
                 add("", DROP)
+            if ch in FILLERS:
+                add(" ", DROP)
             if not options:
                 add(ch * run, 0.0)
         out.append(list(options.items()))
@@ -142,23 +152,36 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
 def viterbi(token: str, model: LanguageModel, most: int = 4, margin: float = 4.0) -> list[str]:
     """The best path through the token's lattice, and the best ones into other last states within ``margin`` of it.
 
-    A state is the last two symbols; the best path into each is kept.
+    A state is the last two symbols; the best path into each is kept, and of more than ``BEAM`` states the best. A path is
+    its last piece and the path before it.
     """
-    paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    flat, of = model.flat, model.of
+    paths: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
     for options in lattice(token):
-        best: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (cost, text) in paths.items():
-            for letters, extra in options:
-                x, y, total = a, b, cost + extra
-                for ch in letters:
-                    s = model.of(ch) if ch.isalpha() else 0
-                    total += float(model.cost[x, y, s])
-                    x, y = y, s
-                if (x, y) not in best or total < best[x, y][0]:
-                    best[x, y] = (total, text + letters)
+        coded = [(letters, [of(ch) if ch.isalpha() else 0 for ch in letters], extra) for letters, extra in options]
+        best: dict[int, tuple[float, tuple | None]] = {}
+        for state, (cost, path) in paths.items():
+            for letters, symbols, extra in coded:
+                now, total = state, cost + extra
+                for s in symbols:
+                    total += flat[now * SYMBOLS + s]
+                    now = now % SYMBOLS * SYMBOLS + s
+                if now not in best or total < best[now][0]:
+                    best[now] = (total, (path, letters) if letters else path)
+        if len(best) > BEAM:
+            best = dict(sorted(best.items(), key=lambda x: x[1][0])[:BEAM])
         paths = best
-    ends = sorted((cost + float(model.cost[a, b, 0]), text) for (a, b), (cost, text) in paths.items())
-    return [text for cost, text in ends[:most] if cost <= ends[0][0] + margin]
+
+    def spelt(path: tuple | None) -> str:
+        pieces = []
+        while path:
+            path, letters = path
+            pieces.append(letters)
+        return "".join(reversed(pieces))
+
+    ends = sorted((cost + flat[state * SYMBOLS], k) for k, (state, (cost, _)) in enumerate(paths.items()))[:most]
+    found = [path for _, path in paths.values()]
+    return [spelt(found[k]) for cost, k in ends if cost <= ends[0][0] + margin]
 
 
 class Restorer:
@@ -168,19 +191,32 @@ class Restorer:
         self.model = model
 
     def forms(self, token: str) -> set[str]:
-        """The token without signs at its edges, and what its lattice restores to."""
+        """The token without signs at its edges, and the words that its lattice restores to. Of a spaced run only these."""
+        spaced = any(map(str.isspace, token))
         bare = token.strip(EDGES)
-        out = {bare}
-        for t in {bare, token.rstrip(".,;:?\"')").lstrip("\"'(")}:
-            if t and len(t) <= LONGEST and _DISGUISED.search(t) and any(map(str.isalpha, t)):
-                out.update(viterbi(t, self.model))
+        out = set() if spaced else {bare}
+        for t in {token} if spaced else {bare, token.rstrip(".,;:?\"')").lstrip("\"'(")}:
+            if t and (spaced or len(t) <= LONGEST and _DISGUISED.search(t)) and any(map(str.isalpha, t)):
+                for form in viterbi(t, self.model):
+                    out.update(form.split())
         out.discard("")
         return out
 
 
+def spaced_runs(text: str) -> list[str]:
+    """Runs of characters that stand one at a time, with their gaps. Where words end in them is for the lattice to say."""
+    return [m[0] for m in _SPACED.finditer(text) if any(map(str.isalpha, m[0]))]
+
+
 def spaced_words(text: str) -> list[str]:
-    """Words written one character at a time."""
-    return [m[0].replace(m[1], "") for m in _SPACED.finditer(text)]
+    """The runs with all their gaps left out, as if each were one word."""
+    return [re.sub(f"[{_GAPS}]", "", run) for run in spaced_runs(text)]
+
+
+def tokens_of(low: str) -> set[str]:
+    """What is looked up of a text in small letters: its tokens, and its spaced runs with and without gaps."""
+    runs = spaced_runs(low)
+    return {*low.split(), *runs, *(re.sub(f"[{_GAPS}]", "", run) for run in runs)}
 
 
 def features(form: str) -> list[str]:
@@ -217,9 +253,7 @@ class Scorer:
 
     def evidence(self, text: str) -> tuple[float, float, float]:
         """The strongest word, how many distinct words are strong, and the sum of the weak; zero for a text without any."""
-        low = text.lower()
-        tokens = set(low.split())
-        tokens.update(spaced_words(low))
+        tokens = tokens_of(text.lower())
         known, weight = self.known, self.weight
         hits = []
         for t in tokens:
@@ -285,9 +319,8 @@ def learn_weights(sample: DataFrame, triples: np.ndarray, most: int = MAX_FEATUR
         tallies = (Counter(), Counter())
         for batch in batches:
             for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist(), strict=True):
-                low = text.as_py().lower()
                 found = set()
-                for t in {*low.split(), *spaced_words(low)}:
+                for t in tokens_of(text.as_py().lower()):
                     for form in restorer.forms(t):
                         found.update(features(form))
                 tallies[int(toxic > 0)].update(found)

@@ -121,3 +121,18 @@ def test_pipeline_on_planted_cases(spark, tmp_path):
 
 def test_every_operator_has_a_query():
     assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 11)} | {"pipeline"}
+
+
+SPACED = [
+    ("you are a i d i o t", {"a", "idiot"}), ("y o u i d i o t", {"you", "idiot"}), ("an i d ! o t", {"idiot"}), ("l 0 $ 3 r", {"loser"}),
+    ("i\nd\ni\no\nt", {"idiot"}), ("m  o.r - o n!", {"moron"}), ("too b a d now", {"bad"}), ("m o r o n l o s e r", {"moron", "loser"}),
+]
+
+
+@pytest.mark.parametrize("text, words", SPACED)
+def test_spaced_runs_go_through_the_lattice(fitted, text, words):
+    triples = toxicity.count_triples("you are not a bad " * 200, toxicity.symbol_table(), fitted[2].triples.copy())
+    restorer = toxicity.Restorer(toxicity.LanguageModel(triples))
+    assert words <= set().union(*(restorer.forms(t) for t in toxicity.tokens_of(text)))
+    assert not toxicity.spaced_runs("1 2 3 4 and a plain text, a-b and so on")
+
