@@ -38,8 +38,6 @@ FILLERS = ".-_*~'’/\\,"
 #: Costs (negative logarithms) of the channel: a sign for a letter, a masked letter, a filler dropped or read as the end of
 #: a word, a stretched letter.
 SIGN, MASK, DROP, STRETCH = 1.0, 2.5, 0.7, 0.5
-#: Longer tokens are names, links or code; they are scored as they stand.
-LONGEST = 30
 #: States kept at each place of a lattice, so that its cost is linear in the runs of characters, however many there are.
 BEAM = 200
 #: Bounds of the model: labelled documents that it learns from, features that it keeps.
@@ -50,7 +48,8 @@ STRONG = 4.5
 
 EDGES = "\"“”„«»()[]{}<>.,;:!?*#$%&|~'’`…-_=/\\"
 _SIGNS = "".join(map(re.escape, LOOKS_LIKE)) + "".join(map(re.escape, MASKS + FILLERS))
-_DISGUISED = re.compile(rf"[{_SIGNS}]|(.)\1\1")
+_DISGUISED = re.compile(rf"[{_SIGNS}]|(.)\1")
+_STRETCHED, _RUNS = re.compile(r"(.)\1\1"), re.compile(r"(.)\1*", re.DOTALL)
 _GAPS = r"\s" + "".join(map(re.escape, FILLERS))
 _UNIT = rf"[^\W_{"".join(map(re.escape, FILLERS))}]|[{"".join(map(re.escape, [*LOOKS_LIKE, *(c for c in MASKS if c not in FILLERS)]))}]"
 #: Three or more single characters (letters, digits or signs, each maybe stretched) with any gaps between them.
@@ -184,6 +183,28 @@ def viterbi(token: str, model: LanguageModel, most: int = 4, margin: float = 4.0
     return [spelt(found[k]) for cost, k in ends if cost <= ends[0][0] + margin]
 
 
+def doubled(token: str, model: LanguageModel, margin: float = 4.0) -> list[str]:
+    """What ``viterbi`` finds for a token of letters in runs of one or two: there each run is decided on its own.
+
+    Whether a letter c between x and y is written once or twice changes no other triple than (x, c, y), or (x, c, c) and (c, c, y).
+    """
+    flat, of = model.flat, model.of
+    runs = [(m[1], len(m[0])) for m in _RUNS.finditer(token)]
+    symbols = [0, *(of(c) for c, _ in runs), 0]
+    best, last = [], 0.0
+    for k, (c, n) in enumerate(runs, 1):
+        x, s, y = symbols[k - 1 : k + 2]
+        xs = (x * SYMBOLS + s) * SYMBOLS
+        # Above zero: cheaper once.
+        last = flat[xs + s] + flat[(s * SYMBOLS + s) * SYMBOLS + y] - flat[xs + y] + (3.0 if n == 1 else -3.0)
+        best.append(c if last >= 0 else c * 2)
+    out = ["".join(best)]
+    if abs(last) <= margin:
+        c = runs[-1][0]
+        out.append("".join(best[:-1]) + (c * 2 if last >= 0 else c))
+    return out
+
+
 class Restorer:
     """Restored forms of tokens, kept in a bounded table per worker."""
 
@@ -191,13 +212,17 @@ class Restorer:
         self.model = model
 
     def forms(self, token: str) -> set[str]:
-        """The token without signs at its edges, and the words that its lattice restores to. Of a spaced run only these."""
+        """The token without signs at its edges, and the words that its lattice restores to. Of a spaced run only these.
+
+        Every token with more than one path is decoded, whatever its length.
+        """
         spaced = any(map(str.isspace, token))
         bare = token.strip(EDGES)
         out = set() if spaced else {bare}
         for t in {token} if spaced else {bare, token.rstrip(".,;:?\"')").lstrip("\"'(")}:
-            if t and (spaced or len(t) <= LONGEST and _DISGUISED.search(t)) and any(map(str.isalpha, t)):
-                for form in viterbi(t, self.model):
+            if t and (spaced or _DISGUISED.search(t)) and any(map(str.isalpha, t)):
+                plain = t.isalpha() and not _STRETCHED.search(t)
+                for form in (doubled if plain else viterbi)(t, self.model):
                     out.update(form.split())
         out.discard("")
         return out

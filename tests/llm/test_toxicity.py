@@ -136,3 +136,19 @@ def test_spaced_runs_go_through_the_lattice(fitted, text, words):
     assert words <= set().union(*(restorer.forms(t) for t in toxicity.tokens_of(text)))
     assert not toxicity.spaced_runs("1 2 3 4 and a plain text, a-b and so on")
 
+
+LONG = [
+    ("lo" + "o" * 40 + "ser", {"loser"}), ("iiddiioott", {"idiot"}), ("m0r0n/l0s3r-1d10t_w0rthl3ss.quiet_valley", {"moron", "loser", "idiot", "worthless"}),
+    ("x" + "/quiet-valley" * 2_000 + "/1d10t", {"idiot"}),
+]
+
+
+@pytest.mark.parametrize("token, words", LONG)
+def test_tokens_of_any_length_are_decoded(fitted, token, words):
+    assert words <= toxicity.Restorer(toxicity.LanguageModel(fitted[2].triples)).forms(token)
+
+
+def test_doubled_letters_are_decided_as_in_the_lattice(fitted):
+    model = toxicity.LanguageModel(fitted[2].triples)
+    for word in ["iiddiioott", "valley", "oo", "ttll", "moronn", "looser", "keepp", "schooll", "bbook", "xx", "aab"]:
+        assert sorted(toxicity.doubled(word, model)) == sorted(toxicity.viterbi(word, model))
