@@ -58,30 +58,58 @@ def token_pieces(docs: DataFrame, most: int = 2048, vocabulary: str = VOCABULARY
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
-def complement(left: np.ndarray, gap: int) -> tuple[int, ...]:
-    """One, two or three lengths that are left and fill the gap exactly, the longest first; empty if there are none."""
-    if left[gap]:
-        return (gap,)
-    have = np.flatnonzero(left[:gap])
-    have = have[have > 0]
-    if not len(have):
-        return ()
+class Sums:
+    """The lengths that are left, and for each sum how many of its pairs of lengths can be taken.
+
+    Pairs are counted once, at the start, and the counts follow each length as it runs out or comes down to one piece.
+    """
 
-    def pair(total: int, most: int) -> tuple[int, int] | None:
-        a = have[(have <= min(most, total - 1)) & (2 * have >= total)]
-        fits = a[(left[total - a] > 0) & ((2 * a != total) | (left[a] > 1))]
+    def __init__(self, counts: np.ndarray) -> None:
+        self.left = np.zeros_like(counts)
+        self.have = np.zeros(len(counts), bool)
+        self.pairs = np.zeros(2 * len(counts), np.int64)
+        for x in np.flatnonzero(counts[1:]) + 1:
+            self.add(int(x), int(counts[x]))
+
+    def add(self, x: int, n: int) -> None:
+        """``n`` more pieces of length x, or fewer if it is negative."""
+        before, after = int(self.left[x]), int(self.left[x]) + n
+        self.left[x] = after
+        if (before > 0) != (after > 0):
+            self.have[x] = False
+            others = np.flatnonzero(self.have)
+            self.pairs[others + x] += 1 if after else -1
+            self.have[x] = after > 0
+        self.pairs[2 * x] += (after > 1) - (before > 1)
+
+    def pair(self, total: int, most: int) -> tuple[int, int] | None:
+        """The pair of this sum whose longer length is the longest that is at most ``most``."""
+        if total < 2 or not self.pairs[total]:
+            return None
+        a = np.arange((total + 1) // 2, min(most, total - 1, len(self.left) - 1) + 1)
+        fits = a[self.have[a] & self.have[total - a] & ((2 * a != total) | (self.left[a] > 1))]
         return (int(fits[-1]), total - int(fits[-1])) if len(fits) else None
 
-    if two := pair(gap, gap):
-        return two
-    for a in have[::-1].tolist():  # the longest of three is at least a third of the gap
-        if 3 * a < gap:
-            break
-        if two := pair(gap - a, a):
-            three = (a, *two)
-            if all(left[x] >= three.count(x) for x in three):
-                return three
-    return ()
+    def complement(self, gap: int) -> tuple[int, ...]:
+        """One, two or three lengths that are left and fill the gap exactly, the longest first; empty if there are none."""
+        if self.have[gap]:
+            return (gap,)
+        if two := self.pair(gap, gap):
+            return two
+        a = np.arange(-(-gap // 3), gap - 1)  # the longest of three is at least a third of the gap
+        a = a[self.have[a] & (self.pairs[gap - a] > 0)]
+        for x in a[::-1].tolist():
+            self.add(x, -1)  # not to be taken twice where one is left
+            two = self.pair(gap - x, x)
+            self.add(x, 1)
+            if two:
+                return (x, *two)
+        return ()
+
+
+def complement(left: np.ndarray, gap: int) -> tuple[int, ...]:
+    """``Sums.complement`` for lengths that are counted only for this gap."""
+    return Sums(left).complement(gap)
 
 
 def plan(counts: np.ndarray, most: int) -> list[tuple[int, tuple[int, ...]]]:
@@ -90,19 +118,20 @@ def plan(counts: np.ndarray, most: int) -> list[tuple[int, tuple[int, ...]]]:
     Each entry uses up a length, or all but fewer of it than one sequence takes, so that the plan has at most a few
     entries for each length, however many pieces there are.
     """
-    left = counts.copy()
+    sums = Sums(counts)
+    left = sums.left
     out = []
     for longest in range(most, 0, -1):
         while left[longest]:
             lengths, gap = [longest], most - longest
-            left[longest] -= 1
+            sums.add(longest, -1)
             taken = [longest]
             while gap:
-                if exact := complement(left, gap):
+                if exact := sums.complement(gap):
                     lengths += exact
                     gap = 0
                     for x in exact:
-                        left[x] -= 1
+                        sums.add(x, -1)
                     taken += exact
                     break
                 fits = np.flatnonzero(left[1 : gap + 1])
@@ -110,12 +139,12 @@ def plan(counts: np.ndarray, most: int) -> list[tuple[int, tuple[int, ...]]]:
                     break
                 best = int(fits[-1]) + 1
                 lengths.append(best)
-                left[best] -= 1
+                sums.add(best, -1)
                 taken.append(best)
                 gap -= best
             more = min(int(left[x]) // taken.count(x) for x in set(taken))
             for x in taken:
-                left[x] -= more
+                sums.add(x, -more)
             out.append((1 + more, tuple(lengths)))
     return out
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections import defaultdict
+from itertools import combinations
 
 import numpy as np
 import public_tokenizers
@@ -95,6 +96,25 @@ def test_exact_complements_are_found(counts, least):
     assert sum(t for t, _ in entries) == least and len(entries) < 10
 
 
+@given(st.lists(st.integers(1, 20), max_size=12), st.integers(1, 30))
+@settings(max_examples=300, deadline=None)
+def test_complements_against_all_choices(lengths, gap):
+    left = np.bincount(np.array(lengths, int), minlength=41).astype(np.int64)
+    found = packing.complement(left, gap)
+    exists = any(sum(c) == gap for n in (1, 2, 3) for c in combinations(lengths, n))
+    assert bool(found) == exists
+    if found:
+        assert sum(found) == gap and all(left[x] >= found.count(x) for x in found)
+
+
+def test_a_triple_is_found_where_its_first_pair_fails():
+    left = np.zeros(65, np.int64)
+    left[[4, 3, 2]] = 1, 2, 1
+    assert packing.complement(left, 10) == (4, 3, 3)
+    left[64 - 10] = 1
+    assert (1, (54, 4, 3, 3)) in packing.plan(left, 64)
+
+
 @pytest.mark.parametrize("ranked", [100_000, 3])
 def test_packing(spark, docs, monkeypatch, ranked):
     monkeypatch.setattr(packing, "RANKED", ranked)
