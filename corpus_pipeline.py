@@ -15,10 +15,21 @@ from ementario.session import materialize
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def keyed(docs: DataFrame, kept: DataFrame, *keys: str) -> DataFrame:
+    """The rows of ``docs``, with the hash t of their text, whose keys are in ``kept``; null keys are equal to each other."""
+    kept = kept.select(*(F.col(k).alias(f"{k}_k") for k in keys))
+    same = [F.col(k).eqNullSafe(F.col(f"{k}_k")) for k in keys]
+    return docs.withColumn("t", F.xxhash64("text")).join(kept, same, "left_semi")
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rule and the adaptive cutoffs keep."""
-    kept = quality.quality_verdicts(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    """Rows that the base rule and the adaptive cutoffs keep.
+
+    A row's verdict is that of its own text, language and source: rows without doc_id are judged like any other, of rows that
+    share a doc_id each is judged on its own, and exactly repeated rows stay or go together.
+    """
+    kept = quality.row_verdicts(docs).where("kept").select("doc_id", "t", "lang", "source").distinct()
+    return keyed(docs, kept, "doc_id", "t", "lang", "source").select(*COLUMNS)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,10 +47,19 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each group of similar texts."""
-    groups = simhash.similar_documents(docs)
-    kept = materialize(groups.where("component_id = doc_id").select("doc_id").distinct(), "similar-kept")
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    """One row, the one with the smallest doc_id, of each group of similar texts.
+
+    A row without doc_id stands for its group only where none of its rows has one. Of rows that share the smallest doc_id
+    one stays if their texts are similar; texts that are not similar are groups of their own, so each keeps its row.
+    """
+    rows = materialize(simhash.similar_rows(docs), "similar-rows")
+    keys = rows.groupBy("component", "doc_id", "t").agg(F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t", "n"))  # false comes first
+    kept = materialize(keys.groupBy("component").agg(first.alias("k")).select("k.doc_id", "k.t", "k.n"), "similar-kept")
+    once = keyed(docs, kept.where("n = 1"), "doc_id", "t").select(*COLUMNS)
+    repeated = materialize(kept.where("n > 1"), "similar-repeated")
+    one = keyed(docs, repeated, "doc_id", "t").groupBy("doc_id", "t").agg(F.min(F.struct(*COLUMNS)).alias("r"))
+    return once.union(one.select("r.*"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

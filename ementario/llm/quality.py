@@ -75,7 +75,7 @@ def repeated_words(ws: Column) -> Column:
 
 
 def text_counts(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, source and the base counts of every text.
+    """doc_id, lang, source, t (a hash of the text) and the base counts of every text.
 
     Null text has no words and no lines. Other columns are left out, so none can clash.
     """
@@ -94,9 +94,9 @@ def text_counts(docs: DataFrame) -> DataFrame:
         )
 
     # A filter on a computed column would run the measuring twice, so none follows before the write.
-    measured = docs.select("doc_id", "lang", "source", let(words(F.col("text")), measure).alias("m"))
+    measured = docs.select("doc_id", "lang", "source", F.xxhash64("text").alias("t"), let(words(F.col("text")), measure).alias("m"))
     return measured.select(
-        "doc_id", "lang", "source", "m.n_words", "m.word_chars", "m.n_symbols",
+        "doc_id", "lang", "source", "t", "m.n_words", "m.word_chars", "m.n_symbols",
         F.col("m.lines.n").alias("n_lines"), F.col("m.lines.dup").alias("n_dup_lines"), "m.n_repeat_words",
     )
 
@@ -180,6 +180,11 @@ def quality_verdicts(docs: DataFrame) -> DataFrame:
     once and never shuffled; the counts are written to the shared folder for the two passes over them.
     An empty table gives an empty result; repeated rows are judged each; null text fails the base rule.
     """
+    return row_verdicts(docs).drop("lang", "source", "t")
+
+
+def row_verdicts(docs: DataFrame) -> DataFrame:
+    """``quality_verdicts`` with lang, source and t, the hash of the text: rows equal in these and doc_id have one verdict."""
     counts = with_measures(materialize(text_counts(docs), "quality-counts"))
     limits = thresholds(counts).withColumnsRenamed({"lang": "lang_t", "source": "source_t"})
     limits = materialize(limits, "quality-limits")
@@ -188,6 +193,6 @@ def quality_verdicts(docs: DataFrame) -> DataFrame:
         over = over | F.coalesce(F.col(m.name) > F.col(f"max_{m.name}"), F.lit(False))
     same = F.col("lang").eqNullSafe(F.col("lang_t")) & F.col("source").eqNullSafe(F.col("source_t"))
     return counts.join(limits, same, "left").select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        "lang", "source", "t", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & ~over).alias("kept"),
     )

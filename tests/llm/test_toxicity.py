@@ -119,6 +119,22 @@ def test_pipeline_on_planted_cases(spark, tmp_path):
         assert stage(spark, empty, str(tmp_path)).count() == 0
 
 
+def test_null_and_repeated_ids_in_the_pipeline(spark):
+    import corpus_pipeline
+
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(80))
+    rows = [(k, text(k), "en", "s", 0) for k in range(6)]
+    rows += [(None, text(10), "en", "s", 0), (None, text(11), None, None, 0), (None, text(0), "en", "s", 0)]
+    rows += [(3, "buy now " * 60, "en", "s", 0), (4, text(12), "en", "s", 0), rows[5], (None, text(10), "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    judged = corpus_pipeline.quality_stage(spark, docs, "")
+    key = lambda rs: sorted((-1 if r[0] is None else r[0], r[1]) for r in rs)
+    assert key(judged.collect()) == key(r for r in rows if "buy" not in r[1])
+    left = corpus_pipeline.near_copy_stage(spark, judged, "")
+    assert left.columns == corpus_pipeline.COLUMNS
+    assert key(left.collect()) == key([*rows[:8], (4, text(12))])
+
+
 def test_every_operator_has_a_query():
     assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 11)} | {"pipeline"}
 
