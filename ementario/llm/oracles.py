@@ -140,3 +140,81 @@ n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
 SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
 FROM embeddings JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id
 """
+
+# crc32 by its definition: eight shifts for each byte of the UTF-8 text, here of ASCII and Latin-1 letters.
+_SHIFTS = "list_reduce(list_prepend(xor(c, b), range(8)), lambda s, k: CASE WHEN s & 1 = 1 THEN xor(s >> 1, 3988292384) ELSE s >> 1 END)"
+_BYTES = """flatten(list_transform(string_split(doc_id || ':' || run, ''),
+  lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [192 + (unicode(x)::BIGINT >> 6), 128 + (unicode(x)::BIGINT & 63)] END))"""
+
+VARIANTS = rf"""
+WITH RECURSIVE r0 AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS doc_id,
+    unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS run FROM documents
+),
+r1 AS (SELECT doc_id, run, count(*) AS n FROM r0 WHERE length(run) >= 7 GROUP BY ALL),
+r2 AS (SELECT run, n, xor(list_reduce(list_prepend(4294967295, {_BYTES}), lambda c, b: {_SHIFTS}), 4294967295) AS h FROM r1),
+w AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM r2
+  ) WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+),
+d AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less FROM w, unnest(range(1, length(word) + 1)) AS r(i)),
+near AS (
+  SELECT a.word, b.word AS near FROM d a JOIN d b ON a.i = b.i AND a.less = b.less AND a.word <> b.word AND length(a.word) = length(b.word)
+  UNION SELECT d.word, w.word FROM d JOIN w ON d.less = w.word UNION SELECT w.word, d.word FROM d JOIN w ON d.less = w.word
+),
+s AS (SELECT near.word, near, b.n AS near_n, count(*) OVER (PARTITION BY near.word) AS n_near,
+        row_number() OVER (PARTITION BY near.word ORDER BY b.n DESC, near) AS k FROM near JOIN w b ON b.word = near),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * w.n THEN near END AS form, CASE WHEN near_n >= 10 * w.n THEN near_n END AS form_n
+      FROM w LEFT JOIN s ON s.word = w.word AND k = 1),
+up AS (SELECT word, word AS root, 0 AS depth FROM f UNION ALL SELECT up.word, f.form, depth + 1 FROM up JOIN f ON f.word = up.root WHERE f.form IS NOT NULL)
+SELECT f.word, form, arg_max(up.root, depth) AS root, n, n_near, form_n FROM f JOIN up USING (word) GROUP BY ALL
+"""
+
+_TEST_WORDS = f"list_filter(string_split_regex({_LOWER.format('text')}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+
+LEAKS = f"""
+WITH d AS (SELECT doc_id, coalesce({_TEST_WORDS}, []) AS w FROM documents),
+i AS (SELECT item_id, {_TEST_WORDS} AS w FROM benchmark WHERE text IS NOT NULL),
+iw AS (SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[k : k + least(len(w), 10) - 1], ' ') AS span
+       FROM i, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS r(k) WHERE len(w) > 0),
+dw AS (SELECT doc_id, k, s.size, array_to_string(w[k : k + s.size - 1], ' ') AS span
+       FROM d, (SELECT DISTINCT size FROM iw) s, unnest(range(1, len(w) - s.size + 2)) AS r(k) WHERE len(w) >= s.size),
+hit AS (SELECT doc_id, k, dw.size, item_id FROM dw JOIN iw ON dw.span = iw.span AND dw.size = iw.size),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM hit, unnest(range(k, k + size)) AS r(p) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+          FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+_FAILS = " + ".join(f"CASE WHEN {c} THEN {1 << k} ELSE 0 END" for k, c in enumerate((
+    "len(w) < 100", "100 * len(list_distinct(w)) < 80 * len(w)", "100 * len(regexp_extract_all(text, '[A-Z]')) > 10 * length(text)",
+    "regexp_matches(text, '[#$%&*|]')", "doc_id > min(doc_id) OVER (PARTITION BY text)",
+)))
+
+AUDIT = f"""
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+             list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, {_FAILS} AS mask, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic FROM t LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, mask, good, toxic, count(*) AS n FROM m GROUP BY ALL),
+f AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS v(letter, bit)),
+o AS (SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+      FROM f a JOIN f b ON b.letter <> a.letter JOIN f c ON c.letter NOT IN (a.letter, b.letter)
+      JOIN f d ON d.letter NOT IN (a.letter, b.letter, c.letter) JOIN f e ON e.letter NOT IN (a.letter, b.letter, c.letter, d.letter)),
+s AS (SELECT filter_order, k AS step, bits[k] AS bit, coalesce(list_sum(bits[1 : k - 1]), 0)::INT AS earlier FROM o, unnest(range(1, 6)) AS r(k)),
+g AS (
+  SELECT part, filter_order, step, bit, coalesce(sum(n) FILTER (mask & (earlier | bit) = 0), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (mask & bit > 0 AND mask & earlier = 0), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (mask & bit > 0 AND mask & earlier > 0), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+    coalesce(sum(n) FILTER (mask & bit > 0 AND mask & earlier = 0 AND good = 1), 0)::BIGINT AS good_lost,
+    coalesce(sum(n) FILTER (mask & bit > 0 AND mask & earlier = 0 AND toxic = 1), 0)::BIGINT AS toxic_lost
+  FROM c, s GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM g
+"""

@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ementario.llm import bpe, chat, hosts, lines, neighbours, oracles, packing, planes, quality, simhash, toxicity
+from ementario.llm import audit, bpe, chat, hosts, leaks, lines, neighbours, oracles, packing, planes, quality, simhash, toxicity, variants
 from ementario.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,6 +101,24 @@ def token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query("op11_spelling_variants", oracles.VARIANTS)
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(table(spark, sf_dir, "documents"))
+
+
+@query("op12_decontamination", oracles.LEAKS)
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leaks.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated"
+    )
+
+
+@query("op13_filter_audit", oracles.AUDIT)
+def filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
