@@ -1,19 +1,19 @@
-"""Embedding text and exact nearest neighbours by cosine distance."""
+"""Embedding text, and the nearest neighbours of one vector by cosine distance."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ementario.functions.text import embed_text, long_enough
 from ementario.functions.vectors import cosine_distance_to
+from ementario.operators.neighbours import DISTANCE_DECIMALS
 from ementario.operators.upsert import VECTOR_POLICY, merge
 from ementario.schemas import SOURCE_TAG, VECTOR_DIM
 from ementario.session import materialize
@@ -111,13 +111,7 @@ def vectorize(
     return merge(vectors, fresh, ["id_julgado_fk"], VECTOR_POLICY)
 
 
-# --- nearest neighbours ------------------------------------------------------------
-
-# Distances are compared at this many decimals so that equal vectors tie, whatever the
-# summation order, and ties go to the smaller id.
-DISTANCE_DECIMALS = 9
-# Rows per side of a grid cell.
-CELL_ROWS = 20_000
+# --- nearest neighbours of one vector; of many: operators/neighbours.py ------------------
 
 
 def knn_single(vectors: DataFrame, query: Sequence[float], k: int = 5, key: str = "vec_id") -> DataFrame:
@@ -127,92 +121,3 @@ def knn_single(vectors: DataFrame, query: Sequence[float], k: int = 5, key: str
     # would compute every distance twice.
     nearest = vectors.select(key, dist.alias("dist")).orderBy(F.asc_nulls_last("dist"), key).limit(k)
     return nearest.filter(F.col("dist").isNotNull())
-
-
-def _unit_vectors(df: DataFrame, key: str, name: str) -> DataFrame:
-    """``id, dim, vec``: vectors that have a direction, at length one, written once for all cells that read them."""
-    vec = F.col("embedding").cast("array<double>")
-    finite = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    norm = F.sqrt(F.aggregate(vec, F.lit(0.0), lambda a, x: a + x * x))
-    rows = df.select(F.col(key).cast("bigint").alias("id"), F.when(finite, vec).alias("vec"), F.when(finite, norm).alias("n"))
-    rows = rows.filter((F.col("n") > 0) & (F.col("n") < float("inf")))
-    unit = F.transform("vec", lambda x: x / F.col("n"))
-    return materialize(rows.select("id", F.size("vec").alias("dim"), unit.alias("vec")), name)
-
-
-def _cell_top_k(
-    qids: np.ndarray, q: np.ndarray, vids: np.ndarray, v: np.ndarray, k: int, exclude_self: bool
-) -> pd.DataFrame:
-    """The ``k`` nearest rows of ``v`` for each row of ``q``, as ``qid, vid, dist``."""
-    out = []
-    order = np.argsort(vids, kind="stable")  # columns in id order, for ties
-    vids, v = vids[order], v[order]
-    step = max(1, (32 << 20) // max(1, 8 * len(v)))
-    for start in range(0, len(q), step):
-        block, ids = q[start : start + step], qids[start : start + step]
-        dist = np.round(1.0 - block @ v.T, DISTANCE_DECIMALS)
-        if exclude_self:
-            dist[ids[:, None] == vids[None, :]] = np.inf
-        if k < len(vids):
-            # Below the k-th distance, then as many of its ties, by id, as still fit: a
-            # group of equal vectors adds at most k rows.
-            limit = np.partition(dist, k - 1, axis=1)[:, k - 1 : k]
-            nearer, tied = dist < limit, dist == limit
-            room = k - nearer.sum(axis=1, keepdims=True)
-            keep = nearer | (tied & (np.cumsum(tied, axis=1, dtype=np.int32) <= room))
-            rows, cols = np.nonzero(keep & np.isfinite(dist))
-        else:
-            rows, cols = np.nonzero(np.isfinite(dist))
-        out.append(pd.DataFrame({"qid": ids[rows], "vid": vids[cols], "dist": dist[rows, cols]}))
-    if not out:
-        return pd.DataFrame({"qid": [], "vid": [], "dist": []})
-    return pd.concat(out, ignore_index=True)
-
-
-def _best(candidates: DataFrame, k: int) -> DataFrame:
-    """Final ranking of the per-task candidates; limited per group before the shuffle."""
-    by_query = Window.partitionBy("qid").orderBy("dist", "vid")
-    return (
-        candidates.withColumn("rank", F.row_number().over(by_query))
-        .filter(F.col("rank") <= k)
-        .select("qid", "rank", "vid", "dist")
-    )
-
-
-_CANDIDATES = "qid bigint, vid bigint, dist double"
-
-
-def knn_join(
-    queries: DataFrame,
-    vectors: DataFrame,
-    k: int = 3,
-    query_key: str = "vec_id",
-    key: str = "vec_id",
-    exclude_self: bool = False,
-    cell_rows: int = CELL_ROWS,
-) -> DataFrame:
-    """Exact ``k`` nearest vectors of every query: ``qid, rank, vid, dist``.
-
-    Vectors of another length than the query's, and those without a direction, have no distance and are never returned.
-    Blocks of queries meet blocks of vectors, one bounded cell per task: each side is copied once per block of the
-    other, as an exact answer compares all with all. A cell returns at most ``k`` rows per query, never its pairs,
-    and each query's candidates are cut to ``k`` again before they are shuffled.
-    """
-    q = _unit_vectors(queries, query_key, "knn-queries")
-    v = q if queries is vectors and query_key == key else _unit_vectors(vectors, key, "knn-vectors")
-    q_blocks, v_blocks = (max(1, -(-d.count() // cell_rows)) for d in (q, v))
-
-    def blocked(d: DataFrame, own: str, n: int, other: str, m: int) -> DataFrame:
-        block = F.pmod(F.xxhash64("id", "vec"), F.lit(n)).cast("int").alias(own)
-        return d.select(block, F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias(other), "dim", "id", "vec")
-
-    left, right = blocked(q, "qb", q_blocks, "vb", v_blocks), blocked(v, "vb", v_blocks, "qb", q_blocks)
-
-    def cell(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame({"qid": [], "vid": [], "dist": []})
-        qm, vm = np.stack(a["vec"].to_numpy()), np.stack(b["vec"].to_numpy())
-        return _cell_top_k(a["id"].to_numpy(), qm, b["id"].to_numpy(), vm, k, exclude_self)
-
-    keys = ["qb", "vb", "dim"]
-    return _best(left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(cell, _CANDIDATES), k)

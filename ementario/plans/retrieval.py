@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from ementario.functions.vectors import vector_literal
 from ementario.operators.links import download_plan, resolve_links, url_parts
+from ementario.operators.neighbours import knn_join
 from ementario.operators.retrieval import rag_prompts
-from ementario.operators.vectors import embed_hashed, embed_with, knn_join, knn_single, pending_vectors, vectorize
+from ementario.operators.vectors import embed_hashed, embed_with, knn_single, pending_vectors, vectorize
 from ementario.plans.bindings import sql_strip
 from ementario.plans.registry import query
 from ementario.plans.star import EVENT_POLICY
@@ -182,6 +183,15 @@ def nearest_to_each(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("knn_cells", f"SELECT qid, rank, vid, round(dist, 4) AS dist FROM {_SQL_TOP3}")
+def nearest_through_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through many small cells, where each vector meets few of them."""
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return knn_join(vectors, vectors, k=3, exclude_self=True, cell_rows=50).select(
+        "qid", F.col("rank").cast("bigint").alias("rank"), "vid", F.round("dist", 4).alias("dist")
+    )
+
+
 @query("rag_prompt", f"""
 WITH top AS (SELECT * FROM {_SQL_TOP3}),
   ctx AS (SELECT qid, string_agg(text, chr(10) || chr(10) ORDER BY rank) AS context FROM top JOIN documents ON doc_id = vid GROUP BY qid)

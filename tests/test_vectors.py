@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ementario.operators import neighbours as nn
 from ementario.operators import vectors as ve
 from ementario.operators.links import download_plan
 from ementario.operators.retrieval import LANGUAGE_TEMPLATE, SYSTEM_TEMPLATE, fill, rag_prompts
@@ -40,13 +41,60 @@ def test_knn_join(spark, exclude_self):
     rows, df = data(spark)
     want = brute(rows, 4, exclude_self)
     for cell_rows in (1000, 30):
-        got = ve.knn_join(df, df, 4, exclude_self=exclude_self, cell_rows=cell_rows)
+        got = nn.knn_join(df, df, 4, exclude_self=exclude_self, cell_rows=cell_rows)
         assert {(r.qid, r["rank"], r.vid) for r in got.collect() if r.qid != 6} == want
-    assert ve.knn_join(df.limit(0), df, 4).count() == 0
-    wide = ve.knn_join(df.filter("vec_id <> 6"), df, 500, exclude_self=exclude_self)
+    assert nn.knn_join(df.limit(0), df, 4).count() == 0
+    wide = nn.knn_join(df.filter("vec_id <> 6"), df, 500, exclude_self=exclude_self)
     assert wide.count() == len(brute(rows, 500, exclude_self))
 
 
+def clustered(spark, n=3000, dim=16):
+    centres = RNG.normal(size=(40, dim))
+    m = centres[RNG.integers(40, size=n)] + RNG.normal(scale=0.02, size=(n, dim))
+    m[: n // 3] = m[0]  # copies, more than a block holds
+    m[-1] = -m[0]
+    rows = [(i, v.tolist()) for i, v in enumerate(m)] + [(n + i, RNG.normal(size=7).tolist()) for i in range(3)]
+    return rows, spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+
+
+def exact(rows, dim, asked, k, exclude_self):
+    ids = np.array([i for i, v in rows if len(v) == dim])
+    m = np.array([v for _, v in rows if len(v) == dim])
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    out = set()
+    for i in asked:
+        dist = np.round(1 - m @ m[np.flatnonzero(ids == i)[0]], 9)
+        if exclude_self:
+            dist[ids == i] = np.inf
+        near = np.lexsort((ids, dist))[:k]
+        out |= {(i, r + 1, int(ids[j])) for r, j in enumerate(near) if np.isfinite(dist[j])}
+    return out
+
+
+@pytest.mark.parametrize("exclude_self", [True, False])
+def test_metric_index_is_exact_and_compares_few(spark, exclude_self):
+    rows, df = clustered(spark)
+    counter = spark.sparkContext.accumulator(0)
+    got = nn.knn_join(df, df, 4, exclude_self=exclude_self, cell_rows=50, block_rows=200, counter=counter).collect()
+    asked = list(range(0, 3000, 13)) + [2999]
+    assert {(r.qid, r["rank"], r.vid) for r in got if r.qid in set(asked)} == exact(rows, 16, asked, 4, exclude_self)
+    assert {(r.qid, r["rank"], r.vid) for r in got if r.qid >= 3000} == exact(rows, 7, range(3000, 3003), 4, exclude_self)
+    compared = counter.value
+    got = nn.knn_join(df.where("vec_id >= 1000"), df.where("vec_id >= 1000"), 4, cell_rows=20, block_rows=200, counter=counter).collect()
+    assert len(got) == 2000 * 4 + 3 * 3 and counter.value - compared < 2000**2 / 10
+
+
+def test_queries_apart_from_the_vectors(spark):
+    rows, df = clustered(spark)
+    asked = spark.createDataFrame([(-1 - i, RNG.normal(size=16).tolist()) for i in range(20)], "vec_id long, embedding array<double>")
+    got = {(r.qid, r["rank"], r.vid) for r in nn.knn_join(asked, df, 5, cell_rows=50, block_rows=200).collect()}
+    own = [(r.vec_id, list(r.embedding)) for r in asked.collect()]
+    want = set()
+    for q in own:
+        want |= exact(rows + [q], 16, [q[0]], 5, True)
+    assert got == want
+
+
 def test_knn_single(spark):
     rows, df = data(spark)
     got = ve.knn_single(df, rows[3][1], k=5).collect()
