@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ementario.schemas import DIM_PARTITION
+from ementario.schemas import BUCKET, DIM_PARTITION
 
 
 def rename_column(df: DataFrame, old: str, new: str) -> DataFrame:
@@ -23,7 +23,8 @@ def add_nullable(df: DataFrame, name: str, type_name: str = "string") -> DataFra
 
 def create_if_missing(spark: SparkSession, name: str, layout: T.StructType) -> None:
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in layout.fields)
-    by = f" PARTITIONED BY ({DIM_PARTITION})" if DIM_PARTITION in layout.names else ""
+    partitions = [c for c in (DIM_PARTITION, BUCKET) if c in layout.names]
+    by = f" PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{by}")
 
 

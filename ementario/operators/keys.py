@@ -30,10 +30,9 @@ def dense_keys(df: DataFrame, keys: list[str], name: str, hex_digits: int = 3) -
     )
     # By the keys themselves: null and empty parts, or parts that hold the separator, must not tie.
     inside = Window.partitionBy("_bucket").orderBy(*keys)
-    # The offsets have at most 16 ** hex_digits rows, so broadcasting them is bounded.
     return (
         rows.withColumn("_rn", F.row_number().over(inside))
-        .join(F.broadcast(offsets), "_bucket")
+        .join(offsets, "_bucket")
         .withColumn(name, (F.col("_offset") + F.col("_rn")).cast("bigint"))
         .drop("_bucket", "_offset", "_rn")
     )

@@ -21,8 +21,9 @@ from ementario.functions.numbers import int_id
 from ementario.functions.text import ws_normalize_full
 from ementario.operators.keys import dense_keys
 from ementario.operators.upsert import FIRST_AT, LAST_AT, collapse_wide, fact_policy, merge_ordered, new_keys
-from ementario.schemas import DIM_PARTITION, DIM_REFS_KEY, DIM_SUBJECTS_KEY, LONG_FIELDS
+from ementario.schemas import BUCKET, DIM_PARTITION, DIM_REFS_KEY, DIM_SUBJECTS_KEY, LONG_FIELDS
 from ementario.session import materialize
+from ementario.sources.tables import read_if_any
 
 
 #: Where a staging row stands in the order of all rows. They are no part of the record.
@@ -73,21 +74,26 @@ def pack_row_json(columns: list[str]) -> Column:
 
 def fact_projection(staging: DataFrame) -> DataFrame:
     """One fact row per staging row with a usable id. Narrow: no shuffle."""
-    source_columns = [c for c in staging.columns if c not in ORDER_COLUMNS]
     rows, _ = id_fallback_parse(staging)
+    order = [c for c in ORDER_COLUMNS if c in staging.columns]
+    return _projected(rows, [c for c in staging.columns if c not in ORDER_COLUMNS], {c: F.col(c) for c in order})
+
+
+def _projected(rows: DataFrame, source_columns: list[str], beside: dict[str, Column]) -> DataFrame:
+    """Fact columns of rows with their ``id_julgado``, after it those named in ``beside``."""
 
     def clean(name: str) -> Column:
-        return ws_normalize_full(_col_or_null(staging, name), long=name in LONG_FIELDS and name != "tema")
+        return ws_normalize_full(_col_or_null(rows, name), long=name in LONG_FIELDS and name != "tema")
 
     # Steps, so that the cleaned texts and the searched text are computed once each.
     cleaned = rows.select(
         "id_julgado",
-        *[c for c in ORDER_COLUMNS if c in staging.columns],
+        *[c.alias(n) for n, c in beside.items()],
         F.coalesce(
-            _col_or_null(staging, "id_origem_natural"), F.col("id_julgado").cast("string")
+            _col_or_null(rows, "id_origem_natural"), F.col("id_julgado").cast("string")
         ).alias("_natural"),
-        date_typed(_col_or_null(staging, "dataDecisao")).alias("dt_decisao"),
-        date_typed(_col_or_null(staging, "dataPublicacao")).alias("dt_publicacao"),
+        date_typed(_col_or_null(rows, "dataDecisao")).alias("dt_decisao"),
+        date_typed(_col_or_null(rows, "dataPublicacao")).alias("dt_publicacao"),
         clean("siglaClasse").alias("classe_sigla"),
         clean("nomeOrgaoJulgador").alias("orgao_julgador"),
         clean("ministroRelator").alias("ministro_relator"),
@@ -104,7 +110,7 @@ def fact_projection(staging: DataFrame) -> DataFrame:
     )
     return searched.select(
         "id_julgado",
-        *[c for c in ORDER_COLUMNS if c in staging.columns],
+        *beside,
         ws_normalize_full(F.col("_natural"), long=False).alias("id_origem_natural"),
         "dt_decisao",
         "dt_publicacao",
@@ -155,11 +161,22 @@ def explode_subjects(df: DataFrame, id_col: str) -> DataFrame:
     )
 
 
-def star_rows(staging: DataFrame, mode: str = "intended") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(fact, refs, subjects)`` rows of a staging table."""
-    rows, _ = id_fallback_parse(staging)
-    refs = legal_refs(rows, "id_julgado", reference_items(_col_or_null(rows, "referenciasLegislativas")), mode)
-    return fact_projection(staging), refs, explode_subjects(rows, "id_julgado")
+def star_rows(staging: DataFrame, load_id: str) -> DataFrame:
+    """All that a load needs of a staging table, from one pass over it.
+
+    One row per staging row: the fact's columns, ``at`` (its place), ``itens`` (citations, not yet parsed), ``assuntos`` (theme,
+    thesis and terms) and, for a row without a usable id, ``rejeitado`` (the record). Written as Parquet, each
+    table then reads its own columns only.
+    """
+    rows = with_id(staging.withColumn("_place", row_place(staging, load_id)))
+    record = F.to_json(F.struct(*staging.columns, "id_julgado"))
+    beside = {
+        "at": F.col("_place"),
+        "itens": reference_items(_col_or_null(staging, "referenciasLegislativas")),
+        "assuntos": subjects(*(_col_or_null(staging, c) for c in ("tema", "teseJuridica", "termosAuxiliares"))),
+        "rejeitado": F.when(F.col("id_julgado").isNull(), record),
+    }
+    return _projected(rows, [c for c in staging.columns if c not in ORDER_COLUMNS], beside)
 
 
 def star_join_report(fact: DataFrame, refs: DataFrame) -> DataFrame:
@@ -189,19 +206,53 @@ def current_table(spark: SparkSession, name: str) -> DataFrame | None:
         raise
 
 
-def publish(spark: SparkSession, name: str, df: DataFrame, root: str) -> None:
-    """Write a new snapshot below ``root`` and point the table at it.
+#: Buckets of a fact table that does not exist yet. A table keeps the number with which it was made.
+BUCKETS = 32
+_BUCKETS_KEY = "ementario.buckets"
+
+
+def bucket_of(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def fact_buckets(spark: SparkSession, name: str, buckets: int = BUCKETS) -> int:
+    """The table's number of buckets; asked before anything is written, so a table of another layout is refused unharmed."""
+    old = current_table(spark, name)
+    if old is None:
+        return buckets
+    missing = {FIRST_AT, LAST_AT, BUCKET} - set(old.columns)
+    if missing:
+        raise ValueError(f"{name} has no column {', '.join(sorted(missing))}; create it with the library's layout")
+    kept = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    return int(kept.get(_BUCKETS_KEY, BUCKETS))
+
+
+def publish_buckets(spark: SparkSession, name: str, rows: DataFrame, root: str, buckets: int) -> None:
+    """Replace the buckets that ``rows`` (with their bucket) are in; all others keep their files.
 
-    Every snapshot has its own folder, so nothing that is being read is overwritten, and a
-    failed write leaves the table as it was. Old snapshots stay until they are removed.
+    New files go to a folder of their own and each bucket is then pointed at it, so nothing that is being read is overwritten,
+    and a failed write leaves the table as it was. A switch that stops half-way leaves whole buckets, old or new; the load's
+    repetition ends in the same table. Spark splits and joins the files by size, so a bucket is not one task. Old
+    folders stay until they are removed.
     """
     location = f"{root}/snapshot-{uuid.uuid4().hex}"
-    df.write.parquet(location)
-    if spark.catalog.tableExists(name):
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
-        spark.catalog.refreshTable(name)
-    else:
-        spark.catalog.createTable(name, path=location, source="parquet")
+    rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(location)
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({BUCKET}) LOCATION '{root}/{name}' "
+            f"TBLPROPERTIES ('{_BUCKETS_KEY}' = '{buckets}')"
+        )
+    known = {r.partition for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    # Folders, at most as many as buckets.
+    written = [r[0] for r in spark.read.parquet(location).select(BUCKET).distinct().collect()]
+    new = " ".join(f"PARTITION ({BUCKET}={b}) LOCATION '{location}/{BUCKET}={b}'" for b in written if f"{BUCKET}={b}" not in known)
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {new}")
+    for b in written:
+        if f"{BUCKET}={b}" in known:
+            spark.sql(f"ALTER TABLE {name} PARTITION ({BUCKET}={b}) SET LOCATION '{location}/{BUCKET}={b}'")
+    spark.catalog.refreshTable(name)
 
 
 def check_dimension(spark: SparkSession, name: str) -> None:
@@ -211,68 +262,83 @@ def check_dimension(spark: SparkSession, name: str) -> None:
         raise ValueError(f"{name} has no column {DIM_PARTITION}; create it with the library's layout")
 
 
+def reserve_ids(spark: SparkSession, path: str, load_id: str, n: int, taken: int) -> int:
+    """The number before the first of ``n`` that belong to this load alone.
+
+    ``path`` is a small table of all ranges given out; ``taken`` is the largest number in use (for tables made
+    without ranges). One load at a time, as for the table itself.
+    """
+    given = read_if_any(spark, path, "load string, start long, n long")
+    start = max(given.agg(F.max(F.col("start") + F.col("n"))).first()[0] or 0, taken)
+    spark.createDataFrame([(load_id, start, n)], "load string, start long, n long").write.mode("append").parquet(path)
+    return start
+
+
 def append_dimension(
     spark: SparkSession, name: str, rows: DataFrame, keys: list[str], key_name: str, location: str, load_id: str
 ) -> None:
-    """Add the natural keys a dimension does not hold yet, numbered on from its largest surrogate key.
+    """Add the natural keys a dimension does not hold yet, numbered from a range of ids that this load reserves.
 
-    Nothing already stored is rewritten. A repeated load compares with the other loads
-    only and overwrites its partition, so it ends in the same table.
+    Nothing already stored is rewritten or renumbered. A repeated load finds its keys and adds nothing; if it has grown, what is
+    new gets a further range. The numbers have no gap unless a load died after it reserved them.
     """
     part = f"load-{load_id}"  # never reads as a number, so the partition value stays text
     old = current_table(spark, name)
-    fresh = rows.select(*keys).dropDuplicates(keys)
-    start = 0
-    if old is not None:
-        others = old.filter(F.col(DIM_PARTITION) != part)
-        fresh = new_keys(others, fresh, keys)
-        # Numbers of the load itself, if it is repeated, are given again; later loads have numbers of their own.
-        mine = old.filter(F.col(DIM_PARTITION) == part).agg(F.min(key_name)).first()[0]
-        start = mine - 1 if mine else (old.agg(F.max(key_name)).first()[0] or 0)
-    numbered = dense_keys(materialize(fresh, f"{name}-keys"), keys, key_name)
+    fresh = new_keys(old, rows, keys) if old is not None else rows.select(*keys).dropDuplicates(keys)
+    fresh = materialize(fresh, f"{name}-keys")
+    n = fresh.count()
     path = f"{location}/{DIM_PARTITION}={part}"
-    numbered.select((F.col(key_name) + start).alias(key_name), *keys).write.mode("overwrite").parquet(path)
+    if n or old is None:
+        taken = 0 if old is None else old.agg(F.max(key_name)).first()[0] or 0
+        start = reserve_ids(spark, f"{location}-faixas", load_id, n, taken) if n else taken
+        numbered = dense_keys(fresh, keys, key_name)
+        numbered.select((F.col(key_name) + start).alias(key_name), *keys).write.mode("append").parquet(path)
     if old is None:
         spark.catalog.createTable(name, path=location, source="parquet")
         spark.catalog.recoverPartitions(name)
-    else:
+    elif n:
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({DIM_PARTITION}='{part}') LOCATION '{path}'")
     spark.catalog.refreshTable(name)
 
 
 def load_star(
     spark: SparkSession, staging: DataFrame, root: str, load_id: str, mode: str = "intended",
-    prefix: str = "",
+    prefix: str = "", buckets: int = BUCKETS,
 ) -> None:
     """Upsert a staging table, or the part of it that is new, into ``fato_julgados_stj`` and its dimensions.
 
-    The fact keeps the places of each row's first and last write, so loads may be repeated or arrive in any order and end
-    in the same tables. Rows without a usable id are written below ``rejeitados`` as records. The fact is rewritten
-    as a new snapshot, which suits large loads; for small frequent ones keep it as states with ``streaming.upserts``,
-    whose cost follows the batch. Dimensions only grow. ``staging`` is read once per table with only the columns that
-    table needs, which costs less than caching wide text.
+    ``staging`` is read once: its rows are treated and written, and the tables read what they need of that. The fact
+    keeps the places of each row's first and last write, so loads may be repeated or arrive in any order and end in the
+    same tables. It lies in ``buckets`` of its id, and a load reads and writes only those that its ids fall into.
+    Rows without a usable id are written below ``rejeitados`` as records. Dimensions only grow. A table of another layout is
+    refused before anything is written.
     """
     names = {t: f"{prefix}{t}" for t in ("fato_julgados_stj", "dim_referencias_legais", "dim_assuntos_stj")}
     for dim in ("dim_referencias_legais", "dim_assuntos_stj"):
         check_dimension(spark, names[dim])
-    _, without = id_fallback_parse(staging)
-    without.select(F.lit("no usable id").alias("reason"), F.to_json(F.struct("*")).alias("record")).write.mode(
-        "overwrite"
-    ).parquet(f"{root}/{prefix}rejeitados/{DIM_PARTITION}=load-{load_id}")
-
-    placed = staging.withColumn("_place", row_place(staging, load_id))
-    fact, refs, subj = star_rows(staging, mode)
-    fact = fact_projection(placed).withColumnRenamed("_place", "at")
-    policy = fact_policy([c for c in fact.columns if c not in (*ORDER_COLUMNS, "at")])
     name = names["fato_julgados_stj"]
+    buckets = fact_buckets(spark, name, buckets)
+
+    # A number of its own, so that rows which are equal in all else can be told apart.
+    rows = materialize(star_rows(staging, load_id).withColumn("_n", F.monotonically_increasing_id()), f"{name}-rows")
+    rejected = rows.filter(F.col("rejeitado").isNotNull()).select(F.lit("no usable id").alias("reason"), F.col("rejeitado").alias("record"))
+    rejected.write.mode("overwrite").parquet(f"{root}/{prefix}rejeitados/{DIM_PARTITION}=load-{load_id}")
+
+    fact = rows.filter(F.col("id_julgado").isNotNull()).drop("itens", "assuntos", "rejeitado")
+    policy = fact_policy([c for c in fact.columns if c not in ("at", "_n")])
+    bucket = bucket_of(F.col("id_julgado"), buckets).alias(BUCKET)
+    changes = collapse_wide(fact, "id_julgado", policy, "at", "_n").select("*", bucket)
     old = current_table(spark, name)
-    # Written once: the cleaned texts are joined to the winning places, never aggregated or computed again.
-    changes = collapse_wide(materialize(fact, f"{name}-rows").dropDuplicates(["id_julgado", "at"]), "id_julgado", policy, "at")
-    if old is not None and {FIRST_AT, LAST_AT} <= set(old.columns):
-        changes = merge_ordered(old, materialize(changes, name), "id_julgado", policy)
-    publish(spark, name, changes, f"{root}/{name}")
-    for dim, rows, keys, key_name in (
+    if old is not None:
+        changes = materialize(changes, name)
+        touched = [r[0] for r in changes.select(BUCKET).distinct().collect()]  # at most as many as buckets
+        kept = merge_ordered(old.filter(F.col(BUCKET).isin(touched)), changes, "id_julgado", policy)
+        changes = kept.select("*", bucket)
+    publish_buckets(spark, name, changes, f"{root}/{name}", buckets)
+    refs = legal_refs(rows.filter(F.col("id_julgado").isNotNull()), "id_julgado", F.col("itens"), mode)
+    subj = rows.filter(F.col("id_julgado").isNotNull()).select(F.col("id_julgado").alias("id_julgado_fk"), F.inline("assuntos"))
+    for dim, found, keys, key_name in (
         ("dim_referencias_legais", refs, DIM_REFS_KEY, "id_ref_legal"),
         ("dim_assuntos_stj", subj, DIM_SUBJECTS_KEY, "id_assunto"),
     ):
-        append_dimension(spark, names[dim], rows, keys, key_name, f"{root}/{names[dim]}", load_id)
+        append_dimension(spark, names[dim], found, keys, key_name, f"{root}/{names[dim]}", load_id)

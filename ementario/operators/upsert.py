@@ -64,21 +64,29 @@ def collapse(df: DataFrame, keys: list[str], policy: dict[str, str], order: list
 FIRST_AT, LAST_AT = "ordem_primeira", "ordem_ultima"
 
 
-def collapse_wide(df: DataFrame, key: str, policy: dict[str, str], at: str) -> DataFrame:
+def collapse_wide(df: DataFrame, key: str, policy: dict[str, str], at: str, number: str) -> DataFrame:
     """One row per key, with the places of its first and last write, for rows too wide to aggregate.
 
-    ``at`` is a column of text that orders all rows and is never equal for two of them. Only it and the key are
-    aggregated; each wide column is then joined once, from the row that won.
+    ``at`` is a column of text that orders all rows; ``number`` is a different integer in each of them and breaks ties. Only
+    these and the key are aggregated. The rows that won are then found by their number: the last writes, and, of keys
+    whose first write is another row, the columns that keep it.
     """
-    ends = df.groupBy(key).agg(F.min(at).alias(FIRST_AT), F.max(at).alias(LAST_AT))
-    ends = materialize(ends.where(F.col(key).isNotNull()), "upsert-ends")
+    place = F.struct(F.col(at).alias("at"), F.col(number).alias("n"))
+    ends = df.groupBy(key).agg(F.min(place).alias("_first"), F.max(place).alias("_last"))
+    ends = materialize(ends.where(F.col(key).isNotNull()), "upsert-ends").select(
+        F.col(key).alias("_key"), F.col("_first.n").alias("_first_n"), F.col("_last.n").alias("_last_n"),
+        F.col("_first.at").alias(FIRST_AT), F.col("_last.at").alias(LAST_AT),
+    )
     first = [c for c, rule in policy.items() if rule == FIRST]
-    last = [c for c, rule in policy.items() if rule == LAST]
-    out = ends
-    for columns, place in ((last, LAST_AT), (first, FIRST_AT)):
-        if columns:
-            out = out.join(df.select(key, F.col(at).alias(place), *columns), [key, place])
-    return out.select(key, *policy, FIRST_AT, LAST_AT)
+    out = df.join(ends, F.col(number) == F.col("_last_n"))
+    other = ends.where("_first_n <> _last_n").select(F.col("_first_n").alias("_other_n"), F.col("_key").alias("_other"))
+    other = df.select(number, *first).join(other, F.col(number) == F.col("_other_n"))
+    other = other.select("_other", F.struct(*first).alias("_first_row")) if first else None
+    if other is None:
+        return out.select(key, *policy, FIRST_AT, LAST_AT)
+    out = out.join(other, F.col(key) == F.col("_other"), "left")
+    moved = {c: F.when(F.col("_other").isNotNull(), F.col(f"_first_row.{c}")).otherwise(F.col(c)).alias(c) for c in first}
+    return out.select(key, *[moved.get(c, F.col(c)) for c in policy], FIRST_AT, LAST_AT)
 
 
 def merge_ordered(target: DataFrame, changes: DataFrame, key: str, policy: dict[str, str]) -> DataFrame:

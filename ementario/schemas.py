@@ -95,6 +95,9 @@ STAGING = T.StructType(
     + _strings(LONG_FIELDS)
 )
 
+#: The bucket of its id in which a fact lies; the fact table is partitioned by it.
+BUCKET = "balde"
+
 FACT = T.StructType(
     [
         T.StructField("id_julgado", T.LongType(), False),
@@ -114,6 +117,7 @@ FACT = T.StructType(
         T.StructField("teor_bruto_json", T.StringType()),
         T.StructField("ordem_primeira", T.StringType()),
         T.StructField("ordem_ultima", T.StringType()),
+        T.StructField(BUCKET, T.IntegerType()),
     ]
 )
 

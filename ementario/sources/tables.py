@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -10,6 +11,16 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def read_if_any(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The Parquet rows below ``path``, none where nothing has been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as err:
+        if err.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        raise
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Deal a scan's rows out to all cores when it has fewer splits than there are cores.
 

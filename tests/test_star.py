@@ -132,6 +132,72 @@ def test_load_into_created_tables_with_large_ids(spark, tmp_path):
     assert spark.table("t3_fato_julgados_stj").count() == 1
 
 
+def load(spark, root, prefix, number, rows, **how):
+    load_star(spark, staging(spark, rows), root, number, prefix=prefix, **how)
+
+
+def subject_ids(spark, prefix):
+    return {(r.id_julgado_fk, r.termo): r.id_assunto for r in spark.table(f"{prefix}dim_assuntos_stj").collect()}
+
+
+def test_a_repeated_load_that_grew_gets_further_ids(spark, tmp_path):
+    def term(i, t):
+        return {**ROW, "id_origem": str(i), "termosAuxiliares": t, "tema": None}
+
+    root = str(tmp_path)
+    load(spark, root, "t4_", "1", [term(1, "t1"), term(2, "t2")])
+    load(spark, root, "t4_", "2", [term(3, "t3")])
+    before = subject_ids(spark, "t4_")
+    load(spark, root, "t4_", "1", [term(1, "t1"), term(2, "t2"), term(4, "t4"), term(5, "t5")])
+    load(spark, root, "t4_", "2", [term(3, "t3"), term(6, "t6")])
+    after = subject_ids(spark, "t4_")
+    assert before.items() <= after.items() and sorted(after.values()) == list(range(1, 7))
+    given = sorted(map(tuple, spark.read.parquet(f"{root}/t4_dim_assuntos_stj-faixas").collect()))
+    assert given == [("1", 0, 2), ("1", 3, 2), ("2", 2, 1), ("2", 5, 1)]
+
+
+def test_a_load_touches_its_buckets_only(spark, tmp_path):
+    def files():
+        return {r[0]: r[1] for r in spark.table("t5_fato_julgados_stj").select("id_julgado", "_metadata.file_path").collect()}
+
+    root = str(tmp_path)
+    load(spark, root, "t5_", "1", [{**ROW, "id_origem": str(i)} for i in range(40)], buckets=8)
+    before, buckets = files(), {r.id_julgado: r.balde for r in spark.table("t5_fato_julgados_stj").collect()}
+    assert len(before) == 40 and len(set(buckets.values())) == 8
+    load(spark, root, "t5_", "2", [{**ROW, "id_origem": "7", "ementa": "NOVA"}, {**ROW, "id_origem": "100"}], buckets=99)
+    after = files()
+    touched = {buckets[7], spark.table("t5_fato_julgados_stj").filter("id_julgado = 100").first().balde}
+    assert {i for i in before if before[i] != after[i]} == {i for i in before if buckets[i] in touched}
+    assert len(after) == 41 and spark.table("t5_fato_julgados_stj").filter("ementa_limpa = 'NOVA'").count() == 1
+
+
+def test_a_fact_of_another_layout_is_refused(spark, tmp_path):
+    spark.createDataFrame([(1, "a"), (2, "b")], "id_julgado long, ementa_limpa string").write.saveAsTable("t6_fato_julgados_stj")
+    with pytest.raises(ValueError, match="ordem_primeira"):
+        load(spark, str(tmp_path), "t6_", "1", [ROW])
+    assert spark.table("t6_fato_julgados_stj").count() == 2 and not list(tmp_path.iterdir())
+
+
+def test_one_scan_of_staging_and_no_text_in_aggregates(spark, tmp_path):
+    from ementario.operators.star import star_rows
+
+    path = str(tmp_path / "staging")
+    staging(spark, [ROW, {**ROW, "id_origem": "x"}, ROW]).write.parquet(path)
+    df = spark.read.parquet(path)
+    plans = []
+    listener = lambda d: plans.append(d._jdf.queryExecution().executedPlan().toString())
+    listener(star_rows(df, "1"))
+    assert plans[0].count("FileScan") == 1
+    # The written rows are all that the tables read: with the files gone, the load's other steps still work.
+    rows = star_rows(df, "1").withColumn("_n", F.monotonically_increasing_id())
+    from ementario.operators.upsert import collapse_wide
+
+    policy = {"ementa_limpa": LAST, "teor_bruto_json": FIRST}
+    plan = collapse_wide(rows.filter("id_julgado IS NOT NULL"), "id_julgado", policy, "at", "_n")._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+    assert collapse_wide(rows.filter("id_julgado IS NOT NULL"), "id_julgado", policy, "at", "_n").count() == 1  # equal rows are one
+
+
 def test_upsert_rules(spark):
     policy = {"a": LAST, "raw": FIRST}
     target = spark.createDataFrame([(1, "old", "r1"), (2, "keep", "r2")], "id int, a string, raw string")
