@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ementario.llm.tokens import VOCABULARY, encode_texts
+from ementario.llm.tokens import VOCABULARY, encode_texts, slices
 from ementario.session import materialize
 
 END = b"\0\0\0\0"
@@ -38,11 +38,10 @@ def token_pieces(docs: DataFrame, most: int = 2048, vocabulary: str = VOCABULARY
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                rows = batch.slice(at, 500)
+            for rows in slices(batch):
                 out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
-                texts = rows.column("text").to_pylist()
-                for doc_id, ids in zip(rows.column("doc_id").to_pylist(), encode_texts(texts, vocabulary), strict=True):
+                texts = encode_texts(rows.column("text"), vocabulary)
+                for doc_id, ids in zip(rows.column("doc_id").to_pylist(), texts, strict=True):
                     ids += END
                     for k, (start, length) in enumerate(cut(len(ids) // 4, most)):
                         part = ids[4 * start : 4 * (start + length)]

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ementario.llm.tokens import VOCABULARY, encode_texts
+from ementario.llm.tokens import VOCABULARY, encode_texts, slices
 
 MAGIC = b"BPL1"
 HEADER = struct.Struct("<4sQIBI")
@@ -96,9 +96,8 @@ def write_tokens(
 
         held = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                rows = batch.slice(at, 500)
-                texts = encode_texts(rows.column("text").to_pylist(), vocabulary)
+            for rows in slices(batch):
+                texts = encode_texts(rows.column("text"), vocabulary)
                 for name, ids in zip(rows.column("doc_id").to_pylist(), texts, strict=True):
                     parts.append(ids + end)
                     names.append(name)

@@ -8,6 +8,7 @@ from itertools import combinations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -47,6 +48,26 @@ def test_prefixes_of_any_bytes_join_to_the_word(raw):
     assert b"".join(coder.bytes[i] for i in coder.word(raw)) == raw
 
 
+@given(st.lists(st.text(st.sampled_from("ab e'sthing 12 \n\t éß漢🙂.,-\x1c\x85　A0|<>"), max_size=40) | st.none() | st.sampled_from(TEXTS), max_size=12))
+@settings(max_examples=150, deadline=None)
+def test_batches_of_texts_keep_their_order(texts):
+    assert tokens.encode_texts(texts) == [little(library_ids(t)) for t in texts]
+
+
+def test_batches_are_cut_by_their_text():
+    batch = pa.RecordBatch.from_arrays([pa.array([0, 1, 2, 3]), pa.array(["ab", None, "c" * 50, ""])], ["doc_id", "text"])
+    cut = [r.column("doc_id").to_pylist() for r in tokens.slices(batch, most=10)]
+    assert [i for c in cut for i in c] == [0, 1, 2, 3] and len(cut) == 2
+    assert list(tokens.slices(batch.slice(0, 0))) == []
+
+
+def test_merges_of_long_and_rare_words():
+    rng = np.random.default_rng(2)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzéÀ漢"), size=n)) for n in rng.integers(1, 70, size=3000)]
+    text = " ".join(words)
+    assert tokens.encode_texts([text, text + "\n" + text]) == [little(library_ids(text)), little(library_ids(text + "\n" + text))]
+
+
 def test_table_forgets_and_stays_right(monkeypatch):
     monkeypatch.setattr(tokens, "KEPT", 3)
     table = tokens.Table(tokens.library_encoder(public_tokenizers.path(tokens.VOCABULARY)))
