@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ementario.functions.json_values import one_value
 from ementario.functions.text import split_terms, ws_normalize_full
 
 # --- fixed values: outcome phrases, citation syntax, subject tags -------------------
@@ -89,11 +90,9 @@ def reference_items(json_text: Column) -> Column:
 
     Null, invalid JSON, text after the list and anything that is not a list give an empty array.
     """
-    # The list is read as a value of an object with an end mark: found only if the text was one list and no more.
-    wrapped = F.concat(F.lit('{"v":'), json_text, F.lit(',"fim":1}'))
-    read = F.from_json(wrapped, "v array<string>, fim int", {"allowSingleQuotes": "false"})
     none = F.array().cast("array<string>")
-    items = F.transform(F.array(read), lambda r: F.when(r["fim"].isNotNull(), F.coalesce(r["v"], none)).otherwise(none))
+    read = F.array(one_value(json_text, "array<string>"))
+    items = F.transform(read, lambda r: F.when(r["whole"], F.coalesce(r["value"], none)).otherwise(none))
     return F.transform(
         items[0],
         lambda x: F.when(

@@ -19,6 +19,7 @@ from ementario.functions.text import (
     ws_normalize_full,
     ws_normalize_joined,
 )
+from ementario.operators.batches import key_signature, keyset_batches
 from ementario.operators.evolve import add_nullable, drop_column, rename_column
 from ementario.operators.keys import key_discovery, keyset_signatures
 from ementario.operators.reports import inventory_stats
@@ -40,7 +41,7 @@ def _conversation_files(spark: SparkSession, sf_dir: str, damage: bool) -> str:
     """Write the conversations as ``*.json``-like record files in the shared folder, indented over several lines.
 
     A file holds the list of the rows of ``CONVERSATIONS_PER_FILE`` neighbouring conversations, but for the first row of
-    the first conversation, which is a file with one object; ``damage`` adds a truncated and a scalar file to each.
+    the first conversation, which is a file with one object; ``damage`` adds a truncated and a scalar file to each, and two with text after the value.
     """
     single = (F.col("conv_id") % CONVERSATIONS_PER_FILE == 0) & (F.col("turn") == 0)
     placed = read_table(spark, sf_dir, "conversations").select(
@@ -58,6 +59,8 @@ def _conversation_files(spark: SparkSession, sf_dir: str, damage: bool) -> str:
             F.struct(F.lit("good").alias("d"), F.col("value").alias("value")),
             F.struct(F.lit("cut").alias("d"), cut.alias("value")),
             F.struct(F.lit("scalar").alias("d"), F.char_length("value").cast("string").alias("value")),
+            F.struct(F.lit("further").alias("d"), F.concat("value", F.lit(',"v":[{"id":"1"}]')).alias("value")),
+            F.struct(F.lit("another").alias("d"), F.concat("value", F.lit(',"x":[2]')).alias("value")),
         )
         whole = whole.select(F.col("f").alias("_f"), F.inline(variants)).select(
             F.concat_ws("-", "_f", "d").alias("f"), "value"
@@ -80,7 +83,7 @@ def json_list_or_object(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("json_rejects", """
 WITH f AS (SELECT DISTINCT conv_id // 200 AS run, conv_id % 200 = 0 AND turn = 0 AS single FROM conversations)
-SELECT reason, count(*) AS n_files FROM f, (VALUES ('malformed_json'), ('invalid_shape')) AS r(reason) GROUP BY reason""")
+SELECT reason, count(*) AS n_files FROM f, (VALUES ('malformed_json'), ('malformed_json'), ('malformed_json'), ('invalid_shape')) AS r(reason) GROUP BY reason""")
 def json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _conversation_files(spark, sf_dir, damage=True)
     _, rejects = read_dynamic(spark, path, path, pattern="*.txt")
@@ -183,6 +186,33 @@ def signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyset_signatures(read_table(spark, sf_dir, "events"), F.json_object_keys(_event_json()))
 
 
+_SIGNED_FILE = "CASE WHEN event_id % 2 = 0 THEN 'by-type/' || event_type ELSE 'mixed/' || (event_id // 1000) END"
+
+
+@query("keyset_batches", f"""
+WITH e AS (SELECT {_SIGNED_FILE} AS f, event_id AS pos, array_to_string(list_sort(json_keys('{{"id":' || event_id || ',"' || event_type
+    || CASE WHEN event_id % 4001 = 0 THEN '_agent' ELSE '_user' END || '":' || user_id || ',"props":' || props || '}}')), ',') AS s FROM events),
+  c AS (SELECT *, CASE WHEN s IS DISTINCT FROM lag(s) OVER (ORDER BY f, pos) THEN 1 ELSE 0 END AS changes FROM e),
+  r AS (SELECT *, sum(changes) OVER (ORDER BY f, pos ROWS UNBOUNDED PRECEDING) AS run FROM c),
+  k AS (SELECT *, (row_number() OVER (PARTITION BY run ORDER BY f, pos) - 1) // 1000 AS part FROM r),
+  b AS (SELECT *, dense_rank() OVER (ORDER BY run, part) AS batch FROM k)
+SELECT batch, count(*) AS rows, min(f) AS first_file, arg_min(pos, (f, pos)) AS first_pos, max(f) AS last_file, arg_max(pos, (f, pos)) AS last_pos
+FROM b GROUP BY batch""")
+def batches_of_key_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every second event in a file of its type, where runs are long, the others in files where types alternate."""
+    event = F.col("event_id")
+    file = F.when(event % 2 == 0, F.concat(F.lit("by-type/"), "event_type")).otherwise(
+        F.concat(F.lit("mixed/"), F.floor(event / 1000).cast("string"))
+    )
+    who = F.when(event % 4001 == 0, F.lit('_agent":')).otherwise(F.lit('_user":'))
+    record = F.concat(F.lit('{"id":'), event.cast("string"), F.lit(',"'), F.col("event_type"), who, F.col("user_id").cast("string"),
+                      F.lit(',"props":'), F.col("props"), F.lit("}"))
+    rows = read_table(spark, sf_dir, "events").select(
+        file.alias("rel_path"), event.alias("pos"), key_signature(F.json_object_keys(record)).alias("signature")
+    )
+    return keyset_batches(rows, block=3_000)
+
+
 # --- record treatment ----------------------------------------------------------------
 
 

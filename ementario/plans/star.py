@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ementario.functions.legal import outcome, reference_items
+from ementario.operators.guard import Rules, guarded_load
 from ementario.operators.keys import dense_keys
 from ementario.operators.profile import profile_simple, profile_typed, to_long, with_declared
 from ementario.operators.quality import (
@@ -200,6 +201,38 @@ def vector_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_GUARDED = "(SELECT *, o_orderkey % 6 AS l FROM orders)"
+
+
+@query("guarded_load", f"""
+SELECT l::VARCHAR AS load, 'published' AS rule, count(*) AS n FROM {_GUARDED} WHERE l IN (0, 5) GROUP BY l
+UNION ALL SELECT '1', 'not null o_orderstatus', count(*) FROM {_GUARDED} WHERE l = 1 AND o_orderkey % 5 = 0
+UNION ALL SELECT '2', 'width o_orderpriority', count(*) FROM {_GUARDED} WHERE l = 2
+UNION ALL SELECT '3', 'unique o_orderkey', count(*) + (SELECT count(*) FROM {_GUARDED} WHERE l = 0) FROM {_GUARDED} WHERE l = 3
+UNION ALL SELECT '4', 'foreign o_custkey', count(*) FROM {_GUARDED} WHERE l = 4
+""")
+def guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six loads of orders, four of which break a rule: what is published, and what kept the others out."""
+    root, name = scratch_path(spark, "guarded"), "q3_pedidos"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    load = F.col("o_orderkey") % 6
+    customers = read_table(spark, sf_dir, "customer").select("c_custkey")
+    rules = Rules(not_null=["o_orderkey", "o_orderstatus"], widths={"o_orderpriority": 15}, unique=[["o_orderkey"]], foreign={"o_custkey": customers})
+    damage = {
+        1: {"o_orderstatus": F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderstatus"))},
+        2: {"o_orderpriority": F.rpad("o_orderpriority", 16, "!")},
+        4: {"o_custkey": -1 - F.col("o_custkey")},
+    }
+    for k in (0, 1, 2, 3, 4, 5, 5):
+        rows = orders.filter(load == k).withColumns(damage.get(k, {}))
+        if k == 3:  # its own rows twice, and those of load 0 again
+            rows = rows.union(rows).union(orders.filter(load == 0))
+        guarded_load(spark, rows, name, root, str(k), rules)
+    published = spark.table(name).groupBy(F.substring("load", 6, 9).alias("load")).agg(F.lit("published").alias("rule"), F.count("*").alias("n"))
+    return published.union(spark.read.parquet(f"{root}/{name}_violacoes").select("load", "rule", "n"))
+
+
 # --- profiles ------------------------------------------------------------------------
 
 _JUDGED_COLUMNS = [c for c in STAGING_WIDTHS] + list(LONG_FIELDS)

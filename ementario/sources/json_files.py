@@ -12,13 +12,11 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ementario.functions.json_values import one_value
 from ementario.functions.urls import relative_path
 from ementario.schemas import ID_COLUMN, ID_KEYS, SOURCE
 
 PATTERN = "*.json"
-#: The value is parsed inside an object that ends with this key: it is found only if the text was one value.
-END = "_fim_do_arquivo"
-STRICT = {"allowSingleQuotes": "false"}
 MALFORMED, SHAPE = "malformed_json", "invalid_shape"
 
 
@@ -46,19 +44,16 @@ def read_texts(
 
 def parse_items(texts: DataFrame, kind: str = "variant") -> DataFrame:
     """``rel_path, items, reason`` of each file: its records as maps in file order, or why it has none."""
-    wrapped = F.concat(F.lit('{"v":'), F.col("text"), F.lit(f',"{END}":1}}'))
-
     def read(shape: str, items) -> Column:
-        parsed = F.from_json(wrapped, f"v {shape}, {END} int", STRICT)
-        # A lambda variable, so that each text is parsed once.
-        return F.transform(F.array(parsed), lambda r: F.struct(items(r).alias("items"), r[END].alias("whole")))[0]
+        value = F.array(one_value(F.col("text"), shape))
+        return F.transform(value, lambda r: F.struct(items(r["value"]).alias("items"), r["whole"].alias("whole")))[0]
 
-    one = read(f"map<string,{kind}>", lambda r: F.array(r["v"]))
-    many = read(f"array<map<string,{kind}>>", lambda r: r["v"])
+    one = read(f"map<string,{kind}>", lambda v: F.array(v))
+    many = read(f"array<map<string,{kind}>>", lambda v: v)
     is_object = F.startswith(F.ltrim(F.col("text"), F.lit(" \t\r\n")), F.lit("{"))
     parsed = texts.withColumn("_p", F.when(is_object, one).otherwise(many))
     fits = F.col("_p.items").isNotNull() & ~F.exists("_p.items", lambda m: m.isNull())
-    reason = F.when(F.col("_p.whole").isNull(), MALFORMED).when(~fits, SHAPE)
+    reason = F.when(~F.coalesce("_p.whole", F.lit(False)), MALFORMED).when(~fits, SHAPE)
     return parsed.select("rel_path", F.when(reason.isNull(), F.col("_p.items")).alias("items"), reason.alias("reason"))
 
 

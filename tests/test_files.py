@@ -44,6 +44,9 @@ FILES = {
     "lines.json": '{"id": "50"}\n{"id": "51"}',
     "after.json": '[{"id": "52"}] junk',
     "quotes.json": "{'id': '53'}",
+    "further.json": '[{"id":"54"}],"v":[{"id":"55"}]',
+    "other.json": '[{"id":"56"}],"x":[2]',
+    "closed.json": '{"id":"57"}},{"v":{"id":"58"}',
     "nothing.json": "[null]",
     "zero.json": "",
     "a/dados[1].json": json.dumps({"ID": "6"}, indent=2),
@@ -51,7 +54,7 @@ FILES = {
     "ignored.JSON": "[]",
     "ignored.txt": "[]",
 }
-BAD = {"scalar.json": "invalid_shape", "text.json": "invalid_shape", "cut.json": "malformed_json",
+BAD = {**dict.fromkeys(("further.json", "other.json", "closed.json"), "malformed_json"), "scalar.json": "invalid_shape", "text.json": "invalid_shape", "cut.json": "malformed_json",
        "mixed.json": "invalid_shape", "lines.json": "malformed_json", "after.json": "malformed_json",
        "quotes.json": "malformed_json", "nothing.json": "invalid_shape", "zero.json": "malformed_json"}
 IDS = ["000389583", "2", "3", "6", "8", "9"]

@@ -52,8 +52,8 @@ def test_references(spark):
 
 def test_reference_encodings(column):
     rows = [json.dumps(["a", "{b"]), json.dumps([{"referencia": "x\ny"}, {"o": 1}]), "{nope", '{"referencia": "x"}',
-            '"s"', None, "[]", '{a,"b c"}', '["a"] junk', "['a']"]
-    assert column(rows, reference_items) == [["a", "{b"], ["x\ny", ""], [], [], [], [], [], [], [], []]
+            '"s"', None, "[]", '{a,"b c"}', '["a"] junk', "['a']", '["a"],"v":["b"]', '["a"],"x":1', '["a"]},{"v":["b"]', '["a"]}', ' ["a"]\n']
+    assert column(rows, reference_items) == [["a", "{b"], ["x\ny", ""], *[[]] * 12, ["a"]]
 
 
 def staging(spark, rows):
