@@ -83,7 +83,7 @@ SELECT u.conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text
 FROM u JOIN chars USING (conv_id) GROUP BY u.conv_id
 """
 
-_MEASURES = (("symbol_ratio", 0.05), ("dup_line_ratio", 0.25), ("repeat_ratio", 0.2), ("word_length", 3.0))
+_MEASURES = ("symbol_ratio", "dup_line_ratio", "repeat_ratio", "word_length")
 
 QUALITY = """
 WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS text,
@@ -102,29 +102,31 @@ m AS (SELECT *, n_symbols / greatest(n_words, 1)::DOUBLE AS symbol_ratio, n_dup_
         n_repeat_words / greatest(n_words, 1)::DOUBLE AS repeat_ratio, word_chars / greatest(n_words, 1)::DOUBLE AS word_length,
         n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b),
 v AS (""" + " UNION ALL ".join(
-    f"SELECT lang, source, '{n}' AS measure, {s} AS spread, {n} AS x FROM m" for n, s in _MEASURES
+    f"SELECT lang, source, '{n}' AS measure, {n} AS x FROM m WHERE NOT base_failed" for n in _MEASURES
 ) + """),
 k AS (SELECT *, CASE WHEN x <= 0.001 THEN -1000000 ELSE ceil(ln(x) / ln(1.02 / 0.98))::INT END AS bin FROM v),
 q AS (
-  SELECT lang, source, GROUPING(lang) AS gl, GROUPING(source) AS gs, measure, max(spread) AS spread, count(*) AS n,
-    quantile_disc(bin, 0.25) AS b25, quantile_disc(bin, 0.75) AS b75
+  SELECT lang, source, GROUPING(lang) AS gl, GROUPING(source) AS gs, measure, count(*) AS n,
+    quantile_disc(bin, 0.5) AS b5, quantile_disc(bin, 0.9) AS b9
   FROM k GROUP BY GROUPING SETS ((lang, source, measure), (lang, measure), (measure))
 ),
-e AS (SELECT *, CASE WHEN b25 = -1000000 THEN 0.0 ELSE pow(1.02 / 0.98, b25) * (2 / (1 + 1.02 / 0.98)) END AS q25,
-        CASE WHEN b75 = -1000000 THEN 0.0 ELSE pow(1.02 / 0.98, b75) * (2 / (1 + 1.02 / 0.98)) END AS q75 FROM q),
-f AS (SELECT *, q75 + 3 * greatest(q75 - q25, spread) AS fence FROM e),
+e AS (SELECT *, CASE WHEN b5 = -1000000 THEN 0.0 ELSE pow(1.02 / 0.98, b5) * (2 / (1 + 1.02 / 0.98)) END AS q5,
+        CASE WHEN b9 = -1000000 THEN 0.0 ELSE pow(1.02 / 0.98, b9) * (2 / (1 + 1.02 / 0.98)) END AS q9 FROM q),
+f AS (SELECT *, q9 + 3 * (q9 - q5) AS fence FROM e),
 t AS (
-  SELECT o.lang, o.source, o.measure, CASE WHEN o.n >= 200 THEN least(greatest(o.fence, p.parent / 2), p.parent * 2) ELSE p.parent END AS cutoff
-  FROM f o JOIN (SELECT l.lang, l.measure, CASE WHEN l.n >= 200 THEN l.fence ELSE c.fence END AS parent
+  SELECT o.lang, o.source, o.measure, (o.n * o.fence + 200 * p.parent) / (o.n + 200) AS fence
+  FROM f o JOIN (SELECT l.lang, l.measure, (l.n * l.fence + 200 * c.fence) / (l.n + 200) AS parent
                  FROM f l JOIN f c ON l.measure = c.measure AND c.gl = 1 AND c.gs = 1 WHERE l.gl = 0 AND l.gs = 1) p
     ON o.lang IS NOT DISTINCT FROM p.lang AND o.measure = p.measure
   WHERE o.gl = 0 AND o.gs = 0
-)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed""" + "".join(
-    f""" AND {n} <= (SELECT cutoff FROM t WHERE t.lang IS NOT DISTINCT FROM m.lang AND t.source IS NOT DISTINCT FROM m.source
-    AND measure = '{n}')""" for n, _ in _MEASURES
-) + """ AS kept
-FROM m
+),
+p AS (SELECT lang, source""" + "".join(f", max(fence) FILTER (measure = '{n}') AS max_{n}" for n in _MEASURES) + """ FROM t GROUP BY lang, source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed
+    OR coalesce(n_symbols > n_words * max_symbol_ratio + 3 * sqrt(1 * (n_words * max_symbol_ratio)) + 3, FALSE)
+    OR coalesce(n_dup_lines > n_lines * max_dup_line_ratio + 3 * sqrt(1 * (n_lines * max_dup_line_ratio)) + 3, FALSE)
+    OR coalesce(n_repeat_words > n_words * max_repeat_ratio + 3 * sqrt(6 * (n_words * max_repeat_ratio)) + 18, FALSE)
+    OR coalesce(word_length > max_word_length * 1.04, FALSE)) AS kept
+FROM m LEFT JOIN p ON p.lang IS NOT DISTINCT FROM m.lang AND p.source IS NOT DISTINCT FROM m.source
 """
 
 EMBEDDINGS = """

@@ -26,21 +26,27 @@ TINY = 1e-3
 
 @dataclass(frozen=True)
 class Measure:
-    """An upper fence at q75 + ``reach`` * max(q75 - q25, ``spread``)."""
+    """A ratio ``count`` / ``of``; ``unit`` is what one event adds to the count. A mean has no counts."""
 
     name: str
-    spread: float
-    reach: float = 3.0
+    count: str | None = None
+    of: str | None = None
+    unit: int = 0
 
 
 MEASURES = (
-    Measure("symbol_ratio", spread=0.05),
-    Measure("dup_line_ratio", spread=0.25),
-    Measure("repeat_ratio", spread=0.2),
-    Measure("word_length", spread=3.0),
+    Measure("symbol_ratio", "n_symbols", "n_words", 1),
+    Measure("dup_line_ratio", "n_dup_lines", "n_lines", 1),
+    # A three-word window that occurs twice covers six words.
+    Measure("repeat_ratio", "n_repeat_words", "n_words", 6),
+    Measure("word_length"),
 )
-#: A source needs so many documents for a sketch of its own; below, its language's or the corpus' is read.
-MIN_DOCS = 200
+#: The quantiles that a fence is read from, and how many times their distance it lies above the upper one.
+MIDDLE, UPPER, REACH = 0.5, 0.9, 3
+#: A group's own fence counts as its documents do, its parent's as so many more.
+PRIOR = 200
+#: Deviations and events by which a document may be above the fence by chance.
+CHANCE = 3
 
 
 def repeated_words(ws: Column) -> Column:
@@ -134,7 +140,7 @@ def merge(sketch: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def fences(sketch: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Per group and measure: its document count and the upper fence, read from the sketch."""
+    """Per group and measure: its document count and the upper fence, read from the sketch alone."""
     by = Window.partitionBy(*keys, "measure")
     upto = by.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     ranked = sketch.withColumns({"below": F.sum("n").over(upto), "total": F.sum("n").over(by)})
@@ -142,41 +148,52 @@ def fences(sketch: DataFrame, keys: list[str], name: str) -> DataFrame:
     def quantile(q: float) -> Column:
         return bin_value(F.min(F.when(F.col("below") >= q * F.col("total"), F.col("bin"))))
 
-    q25, q75 = quantile(0.25), quantile(0.75)
-    spread = F.create_map(*(F.lit(x) for m in MEASURES for x in (m.name, m.spread)))[F.col("measure")]
-    reach = F.create_map(*(F.lit(x) for m in MEASURES for x in (m.name, m.reach)))[F.col("measure")]
-    return ranked.groupBy(*keys, "measure").agg(
-        F.max("total").alias(f"{name}_n"), (q75 + F.max(reach) * F.greatest(q75 - q25, F.max(spread))).alias(name)
-    )
+    middle, upper = quantile(MIDDLE), quantile(UPPER)
+    return ranked.groupBy(*keys, "measure").agg(F.max("total").alias(f"{name}_n"), (upper + REACH * (upper - middle)).alias(name))
 
 
 def thresholds(measured: DataFrame) -> DataFrame:
-    """One row per language and source with a cutoff for each measure.
+    """One row per language and source with a fence for each measure.
 
-    A source with fewer than ``MIN_DOCS`` documents takes its language's fence, a language with fewer the
-    corpus' one. A source's own fence stays within half and twice its language's, so that a source made
-    mostly of junk does not set the standard for itself. Null languages and sources are groups of their own.
+    Sketches hold the documents that pass the base rule, so what is rejected anyway sets no standard. Less than a tenth of a
+    group may be junk for its fence to show it. A source's fence is weighed against its language's, a language's
+    against the corpus' one, by the number of its documents: there is no size at which one takes over from the other.
+    Null languages and sources are groups of their own.
     """
-    fine = sketches(measured, ["lang", "source"])
+    fine = sketches(measured.where("NOT base_failed"), ["lang", "source"])
     by_lang = merge(fine, ["lang"])
     own, lang = fences(fine, ["lang", "source"], "own"), fences(by_lang, ["lang"], "langs")
     whole = fences(merge(by_lang, []), [], "whole")
     joined = own.join(lang.withColumnRenamed("measure", "measure_l").withColumnRenamed("lang", "lang_l"),
                       F.col("lang").eqNullSafe(F.col("lang_l")) & (F.col("measure") == F.col("measure_l")))
     joined = joined.join(whole, "measure")
-    parent = F.when(F.col("langs_n") >= MIN_DOCS, F.col("langs")).otherwise(F.col("whole"))
-    limit = F.when(
-        F.col("own_n") >= MIN_DOCS, F.least(F.greatest(F.col("own"), parent / 2), parent * 2)
-    ).otherwise(parent)
+
+    def weighed(n: str, fence: str, parent: Column) -> Column:
+        return (F.col(n) * F.col(fence) + PRIOR * parent) / (F.col(n) + PRIOR)
+
+    limit = weighed("own_n", "own", weighed("langs_n", "langs", F.col("whole")))
     return joined.groupBy("lang", "source").agg(
         *(F.max(F.when(F.col("measure") == m.name, limit)).alias(f"max_{m.name}") for m in MEASURES)
     )
 
 
+def above(m: Measure) -> Column:
+    """Whether a document is above its group's fence by more than chance.
+
+    A ratio is compared as a count: a few events in a short text, or as many more than the fence as a count deviates, are no
+    outlier. A mean is compared as it is, but for the sketch's error.
+    """
+    fence = F.col(f"max_{m.name}")
+    if m.count is None:
+        return F.col(m.name) > fence * (1 + 2 * ACCURACY)
+    expected = F.col(m.of) * fence
+    return F.col(m.count) > expected + CHANCE * F.sqrt(m.unit * expected) + CHANCE * m.unit
+
+
 def quality_verdicts(docs: DataFrame) -> DataFrame:
     """Every document with its counts, ``base_failed`` and ``kept``.
 
-    A document is kept if the base rule holds and no measure is above its group's cutoff. Texts are read
+    A document is kept if the base rule holds and no measure is above its group's fence (see ``above``). Texts are read
     once and never shuffled; the counts are written to the shared folder for the two passes over them.
     An empty table gives an empty result; repeated rows are judged each; null text fails the base rule.
     """
@@ -190,7 +207,7 @@ def row_verdicts(docs: DataFrame) -> DataFrame:
     limits = materialize(limits, "quality-limits")
     over = F.lit(False)
     for m in MEASURES:
-        over = over | F.coalesce(F.col(m.name) > F.col(f"max_{m.name}"), F.lit(False))
+        over = over | F.coalesce(above(m), F.lit(False))
     same = F.col("lang").eqNullSafe(F.col("lang_t")) & F.col("source").eqNullSafe(F.col("source_t"))
     return counts.join(limits, same, "left").select(
         "lang", "source", "t", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

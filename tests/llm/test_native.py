@@ -57,6 +57,52 @@ def test_quality_drops_outliers_and_keeps_the_rest(spark):
     assert {r.doc_id for r in got.where("not kept").collect()} == {1000 + i for i in range(10)}
 
 
+WORD = ["river", "stone", "valley", "quiet", "farmer", "bridge", "school", "cattle"]
+
+
+def plain(rng, n, lines=21):
+    """A text without symbols, repeated lines or repeated windows."""
+    words = [f"{WORD[int(rng.integers(8))]}{int(rng.integers(10**6))}" for _ in range(n)]
+    per = -(-n // lines)
+    return "\n".join(" ".join(words[k : k + per]) for k in range(0, n, per))
+
+
+def judged(spark, rows):
+    got = quality.quality_verdicts(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    return {r.doc_id: r.kept for r in got.collect()}
+
+
+def test_each_measure_rejects_outliers_of_a_clean_group_and_none_of_a_uniform_one(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    clean = [(i, plain(rng, 200), "en", "s") for i in range(400)]
+    outliers = {
+        1000: plain(rng, 200).replace("river", "r#*er").replace("stone", "$tone"),
+        1001: plain(rng, 120) + "\n" + "\n".join(["shared line one of this text"] * 9),
+        1002: " ".join((t := plain(rng, 155).split()) + t[:45]),
+        1003: " ".join(w + "andsoforth" for w in plain(rng, 200).split()),
+    }
+    got = judged(spark, clean + [(i, t, "en", "s") for i, t in outliers.items()])
+    assert all(got[i] for i in range(400)) and not any(got[i] for i in outliers)
+    for k, text in enumerate(outliers.values()):  # the same as the rule
+        group = [(i, text if k != 0 else text.replace("valley", f"v{i}"), "en", "s") for i in range(60)]
+        assert all(judged(spark, group).values())
+    # A few events in a short text are no outlier.
+    assert judged(spark, clean + [(2000, plain(rng, 60) + " # $ %\none line\none line", "en", "s")])[2000]
+
+
+def test_verdicts_move_gradually_with_the_size_of_a_group(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    noisy = [(i, plain(rng, 120) + " #" * int(rng.integers(0, 40)), "en", "noisy") for i in range(200)]
+    clean = [(1000 + i, plain(rng, 120), "en", "clean") for i in range(800)]
+    before, after = judged(spark, noisy[:199] + clean), judged(spark, noisy + clean)
+    assert sum(before[i] != after[i] for i in before) <= 2
+    assert sum(after[i] for i in range(200)) >= 180
+
+
 def test_sketch_quantiles_are_close_and_mergeable(spark):
     values = spark.range(1, 5001).select(
         (F.col("id") % 2).cast("string").alias("lang"), F.lit("s").alias("source"),
@@ -65,7 +111,7 @@ def test_sketch_quantiles_are_close_and_mergeable(spark):
     whole = quality.merge(quality.sketches(values, ["lang", "source"]), [])
     one = {r.measure: r for r in quality.fences(whole, [], "f").collect()}
     assert one["symbol_ratio"].f_n == 5000
-    assert one["symbol_ratio"].f == pytest.approx(37.5 + 3 * 25, rel=4 * quality.ACCURACY)
+    assert one["symbol_ratio"].f == pytest.approx(45 + 3 * 20, rel=4 * quality.ACCURACY)
 
 
 def test_lines_against_plain_python(spark, docs):
