@@ -12,8 +12,9 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +39,8 @@ FILLERS = ".-_*~'’/\\,"
 #: Costs (negative logarithms) of the channel: a sign for a letter, a masked letter, a filler dropped or read as the end of
 #: a word, a stretched letter.
 SIGN, MASK, DROP, STRETCH = 1.0, 2.5, 0.7, 0.5
-#: States kept at each place of a lattice, so that its cost is linear in the runs of characters, however many there are.
-BEAM = 200
-#: Bounds of the model: labelled documents that it learns from, features that it keeps.
-MAX_LABELLED, MAX_FEATURES = 30_000, 20_000
+#: Labelled documents that the model learns from, at most. Its features are words of these, so they are bounded with it.
+MAX_LABELLED = 30_000
 PREFIXES = range(4, 8)
 #: Weight (logarithm of odds) from which a word is strong evidence.
 STRONG = 4.5
@@ -151,8 +150,8 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
 def viterbi(token: str, model: LanguageModel, most: int = 4, margin: float = 4.0) -> list[str]:
     """The best path through the token's lattice, and the best ones into other last states within ``margin`` of it.
 
-    A state is the last two symbols; the best path into each is kept, and of more than ``BEAM`` states the best. A path is
-    its last piece and the path before it.
+    A state is the last two symbols; the best path into each is kept. There are ``SYMBOLS`` squared states at most, so the cost is
+    linear in the runs of characters. A path is its last piece and the path before it.
     """
     flat, of = model.flat, model.of
     paths: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
@@ -167,8 +166,6 @@ def viterbi(token: str, model: LanguageModel, most: int = 4, margin: float = 4.0
                     now = now % SYMBOLS * SYMBOLS + s
                 if now not in best or total < best[now][0]:
                     best[now] = (total, (path, letters) if letters else path)
-        if len(best) > BEAM:
-            best = dict(sorted(best.items(), key=lambda x: x[1][0])[:BEAM])
         paths = best
 
     def spelt(path: tuple | None) -> str:
@@ -258,19 +255,107 @@ class Model:
     curve: tuple[float, ...] = (-5.0, 1.0, 0.6, 0.1)
 
 
+class Reach:
+    """Which tokens can spell a weighted feature at all: their lattice and a trie of the features are walked together.
+
+    Trie and walk take runs of one letter as one, so how often a letter is written does not matter here. What is refused has no
+    path, likely or not, that spells a feature; only the rest has to be decoded.
+    """
+
+    END, ANY = "end", "any"  # longer than a character, so no step of the walk
+
+    def __init__(self, weights: Iterable[str]) -> None:
+        self.root: dict = {}
+        for feature in weights:
+            whole = feature.endswith("$")
+            node = self.root
+            for m in _RUNS.finditer(feature[:-1] if whole else feature):
+                node = node.setdefault(m[1], {})
+            node[self.END if whole else self.ANY] = True
+
+    def bare(self, word: str) -> bool:
+        """Whether a word as it stands, its letters written more or less often, has a feature."""
+        node, before = self.root, ""
+        for ch in word:
+            if ch != before:
+                node = node.get(ch)
+                if node is None:
+                    return False
+                if self.ANY in node:
+                    return True
+                before = ch
+        return self.END in node
+
+    def lattice(self, token: str) -> bool:
+        """Whether any path through the token's lattice spells a word with a feature."""
+        end, any_, root = self.END, self.ANY, self.root
+        nodes: dict[int, tuple[dict, str]] = {0: (root, "")}  # by identity: a node and the letter that led to it
+        for m in _RUNS.finditer(token):
+            ch = m[1]
+            letters, drops, ends = _options(ch)
+            if not nodes and not ends:
+                continue
+            after = dict(nodes) if drops else {}
+            for node, before in nodes.values():
+                if ends and end in node:
+                    return True
+                for c in node if letters is None else letters:
+                    if c == before:
+                        after[id(node)] = (node, before)
+                    to = node.get(c)
+                    if to is None or to is True:
+                        continue
+                    if any_ in to:
+                        return True
+                    after[id(to)] = (to, c)
+                if letters is None and before:
+                    after[id(node)] = (node, before)
+            if ends:
+                after[0] = (root, "")
+            nodes = after
+        return any(end in node for node, _ in nodes.values())
+
+    def token(self, token: str) -> bool:
+        """Whether any form of the token can have a feature."""
+        if token.isalpha():
+            return self.bare(token)
+        spaced = any(map(str.isspace, token))
+        bare = token.strip(EDGES)
+        if not spaced and self.bare(bare):
+            return True
+        for t in {token} if spaced else {bare, token.rstrip(".,;:?\"')").lstrip("\"'(")}:
+            if t and not t.isalpha() and (spaced or _DISGUISED.search(t)) and self.lattice(t):
+                return True
+        return False
+
+
+@cache
+def _options(ch: str) -> tuple[tuple[str, ...] | None, bool, bool]:
+    """What a run of the character can stand for in ``lattice``: letters (None: any), nothing, the end of a word."""
+    if ch.isalpha():
+        return (ch,), False, False
+    if ch.isspace():
+        return (), True, True
+    if ch in MASKS:
+        return None, True, ch in FILLERS
+    letters = tuple(LOOKS_LIKE.get(ch, ""))
+    return letters if letters or ch in FILLERS else (ch,), ch in FILLERS, ch in FILLERS
+
+
 class Scorer:
     """Per worker: evidence of words, with a bounded table of those met."""
 
     def __init__(self, model: Model, kept: int = 400_000) -> None:
         self.model, self.kept = model, kept
-        self.restorer = Restorer(LanguageModel(model.triples))
+        self.restorer, self.reach = Restorer(LanguageModel(model.triples)), Reach(model.weights)
         self.known: dict[str, float] = {}
 
     def weight(self, token: str) -> float:
         found = self.known.get(token)
         if found is None:
-            get = self.model.weights.get
-            found = max((get(f, 0.0) for form in self.restorer.forms(token) for f in features(form)), default=0.0)
+            get, found = self.model.weights.get, 0.0
+            if self.reach.token(token):
+                found = max((get(f, 0.0) for form in self.restorer.forms(token) for f in features(form)), default=0.0)
             if len(self.known) >= self.kept:
                 self.known.clear()
             self.known[token] = found
@@ -331,44 +416,52 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED
     return hashed.join(chosen, "id").dropDuplicates(["id"]).select("id", "text", "toxic")
 
 
-def learn_weights(sample: DataFrame, triples: np.ndarray, most: int = MAX_FEATURES) -> dict[str, float]:
-    """Features that tell toxic documents from others, with the logarithm of their odds.
+def count_features(sample: DataFrame, triples: np.ndarray) -> DataFrame:
+    """``feature, a0, b0, a1, b1``: documents with the feature, toxic and clean ones, of either half of the sample.
 
-    Documents with the feature are counted for both labels; a feature counts if the likelihood ratio of the two shares is
-    beyond chance for as many features as were tested. At most ``most`` features reach the driver.
+    Every token of the sample is restored once. The table is written.
     """
     counts = Model(triples)
+    names = ["b0", "a0", "b1", "a1"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(LanguageModel(counts.triples))
-        tallies = (Counter(), Counter())
+        tallies = tuple(Counter() for _ in names)
         for batch in batches:
-            for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist(), strict=True):
+            groups = batch.column("half").to_numpy() * 2 + (batch.column("toxic").to_numpy() > 0)
+            for text, group in zip(batch.column("text"), groups.tolist(), strict=True):
                 found = set()
                 for t in tokens_of(text.as_py().lower()):
                     for form in restorer.forms(t):
                         found.update(features(form))
-                tallies[int(toxic > 0)].update(found)
+                tallies[group].update(found)
                 if sum(map(len, tallies)) > 1_000_000:  # bounded memory: sums go out early
                     yield from rows(tallies)
-                    tallies = (Counter(), Counter())
+                    tallies = tuple(Counter() for _ in names)
         yield from rows(tallies)
 
-    def rows(tallies: tuple[Counter, Counter]) -> Iterator[pa.RecordBatch]:
-        for label, tally in enumerate(tallies):
+    def rows(tallies: tuple[Counter, ...]) -> Iterator[pa.RecordBatch]:
+        for k, tally in enumerate(tallies):
             n = pa.array(list(tally.values()), pa.int64())
             none = pa.array(np.zeros(len(n), np.int64))
-            pair = [n, none] if label else [none, n]
-            yield pa.RecordBatch.from_arrays([pa.array(list(tally), pa.string()), *pair], ["feature", "a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(tally), pa.string()), *(n if i == k else none for i in range(4))], ["feature", *names])
+
+    tallied = sample.select("text", "toxic", "half").mapInArrow(run, "feature string, " + ", ".join(f"{c} long" for c in names))
+    sums = tallied.groupBy("feature").agg(*(F.sum(c).alias(c) for c in names))
+    return materialize(sums.where("a0 + b0 + a1 + b1 >= 3"), "toxic-features")
 
-    sizes = dict(sample.groupBy((F.col("toxic") > 0).alias("t")).count().collect())
-    toxic, clean = sizes.get(True, 0), sizes.get(False, 0)
+
+def weigh(counted: DataFrame, toxic: int, clean: int) -> dict[str, float]:
+    """Features that tell toxic documents from others, with the logarithm of their odds, from their counts ``a`` and ``b`` in
+    ``toxic`` and ``clean`` documents.
+
+    A feature counts if the likelihood ratio of the two shares is beyond chance for as many features as were tested. All that do
+    reach the driver: words of a bounded sample.
+    """
     if not toxic or not clean:
         return {}
-    tallied = sample.select("text", "toxic").mapInArrow(run, "feature string, a long, b long")
     a, b = F.col("a"), F.col("b")
-    sums = tallied.groupBy("feature").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).where(a + b >= 3)
-    sums = materialize(sums, "toxic-features")
+    sums = counted.where(a + b >= 3)
     tested = sums.count()
 
     def part(seen: Column, of: int) -> Column:
@@ -378,8 +471,7 @@ def learn_weights(sample: DataFrame, triples: np.ndarray, most: int = MAX_FEATUR
     told = sums.withColumns({"weight": odds, "ratio": 2 * (part(a, toxic) + part(b, clean))})
     # About one feature in all passes by chance.
     told = told.where((F.col("weight") > 1.5) & (F.col("ratio") > 2 * math.log(max(2, tested))))
-    best = told.orderBy(F.desc("ratio"), "feature").limit(most)
-    return {r.feature: r.weight for r in best.select("feature", "weight").collect()}
+    return {r.feature: r.weight for r in told.select("feature", "weight").collect()}
 
 
 #: Where the curve starts from: a word's odds against the prior odds, as naive Bayes has it. Few documents hold one strong
@@ -412,10 +504,14 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> Model:
     """
     triples = language_model(docs)
     sample = materialize(labelled_sample(docs, labels, most), "toxic-distinct")
-    half = F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(2)) == 0
-    draft = Model(triples, learn_weights(sample.where(half), triples))
+    sample = sample.withColumn("half", F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(2)))
+    sizes = {(r.half, r.t): r.n for r in sample.groupBy("half", (F.col("toxic") > 0).alias("t")).agg(F.count("*").alias("n")).collect()}
+    counted = count_features(sample, triples)
+    draft = Model(triples, weigh(counted.select("feature", F.col("a0").alias("a"), F.col("b0").alias("b")), sizes.get((0, True), 0), sizes.get((0, False), 0)))
+    every = counted.select("feature", (F.col("a0") + F.col("a1")).alias("a"), (F.col("b0") + F.col("b1")).alias("b"))
+    weights = weigh(every, *(sum(n for (_, t), n in sizes.items() if t == kind) for kind in (True, False)))
     if not draft.weights:
-        return Model(triples, learn_weights(sample, triples), CURVE)
+        return Model(triples, weights, CURVE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(draft)
@@ -425,17 +521,17 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> Model:
                 [*(pa.array(seen[:, k]) for k in range(3)), batch.column("toxic")], ["x1", "x2", "x3", "y"]
             )
 
-    shown = sample.where(~half).select("text", "toxic").mapInArrow(run, "x1 double, x2 double, x3 double, y int")
+    shown = sample.where("half = 1").select("text", "toxic").mapInArrow(run, "x1 double, x2 double, x3 double, y int")
     pdf = shown.toPandas()  # at most ``most`` rows of four numbers
     y = (pdf["y"].to_numpy() > 0).astype(float)
     curve = fit_curve(pdf[["x1", "x2", "x3"]].to_numpy(), y) if 0 < y.sum() < len(y) else CURVE
-    return Model(triples, learn_weights(sample, triples), curve)
+    return Model(triples, weights, curve)
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     """All columns of ``docs`` and ``score``, 0 to 1. Texts are scored whole; null text counts as empty.
 
-    The model is bounded (64^3 counts and ``MAX_FEATURES`` weights), so each task gets a copy.
+    The model is bounded (64^3 counts, and words of a bounded sample), so each task gets a copy.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

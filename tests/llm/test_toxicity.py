@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from itertools import product
 
 import numpy as np
 import pytest
@@ -136,7 +137,7 @@ def test_null_and_repeated_ids_in_the_pipeline(spark):
 
 
 def test_every_operator_has_a_query():
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 14)} | {"pipeline"}
 
 
 SPACED = [
@@ -164,6 +165,61 @@ def test_tokens_of_any_length_are_decoded(fitted, token, words):
     assert words <= toxicity.Restorer(toxicity.LanguageModel(fitted[2].triples)).forms(token)
 
 
+def all_paths(token, model):
+    """Every path's text, last state and cost."""
+    for pieces in product(*toxicity.lattice(token)):
+        state, cost = 0, 0.0
+        for letters, extra in pieces:
+            cost += extra
+            for ch in letters:
+                s = model.of(ch) if ch.isalpha() else 0
+                cost += model.flat[state * toxicity.SYMBOLS + s]
+                state = state % toxicity.SYMBOLS * toxicity.SYMBOLS + s
+        yield "".join(letters for letters, _ in pieces), state, cost + model.flat[state * toxicity.SYMBOLS]
+
+
+def test_viterbi_against_all_paths(fitted):
+    model = toxicity.LanguageModel(fitted[2].triples)
+    rng = np.random.default_rng(4)
+    tokens = ["".join(rng.choice(list("aeilorst1034$@!.-*/"), size=n)) for n in rng.integers(1, 7, size=150)]
+    for token in [*tokens, "m*r*n", "ll11", "a.b-c", "i d ! o t"]:
+        best, cheapest = {}, {}
+        for text, state, cost in all_paths(token, model):
+            best[state] = min(cost, best.get(state, np.inf))
+            cheapest[text] = min(cost, cheapest.get(text, np.inf))
+        want = [c for c in sorted(best.values())[:4] if c <= min(best.values()) + 4.0]
+        got = toxicity.viterbi(token, model)
+        assert np.allclose(sorted(cheapest[t] for t in got), want, atol=1e-3), token
+
+
+def test_what_is_not_decoded_has_no_weight(fitted):
+    rng = np.random.default_rng(6)
+    weights = {f: float(rng.uniform(1, 6)) for w in [*BAD, "stupid", "good", "s.o.b", "l33t", "bookkeeper"] for f in toxicity.features(w) if rng.random() < 0.6}
+    scorer = toxicity.Scorer(toxicity.Model(fitted[2].triples, weights))
+    plain = {"i": "1!|", "o": "0*", "e": "3", "s": "$5", "t": "7+", "a": "@4", "l": "1|"}
+
+    def disguise(word):
+        out = []
+        for ch in word:
+            r = rng.random()
+            out.append(rng.choice(list(plain[ch])) if r < 0.25 and ch in plain else ch * int(rng.integers(2, 5)) if r < 0.35 else ch + str(rng.choice(list(".-_*/"))) if r < 0.45 else ch)
+        return str(rng.choice(["", "(", '"', "x", "quiet-"])) + "".join(map(str, out)) + str(rng.choice(["", "!", "...", "ish", "/valley", "*"]))
+
+    tokens = [disguise(str(rng.choice([*BAD, *WORDS, "stupidity", "goodness", "l33t", "s.o.b"]))) for _ in range(1500)]
+    tokens += [" ".join(t) for t in tokens[:150]] + ["", "***", "a", "- -", "go*d", "g00d", "book.keeper"]
+    told = 0
+    for t in tokens:
+        want = max((weights.get(f, 0.0) for form in scorer.restorer.forms(t) for f in toxicity.features(form)), default=0.0)
+        assert scorer.weight(t) == want, t
+        told += want > 0
+    assert 100 < told < len(tokens) and sum(scorer.reach.token(t) for t in tokens) < len(tokens) - 200
+    text = "you 1d10t and l0s3r, m o r o n of the quiet valley"
+    hits = [w for w in (max((weights.get(f, 0.0) for form in scorer.restorer.forms(t) for f in toxicity.features(form)), default=0.0)
+                        for t in toxicity.tokens_of(text)) if w > 0]
+    strong = sum(w >= toxicity.STRONG for w in hits)
+    assert scorer.evidence(text) == pytest.approx((max(hits), np.log1p(strong), np.log1p(sum(w for w in hits if w < toxicity.STRONG))))
+
+
 def test_doubled_letters_are_decided_as_in_the_lattice(fitted):
     model = toxicity.LanguageModel(fitted[2].triples)
     for word in ["iiddiioott", "valley", "oo", "ttll", "moronn", "looser", "keepp", "schooll", "bbook", "xx", "aab"]:
