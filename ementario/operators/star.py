@@ -307,16 +307,24 @@ def load_star(
 ) -> None:
     """Upsert a staging table, or the part of it that is new, into ``fato_julgados_stj`` and its dimensions.
 
+    A load that died between the tables is mended by its repetition.
+
     ``staging`` is read once: its rows are treated and written, and the tables read what they need of that. The fact
     keeps the places of each row's first and last write, so loads may be repeated or arrive in any order and end in the
     same tables. It lies in ``buckets`` of its id, and a load reads and writes only those that its ids fall into.
     Rows without a usable id are written below ``rejeitados`` as records. Dimensions only grow. A table of another layout is
     refused before anything is written.
     """
-    names = {t: f"{prefix}{t}" for t in ("fato_julgados_stj", "dim_referencias_legais", "dim_assuntos_stj")}
+    load_dimensions(spark, load_fact(spark, staging, root, load_id, prefix, buckets), root, load_id, mode, prefix)
+
+
+def load_fact(
+    spark: SparkSession, staging: DataFrame, root: str, load_id: str, prefix: str = "", buckets: int = BUCKETS
+) -> DataFrame:
+    """The first half of ``load_star``; gives the written rows that the dimensions are loaded from."""
     for dim in ("dim_referencias_legais", "dim_assuntos_stj"):
-        check_dimension(spark, names[dim])
-    name = names["fato_julgados_stj"]
+        check_dimension(spark, f"{prefix}{dim}")
+    name = f"{prefix}fato_julgados_stj"
     buckets = fact_buckets(spark, name, buckets)
 
     # A number of its own, so that rows which are equal in all else can be told apart.
@@ -335,10 +343,17 @@ def load_star(
         kept = merge_ordered(old.filter(F.col(BUCKET).isin(touched)), changes, "id_julgado", policy)
         changes = kept.select("*", bucket)
     publish_buckets(spark, name, changes, f"{root}/{name}", buckets)
+    return rows
+
+
+def load_dimensions(
+    spark: SparkSession, rows: DataFrame, root: str, load_id: str, mode: str = "intended", prefix: str = ""
+) -> None:
+    """The second half of ``load_star``, from the rows that ``load_fact`` gave."""
     refs = legal_refs(rows.filter(F.col("id_julgado").isNotNull()), "id_julgado", F.col("itens"), mode)
     subj = rows.filter(F.col("id_julgado").isNotNull()).select(F.col("id_julgado").alias("id_julgado_fk"), F.inline("assuntos"))
     for dim, found, keys, key_name in (
         ("dim_referencias_legais", refs, DIM_REFS_KEY, "id_ref_legal"),
         ("dim_assuntos_stj", subj, DIM_SUBJECTS_KEY, "id_assunto"),
     ):
-        append_dimension(spark, names[dim], found, keys, key_name, f"{root}/{names[dim]}", load_id)
+        append_dimension(spark, f"{prefix}{dim}", found, keys, key_name, f"{root}/{prefix}{dim}", load_id)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +29,7 @@ from ementario.operators.star import (
     star_join_report,
     with_id,
 )
+from ementario.operators import star as star_load
 from ementario.operators.upsert import FIRST, LAST, collapse, dim_upsert, upsert
 from ementario.plans.bindings import (
     TABLES,
@@ -44,6 +46,7 @@ from ementario.plans.registry import query
 from ementario.schemas import DIM_SUBJECTS_KEY, LONG_FIELDS, STAGING_WIDTHS
 from ementario.session import scratch_path
 from ementario.sources.tables import read_table, spread
+from ementario.streaming.star import start_star
 
 # --- fact and dimensions ---------------------------------------------------------------
 
@@ -520,3 +523,42 @@ def load_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
         for label, name, key in (("refs", "dim_referencias_legais", "id_ref_legal"), ("subjects", "dim_assuntos_stj", "id_assunto"))
     ]
     return parts[0].unionByName(parts[1])
+
+
+@query("stream_star", f"""
+SELECT 'fact' AS part, count(*) AS n, count(*) AS n_keys, sum(CAST(id_origem AS BIGINT))::BIGINT AS total FROM {_SQL_LOADED}
+UNION ALL SELECT 'refs', count(*), count(*), sum(id_julgado_fk)::BIGINT FROM (SELECT DISTINCT * FROM {sql_refs(_SQL_LOADED, 'intended')})
+UNION ALL SELECT 'subjects', count(*), count(*), sum(id_julgado_fk)::BIGINT FROM (SELECT DISTINCT * FROM {sql_subjects(_SQL_LOADED)})""")
+def stream_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three micro-batches, the second of which dies once between the fact and its dimensions and is repeated."""
+    root, prefix = scratch_path(spark, "stream-star"), "q4_"
+    names = {"fato_julgados_stj": "id_julgado", "dim_referencias_legais": "id_ref_legal", "dim_assuntos_stj": "id_assunto"}
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {prefix}{name}")
+    rows = judged_like(spark, sf_dir).filter("id_dw % 10 <> 0")
+    for part in range(3):
+        rows.filter(F.col("id_dw") % 3 == part).coalesce(1).write.mode("append").parquet(f"{root}/arrived")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/arrived")
+    died: list[str] = []
+
+    def dying(session: SparkSession, batch: DataFrame, into: str, number: str) -> None:
+        written = star_load.load_fact(session, batch, into, number, prefix)
+        if number == "s1" and not died:
+            died.append(number)
+            raise RuntimeError("between two tables")
+        star_load.load_dimensions(session, written, into, number, prefix=prefix)
+
+    for _ in range(2):
+        running = start_star(stream, root, f"{root}/checkpoint", prefix, dying)
+        try:
+            running.awaitTermination()
+        except StreamingQueryException:
+            if len(died) != 1:
+                raise
+    parts = []
+    for (name, key), label in zip(names.items(), ("fact", "refs", "subjects"), strict=True):
+        id_ = "id_julgado" if label == "fact" else "id_julgado_fk"
+        parts.append(spark.table(f"{prefix}{name}").agg(
+            F.lit(label).alias("part"), F.count("*").alias("n"), F.countDistinct(key).alias("n_keys"), F.sum(id_).alias("total")
+        ))
+    return reduce(DataFrame.unionByName, parts)
