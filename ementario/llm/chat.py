@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ementario.llm.columns import words
 from ementario.session import materialize
 
 OPEN, SEP, CLOSE = "<turn ", ">\n", "</turn>\n"
@@ -33,9 +32,13 @@ def unescape(text: Column) -> Column:
     return out
 
 
-def turn_tokens(text: Column) -> Column:
-    """An estimate without a tokenizer: words, and four for the markers."""
-    return F.size(words(text)) + 4
+def marked_turn(role: Column, text: Column) -> Column:
+    return F.concat(F.lit(OPEN), escape(role), F.lit(SEP), escape(text), F.lit(CLOSE))
+
+
+def turn_tokens(role: Column, text: Column) -> Column:
+    """The bytes of the turn as it is written: no tokenizer that works on bytes makes more tokens of it."""
+    return F.octet_length(marked_turn(role, text))
 
 
 def place_turns(turns: DataFrame) -> DataFrame:
@@ -47,7 +50,7 @@ def place_turns(turns: DataFrame) -> DataFrame:
     block = F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(-1 << 40))
     base = turns.select(
         "conv_id", "turn", block.alias("block"), F.coalesce("role", F.lit("")).alias("role"),
-        F.coalesce("text", F.lit("")).alias("text"), turn_tokens(F.col("text")).cast("long").alias("tokens"),
+        F.coalesce("text", F.lit("")).alias("text"), turn_tokens(F.col("role"), F.col("text")).cast("long").alias("tokens"),
     )
     within = Window.partitionBy("conv_id", "block").orderBy("turn", "role", "text")
     here = within.rowsBetween(Window.unboundedPreceding, -1)
@@ -88,7 +91,7 @@ def format_windows(turns: DataFrame, budget: int = 2048, history: int = 256) ->
     uses = F.when(in_history, F.array(F.struct(window.alias("w"), F.lit(2).alias("part")),
                                       F.struct((window + 1).alias("w"), F.lit(1).alias("part"))))
     uses = uses.otherwise(F.array(F.struct(window.alias("w"), F.lit(2).alias("part"))))
-    marked = F.concat(F.lit(OPEN), escape(F.col("role")), F.lit(SEP), escape(F.col("text")), F.lit(CLOSE))
+    marked = marked_turn(F.col("role"), F.col("text"))
     head = F.char_length(F.concat(F.lit(OPEN), escape(F.col("role")), F.lit(SEP)))
     used = joined.select(
         "conv_id", F.explode(uses).alias("u"), "seq", marked.alias("marked"), head.alias("head"),

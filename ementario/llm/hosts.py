@@ -1,8 +1,8 @@
 """URL filters: fixed rules first, then an empirical-Bayes reputation of hosts.
 
 Labelled outcomes of pages are counted per host, registered domain and suffix. Each level is a
-beta-binomial whose prior is the posterior of the level above; the prior's strength is fitted to the
-spread between hosts by the method of moments. A host is blocked where even the upper posterior bound
+beta-binomial whose prior is the posterior of the level above, without the node's own outcomes; the strength of a level's
+prior is fitted to the spread between its groups by the method of moments. A host is blocked where even the upper posterior bound
 of its share of good pages is below a floor.
 """
 
@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from ementario.llm.columns import ascii_lower
 from ementario.session import materialize
 
-#: Suffixes of two labels under which domains are registered.
-TWO_PART = ("co.uk", "org.uk", "ac.uk", "com.au", "com.br", "co.jp", "co.in", "com.mx")
+# Usual labels below a country's own, under which domains are registered.
+GENERIC = ("ac", "co", "com", "edu", "go", "gob", "gov", "mil", "ne", "net", "or", "org")
+#: Names that must stand under two labels for these to count as a suffix.
+MANY_NAMES = 100
 
 
 @dataclass(frozen=True)
@@ -58,15 +60,33 @@ def matched_rule(host: Column, path: Column, rules: tuple[Rule, ...] = RULES) ->
     return fits
 
 
-def registered_domain(host: Column) -> tuple[Column, Column]:
-    """Registered domain and public suffix, of the host without its port."""
-    bare = F.regexp_replace(host, r":\d*$", "")
-    labels = F.split(bare, r"\.")
-    two = F.substring_index(bare, ".", -2)
-    deep = two.isin(*TWO_PART)
-    suffix = F.when(deep, two).otherwise(F.element_at(labels, -1))
-    domain = F.when(deep, F.substring_index(bare, ".", -3)).otherwise(two)
-    return domain, suffix
+def bare_host(host: Column) -> Column:
+    """The host without its port."""
+    return F.regexp_replace(host, r":\d*$", "")
+
+
+def is_address(bare: Column) -> Column:
+    return F.regexp_like(bare, F.lit(r"^\d+\.\d+\.\d+\.\d+$")) | bare.startswith("[")
+
+
+def registered_domains(hosts: DataFrame, many: int = MANY_NAMES) -> DataFrame:
+    """``hosts`` (distinct ones) with ``domain`` and ``suffix``.
+
+    A suffix is the last label, or the last two where the first of them is a usual one below a country (``GENERIC``) or where at
+    least ``many`` different names stand under the two in this table: nothing says then that these names have one owner. An
+    address is its own domain and suffix.
+    """
+    bare = bare_host(F.col("host"))
+    two, three = F.substring_index(bare, ".", -2), F.substring_index(bare, ".", -3)
+    rows = hosts.withColumns({"bare": bare, "two": two, "three": three, "address": is_address(bare)})
+    shared = rows.where("NOT address AND three <> two").groupBy("two").agg(F.countDistinct("three").alias("names"))
+    shared = shared.where(F.col("names") >= many).select(F.col("two").alias("shared"))
+    rows = rows.join(shared, F.col("two") == F.col("shared"), "left")
+    country = F.regexp_like("two", F.lit(r"^(" + "|".join(GENERIC) + r")\.[a-z]{2}$"))
+    deep = F.col("shared").isNotNull() | country
+    domain = F.when(F.col("address"), F.col("bare")).when(deep, F.col("three")).otherwise(F.col("two"))
+    suffix = F.when(F.col("address"), F.col("bare")).when(deep, F.col("two")).otherwise(F.substring_index("bare", ".", -1))
+    return rows.select(*hosts.columns, domain.alias("domain"), suffix.alias("suffix"))
 
 
 def outcomes(labels: DataFrame) -> DataFrame:
@@ -75,11 +95,10 @@ def outcomes(labels: DataFrame) -> DataFrame:
     return labels.groupBy(F.col("doc_id").alias("page_id")).agg((1 - F.max(bad.cast("int"))).alias("good"))
 
 
-def _strength(counts: DataFrame, lowest: float = 1.0, highest: float = 1000.0) -> tuple[float, float]:
-    """Mean of the outcomes and the prior strength that fits their spread between groups.
+def _strength(counts: DataFrame, lowest: float = 1.0, highest: float = 1000.0) -> float:
+    """The strength of a prior that fits the spread of the outcomes between the groups of a level.
 
-    One row of sums reaches the driver. Without outcomes the mean is one half; where the spread is no
-    larger than chance the prior is as strong as allowed.
+    One row of sums reaches the driver. Where the spread is no larger than chance the prior is as strong as allowed.
     """
     n, x = F.col("n").cast("double"), F.col("good").cast("double")
     row = counts.where("n > 0").agg(
@@ -87,45 +106,66 @@ def _strength(counts: DataFrame, lowest: float = 1.0, highest: float = 1000.0) -
         F.sum(n * n).alias("nn"), F.sum(x * x / n).alias("xx"),
     ).first()
     if not row.n:
-        return 0.5, lowest
+        return lowest
     mean = row.x / row.n
     within = mean * (1 - mean)
     chance = row.n - row.nn / row.n - (row.k - 1)
     if within <= 0 or chance <= 0:
-        return mean, highest
+        return highest
     rho = (row.xx - row.n * mean * mean - within * (row.k - 1)) / (within * chance)
-    return mean, highest if rho <= 0 else min(highest, max(lowest, (1 - rho) / rho))
+    return highest if rho <= 0 else min(highest, max(lowest, (1 - rho) / rho))
+
+
+def _evidence(counts: DataFrame, k: float, name: str) -> DataFrame:
+    """``counts`` and what each group says about the level above: its outcomes, many of which weigh no more than ``k`` + 1.
+
+    Groups differ from each other as a prior of strength ``k`` has it, so a thousand pages of one domain tell of the suffix
+    hardly more than its mean does.
+    """
+    n = F.col("n") * (k + 1) / (F.col("n") + k)
+    share = F.when(F.col("n") > 0, F.col("good") / F.col("n")).otherwise(0.0)
+    return counts.withColumn(f"{name}_n", n).withColumn(f"{name}_good", F.col(f"{name}_n") * share)
 
 
 def host_reputation(pages: DataFrame, labels: DataFrame, z: float = 1.645) -> DataFrame:
     """One row per host: n, good, mean and the posterior bounds (lower, upper) of its share of good pages.
 
-    ``pages`` has page_id and host. Hosts without outcomes have the prior of their domain, and domains without
-    any that of their suffix. Counts are aggregated map-side, so a host with a third of all pages
-    is one row per task.
+    ``pages`` has page_id and host. A host's prior is what the other hosts of its domain show, shrunk towards what the other
+    domains of the suffix show, and that towards all other suffixes: a node's own outcomes are never part of its prior. Each
+    level has its own strength. Counts are aggregated map-side, so a host with a third of all pages is one row per task.
     """
     labelled = pages.join(outcomes(labels), "page_id", "left")
     by_host = labelled.groupBy("host").agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("good"))
-    domain, suffix = registered_domain(F.col("host"))
-    by_host = materialize(by_host.withColumns({"domain": domain, "suffix": suffix}), "host-counts")
-    mean, k = _strength(by_host)
-
-    def level(key: str) -> DataFrame:
-        return by_host.groupBy(key).agg(F.sum("n").alias(f"{key}_n"), F.sum("good").alias(f"{key}_good"))
-
-    def posterior(key: str, prior: Column) -> Column:
-        return (F.col(f"{key}_good") + k * prior) / (F.col(f"{key}_n") + k)
-
-    domains = by_host.groupBy("domain", "suffix").agg(
-        F.sum("n").alias("domain_n"), F.sum("good").alias("domain_good")
-    )
+    by_host = materialize(registered_domains(materialize(by_host, "host-outcomes")), "host-counts")
+    k_host = _strength(by_host)
+    hosts = _evidence(by_host, k_host, "host")
     # Suffixes are few but may hold most hosts: their sums are made per task first, then joined.
-    up = domains.join(level("suffix"), "suffix").withColumn("p_suffix", posterior("suffix", F.lit(mean)))
-    up = materialize(up.select("domain", posterior("domain", F.col("p_suffix")).alias("p_domain")), "domain-priors")
-    a = F.col("good") + k * F.col("p_domain")
-    b = F.col("n") - F.col("good") + k * (1 - F.col("p_domain"))
-    sd = F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
-    return by_host.join(up, "domain").withColumn("mean", a / (a + b)).select(
+    by_domain = materialize(hosts.groupBy("domain", "suffix").agg(F.sum("host_n").alias("n"), F.sum("host_good").alias("good")), "domain-counts")
+    k_domain = _strength(by_domain)
+    domains = _evidence(by_domain, k_domain, "domain")
+    by_suffix = materialize(domains.groupBy("suffix").agg(F.sum("domain_n").alias("n"), F.sum("domain_good").alias("good")), "suffix-counts")
+    k_suffix = _strength(by_suffix)
+    suffixes = _evidence(by_suffix, k_suffix, "suffix")
+    total = suffixes.agg(F.coalesce(F.sum("suffix_n"), F.lit(0.0)).alias("n"), F.coalesce(F.sum("suffix_good"), F.lit(0.0)).alias("good")).first()
+
+    def others(parent: tuple[Column, Column], child: str, k: float, prior: Column) -> Column:
+        """What a parent's other children show, shrunk towards the parent's own prior."""
+        return (parent[1] - F.col(f"{child}_good") + k * prior) / (parent[0] - F.col(f"{child}_n") + k)
+
+    rest = others((F.lit(total.n), F.lit(total.good)), "suffix", 1.0, F.lit(0.5))
+    up = domains.withColumnsRenamed({"n": "d_n", "good": "d_good"}).join(suffixes, "suffix")
+    up = up.withColumn("p", others((F.col("n"), F.col("good")), "domain", k_suffix, rest))
+    up = materialize(up.select("domain", "suffix", "d_n", "d_good", "p"), "domain-priors")
+    prior = others((F.col("d_n"), F.col("d_good")), "host", k_domain, F.col("p"))
+    known = F.col("d_n") - F.col("host_n") + k_domain
+    hosts = hosts.join(up, ["domain", "suffix"]).select("host", "n", "good", prior.alias("prior"), known.alias("known"))
+    a = F.col("good") + k_host * F.col("prior")
+    b = F.col("n") - F.col("good") + k_host * (1 - F.col("prior"))
+    # The prior itself is known from so much evidence only, which matters as far as it weighs.
+    weight = k_host / (F.col("n") + k_host)
+    unsure = weight * weight * F.col("prior") * (1 - F.col("prior")) / (F.col("known") + 1)
+    sd = F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)) + unsure)
+    return hosts.withColumn("mean", a / (a + b)).select(
         "host", "n", "good", "mean",
         F.greatest(F.lit(0.0), F.col("mean") - z * sd).alias("lower"),
         F.least(F.lit(1.0), F.col("mean") + z * sd).alias("upper"),

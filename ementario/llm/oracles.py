@@ -3,6 +3,13 @@
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
+# The strength of a level's prior, by moments, from groups with n outcomes, good of them good.
+_STRENGTH = """(SELECT CASE WHEN k IS NULL OR n IS NULL THEN 1.0 WHEN w <= 0 OR chance <= 0 OR rho <= 0 THEN 1000.0 ELSE least(1000.0, greatest(1.0, (1 - rho) / rho)) END
+  FROM (SELECT *, (xx - n * m * m - w * (k - 1)) / (w * chance) AS rho
+    FROM (SELECT *, x / n AS m, (x / n) * (1 - x / n) AS w, n - nn / n - (k - 1) AS chance
+      FROM (SELECT count(*) AS k, sum(n)::DOUBLE AS n, sum(good)::DOUBLE AS x, sum(n::DOUBLE * n) AS nn, sum(good::DOUBLE * good / n) AS xx
+            FROM {} WHERE n > 0))))"""
+
 URL_FILTERS = f"""
 WITH parts AS (
   SELECT page_id, {_LOWER.format("regexp_extract(rest, '^[^/?#]*')")} AS host,
@@ -13,22 +20,26 @@ outcome AS (SELECT doc_id, 1 - max(CASE WHEN coalesce(quality, 1) = 0 OR coalesc
             FROM labels GROUP BY doc_id),
 h0 AS (SELECT host, count(good) AS n, coalesce(sum(good), 0) AS good, regexp_replace(host, ':[0-9]*$', '') AS bare
        FROM parts LEFT JOIN outcome ON page_id = doc_id GROUP BY host),
-h1 AS (SELECT *, string_split(bare, '.') AS l, array_to_string(string_split(bare, '.')[-2:], '.') AS two FROM h0),
-h AS (SELECT host, n, good,
-        CASE WHEN two IN ('co.uk', 'org.uk', 'ac.uk', 'com.au', 'com.br', 'co.jp', 'co.in', 'com.mx')
-             THEN array_to_string(l[-3:], '.') ELSE two END AS domain,
-        CASE WHEN two IN ('co.uk', 'org.uk', 'ac.uk', 'com.au', 'com.br', 'co.jp', 'co.in', 'com.mx') THEN two ELSE l[-1] END AS suffix
-      FROM h1),
-f0 AS (SELECT count(*) AS k, sum(n)::DOUBLE AS n, sum(good)::DOUBLE AS x, sum(n::DOUBLE * n) AS nn, sum(good::DOUBLE * good / n) AS xx
-       FROM h WHERE n > 0),
-f1 AS (SELECT *, x / n AS m, (x / n) * (1 - x / n) AS w, n - nn / n - (k - 1) AS chance FROM f0),
-f AS (SELECT m, CASE WHEN w <= 0 OR chance <= 0 OR (xx - n * m * m - w * (k - 1)) <= 0 THEN 1000.0
-        ELSE least(1000.0, greatest(1.0, (1 - (xx - n * m * m - w * (k - 1)) / (w * chance)) / ((xx - n * m * m - w * (k - 1)) / (w * chance)))) END AS k
-      FROM f1),
-s AS (SELECT suffix, (sum(good) + max(k) * max(m)) / (sum(n) + max(k)) AS p FROM h, f GROUP BY suffix),
-d AS (SELECT domain, (sum(good) + max(k) * max(s.p)) / (sum(n) + max(k)) AS p FROM h JOIN s USING (suffix), f GROUP BY domain),
-ab AS (SELECT host, good + k * d.p AS a, n - good + k * (1 - d.p) AS b FROM h JOIN d USING (domain), f),
-rep AS (SELECT host, least(1.0, a / (a + b) + 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))) AS upper FROM ab),
+h1 AS (SELECT *, string_split(bare, '.') AS l, regexp_full_match(bare, '[0-9]+[.][0-9]+[.][0-9]+[.][0-9]+') OR starts_with(bare, '[') AS address FROM h0),
+h2 AS (SELECT *, array_to_string(l[-2:], '.') AS two, array_to_string(l[-3:], '.') AS three FROM h1),
+shared AS (SELECT two FROM h2 WHERE NOT address AND three <> two GROUP BY two HAVING count(DISTINCT three) >= 100),
+h3 AS (SELECT *, two IN (SELECT two FROM shared) OR regexp_full_match(two, '(ac|co|com|edu|go|gob|gov|mil|ne|net|or|org)[.][a-z][a-z]') AS deep FROM h2),
+h AS (SELECT host, n, good, CASE WHEN address THEN bare WHEN deep THEN three ELSE two END AS domain,
+        CASE WHEN address THEN bare WHEN deep THEN two ELSE l[-1] END AS suffix FROM h3),
+kh AS (SELECT {_STRENGTH.format("h")} AS kh),
+he AS (SELECT *, e * CASE WHEN n > 0 THEN good / n ELSE 0.0 END AS eg FROM (SELECT h.*, n * (kh + 1) / (n + kh) AS e FROM h, kh)),
+d AS (SELECT domain, suffix, sum(e) AS n, sum(eg) AS good FROM he GROUP BY domain, suffix),
+kd AS (SELECT {_STRENGTH.format("d")} AS kd),
+de AS (SELECT *, e * CASE WHEN n > 0 THEN good / n ELSE 0.0 END AS eg FROM (SELECT d.*, n * (kd + 1) / (n + kd) AS e FROM d, kd)),
+s AS (SELECT suffix, sum(e) AS n, sum(eg) AS good FROM de GROUP BY suffix),
+ks AS (SELECT {_STRENGTH.format("s")} AS ks),
+se AS (SELECT *, e * CASE WHEN n > 0 THEN good / n ELSE 0.0 END AS eg FROM (SELECT s.*, n * (ks + 1) / (n + ks) AS e FROM s, ks)),
+z AS (SELECT sum(e) AS n, sum(eg) AS good FROM se),
+dp AS (SELECT de.domain, de.suffix, de.n, de.good,
+         (se.good - de.eg + ks * ((z.good - se.eg + 1.0 * 0.5) / (z.n - se.e + 1.0))) / (se.n - de.e + ks) AS p FROM de JOIN se USING (suffix), z, ks),
+ab AS (SELECT host, good + kh * pr AS a, n - good + kh * (1 - pr) AS b, pow(kh / (n + kh), 2) * pr * (1 - pr) / (known + 1) AS unsure
+       FROM (SELECT he.host, he.n, he.good, kh, dp.n - he.e + kd AS known, (dp.good - he.eg + kd * p) / (dp.n - he.e + kd) AS pr FROM he JOIN dp USING (domain, suffix), kh, kd)),
+rep AS (SELECT host, least(1.0, a / (a + b) + 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)) + unsure)) AS upper FROM ab),
 ruled AS (
   SELECT p.*, upper, CASE
     WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
@@ -61,7 +72,7 @@ WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
 ),
-p AS (SELECT *, len(list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '')) + 4 AS tokens FROM t),
+p AS (SELECT *, 16 + strlen(role) + strlen(text) + len(regexp_extract_all(role || text, '[\\<>]')) AS tokens FROM t),
 q AS (SELECT *, row_number() OVER w - 1 AS seq, sum(tokens) OVER w - tokens AS start FROM p
       WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING)),
 s AS (SELECT conv_id, min(seq) AS sys, arg_min(tokens, seq) AS sys_tokens, arg_min(text, seq) AS sys_text FROM q WHERE role = 'system' GROUP BY conv_id),

@@ -159,6 +159,44 @@ def test_url_rules(spark):
         assert got[i].verdict == verdicts.get(rule, "allow")
 
 
+def reputation(spark, hosts):
+    """Means by host, for {host: (bad pages, good pages)}."""
+    pages, labels = [], []
+    for host, (bad, good) in hosts.items():
+        for k in range(max(1, bad + good)):
+            pages.append((len(pages), f"http://{host}/{k}"))
+            if bad + good:
+                labels.append((len(pages) - 1, int(k >= bad), 0))
+    got = queries_hosts(spark, pages, labels)
+    return {r.host: r for r in got.collect()}
+
+
+def queries_hosts(spark, pages, labels):
+    df = spark.createDataFrame(pages, "page_id long, url string")
+    return hosts.judge_urls(df, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), rules=()).dropDuplicates(["host"])
+
+
+def test_own_outcomes_are_no_part_of_the_prior(spark):
+    usual = {f"h{k}.{('test', 'com', 'net', 'info', 'dev')[k % 5]}": (k % 3, 3) for k in range(40)}
+    assert reputation(spark, usual | {"solo.xyz": (3, 0)})["solo.xyz"].mean > 0.17
+    known = usual | {"10.0.0.1": (9, 0), "77.5.0.1": (0, 0), "bad.co.za": (30, 0), "new.co.za": (0, 0)}
+    got = reputation(spark, known)
+    assert got["bad.co.za"].verdict == "block" and got["new.co.za"].verdict == "allow"
+    assert got["77.5.0.1"].verdict == "allow" and got["77.5.0.1"].mean > 0.5 and got["10.0.0.1"].mean < 0.5
+    # What the other hosts of a domain show decides a host without outcomes more than its suffix does.
+    more = known | {f"a{k}.bad.test": (9, 0) for k in range(30)} | {"b.bad.test": (0, 0)}
+    assert reputation(spark, more)["b.bad.test"].mean < got["77.5.0.1"].mean
+
+
+def test_suffixes_are_learnt_from_many_names(spark):
+    names = [f"u{k}.pages.dev" for k in range(6)] + ["a.mine.dev", "b.mine.dev", "www.x.co.uk", "[::1]:80", "10.0.0.1:8080", "com", ""]
+    df = spark.createDataFrame([(n,) for n in names], "host string")
+    got = {r.host: (r.domain, r.suffix) for r in hosts.registered_domains(df, many=5).collect()}
+    assert got["u1.pages.dev"] == ("u1.pages.dev", "pages.dev") and got["a.mine.dev"] == ("mine.dev", "dev")
+    assert got["www.x.co.uk"] == ("x.co.uk", "co.uk") and got["10.0.0.1:8080"] == ("10.0.0.1", "10.0.0.1") and got["[::1]:80"] == ("[::1]", "[::1]")
+    assert got["com"] == ("com", "com") and got[""] == ("", "")
+
+
 def test_reputation_blocks_only_hosts_known_to_be_bad(spark):
     bad = [(i, "http://bad.test/") for i in range(40)]
     good = [(100 + i, f"http://h{i % 7}.fine.test/") for i in range(200)]
@@ -192,6 +230,16 @@ def test_chat_round_trip(spark):
     assert chat.digests(chat.read_back(chat.format_windows(turns.limit(0)))).count() == 0
 
 
+def test_windows_stay_within_the_budget_for_any_tokenizer(spark):
+    texts = ["w" * 300, "é" * 150, "a b c " * 40, "<>" * 60, "", "x"]
+    rows = [(1, 0, "system", "be kind")] + [(1, k, ["user", "assistant"][k % 2], texts[k % 6]) for k in range(1, 90)]
+    rows += [(2, k, "user", "z" * 50_000 if k == 5 else "short") for k in range(9)]  # a turn is never cut
+    windows = chat.format_windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), 1024, 128).collect()
+    sizes = {(w.conv_id, w.window): len(w.formatted.encode()) for w in windows}
+    assert all(n <= 1024 for (c, _), n in sizes.items() if c == 1) and len(sizes) > 20
+    assert sum(n > 1024 for (c, _), n in sizes.items() if c == 2) <= 2 and all(n < 51_100 for n in sizes.values())
+
+
 def test_windows_keep_the_system_turn_history_and_budget(spark):
     rows = [(7, 0, "system", "rules here")] + [(7, k, ["assistant", "user"][k % 2], f"turn {k} " * 10) for k in range(1, 80)]
     windows = chat.format_windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), 200, 50)
@@ -200,7 +248,7 @@ def test_windows_keep_the_system_turn_history_and_budget(spark):
     for k, w in enumerate(got):
         assert w.formatted.startswith("<turn system>\nrules here</turn>\n")
         turns = [t for t in w.formatted.split("</turn>\n") if t]
-        assert w.n_turns == len(turns) and sum(len(t.split()) + 4 for t in turns) <= 200 + 5
+        assert w.n_turns == len(turns)
         assert (w.n_context > 1) == (k > 0)
         context = sum(len(t) + len("</turn>\n") for t in turns[: w.n_context])
         assert all(s.start >= context for s in w.loss_spans)  # repeated targets are masked
