@@ -207,7 +207,7 @@ def current_table(spark: SparkSession, name: str) -> DataFrame | None:
 
 
 #: Buckets of a fact table that does not exist yet. A table keeps the number with which it was made.
-BUCKETS = 32
+BUCKETS = 16
 _BUCKETS_KEY = "ementario.buckets"
 
 
@@ -338,8 +338,7 @@ def load_fact(
     changes = collapse_wide(fact, "id_julgado", policy, "at", "_n").select("*", bucket)
     old = current_table(spark, name)
     if old is not None:
-        changes = materialize(changes, name)
-        touched = [r[0] for r in changes.select(BUCKET).distinct().collect()]  # at most as many as buckets
+        touched = [r[0] for r in fact.select(bucket).distinct().collect()]  # at most as many as buckets
         kept = merge_ordered(old.filter(F.col(BUCKET).isin(touched)), changes, "id_julgado", policy)
         changes = kept.select("*", bucket)
     publish_buckets(spark, name, changes, f"{root}/{name}", buckets)
