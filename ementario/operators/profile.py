@@ -30,7 +30,8 @@ from ementario.functions.text import ws_normalize
 from ementario.operators.reports import file_inventory
 from ementario.schemas import ID_COLUMN, LONG_FIELDS
 from ementario.session import materialize
-from ementario.sources.json_files import PATTERN, list_files, parse_items, read_texts
+from ementario.sources.folders import list_folder
+from ementario.sources.json_files import PATTERN, parse_items, read_texts
 
 _NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType, T.BinaryType)
 _TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -305,6 +306,6 @@ def profile_files(
     records = parsed.filter(F.col("reason").isNull()).select("rel_path", F.explode("items").alias("fields"))
     long = records_to_long(records)
     profile = profile_typed(long) if typed else profile_simple(long)
-    inventory = file_inventory(list_files(spark, folder, pattern), records)
+    inventory = file_inventory(list_folder(spark, folder, pattern), records)
     rejects = parsed.filter(F.col("reason").isNotNull()).select("rel_path", "reason")
     return inventory, with_declared(profile, LONG_FIELDS), rejects

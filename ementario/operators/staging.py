@@ -23,11 +23,10 @@ from ementario.schemas import (
     REQUIRED_FIELDS,
     STAGING_WIDTHS,
 )
-from ementario.session import materialize, scratch_path
+from ementario.session import materialize
+from ementario.sources.folders import list_folder, open_files
 from ementario.sources.json_files import (
-    MALFORMED,
     PATTERN,
-    list_files,
     parse_items,
     read_texts,
     record_id,
@@ -40,9 +39,6 @@ rename_map_key = record_id
 #: Columns that say where a row comes from, and why it was put aside; they are not cleaned.
 PLACE = ("rel_path", "pos", "reason", "record")
 
-#: Pending files are opened so many at a time, by name, so that no plan carries a list that grows with the folder.
-FILES_PER_READ = 10_000
-
 
 def rename_key(df: DataFrame, to: str = ID_COLUMN, keys: tuple[str, ...] = ID_KEYS) -> DataFrame:
     """Merge the id columns, in any case, into one; the rightmost non-null value wins."""
@@ -150,29 +146,21 @@ def load_files(
 
     The number is the manifest's next one. A given number must be free: one that holds other files is refused. Data
     first, then quarantine, then manifest; each load owns the partition ``load_id=N``, so repeating a load that died
-    half-way adds nothing twice. Unreadable files are left out of the manifest and retried. Rows
+    half-way adds nothing twice. Unreadable files are left out of the manifest and retried. The executors list the folder,
+    leave out what the manifest has and open the rest, so no file name passes through the driver. Rows
     keep ``rel_path`` and ``pos``, their place in the order of the load however Spark splits the files.
     """
     manifest = read_manifest(spark, manifest_path)
-    todo = materialize(pending(list_files(spark, folder, pattern), manifest), "pending-files")
-    uris = [r.file_uri for r in todo.select("file_uri").collect()]  # the driver has listed them already
-    if not uris:
+    todo = materialize(pending(list_folder(spark, folder, pattern), manifest), "pending-files")
+    if todo.isEmpty():
         return None
     number = next_load(manifest, load_id)
-    scratch = scratch_path(spark, "staged")
-    for at in range(0, len(uris), FILES_PER_READ):
-        texts = read_texts(spark, folder, folder, pattern, only=uris[at : at + FILES_PER_READ])
-        stage_texts(texts).write.mode("append").parquet(scratch)
-    staged = spark.read.parquet(scratch)
+    staged = materialize(stage_texts(open_files(todo, folder)), "staged")
 
     to_staging(good_rows(staged), number).drop("load_id").write.mode("overwrite").parquet(
         f"{staging_path}/load_id={number}"
     )
-    # Readers skip files without a single byte.
-    empty = todo.join(staged.select("rel_path"), "rel_path", "left_anti").select(
-        "rel_path", F.lit(MALFORMED).alias("reason"), F.lit(None).cast("string").alias("record")
-    )
-    bad_rows(staged).unionByName(empty).write.mode("overwrite").parquet(f"{quarantine_path}/load_id={number}")
+    bad_rows(staged).write.mode("overwrite").parquet(f"{quarantine_path}/load_id={number}")
     unreadable = spark.read.parquet(f"{quarantine_path}/load_id={number}").filter(F.col("record").isNull())
     append_manifest(todo.join(unreadable, "rel_path", "left_anti"), manifest_path, number)
     return number

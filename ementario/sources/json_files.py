@@ -24,21 +24,9 @@ def _json_reader(spark: SparkSession, pattern: str = PATTERN) -> DataFrameReader
     return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
 
 
-def list_files(spark: SparkSession, folder: str, pattern: str = PATTERN) -> DataFrame:
-    """``rel_path, file_uri`` of every matching file below ``folder``, empty ones included; contents are not read."""
-    uris = _json_reader(spark, pattern).format("binaryFile").load(folder).inputFiles()
-    # Local files as the hidden metadata column spells them.
-    files = spark.createDataFrame([(u.replace("file:///", "file:/", 1),) for u in uris], "file_uri string")
-    return files.select(relative_path(F.col("file_uri"), folder).alias("rel_path"), "file_uri")
-
-
-def read_texts(
-    spark: SparkSession, paths: str | list[str], base: str, pattern: str = PATTERN, only: list[str] | None = None
-) -> DataFrame:
-    """``rel_path, text``, one row per file that is not empty; ``only`` names the files to open, by their uri."""
+def read_texts(spark: SparkSession, paths: str | list[str], base: str, pattern: str = PATTERN) -> DataFrame:
+    """``rel_path, text``, one row per file that is not empty."""
     raw = _json_reader(spark, pattern).text(paths, wholetext=True)
-    if only is not None:  # a filter on the file's name prunes the scan, whatever characters the name holds
-        raw = raw.filter(F.col("_metadata.file_path").isin(only))
     return raw.select(relative_path(F.col("_metadata.file_path"), base).alias("rel_path"), F.col("value").alias("text"))
 
 

@@ -11,7 +11,7 @@ from ementario.functions.text import clean_json_array
 from ementario.operators import staging as st
 from ementario.operators.profile import profile_files
 from ementario.schemas import LONG_FIELDS, SOURCE
-from ementario.sources import json_files, manifest, tables
+from ementario.sources import folders, json_files, manifest, tables
 from ementario.sources.pages import page_links, resource_links, scan_resources
 from ementario.streaming.ingest import record_stream, start_staging
 from ementario.streaming.upserts import compact, compact_in_place, read_upserted, start_upsert
@@ -63,7 +63,7 @@ IDS = ["000389583", "2", "3", "6", "8", "9"]
 def test_readers(spark, tmp_path):
     write(tmp_path, FILES)
     base = str(tmp_path)
-    names = {r.rel_path for r in json_files.list_files(spark, base).collect()}
+    names = {r.rel_path for r in folders.list_folder(spark, base, json_files.PATTERN).collect()}
     assert names == {n for n in FILES if n.endswith(".json")}
     records, rejects = json_files.read_records(spark, base, base)
     assert sorted(r.id_origem for r in records.collect() if r.rel_path != "noid.json") == IDS
@@ -99,13 +99,12 @@ def test_json_arrays(column):
     assert column(rows, clean_json_array) == ['["a b","c"]', '["a\\n", 1]', "[bad", '{"a": 1}', "x y", None, "[]"]
 
 
-@pytest.mark.parametrize("at_once", [10_000, 2])
-def test_incremental_load(spark, tmp_path, monkeypatch, at_once):
-    monkeypatch.setattr(st, "FILES_PER_READ", at_once)
+@pytest.mark.parametrize("scheme", ["", "file://"])
+def test_incremental_load(spark, tmp_path, scheme):
     base = tmp_path / "in"
     write(base, FILES)
     staging, quarantine, done = (str(tmp_path / n) for n in ("staging", "quarantine", "manifest"))
-    load = lambda n=None: st.load_files(spark, str(base), staging, quarantine, done, n)
+    load = lambda n=None: st.load_files(spark, f"{scheme}{base}", staging, quarantine, done, n)
     seen = lambda: sorted(r.id_origem for r in spark.read.parquet(staging).collect())
     assert load() == 1
     assert seen() == IDS
@@ -128,6 +127,16 @@ def test_incremental_load(spark, tmp_path, monkeypatch, at_once):
     assert manifest.read_manifest(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_folders_are_listed_by_tasks(spark, tmp_path):
+    write(tmp_path, {f"d{k % 3}/e{k % 2}/f{k}.json": "{}" * (k % 4) for k in range(30)} | {"top.json": "{}", "_hidden/x.json": "", ".y.json": "", "d1/z.txt": ""})
+    got = folders.list_folder(spark, str(tmp_path), "*.json")
+    assert got.rdd.getNumPartitions() == 4  # the root's files and three folders
+    want = {f"d{k % 3}/e{k % 2}/f{k}.json": 2 * (k % 4) for k in range(30)} | {"top.json": 2}
+    assert {r.rel_path: r.size for r in got.collect()} == want
+    texts = {r.rel_path: r.text for r in folders.open_files(got, str(tmp_path)).collect()}
+    assert texts == {n: "{}" * (s // 2) for n, s in want.items()}
+
+
 def test_a_load_that_died_is_repeated(spark, tmp_path, monkeypatch):
     base = tmp_path / "in"
     write(base, {"a.json": '{"id": "1"}'})
