@@ -245,22 +245,39 @@ def signature(hashes: np.ndarray) -> bytes:
     return np.packbits(2 * ones > len(hashes), axis=1, bitorder="little").tobytes()
 
 
-def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, t (a hash of the text as it stands), sig, and node, a 64-bit hash of the words; texts without words have no
-    signature."""
+#: Sets of so few shingles are met by the shingles themselves.
+SHORT = 20
+
+
+def prefix(hashes: np.ndarray, similarity: float) -> list[int] | None:
+    """Of a small set the shingles with the smallest hashes, so many that every set of this similarity shares one of its own.
+
+    Sets that share none of their first n - ceil(similarity * n) + 1 shingles have too few in common.
+    """
+    h = np.unique(hashes)
+    if not 0 < len(h) <= SHORT:
+        return None
+    return h[: len(h) - math.ceil(similarity * len(h) - 1e-9) + 1].view(np.int64).tolist()
+
+
+def signatures(docs: DataFrame, size: int, similarity: float) -> DataFrame:
+    """doc_id, t (a hash of the text as it stands), sig, prefix (of small sets), and node, a 64-bit hash of the words; texts
+    without words have no signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sigs, nodes = [], []
+            sigs, nodes, firsts = [], [], []
             for text in batch.column("text"):
                 h = shingle_hashes(text.as_py(), size)
                 sigs.append(signature(h) if len(h) else None)
+                firsts.append(prefix(h, similarity))
                 nodes.append(words_hash(text.as_py()))
             columns = [batch.column("doc_id").cast(pa.int64()), batch.column("t"), pa.array(sigs, pa.binary()), pa.array(nodes, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "t", "sig", "node"])
+            columns.append(pa.array(firsts, pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "t", "sig", "node", "prefix"])
 
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("t"))
-    return rows.mapInArrow(run, "doc_id long, t long, sig binary, node long")
+    return rows.mapInArrow(run, "doc_id long, t long, sig binary, node long, prefix array<long>")
 
 
 def words_hash(text: str | None) -> int:
@@ -283,24 +300,30 @@ def _rows64(column: pa.ChunkedArray) -> np.ndarray:
 COMPARED = 512
 
 
-def similar_links(node: np.ndarray, sig: np.ndarray, sets: list[np.ndarray], side: np.ndarray | None, limit: int, similarity: float) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs whose sets have this Jaccard similarity, among those within ``limit`` bits.
+def similar_links(
+    node: np.ndarray, sig: np.ndarray, sets: list[np.ndarray], label: np.ndarray, side: np.ndarray, limit: int, similarity: float
+) -> list[tuple[int, int]]:
+    """Links that join the labels of all pairs whose sets have this Jaccard similarity, among those within ``limit`` bits and
+    those of small sets.
 
-    ``sets`` have each hash once. With ``side`` only pairs of different sides count. A pair that earlier
-    links connect is not compared.
+    ``sets`` have each hash once. Where there are two sides, only pairs of different sides count. A pair that ``label`` or
+    earlier links connect is not compared.
     """
     sizes = np.array([len(x) for x in sets])
+    short = sizes <= SHORT
     universe, flat = np.unique(np.concatenate(sets), return_inverse=True)
     parts = np.split(flat, np.cumsum(sizes)[:-1])
     mark = np.zeros(len(universe), bool)
-    label = np.arange(len(node))
+    label = np.unique(label, return_inverse=True)[1]
+    two_sides = side.min() != side.max()
     out = []
     for i in range(len(node) - 1):
         open_ = label[i + 1 :] != label[i]
-        if side is not None:
+        if two_sides:
             open_ &= side[i + 1 :] != side[i]
         js = np.flatnonzero(open_) + i + 1
-        js = js[np.bitwise_count(sig[js] ^ sig[i]).sum(axis=1, dtype=np.int64) <= limit]
+        near = np.bitwise_count(sig[js] ^ sig[i]).sum(axis=1, dtype=np.int64) <= limit
+        js = js[near | short[js]] if short[i] else js[near]
         if not len(js):
             continue
         mark[parts[i]] = True
@@ -315,9 +338,18 @@ def similar_links(node: np.ndarray, sig: np.ndarray, sets: list[np.ndarray], sid
     return out
 
 
+def short_links(nodes: DataFrame) -> DataFrame:
+    """a and b: each node with the smallest one that shares a shingle of its prefix. Candidates, not yet compared."""
+    keyed = nodes.select("node", F.explode("prefix").alias("key"))
+    hubs = keyed.groupBy("key").agg(F.min("node").alias("b"), F.count("*").alias("n")).where("n > 1").select("key", "b")
+    # Written, so that the rows of a frequent shingle can be split in the join.
+    return keyed.join(materialize(hubs, "similar-hubs"), "key").where("node <> b").select(F.col("node").alias("a"), "b")
+
+
 def candidate_groups(nodes: DataFrame, limit: int) -> DataFrame:
-    """node and component of the nodes (columns node and sig) that have a partner within ``limit`` bits, as far as the tries
-    find it: two signatures are met where they agree within ``SEGMENT_BUDGET`` bits on one of the segments."""
+    """node and component of the nodes (columns node, sig and prefix) that have a partner within ``limit`` bits, as far as the
+    tries find it, or share a shingle of their prefixes: two signatures are met where they agree within ``SEGMENT_BUDGET``
+    bits on one of the segments."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -358,71 +390,124 @@ def candidate_groups(nodes: DataFrame, limit: int) -> DataFrame:
     schema = "trie int, lead long, sub long, rest long, node long"
     met = materialize(map_groups(entered, KEYS, partnered, schema, order=("rest",)), "similar-met")
     again = met.join(nodes.select("node", "sig"), "node")
-    links = materialize(map_groups(again, KEYS, near, "a long, b long", order=("rest",)).distinct(), "similar-near")
-    return connected_components(links)
+    links = map_groups(again, KEYS, near, "a long, b long", order=("rest",)).union(short_links(nodes))
+    return connected_components(materialize(links.distinct(), "similar-near"))
+
 
+def _compare(rows: DataFrame, keys: list[str], limit: int, similarity: float) -> DataFrame:
+    """a and b: links within the groups of ``keys``, by the rows' node, sig, set, label and side."""
+
+    def run(table: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+        node, label, side = (table.column(c).to_numpy() for c in ("node", "label", "side"))
+        sig, held = _rows64(table.column("sig")), table.column("set")
+        found = []
+        for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            _, at = np.unique(node[start:end], return_index=True)  # repeated rows
+            at += start
+            if len(at) > 1:
+                arrays = [np.frombuffer(held[k].as_buffer(), "<u8") for k in at.tolist()]
+                found += similar_links(node[at], sig[at], arrays, label[at], side[at], limit, similarity)
+        ends = np.array(found, np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
 
-def similar_rows(docs: DataFrame, size: int = 5, similarity: float = 0.8, slack: float = 0.15) -> DataFrame:
+    return map_groups(rows.select(*keys, "node", "sig", "set", "label", "side"), keys, run, "a long, b long")
+
+
+def _labelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """component, node and label (the smallest node that links reach) of nodes with a component."""
+    found = connected_components(links).select(F.col("node").alias("node_l"), F.col("component").alias("reached"))
+    joined = nodes.join(found, F.col("node") == F.col("node_l"), "left")
+    return materialize(joined.select("component", "node", F.coalesce("reached", "node").alias("label")), "similar-labels")
+
+
+def _large_groups(sets: DataFrame, limit: int, similarity: float) -> DataFrame:
+    """Links within groups of more than ``COMPARED`` candidates.
+
+    First each node is compared within one random block, then one node of each label with others of such: a group of texts
+    that are alike becomes one label, and every row is sent once or twice. What is left are pairs of different labels;
+    their nodes are dealt out as pairs of blocks, where a label of more than a block has blocks of its own, which are not
+    compared with each other.
+    """
+    nodes = materialize(sets.select("component", "node").distinct(), "similar-nodes-large")
+    labels, links = nodes.withColumn("label", F.col("node")), None
+    for turn in range(2):
+        # The smallest of a struct: one node of each label, another one in each turn.
+        one = labels.groupBy("component", "label").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), "node")).alias("o"))
+        many = one.groupBy("component").agg(F.ceil(F.count("*") / COMPARED).cast("int").alias("blocks"))
+        dealt = one.join(many, "component").select(F.col("o.node").alias("node_d"), "label", F.pmod("o.h", "blocks").alias("block"))
+        rows = sets.join(materialize(dealt, "similar-dealt"), F.col("node") == F.col("node_d")).withColumn("side", F.lit(0))
+        found = materialize(_compare(rows, ["component", "block"], limit, similarity), "similar-links")
+        links = found if links is None else links.union(found)
+        labels = _labelled(nodes, links)
+
+    sizes = labels.groupBy("component", "label").agg(F.count("*").alias("n"))
+    # The label of a block that holds nothing else; all small labels of a component share their blocks.
+    whole = F.when(F.col("n") > COMPARED, F.col("label"))
+    shared = sizes.select("component", "label", whole.alias("own"), "n")
+    parts = shared.groupBy("component", "own").agg(F.ceil(F.sum("n") / COMPARED).cast("int").alias("parts"), F.count("*").alias("labels"))
+    open_ = parts.groupBy("component").agg(F.sum("labels").alias("all")).where(F.col("all") > 1).select("component")
+    parts = materialize(parts.join(open_, "component", "left_semi").drop("labels"), "similar-parts")
+
+    def block_id(own: Column, k: Column) -> Column:
+        return F.xxhash64("component", F.coalesce(own, F.lit(-1)), own.isNull(), k)
+
+    blocks = parts.select("component", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("k"))
+    blocks = blocks.select("component", "own", block_id(F.col("own"), F.col("k")).alias("block"))
+    low, high = blocks.select("component", F.col("own").alias("own_lo"), F.col("block").alias("lo")), blocks.withColumnRenamed("block", "hi")
+    pairs = low.join(high, "component").where((F.col("lo") <= F.col("hi")) & ~F.coalesce(F.col("own_lo") == F.col("own"), F.lit(False)))
+    pairs = materialize(pairs.select("lo", "hi"), "similar-pairs")  # ids of blocks, a few hundred times fewer than texts
+    ends = pairs.select("lo", "hi", F.col("lo").alias("at")).union(pairs.where("lo <> hi").select("lo", "hi", F.col("hi").alias("at")))
+    placed = labels.join(shared.select("component", "label", "own"), ["component", "label"]).withColumnRenamed("own", "own_p")
+    placed = placed.join(parts.withColumnRenamed("component", "component_p"), (F.col("component") == F.col("component_p")) & F.col("own_p").eqNullSafe(F.col("own")))
+    k = F.pmod(F.xxhash64(F.when(F.col("own").isNull(), F.col("label")).otherwise(F.col("node"))), F.col("parts")).cast("int")
+    placed = placed.select(F.col("node").alias("node_d"), "label", block_id(F.col("own"), k).alias("block"))
+    rows = sets.join(materialize(placed, "similar-placed"), F.col("node") == F.col("node_d")).join(ends, F.col("block") == F.col("at"))
+    rows = rows.withColumn("side", (F.col("block") == F.col("hi")).cast("int"))
+    return links.union(materialize(_compare(rows, ["lo", "hi"], limit, similarity), "similar-links"))
+
+
+def similar_rows(docs: DataFrame, size: int = 5, similarity: float = 0.8, slack: float = 0.1) -> DataFrame:
     """doc_id, t, node (equal for texts with the same words) and component (the smallest node reachable) of every row, by links
     between texts whose sets of shingles have this Jaccard similarity or more.
 
     A signature of 1,280 SimHash bits stands for a text while candidates are sought: a pair is one if it agrees within 2
     bits on one of 40 segments of 32 bits and within the bits of a Jaccard ``similarity`` less ``slack`` on the whole.
-    Of pairs at 0.8 about 0.993 are met, of those at 0.85 all but one in ten thousand; texts of a few words have coarser
-    signatures and are met less often. Texts that candidates connect form a group; in it the sets themselves are compared, so
-    that a link never joins texts below the similarity. A group is dealt out as pairs of blocks of ``COMPARED`` nodes: its
-    rows are copied to each pair of their block, and no pairs of texts leave a task, only spanning forests.
+    Of pairs at 0.8 about 0.993 are met, of those at 0.85 all but one in ten thousand. Sets of at most ``SHORT``
+    shingles, whose signatures are coarse, are met exactly, by the shingles of their prefixes. Texts that candidates connect form a
+    group; in it the sets themselves are compared, so that a link never joins texts below the similarity. No pairs of
+    texts leave a task, only spanning forests; how large groups are dealt out, ``_large_groups`` says.
     """
-    prints = materialize(signatures(docs, size), "similar-prints")
+    prints = materialize(signatures(docs, size, similarity), "similar-prints")
     nodes = materialize(prints.groupBy("node").agg(
-        F.first("sig").alias("sig"), F.min(F.struct("doc_id", "t")).alias("of")
+        F.first("sig").alias("sig"), F.first("prefix").alias("prefix"), F.min(F.struct("doc_id", "t")).alias("of")
     ), "similar-nodes")
     limit = most_bits(similarity - slack)
     groups = materialize(candidate_groups(nodes, limit), "similar-groups")
     members = groups.union(groups.select("component", "component").distinct())
-    large = members.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") > COMPARED)
-    large = materialize(large.select("component", F.ceil(F.col("n") / COMPARED).cast("int").alias("blocks")), "similar-large")
-    blocks = F.coalesce("blocks", F.lit(1))
-    members = members.join(large, "component", "left").withColumn("blocks", blocks).withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    ).join(nodes, "node").select("component", "blocks", "block", "node", "sig", "of.doc_id", "of.t")
+    sizes = materialize(members.groupBy("component").agg(F.count("*").alias("n")), "similar-sizes")
+    members = members.join(sizes, "component").join(nodes, "node").select("component", "n", "node", "sig", "of.doc_id", "of.t")
     members = materialize(members, "similar-members")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [np.unique(shingle_hashes(t.as_py(), size)).astype("<u8").tobytes() for t in batch.column("text")]
-            columns = [batch.column(c) for c in ("component", "blocks", "block", "node", "sig")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(sets, pa.binary())], ["component", "blocks", "block", "node", "sig", "set"])
+            columns = [batch.column(c) for c in ("component", "n", "node", "sig")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(sets, pa.binary())], ["component", "n", "node", "sig", "set"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id_d"), F.xxhash64("text").alias("t_d"), "text")
     same = F.col("doc_id").eqNullSafe(F.col("doc_id_d")) & (F.col("t") == F.col("t_d"))
-    schema = "component long, blocks int, block int, node long, sig binary, set binary"
-    sets = texts.join(members, same).select("component", "blocks", "block", "node", "sig", "text").mapInArrow(shingled, schema)
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = sets.withColumn("other", other).select(
-        "component", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "sig", "set"
-    )
-
-    def compared(rows: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
-        node, sig, block = rows.column("node").to_numpy(), _rows64(rows.column("sig")), rows.column("block").to_numpy()
-        lo, hi, held = rows.column("lo").to_numpy(), rows.column("hi").to_numpy(), rows.column("set")
-        found = []
-        for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            _, at = np.unique(node[start:end], return_index=True)  # repeated rows
-            at += start
-            if len(at) > 1:
-                arrays = [np.frombuffer(held[k].as_buffer(), "<u8") for k in at.tolist()]
-                side = block[at] if lo[start] != hi[start] else None
-                found += similar_links(node[at], sig[at], arrays, side, limit, similarity)
-        ends = np.array(found, np.int64).reshape(-1, 2)
-        yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
-
-    links = materialize(map_groups(dealt, ["component", "lo", "hi"], compared, "a long, b long"), "similar-links")
+    sets = texts.join(members, same).select("component", "n", "node", "sig", "text")
+    sets = materialize(sets.mapInArrow(shingled, "component long, n long, node long, sig binary, set binary"), "similar-sets")
+    small = sets.where(F.col("n") <= COMPARED).withColumn("label", F.col("node")).withColumn("side", F.lit(0))
+    links = materialize(_compare(small, ["component"], limit, similarity), "similar-links")
+    large = sets.where(F.col("n") > COMPARED).drop("n")
+    if not large.isEmpty():
+        links = links.union(_large_groups(large, limit, similarity))
     named = nodes.select("node").join(connected_components(links), "node", "left").select(
         "node", F.coalesce("component", "node").alias("component")
     )
     # Written, so that the rows of a node with many copies can be split in the join.
-    return prints.drop("sig").join(materialize(named, "similar-components"), "node", "left").select("doc_id", "t", "node", "component")
+    return prints.drop("sig", "prefix").join(materialize(named, "similar-components"), "node", "left").select("doc_id", "t", "node", "component")
 
 
 def similar_documents(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:

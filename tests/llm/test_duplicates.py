@@ -147,6 +147,40 @@ def test_large_groups_of_similar_texts_are_compared_in_blocks(spark, monkeypatch
     assert {r.doc_id: r.component_id for r in got} == components(sets, close)
 
 
+def by_brute_force(rows, similarity=0.8):
+    sets = {i: set(simhash.shingle_hashes(t, 5).tolist()) for i, t in rows}
+    return [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]) - 1e-9 and sets[a]]
+
+
+def test_short_texts_are_linked_exactly(spark):
+    rng = np.random.default_rng(13)
+    rows = []
+    for k in range(120):
+        words = [f"{x:x}" for x in rng.integers(1 << 40, size=int(rng.integers(2, 26)))]
+        rows.append((10 * k, " ".join(words)))
+        for c in range(1, 4):
+            copy = [*words[c % 2 :], *(f"{x:x}" for x in rng.integers(1 << 40, size=int(rng.integers(0, 2))))]
+            rows.append((10 * k + c, " ".join(copy)))
+    close = by_brute_force(rows)
+    assert len(close) > 100
+    got = simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == components([i for i, _ in rows], close)
+
+
+def test_large_groups_with_stragglers(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "COMPARED", 8)
+    rng = np.random.default_rng(14)
+    base = [f"{x:x}" for x in rng.integers(1 << 40, size=150)]
+    rows = []
+    for k in range(90):  # most are copies with one word changed, some have so many changed that they link with few or none
+        copy = list(base)
+        for at in rng.integers(150, size=1 if k < 50 else int(rng.integers(2, 8))):
+            copy[at] = f"{k}x{at}"
+        rows.append((k, " ".join(copy)))
+    got = simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == components([i for i, _ in rows], by_brute_force(rows))
+
+
 def vector_rows():
     rng = np.random.default_rng(4)
     rows, k = [], 0
