@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from html.entities import name2codepoint
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -12,7 +13,9 @@ from pyspark.sql import functions as F
 # --- fixed values: link syntax and the place of resource links on an index page -----
 HREF = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 COMMENT = r"(?s)<!--.*?(?:-->|\z)"
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&#x27;": "'", "&#38;": "&", "&amp;": "&"}
+#: What is text to a browser, whatever it looks like.
+RAW = r"(?is)<(script|style)\b.*?(?:</\1\s*>|\z)"
+ENTITY = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 RESOURCE_ROOT_ID = "dataset-resources"
 RESOURCE_PATH = ("ul", "li", "div", "ul", "li", "a")
 RESOURCE_ITEM = 2
@@ -22,24 +25,43 @@ VOID_TAGS = frozenset(
 # --- end of fixed values -----------------------------------------------------------
 
 
+def unescape_entities(text: Column) -> Column:
+    """Named and numeric character references resolved, once each; what is no reference stays as it is."""
+    names = F.create_map(*(F.lit(x) for n, c in sorted(name2codepoint.items()) for x in (n, chr(c))))
+
+    def char(code: Column) -> Column:  # the character of a number, from its four bytes
+        fits = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        return F.when(fits, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+    def resolved(name: Column) -> Column:
+        number = F.when(F.lower(name.substr(2, 1)) == "x", F.conv(name.substr(3, 6), 16, 10)).otherwise(name.substr(2, 7))
+        return F.when(name.startswith("#"), char(number.try_cast("int"))).otherwise(F.coalesce(F.try_element_at(names, name), F.when(name == "apos", "'")))
+
+    # The ampersand last, so that nothing is resolved twice.
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(ENTITY), F.lit(1)))
+    pairs = F.transform(found, lambda n: F.struct((resolved(n) == "&").alias("last"), n.alias("name"), resolved(n).alias("char")))
+    pairs = F.array_sort(F.filter(pairs, lambda p: p["char"].isNotNull()))
+    one = F.aggregate(pairs, text, lambda acc, p: F.replace(acc, F.concat(F.lit("&"), p["name"], F.lit(";")), p["char"]))
+    return F.when(F.contains(text, F.lit("&")), one).otherwise(text)
+
+
 def page_links(pages: DataFrame) -> DataFrame:
     """``page_id, page_url, pos, href`` for every anchor, in page order, inside the JVM.
 
-    Quoted and bare values count, comments do not, and the usual entities are resolved.
+    Quoted and bare values count, comments, scripts and style sheets do not, and character references are resolved.
     """
     shown = F.when(F.contains("html", F.lit("<!--")), F.regexp_replace("html", COMMENT, " ")).otherwise(F.col("html"))
+    shown = F.when(F.regexp_like(shown, F.lit("(?i)<(script|style)")), F.regexp_replace(shown, RAW, " ")).otherwise(shown)
 
     def value(raw: Column) -> Column:
-        out = F.when(raw.substr(1, 1).isin('"', "'"), F.substring(raw, F.lit(2), F.char_length(raw) - 2)).otherwise(raw)
-        for entity, char in ENTITIES.items():  # the ampersand last, so that nothing is resolved twice
-            out = F.replace(out, F.lit(entity), F.lit(char))
-        return out
+        return F.when(raw.substr(1, 1).isin('"', "'"), F.substring(raw, F.lit(2), F.char_length(raw) - 2)).otherwise(raw)
 
-    return pages.select(
+    hrefs = pages.select(
         "page_id",
         F.col("url").alias("page_url"),
         F.posexplode(F.transform(F.regexp_extract_all(shown, F.lit(HREF), 1), value)).alias("pos", "href"),
     )
+    return hrefs.withColumn("href", unescape_entities(F.col("href")))
 
 
 class _ResourceLinks(HTMLParser):

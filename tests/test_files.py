@@ -222,6 +222,13 @@ def test_page_links_in_all_forms(spark):
     assert [(r.pos, r.href) for r in page_links(df).collect()] == [(0, "x"), (1, "y/z"), (2, "a?b=1&c=2")]
 
 
+def test_links_in_scripts_and_character_references(spark):
+    html = """<script type=x>var a = '<a href="no">';</script><a href="caf&eacute;&#233;&#xE9;?a=1&amp;b=&copy;2">1</a><STYLE><a href="no"></style >
+    <a href="&amp;eacute;&nix;&#0;&#x1F600;&apos;&lt;">2</a><a href="plain">3</a><script><a href="open">"""
+    df = spark.createDataFrame([(1, "u", html), (2, "u", None), (3, "u", "")], "page_id long, url string, html string")
+    assert [(r.pos, r.href) for r in page_links(df).collect()] == [(0, "cafééé?a=1&b=©2"), (1, "&eacute;&nix;&#0;😀'<"), (2, "plain")]
+
+
 def test_one_bad_page_does_not_end_the_scan(spark):
     df = spark.createDataFrame([(1, "http://h/set", INDEX), (2, "u", "<![foo[ x ]]>" + INDEX)], "page_id long, url string, html string")
     found = scan_resources(df).collect()
