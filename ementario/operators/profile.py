@@ -204,18 +204,50 @@ def profile_typed(
     """``column, type, max_len, max_val, precision`` with types int, float, date, string, boolean."""
     if mode == "first_seen":
         return _typed_first_seen(long, by)
+    return typed_of_states(typed_states(long, by), by)
+
+
+def typed_states(long: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """What the typed profile needs to know of a set of values, one row per column: states of several sets merge."""
     v = _typed_values(long, list(by))
     kind = F.col("kind")
-    agg = v.groupBy(*by, "column").agg(
+    return v.groupBy(*by, "column").agg(
         F.max(kind == KIND_DATE).alias("any_date"),
         F.max(kind == KIND_STRING).alias("any_string"),
         F.max(kind == KIND_FLOAT).alias("any_float"),
         F.max(kind == KIND_INT).alias("any_int"),
         F.max(kind == KIND_BOOL).alias("any_bool"),
+        F.count("*").alias("n"),
+        F.hll_sketch_agg(F.xxhash64("clean")).alias("distinct"),
         F.max("len").alias("len"),
         F.max(F.abs("num")).alias("val"),
         F.max(F.when(kind == KIND_FLOAT, decimal_places(F.col("num")))).alias("places"),
     )
+
+
+def merged_states(states: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """The state of all values, from those of their parts: maxima, a sum and a union of sketches, with map-side partials."""
+    rest = [c for c in states.columns if c not in (*by, "column", "n", "distinct")]
+    return states.groupBy(*by, "column").agg(
+        F.sum("n").alias("n"), F.hll_union_agg("distinct").alias("distinct"), *(F.max(c).alias(c) for c in rest)
+    )
+
+
+def store_profile(long: DataFrame, path: str, load_id: int, by: tuple[str, ...] = ()) -> None:
+    """Keep the state of one load's values; a repeated load replaces its own."""
+    typed_states(long, by).write.mode("overwrite").parquet(f"{path}/load_id={load_id}")
+
+
+def stored_profile(spark: SparkSession, path: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """The typed profile of all loads kept below ``path``, with ``n`` values and about ``n_distinct`` different ones. Their
+    values are not read again."""
+    states = merged_states(spark.read.parquet(path).drop("load_id"), by)
+    counts = states.select(*by, "column", "n", F.hll_sketch_estimate("distinct").alias("n_distinct"))
+    return typed_of_states(states, by).join(counts, [*by, "column"])
+
+
+def typed_of_states(agg: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """The typed profile that states stand for."""
     code = (
         F.when(_is_long_field(), KIND_STRING)
         .when(F.col("any_date"), KIND_DATE)

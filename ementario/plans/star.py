@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ementario.functions.legal import outcome, reference_items
 from ementario.operators.guard import Rules, guarded_load
 from ementario.operators.keys import dense_keys
-from ementario.operators.profile import profile_simple, profile_typed, to_long, with_declared
+from ementario.operators.profile import profile_simple, profile_typed, store_profile, stored_profile, to_long, with_declared
 from ementario.operators.quality import (
     fk_violations,
     not_null_violations,
@@ -342,6 +342,17 @@ def profile_judged_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_declared(profile_typed(_judged_long(spark, sf_dir)), LONG_FIELDS)
 
 
+@query("profile_merged", _sql_typed(judged_sql(court=True), _JUDGED_COLUMNS, False).replace("precision FROM typed", "precision, n FROM typed").replace(
+    "bool_or(k = 'date') AS any_date", "count(*) AS n, bool_or(k = 'date') AS any_date"))
+def profile_of_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads, each profiled once when it came in, and the second repeated: the profile of all from their states."""
+    root = scratch_path(spark, "profile-states")
+    judged = judged_like(spark, sf_dir, court=True)
+    for load in (0, 1, 2, 1):
+        store_profile(to_long(judged.filter(F.col("id_dw") % 3 == load), _JUDGED_COLUMNS), root, load)
+    return stored_profile(spark, root).drop("n_distinct")
+
+
 @query("profile_typed_first_seen", _sql_typed(_SQL_MIXED, _MIXED, True))
 def profile_mixed_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile_typed(to_long(_mixed(spark, sf_dir), _MIXED, "o_orderkey"), mode="first_seen")

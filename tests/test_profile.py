@@ -158,3 +158,18 @@ def test_reports(spark):
 def test_extreme_numbers(spark, value):
     df = spark.createDataFrame([(value,)], "idX long")
     assert rows_of(profile_simple(to_long(df))) == {"idX": ("int", None, 2**63 - 1)}
+
+
+def test_states_of_loads_merge_to_the_profile_of_all(spark, tmp_path):
+    from ementario.operators import profile
+
+    rows = [(i, str(i) if i % 5 else f"{i}.25", None if i % 4 else f"t{i % 7}", "2024-01-02" if i < 50 else "x") for i in range(90)]
+    df = spark.createDataFrame(rows, "i int, a string, b string, c string")
+    path = str(tmp_path / "states")
+    for load in (0, 1, 2, 1):
+        profile.store_profile(profile.to_long(df.filter(F.col("i") % 3 == load), ["a", "b", "c"]), path, load)
+    got = {r.column: r.asDict() for r in profile.stored_profile(spark, path).collect()}
+    want = {r.column: r.asDict() for r in profile.profile_typed(profile.to_long(df, ["a", "b", "c"])).collect()}
+    assert {c: {k: v for k, v in r.items() if k not in ("n", "n_distinct")} for c, r in got.items()} == want
+    assert {c: r["n"] for c, r in got.items()} == {"a": 90, "b": 23, "c": 90}
+    assert {c: r["n_distinct"] for c, r in got.items()} == {"a": 90, "b": 7, "c": 2}
