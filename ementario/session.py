@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,9 +52,29 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+_RUN: ContextVar[str] = ContextVar("ementario_run", default="")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder; never reused, so re-runs cannot mix."""
-    return f"{shared_dir(spark)}/ementario/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/ementario/{_RUN.get()}{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[str]:
+    """A run whose scratch folders are removed when it ends: write its result elsewhere before.
+
+    All that is materialized inside the block goes below one folder of its own, and only that folder is removed.
+    """
+    run = f"run-{uuid.uuid4().hex}"
+    token = _RUN.set(f"{run}/")
+    folder = f"{shared_dir(spark)}/ementario/{run}"
+    try:
+        yield folder
+    finally:
+        _RUN.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

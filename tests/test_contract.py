@@ -35,3 +35,18 @@ def test_entry(spark):
 
 def test_oracles_name_queries():
     assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
+def test_scratch_of_a_run_is_removed(spark):
+    from pathlib import Path
+
+    from ementario.session import materialize, scratch_run
+
+    kept = materialize(spark.range(3), "kept")
+    with scratch_run(spark) as folder:
+        inside = materialize(spark.range(5), "inside")
+        local = Path(folder.removeprefix("file:"))
+        assert inside.count() == 5 and local.is_dir() and local.name.startswith("run-")
+    assert not local.exists() and kept.count() == 3
+    after = materialize(spark.range(2), "after")
+    assert after.count() == 2 and "run-" not in after.inputFiles()[0].split("/ementario/")[-1].split("-")[0]
