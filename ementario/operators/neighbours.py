@@ -8,7 +8,6 @@ bounds how far its k-th nearest can be, and then only those blocks that can hold
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
