@@ -23,8 +23,10 @@ from ementario.session import materialize
 DISTANCE_DECIMALS = 9
 #: Vectors that a cell should hold, and the centres there are at most (a sample by hash, so bounded on the driver).
 CELL_ROWS, MOST_CENTRES = 2_000, 4_096
-#: Rows of a block, and of the queries that meet it in one task.
+#: Rows of a block, and of the queries that meet it first in one task.
 BLOCK_ROWS = 20_000
+#: Queries that a task holds while vectors pass by, and elements of a matrix of distances.
+SHARD_ROWS, MATRIX = 100_000, 2 << 20
 #: Rings of a cell, of equal width, before they are joined to blocks.
 RINGS = 64
 #: What rounding may take off a distance, and a cosine distance at ``DISTANCE_DECIMALS``.
@@ -73,9 +75,12 @@ class Centres:
         dim = x.shape[1]
         if dim not in self.points:
             return np.full(len(x), -dim), np.zeros(len(x))
-        far = _apart(x, self.points[dim])
-        near = far.argmin(axis=1)
-        return near + self.first[dim], far[np.arange(len(x)), near]
+        near, least = np.empty(len(x), dtype=np.int64), np.empty(len(x))
+        for part in _steps(len(x), len(self.points[dim])):
+            far = _apart(x[part], self.points[dim])
+            near[part] = far.argmin(axis=1)
+            least[part] = far.min(axis=1)
+        return near + self.first[dim], least
 
     def distances(self, x: np.ndarray, cells: np.ndarray) -> np.ndarray:
         """Of each row to the centres of ``cells``; to a cell without a centre it is 0, which bounds nothing."""
@@ -138,9 +143,14 @@ class Blocks:
         return np.maximum(0.0, np.maximum(far - self.high[which], self.low[which] - far)) - SLACK
 
 
-def _route(queries: DataFrame, centres: Centres, blocks: Blocks, k: int, within: bool) -> DataFrame:
-    """Queries with the blocks they are to meet: at first the nearest one, with ``within`` all but the block that they have
-    ``met`` that can hold a vector at most ``reach`` away."""
+def _steps(n: int, width: int) -> Iterator[slice]:
+    """Rows dealt to matrices of at most some million elements, whatever their number and width."""
+    step = max(1, MATRIX // max(width, 1))
+    return (slice(at, at + step) for at in range(0, n, step))
+
+
+def _first(queries: DataFrame, centres: Centres, blocks: Blocks) -> DataFrame:
+    """Each query once, with the nearest block."""
     schema = "id bigint, dim int, vec array<double>, block int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,38 +161,53 @@ def _route(queries: DataFrame, centres: Centres, blocks: Blocks, k: int, within:
                 if not len(which):
                     continue
                 rows = batch.filter(pa.array(dims == dim))
-                step = max(1, (4 << 20) // max(len(which), 1))
-                for at in range(0, rows.num_rows, step):
-                    part = rows.slice(at, step)
-                    far = centres.distances(_matrix(part.column("vec"), dim), blocks.cell[which])
-                    least = blocks.bounds(far, which)
-                    if within:
-                        # As many vectors as asked for lie within the blocks of smallest farthest distance.
-                        most = far + blocks.high[which]
-                        order = most.argsort(axis=1, kind="stable")
-                        enough = (np.cumsum(blocks.n[which][order], axis=1) > k).argmax(axis=1)
-                        sure = np.take_along_axis(most, order, axis=1)[np.arange(len(far)), enough]
-                        sure = np.where(blocks.n[which].sum() > k, sure, np.inf)
-                        reach = np.minimum(part.column("reach").to_numpy(zero_copy_only=False), (sure + SLACK) ** 2 / 2) + ROUNDING
-                        go = np.maximum(0.0, least) ** 2 / 2 <= reach[:, None]
-                        go[np.arange(len(far)), np.searchsorted(which, part.column("met").to_numpy())] = False
-                        q, b = np.nonzero(go)
-                    else:
-                        q, b = np.arange(len(far)), np.lexsort((far, least), axis=1)[:, 0]
-                    out = part.select(["id", "dim", "vec"]).take(pa.array(q))
-                    yield pa.RecordBatch.from_arrays([*out.columns, pa.array(which[b], pa.int32())], names=["id", "dim", "vec", "block"])
+                x, near = _matrix(rows.column("vec"), dim), []
+                for part in _steps(len(x), len(which)):
+                    far = centres.distances(x[part], blocks.cell[which])
+                    near.append(np.lexsort((far, blocks.bounds(far, which)), axis=1)[:, 0])
+                found = pa.array(which[np.concatenate(near)], pa.int32())
+                yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in ("id", "dim", "vec")), found], names=["id", "dim", "vec", "block"])
 
     return queries.mapInArrow(run, schema)
 
 
-def _top_k(qids: np.ndarray, q: np.ndarray, vids: np.ndarray, v: np.ndarray, k: int, exclude_self: bool) -> pa.Table:
-    """The ``k`` nearest rows of ``v`` for each row of ``q``, as ``qid, vid, dist``."""
+def _wanted(known: DataFrame, centres: Centres, blocks: Blocks, k: int) -> DataFrame:
+    """``shard, block``: the blocks that can hold a vector at most ``reach`` away from any query of a shard."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims, shards = batch.column("dim").to_numpy(), batch.column("shard").to_numpy()
+            reach = batch.column("reach").to_numpy()
+            for dim in np.unique(dims).tolist():
+                which = np.flatnonzero(blocks.dim == dim)
+                mine = np.flatnonzero(dims == dim)
+                x = _matrix(batch.column("vec").take(pa.array(mine)), dim)
+                for part in _steps(len(x), len(which)):
+                    far = centres.distances(x[part], blocks.cell[which])
+                    # As many vectors as asked for lie within the blocks of smallest farthest distance.
+                    most = far + blocks.high[which]
+                    order = most.argsort(axis=1, kind="stable")
+                    enough = (np.cumsum(blocks.n[which][order], axis=1) > k).argmax(axis=1)
+                    sure = np.take_along_axis(most, order, axis=1)[np.arange(len(far)), enough]
+                    sure = np.where(blocks.n[which].sum() > k, sure, np.inf)
+                    limit = np.minimum(reach[mine[part]], (sure + SLACK) ** 2 / 2) + ROUNDING
+                    go = np.maximum(0.0, blocks.bounds(far, which)) ** 2 / 2 <= limit[:, None]
+                    for shard in np.unique(shards[mine[part]]).tolist():
+                        found = which[go[shards[mine[part]] == shard].any(axis=0)]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(found), shard), pa.int32()), pa.array(found, pa.int32())], names=["shard", "block"]
+                        )
+
+    return known.select("dim", "vec", "reach", "shard").mapInArrow(run, "shard int, block int").distinct()
+
+
+def _top_k(names: np.ndarray, qids: np.ndarray, q: np.ndarray, vids: np.ndarray, v: np.ndarray, k: int, exclude_self: bool) -> pa.Table:
+    """The ``k`` nearest rows of ``v`` for each row of ``q``, as ``qid`` (its name), ``vid, dist``."""
     out = []
     order = np.argsort(vids, kind="stable")  # columns in id order, for ties
     vids, v = vids[order], v[order]
-    step = max(1, (32 << 20) // max(1, 8 * len(v)))
-    for start in range(0, len(q), step):
-        block, ids = q[start : start + step], qids[start : start + step]
+    for part in _steps(len(q), len(v)):
+        block, ids = q[part], qids[part]
         dist = np.round(1.0 - block @ v.T, DISTANCE_DECIMALS)
         if exclude_self:
             dist[ids[:, None] == vids[None, :]] = np.inf
@@ -196,7 +221,7 @@ def _top_k(qids: np.ndarray, q: np.ndarray, vids: np.ndarray, v: np.ndarray, k:
             rows, cols = np.nonzero(keep & np.isfinite(dist))
         else:
             rows, cols = np.nonzero(np.isfinite(dist))
-        out.append(pa.table({"qid": ids[rows], "vid": vids[cols], "dist": dist[rows, cols]}))
+        out.append(pa.table({"qid": names[part][rows], "vid": vids[cols], "dist": dist[rows, cols]}))
     return pa.concat_tables(out)
 
 
@@ -204,34 +229,135 @@ def _part(n: Column) -> Column:
     return F.pmod(F.xxhash64("id", "vec"), n).cast("int")
 
 
-def _meet(queries: DataFrame, vectors: DataFrame, blocks: Blocks, k: int, exclude_self: bool, block_rows: int, counter: Accumulator | None) -> DataFrame:
-    """The ``k`` nearest of each query within each part of a block that it meets.
+def _reach(first: DataFrame, vectors: DataFrame, asked: dict[int, int], blocks: Blocks, k: int, exclude_self: bool, block_rows: int, counter: Accumulator | None) -> DataFrame:
+    """The queries with their ``reach``: the distance of the ``k``-th nearest vector in one part of their first block.
 
-    Queries of a block are dealt out too, so a task holds at most about ``block_rows`` rows of either side, however many
-    queries ask for one block; only then is the block copied.
+    It bounds the distance of the ``k``-th nearest of all. A task holds at most about ``block_rows`` rows of either side, however many
+    vectors a block has and however many queries ask for it.
     """
-    spark = queries.sparkSession
-    asked = {r["block"]: r["n"] for r in queries.groupBy("block").agg(F.count("*").alias("n")).collect()}
+    spark = first.sparkSession
     shape = [(b, int(blocks.parts[b]), -(-n // block_rows)) for b, n in asked.items()]
     shape = spark.createDataFrame(shape, "block int, v_parts int, q_parts int")
-    pieces = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = queries.join(shape, "block").select(
-        "block", _part(F.col("q_parts")).alias("qp"), pieces("v_parts").alias("vp"),
+    left = first.join(shape, "block").select(
+        "block", _part(F.col("q_parts")).alias("piece"),
         F.col("id").alias("qid"), F.col("dim").alias("qdim"), F.col("vec").alias("qvec"),  # the two sides may be one table
     )
-    right = vectors.join(shape, "block").select("block", _part(F.col("v_parts")).alias("vp"), pieces("q_parts").alias("qp"), "id", "dim", "vec")
+    pieces = F.filter(F.sequence(F.lit(0), F.col("q_parts") - 1), lambda i: i % F.col("v_parts") == F.col("vp"))
+    right = vectors.join(shape, "block").withColumn("vp", _part(F.col("v_parts"))).select("block", F.explode(pieces).alias("piece"), "id", "dim", "vec")
 
     def cell(a: pa.Table, b: pa.Table) -> pa.Table:
-        if not a.num_rows or not b.num_rows:
-            return pa.table({"qid": pa.array([], pa.int64()), "vid": pa.array([], pa.int64()), "dist": pa.array([], pa.float64())})
-        if counter is not None:
-            counter.add(a.num_rows * b.num_rows)
-        dim = a.column("qdim")[0].as_py()
-        q, v = _matrix(a.column("qvec"), dim), _matrix(b.column("vec"), dim)
-        return _top_k(a.column("qid").to_numpy(), q, b.column("id").to_numpy(), v, k, exclude_self)
+        reach = np.full(a.num_rows, np.inf)
+        if a.num_rows and b.num_rows >= k:
+            if counter is not None:
+                counter.add(a.num_rows * b.num_rows)
+            dim = a.column("qdim")[0].as_py()
+            q, v = _matrix(a.column("qvec"), dim), _matrix(b.column("vec"), dim)
+            near = _top_k(np.arange(len(q)), a.column("qid").to_numpy(), q, b.column("id").to_numpy(), v, k, exclude_self)
+            rows = near.column("qid").to_numpy()
+            far = np.full(len(q), -np.inf)
+            np.maximum.at(far, rows, near.column("dist").to_numpy())
+            full = np.bincount(rows, minlength=len(q)) == k
+            reach[full] = far[full]
+        return pa.table({"block": a.column("block"), "id": a.column("qid"), "dim": a.column("qdim"), "vec": a.column("qvec"), "reach": reach})
+
+    keys = ["block", "piece"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(cell, "block int, id bigint, dim int, vec array<double>, reach double")
+
+
+def _shards(asked: dict[int, int], shard_rows: int, least: int) -> tuple[list[tuple[int, int, int]], int]:
+    """``block, first shard, shards`` for the queries of each block, and how many shards there are.
+
+    Queries of neighbouring blocks share a shard, those of a block that many ask for are dealt to several. At least ``least``
+    shards, so that all cores work, and as many more as ``shard_rows`` queries in a shard take.
+    """
+    total = sum(asked.values())
+    size = max(1, min(shard_rows, -(-total // least)))
+    out, shard, held = [], 0, 0
+    for block, n in sorted(asked.items()):
+        if held and held + n > size:
+            shard, held = shard + 1, 0
+        parts = -(-n // size)
+        out.append((block, shard, parts))
+        shard, held = (shard, held + n) if parts == 1 else (shard + parts, 0)
+    return out, shard + 1
+
+
+class _Held:
+    """The queries of a shard and the ``k`` nearest vectors that each has met."""
+
+    def __init__(self, rows: pa.Table, dim: int, k: int, exclude_self: bool) -> None:
+        self.ids, self.x = rows.column("id").to_numpy(), _matrix(rows.column("vec"), dim)
+        self.reach = rows.column("reach").to_numpy().copy()
+        self.k, self.exclude_self = k, exclude_self
+        self.dist, self.vid = np.full((len(self.ids), k), np.inf), np.zeros((len(self.ids), k), dtype=np.int64)
+
+    def meet(self, which: np.ndarray, vids: np.ndarray, v: np.ndarray) -> None:
+        """Some of the queries and some vectors. Only those that come as near as what is known are ranked."""
+        for part in _steps(len(which), len(v)):
+            rows = which[part]
+            near = (self.x[rows] @ v.T).max(axis=1) >= 1.0 - self.reach[rows] - ROUNDING
+            rows = rows[near]
+            if not len(rows):
+                continue
+            found = _top_k(np.arange(len(rows)), self.ids[rows], self.x[rows], vids, v, self.k, self.exclude_self)
+            at, dist, vid = (found.column(c).to_numpy() for c in ("qid", "dist", "vid"))
+            at = np.concatenate([np.repeat(np.arange(len(rows)), self.k), at])
+            dist, vid = np.concatenate([self.dist[rows].ravel(), dist]), np.concatenate([self.vid[rows].ravel(), vid])
+            order = np.lexsort((vid, dist, at))
+            start = np.searchsorted(at[order], np.arange(len(rows)))
+            best = order[(start[:, None] + np.arange(self.k)).ravel()]  # each query has at least k entries, its own
+            self.dist[rows], self.vid[rows] = dist[best].reshape(-1, self.k), vid[best].reshape(-1, self.k)
+            self.reach[rows] = np.minimum(self.reach[rows], self.dist[rows, -1])
+
+    def table(self) -> pa.Table:
+        rows, cols = np.nonzero(np.isfinite(self.dist))
+        return pa.table({"qid": self.ids[rows], "vid": self.vid[rows, cols], "dist": self.dist[rows, cols]})
+
+
+def _meet(known: DataFrame, vectors: DataFrame, n_shards: int, centres: Centres, blocks: Blocks, k: int, exclude_self: bool, counter: Accumulator | None) -> DataFrame:
+    """The ``k`` nearest of each query. Its shard's task holds the queries, each once, and the vectors of the wanted blocks pass by.
+
+    So a vector is sent to a shard once, however many of the queries there meet it, and a task holds the queries of one shard
+    (a bounded number) and one batch of vectors. What a query has met so far tells which blocks it may still leave out.
+    """
+    wanted = _wanted(known, centres, blocks, k)
+    queries = known.select("shard", F.lit(-1).alias("block"), "id", "dim", "vec", "reach")
+    passing = vectors.join(wanted, "block").select("shard", "block", "id", "dim", "vec", F.lit(0.0).alias("reach"))
+    rows = queries.union(passing).repartitionById(n_shards, F.col("shard")).sortWithinPartitions("block")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        held: dict[int, _Held] = {}
+        for batch in batches:
+            of = batch.column("block").to_numpy()
+            at = int(np.searchsorted(of, 0))  # the queries sort first
+            if at:
+                waiting.append(batch.slice(0, at))
+            if at == len(of):
+                continue
+            if waiting:
+                asked = pa.Table.from_batches(waiting)
+                waiting, dims = [], asked.column("dim").to_numpy()
+                held = {d: _Held(asked.filter(pa.array(dims == d)), d, k, exclude_self) for d in np.unique(dims).tolist()}
+            batch, of = batch.slice(at), of[at:]
+            ids, ends = batch.column("id").to_numpy(), [*np.flatnonzero(np.diff(of)) + 1, len(of)]
+            for start, end in zip([0, *ends], ends):
+                block = int(of[start])
+                dim = int(blocks.dim[block])
+                if dim not in held:
+                    continue
+                mine = held[dim]
+                far = centres.distances(mine.x, blocks.cell[block : block + 1])
+                least = blocks.bounds(far, np.array([block]))[:, 0]
+                which = np.flatnonzero(np.maximum(0.0, least) ** 2 / 2 <= mine.reach + ROUNDING)
+                if counter is not None:
+                    counter.add(len(which) * (end - start))
+                if len(which):
+                    mine.meet(which, ids[start:end], _matrix(batch.column("vec").slice(start, end - start), dim))
+        for mine in held.values():
+            yield from mine.table().to_batches()
 
-    keys = ["block", "vp", "qp"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(cell, _CANDIDATES)
+    return rows.mapInArrow(run, _CANDIDATES)
 
 
 def best(candidates: DataFrame, k: int) -> DataFrame:
@@ -258,10 +384,10 @@ def knn_join(
     """Exact ``k`` nearest vectors of every query: ``qid, rank, vid, dist``.
 
     Vectors of another length than the query's, and those without a direction, have no distance and are never returned. A task
-    returns at most ``k`` rows per query, never its pairs, and each query's candidates are cut to ``k`` again before they are
-    shuffled. A table of no more than ``cell_rows`` vectors is one cell, where nothing has to be routed. On data without
-    any structure the bounds exclude little and all blocks are met, as an exact answer must; ``counter`` (an accumulator)
-    counts the pairs that were compared.
+    returns at most ``k`` rows per query, never its pairs. A query is sent to one task, which keeps its nearest, and a vector to
+    each task that wants its block, at most once: their number depends on the cores until tasks hold ``SHARD_ROWS`` queries each. A
+    table of no more than ``cell_rows`` vectors is one cell. On data without any structure the bounds exclude little and all blocks
+    are met, as an exact answer must; ``counter`` (an accumulator) counts the pairs that were compared.
     """
     same = queries is vectors and query_key == key
     units = unit_vectors(vectors, key)
@@ -272,14 +398,10 @@ def knn_join(
     blocks = Blocks([tuple(r) for r in rings], block_rows)
     of_block = q.sparkSession.createDataFrame(blocks.rows(), "block int, cell int, ring int")
     held = placed.join(of_block, ["cell", "ring"]).select("block", "id", "dim", "vec")
-    if len(blocks.table) == 1:
-        only = q.where(F.col("dim") == int(blocks.dim[0])).select("id", "dim", "vec", F.lit(0).alias("block"))
-        return best(_meet(only, held, blocks, k, exclude_self, block_rows, counter), k)
-    first = materialize(_route(q, centres, blocks, k, within=False), "knn-first")
-    # At most k rows per query and part.
-    near = materialize(_meet(first, held, blocks, k, exclude_self, block_rows, counter), "knn-near")
-    kth = best(near, k).groupBy("qid").agg(F.max("dist").alias("reach"), F.count("*").alias("n")).where(F.col("n") == k)
-    known = first.join(kth.select(F.col("qid").alias("id"), "reach"), "id", "left")
-    known = known.select("id", "dim", "vec", F.col("block").alias("met"), F.coalesce("reach", F.lit(float("inf"))).alias("reach"))
-    further = materialize(_route(known, centres, blocks, k, within=True), "knn-further")
-    return best(near.union(_meet(further, held, blocks, k, exclude_self, block_rows, counter)), k)
+    first = materialize(_first(q, centres, blocks), "knn-first")
+    asked = {r["block"]: r["n"] for r in first.groupBy("block").agg(F.count("*").alias("n")).collect()}
+    shape, n_shards = _shards(asked, SHARD_ROWS, 2 * q.sparkSession.sparkContext.defaultParallelism)
+    shape = q.sparkSession.createDataFrame(shape, "block int, shard int, parts int")
+    reached = _reach(first, held, asked, blocks, k, exclude_self, block_rows, counter).join(shape, "block")
+    known = materialize(reached.select("id", "dim", "vec", "reach", (F.col("shard") + _part(F.col("parts"))).alias("shard")), "knn-known")
+    return best(_meet(known, held, n_shards, centres, blocks, k, exclude_self, counter), k)

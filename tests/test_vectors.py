@@ -11,6 +11,7 @@ from ementario.operators import vectors as ve
 from ementario.operators.links import download_plan
 from ementario.operators.retrieval import LANGUAGE_TEMPLATE, SYSTEM_TEMPLATE, fill, rag_prompts
 from ementario.schemas import VECTORS
+from ementario.session import scratch_run
 
 RNG = np.random.default_rng(7)
 
@@ -84,6 +85,28 @@ def test_metric_index_is_exact_and_compares_few(spark, exclude_self):
     assert len(got) == 2000 * 4 + 3 * 3 and counter.value - compared < 2000**2 / 10
 
 
+def test_vectors_without_structure_are_not_written_per_block(spark):
+    m = np.random.default_rng(3).normal(size=(600, 16))  # every query has to meet nearly all cells
+    rows = [(i, v.tolist()) for i, v in enumerate(m)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    with scratch_run(spark) as folder:
+        got = {(r.qid, r["rank"], r.vid) for r in nn.knn_join(df, df, 4, exclude_self=True, cell_rows=20, block_rows=50).collect()}
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        written = [str(f.getPath()) for f in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)]
+        assert written and all(spark.read.parquet(f).count() <= 600 for f in written)
+    assert got == exact(rows, 16, range(600), 4, True)
+
+
+def test_shards_hold_a_bounded_number_of_queries():
+    asked = {0: 3, 1: 4, 2: 100, 3: 1, 5: 2}
+    shape, n = nn._shards(asked, 10, 1)
+    load = np.zeros(n)
+    for block, shard, parts in shape:
+        load[shard : shard + parts] += asked[block] / parts
+    assert load.sum() == 110 and load.max() <= 10 and [b for b, *_ in shape] == sorted(asked)
+    assert nn._shards(asked, 1000, 11)[1] >= 11 and nn._shards({}, 10, 4) == ([], 1)
+
+
 def test_queries_apart_from_the_vectors(spark):
     rows, df = clustered(spark)
     asked = spark.createDataFrame([(-1 - i, RNG.normal(size=16).tolist()) for i in range(20)], "vec_id long, embedding array<double>")
