@@ -24,7 +24,9 @@ from ementario.operators.upsert import (
     state_rows,
     upsert,
 )
+from ementario.plans.star import stream_loads
 from ementario.schemas import STAGING, TABLES
+from ementario.session import scratch_run
 
 CFD = "LEG:FED CFD:****** ANO:1988\n*****  CF-1988\n        ART:00005 INC:00034 LET:A     LET:B"
 LEI = "LEG:FED LEI:008213 ANO:1991\n*****  LBPS-91\n        ART:00041 ART:00103"
@@ -281,3 +283,17 @@ def test_tables(spark, tmp_path):
     assert spark.read.parquet(path).count() == 1
     evolve.append_rows(good, path)
     assert spark.read.parquet(path).count() == 2
+
+
+def test_the_parts_of_a_stream_are_written_by_many_tasks(spark, tmp_path):
+    orders = spark.range(900).selectExpr(
+        "id AS o_orderkey", "id % 50 AS o_custkey", "'F' AS o_orderstatus", "DATE'2024-01-02' AS o_orderdate", "'1-URGENT' AS o_orderpriority")
+    orders.coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    with scratch_run(spark) as folder:
+        got = {r.part: r for r in stream_loads(spark, str(tmp_path)).collect()}
+        arrived = spark.read.parquet(f"{folder}/stream-star-*/arrived").select(F.input_file_name().alias("f"), "id_dw")
+        parts = [r.n for r in arrived.groupBy(F.col("id_dw") % 3).agg(F.countDistinct("f").alias("n")).collect()]
+    assert len(parts) == 3 and min(parts) > 1
+    assert (got["fact"].n, got["fact"].total) == (810, sum(k for k in range(900) if k % 10))
+    for name in ("fato_julgados_stj", "dim_referencias_legais", "dim_assuntos_stj"):
+        spark.sql(f"DROP TABLE IF EXISTS q4_{name}")
