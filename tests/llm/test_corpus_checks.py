@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from itertools import permutations
@@ -135,6 +136,25 @@ def test_leaks(spark):
     assert leaks.report(docs.limit(0), bench).count() == 0
 
 
+def test_words_are_counted_about_as_fast_as_they_are_split(spark):
+    every = "".join(chr(c) for c in [*range(1, 0xD800), *range(0xE000, 0x11000)])
+    one = spark.createDataFrame([(every,)], "text string").select(
+        F.regexp_replace("text", leaks.WORD, "").alias("gaps"), F.regexp_replace("text", leaks.GAP, "").alias("words")).first()
+    assert set(one.gaps) | set(one.words) == set(every) and not set(one.gaps) & set(one.words)
+    text = F.concat(F.repeat(F.lit("um caso, outro caso: ção 12; "), 2000), F.col("id").cast("string"))
+    texts = spark.range(400).repartition(4).select(text.alias("text"))
+
+    def seconds(n):
+        took = []
+        for _ in range(3):
+            start = time.perf_counter()
+            texts.agg(F.sum(n)).collect()
+            took.append(time.perf_counter() - start)
+        return min(took)
+
+    assert seconds(F.regexp_count("text", F.lit(leaks.WORD))) < 3 * seconds(F.size(F.split("text", leaks.GAP)))
+
+
 def test_leaks_removed(spark):
     docs, bench = leak_docs(spark), items(spark)
     cut = sorted((tuple(r) for r in leaks.decontaminate(docs, bench).collect()), key=str)
