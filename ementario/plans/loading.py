@@ -25,7 +25,7 @@ from ementario.operators.keys import key_discovery, keyset_signatures
 from ementario.operators.reports import inventory_stats
 from ementario.operators.staging import load_files, rename_key, required_field_split
 from ementario.operators.star import id_fallback_parse, pack_row_json
-from ementario.plans.bindings import judged_like, judged_sql, sql_clean, sql_clean_full, sql_strip, sql_typed_date
+from ementario.plans.bindings import judged_like, judged_sql, sql_clean, sql_clean_full, sql_strip, sql_typed_date, with_text_key
 from ementario.plans.registry import query
 from ementario.session import scratch_path
 from ementario.sources.json_files import read_dynamic, read_records
@@ -136,7 +136,8 @@ def full_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("ordered_projection", f"SELECT id_dw, ementa, decisao FROM {judged_sql(text=True)} ORDER BY id_dw")
 def ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ordered_projection(judged_like(spark, sf_dir, text=True), ["id_dw", "ementa", "decisao"], "id_dw")
+    rows, texts, on = with_text_key(spark, sf_dir, judged_like(spark, sf_dir))
+    return ordered_projection(rows, ["id_dw", "ementa", "decisao"], "id_dw", texts, on)
 
 
 @query("preview_limit", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 100")

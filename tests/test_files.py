@@ -246,3 +246,20 @@ def test_profile_of_a_folder(spark, tmp_path):
     assert set(rows) >= set(LONG_FIELDS) and rejects.count() == len(BAD) - 1
     _, typed, _ = profile_files(spark, str(tmp_path), typed=True)
     assert {r.column: r.type for r in typed.collect()}["notas"] == "string"
+
+
+def test_ordered_projection_leaves_texts_out_of_the_shuffle(spark, monkeypatch):
+    rows = [(k * 7 % 40 if k % 9 else None, k % 5) for k in range(40)]
+    df = spark.createDataFrame(rows, "id int, at int")
+    texts = spark.createDataFrame([(0, "a"), (1, "b\n" * 90), (2, None), (2, "twice")], "k int, text string")
+    want = df.join(texts, F.col("at") == F.col("k"), "left").select("id", "text")
+    plans = []
+    for most in (tables.LOOKUP_BYTES, 0):
+        monkeypatch.setattr(tables, "LOOKUP_BYTES", most)
+        got = tables.ordered_projection(df, ["id", "text"], "id", texts, F.col("at") == F.col("k"))
+        found = [tuple(r) for r in got.collect()]
+        assert [r[0] for r in found] == sorted((r[0] for r in found), key=lambda x: (x is not None, x))
+        assert sorted(map(str, found)) == sorted(str(tuple(r)) for r in want.collect())
+        plans.append(got._jdf.queryExecution().executedPlan().toString())
+    sent = plans[0].partition("Initial Plan")[0]
+    assert sent.count("Exchange rangepartitioning") == 1 and sent.index("Exchange rangepartitioning") > sent.index("BroadcastHashJoin")
