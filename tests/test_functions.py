@@ -42,6 +42,12 @@ def test_whitespace_random(column, values):
     assert column(values, text.ws_normalize_full) == [py_clean_full(v) for v in values]
 
 
+def test_whitespace_is_matched_by_table_and_replaced_only_where_it_changes(spark):
+    assert "-" not in text.WS_LATIN1  # a range is tested per character, a single character looked up
+    plan = spark.range(1).select(text.ws_normalize(F.col("id").cast("string")))._jdf.queryExecution().analyzed().toString()
+    assert "replace(cast" not in plan.replace("regexp_replace", "")  # one pass, not one more for each of CR, LF and TAB
+
+
 def test_arrays(column):
     rows = [[" Linha 1\r\n", " Linha 2 \t com tab ", "Linha 3\n\nFinal. "], None, [], ["a", None]]
     assert column(rows, text.clean_array, "array<string>") == [
@@ -90,6 +96,13 @@ def test_dates(column):
     assert column(list(typed), dates.date_typed) == list(typed.values())
 
 
+def test_typed_dates_are_parsed_once_and_refuse_the_year_zero(spark):
+    values = ["00000101", "00010101", "0000-01-01", "0001-1-1", "DATA:01/01/0000", "DATA:01/01/0001", "20240230"]
+    df = spark.createDataFrame([(v,) for v in values], "v string").select(dates.date_typed(F.col("v")).cast("string").alias("d"))
+    assert [r.d for r in df.collect()] == [None, "0001-01-01", None, "0001-01-01", None, "0001-01-01", None]
+    assert df._jdf.queryExecution().analyzed().toString().count("try_to_date(") == 3
+
+
 def test_date_columns(spark):
     df = spark.createDataFrame([("1/2/2020", "1/2/2020")], "DATADECISAO string, outra string")
     assert tuple(dates.apply_date_fields(df).first()) == ("2020-02-01", "1/2/2020")
@@ -119,6 +132,16 @@ def test_ids(spark):
     assert got == [389583, 15, 7, 99999999999, None, None, None, 3000000000]
 
 
+def test_patterns_that_a_phrase_implies_are_not_run(spark):
+    df = spark.createDataFrame([("CONHECER EM PARTE E DAR PROVIMENTO",), ("CONHECER E",), ("A1B",)], "t string")
+    found = legal.outcome_of_text(F.col("t"))
+    assert [r[0] for r in df.select(found).collect()] == [True, None, None]
+    assert "RLIKE" not in df.select(found)._jdf.queryExecution().analyzed().toString()
+    # Others are, also those that hold a phrase but match without it.
+    others = legal.outcome_of_text(F.col("t"), ("DAR", "A[0-9]B", "C.*DARE?"), ("E",))
+    assert [r[0] for r in df.select(others).collect()] == [True, False, True]
+
+
 def test_outcome(column):
     values = ["deu provimento", "Negar\nprovimento ao recurso", "NEGAR PROVIMENTO e dar  provimento", "CONCEDER",
               "não conhecer do recurso", None, "conhecer do agravo e dar provimento", "JULGAR IMPROCEDENTE"]

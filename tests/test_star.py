@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 import pytest
 
@@ -297,3 +298,17 @@ def test_the_parts_of_a_stream_are_written_by_many_tasks(spark, tmp_path):
     assert (got["fact"].n, got["fact"].total) == (810, sum(k for k in range(900) if k % 10))
     for name in ("fato_julgados_stj", "dim_referencias_legais", "dim_assuntos_stj"):
         spark.sql(f"DROP TABLE IF EXISTS q4_{name}")
+
+
+def test_fact_projection_stays_in_methods_that_the_jvm_compiles(spark):
+    names = [f.name for f in STAGING.fields]
+    df = spark.createDataFrame([], STAGING).select(*names)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    try:
+        plan = fact_projection(df).drop("teor_bruto_json")._jdf.queryExecution().executedPlan()
+        code = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(plan)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    assert all(int(n) < 8000 for n in re.findall(r"maxMethodCodeSize:(\d+)", code))
