@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from ementario.llm.columns import ascii_lower
 from ementario.session import materialize, scratch_path
 
-LETTER = r"[A-Za-zÀ-ÿ]"
+#: A-Z, a-z and À-ÿ one by one and not as ranges: Java looks single Latin-1 characters up in a table, but tests range after range.
+LETTER = f"[{''.join(map(chr, [*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x100)]))}]"
 #: One run in so many loses a character, so that variants are there to be found.
 TYPOS = 31
 LEAST_CHARS, LEAST_TIMES = 7, 2
@@ -34,7 +35,9 @@ def word_counts(docs: DataFrame, least_chars: int = LEAST_CHARS, least_times: in
     """
     long_runs = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(f"{LETTER}{{{least_chars},}}"), F.lit(0))
     runs = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.explode(long_runs).alias("run"))
-    runs = runs.select("id", ascii_lower(F.col("run")).alias("run"))
+    # Of a run of ASCII letters this is what ``lower`` does, which does not look each character up.
+    low = F.when(F.octet_length("run") == F.char_length("run"), F.lower("run")).otherwise(ascii_lower(F.col("run")))
+    runs = runs.select("id", low.alias("run"))
     runs = runs.select("run", F.crc32(F.concat_ws(":", "id", "run").cast("binary")).alias("h"), F.char_length("run").alias("m"))
     at = (F.col("h") % F.col("m")).cast("int")
     cut = F.concat(F.col("run").substr(F.lit(1), at), F.col("run").substr(at + 2, F.col("m")))
@@ -115,13 +118,13 @@ def neighbours(words: DataFrame) -> DataFrame:
     ended = empty
     pos, mid = F.col("pos"), F.col("mid")
     for level in range(levels):
-        steps = states.join(all_edges.where(F.col("level") == level).drop("level"), "node").withColumns({
-            "at": mid.substr(pos + 1, F.lit(1)), "after": mid.substr(pos + 2, F.lit(1))
-        })
+        # What a state wants is worked out once, not for each edge that it meets.
+        asks = states.withColumns({"at": mid.substr(pos + 1, F.lit(1)), "after": mid.substr(pos + 2, F.lit(1))})
+        asks = asks.withColumns({f"need_{c}": F.when(F.col(c) == "", F.lit(END)).otherwise(_bit(F.col(c))) for c in ("at", "after")})
+        steps = asks.drop("after").join(all_edges.where(F.col("level") == level).drop("level"), "node")
 
         def goes_on(letter: str) -> Column:
-            need = F.when(F.col(letter) == "", F.lit(END)).otherwise(_bit(F.col(letter)))
-            return F.col("below").bitwiseAND(need) != 0
+            return F.col("below").bitwiseAND(F.col(f"need_{letter}")) != 0
 
         own, fresh = F.col("ch") == F.col("at"), F.col("edits") == 0
         to = {
@@ -133,6 +136,8 @@ def neighbours(words: DataFrame) -> DataFrame:
         moves = F.array_compact(F.array(*(
             F.when(ok, F.struct(p.alias("pos"), F.col("child").alias("node"), e.alias("edits"))) for ok, p, e in to.values()
         )))
+        # Most edges lead nowhere: no array is made for them.
+        steps = steps.where(to["follow"][0] | to["replace"][0] | to["insert"][0])
         states = materialize(steps.select("word", "mid", F.inline(moves)), "variant-states")
         ended = ended.union(states.where((F.col("edits") == 1) & (pos == F.char_length("mid"))).select("word", "node"))
     words_at = entries.select(_node(F.char_length("mid")).alias("node"), F.col("word").alias("near"))

@@ -222,3 +222,13 @@ def test_packed_counters_hold_large_counts():
     counts[[0, 1, 31, 127]] = 1 << 61
     fields = audit.unpack(audit.pack(counts) + audit.pack(counts) // 2)
     assert fields[0, 0].tolist() == [3 << 60, 9 << 60, 0, 3 << 60, 3 << 60, 3 << 60]
+
+
+def test_letters_are_matched_by_table_and_only_ascii_capitals_are_lowered(spark):
+    from ementario.llm import variants
+
+    assert "-" not in variants.LETTER  # a range is tested per character, a single character looked up
+    rows = [(k, text) for k in range(40) for text in ("ABCDEFGH Éabcdefg", "ÉABCDEFG ×bcdefgh ÷÷÷÷÷÷÷ abcdefĀ gabcdeñ", None)]
+    found = {r.word: r.n for r in variants.word_counts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {"abcdefgh", "Éabcdefg", "×bcdefgh", "÷÷÷÷÷÷÷", "gabcdeñ"} <= set(found) and found["Éabcdefg"] > 70
+    assert not any("Ā" in w or any("A" <= c <= "Z" for c in w) for w in found)
