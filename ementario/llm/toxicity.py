@@ -408,12 +408,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED
             yield pa.RecordBatch.from_arrays([*columns, pa.array(low[:, 0]), pa.array(low[:, 1])], ["id", "text", "toxic", "m1", "m2"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.join(picked, "id").select("id", "text", F.col("toxic").cast("int").alias("toxic"))
+    # Ids of the bounded sample are sent to the texts: no text is shuffled to be looked at, and no task sorts texts.
+    rows = rows.join(F.broadcast(picked), "id").select("id", "text", F.col("toxic").cast("int").alias("toxic"))
     hashed = materialize(rows.mapInArrow(run, "id long, text string, toxic int, m1 long, m2 long"), "toxic-sample")
     keys = hashed.select("id", "toxic", "m1", "m2").groupBy("m1").agg(F.min_by(F.struct("id", "m2"), "id").alias("r"))
     keys = keys.groupBy("r.m2").agg(F.min("r.id").alias("id"))
     chosen = keys.orderBy(F.xxhash64("id"), "id").limit(most).select("id")
-    return hashed.join(chosen, "id").dropDuplicates(["id"]).select("id", "text", "toxic")
+    return hashed.join(F.broadcast(chosen), "id").dropDuplicates(["id"]).select("id", "text", "toxic")
 
 
 def count_features(sample: DataFrame, triples: np.ndarray) -> DataFrame:

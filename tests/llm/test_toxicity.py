@@ -224,3 +224,22 @@ def test_doubled_letters_are_decided_as_in_the_lattice(fitted):
     model = toxicity.LanguageModel(fitted[2].triples)
     for word in ["iiddiioott", "valley", "oo", "ttll", "moronn", "looser", "keepp", "schooll", "bbook", "xx", "aab"]:
         assert sorted(toxicity.doubled(word, model)) == sorted(toxicity.viterbi(word, model))
+
+
+def test_the_sample_is_found_without_sorting_texts(spark, monkeypatch):
+    plans, write = [], toxicity.materialize
+
+    def kept(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(toxicity, "materialize", kept)
+    docs = spark.createDataFrame([(k, f"a{k} b{k} c{k} d{k}") for k in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, toxic int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ids = {r.id for r in toxicity.labelled_sample(docs, labels).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(ids) > 30 and len(plans) == 1 and "SortMergeJoin" not in plans[0]
