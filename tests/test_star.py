@@ -312,3 +312,51 @@ def test_fact_projection_stays_in_methods_that_the_jvm_compiles(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     assert all(int(n) < 8000 for n in re.findall(r"maxMethodCodeSize:(\d+)", code))
+
+
+def fact_files(spark, prefix):
+    return {r[0]: r[1] for r in spark.table(f"{prefix}fato_julgados_stj").select("id_julgado", "_metadata.file_path").collect()}
+
+
+def test_a_repeated_load_rewrites_only_buckets_to_which_it_brings_something(spark, tmp_path):
+    root = str(tmp_path)
+    one, two = [{**ROW, "id_origem": str(i)} for i in range(20)], [{**ROW, "id_origem": str(i), "ementa": "NOVA"} for i in range(10, 30)]
+    load(spark, root, "t7_", "1", one, buckets=8)
+    load(spark, root, "t7_", "2", two)
+    before = fact_files(spark, "t7_")
+    load(spark, root, "t7_", "1", one)
+    load(spark, root, "t7_", "2", two)
+    assert fact_files(spark, "t7_") == before
+    load(spark, root, "t7_", "1", [*one, {**ROW, "id_origem": "500"}])
+    after, buckets = fact_files(spark, "t7_"), {r.id_julgado: r.balde for r in spark.table("t7_fato_julgados_stj").collect()}
+    assert {i for i in before if before[i] != after[i]} == {i for i in before if buckets[i] == buckets[500]} and 500 in after
+    assert {r.id_julgado for r in spark.table("t7_fato_julgados_stj").filter("ementa_limpa = 'NOVA'").collect()} == set(range(10, 30))
+
+
+def test_rows_whose_key_comes_once_are_neither_joined_nor_moved(spark):
+    from ementario.operators.upsert import collapse_wide
+
+    df = spark.range(50).selectExpr("id AS k", "id AS n", "cast(id AS string) AS at", "'x' AS raw", "'y' AS a").union(
+        spark.sql("SELECT cast(null AS bigint), 99L, '99', 'x', 'y'"))
+    got = collapse_wide(df, "k", {"a": LAST, "raw": FIRST}, "at", "n")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    assert sorted(r.k for r in got.collect()) == list(range(50)) and all(r.ordem_primeira == r.ordem_ultima == str(r.k) for r in got.collect())
+
+
+def test_loads_in_any_order_keep_the_first_record_and_the_last_writes(spark, tmp_path):
+    import random
+
+    rng = random.Random(5)
+    loads = {n: [{**ROW, "id_dw": i, "id_origem": str(rng.randrange(9)), "ementa": f"{n}  {i}", "tema": None if i % 3 else str(i)}
+                 for i in range(14)] for n in ("1", "2", "3")}
+    for number in ("2", "3", "1", "2"):
+        load(spark, str(tmp_path), "t8_", number, loads[number])
+    want = {}
+    for number in sorted(loads):
+        for row in loads[number]:
+            first = want.get(row["id_origem"], (row["ementa"],))[0]
+            want[row["id_origem"]] = (first, " ".join(row["ementa"].split()), row["tema"] or "")
+    got = {str(r.id_julgado): (json.loads(r.teor_bruto_json)["ementa"], r.ementa_limpa, r.tema_repetitivo)
+           for r in spark.table("t8_fato_julgados_stj").collect()}
+    assert got == want
