@@ -360,3 +360,31 @@ def test_loads_in_any_order_keep_the_first_record_and_the_last_writes(spark, tmp
     got = {str(r.id_julgado): (json.loads(r.teor_bruto_json)["ementa"], r.ementa_limpa, r.tema_repetitivo)
            for r in spark.table("t8_fato_julgados_stj").collect()}
     assert got == want
+
+
+def test_citation_parts_are_what_the_patterns_capture(spark):
+    from ementario.functions.legal import NORM, PROVISION, SUMULA, reference_matches, reference_parts
+
+    texts = [c[0].replace("\n", " ") for c in CASES] + [
+        "", "LEG:FED LEI:1 ART:2 LEG:FED CFD:3 ART:4", "ART:1 INC: ART:2", "ART:a  PAR:", "ART:a  PAR:b c", "ART:x INC:y  z", "ART:x INC:y PAR:z",
+        "ART:1 INC:2 PAR:3 INC:9", "LEG:FED ação:X9é", "LEG:FED LEI:** SUM:12x", "LEG:FED LEI:abc", "ART: ART:7PAR:1 INC:2", "SUM:", "xSUM:7"]
+    names = ["_kind", "_name", "_sumula", "_art", "_inc", "_par"]
+    for mode in PROVISION:
+        df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+        found = df.select("i", *[c.alias(n) for n, c in reference_matches(F.col("t"), mode).items()])
+        got = {r.i: [r[n] for n in names] for r in found.select("i", *[c.alias(n) for n, c in reference_parts().items()]).collect()}
+        asked = [(NORM, 1), (NORM, 2), (SUMULA, 1), *[(PROVISION[mode], g) for g in (1, 2, 3)]]
+        want = df.select("i", *[F.regexp_extract("t", p, g).alias(n) for n, (p, g) in zip(names, asked)])
+        assert got == {r.i: [r[n] for n in names] for r in want.collect()}
+
+
+def test_citations_and_subjects_are_worked_out_once(spark, tmp_path):
+    path = str(tmp_path / "staging")
+    staging(spark, [ROW, {**ROW, "referenciasLegislativas": None, "termosAuxiliares": None, "tema": " "}]).write.parquet(path)
+    rows = with_id(spark.read.parquet(path))
+    refs = legal_refs(rows, "id_julgado", reference_items(F.col("referenciasLegislativas")))
+    terms = explode_subjects(rows, "id_julgado")
+    for df, part in ((refs, "from_json"), (refs, "regexp_extract(_text"), (terms, "split(")):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "size(" not in plan and part in plan
+    assert (refs.count(), terms.count()) == (3, 4)
