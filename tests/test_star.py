@@ -7,10 +7,12 @@ import re
 
 import pytest
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from ementario.functions.legal import reference_items
 from ementario.operators import evolve, keys, quality
+from ementario.operators import star as star_load
 from ementario.operators.staging import rename_key
 from ementario.operators.star import explode_subjects, fact_projection, legal_refs, load_star, with_id
 from ementario.operators.upsert import (
@@ -300,6 +302,26 @@ def test_the_parts_of_a_stream_are_written_by_many_tasks(spark, tmp_path):
         spark.sql(f"DROP TABLE IF EXISTS q4_{name}")
 
 
+def test_a_stream_that_fails_when_started_anew_gives_no_result(spark, tmp_path, monkeypatch):
+    orders = spark.range(60).selectExpr(
+        "id AS o_orderkey", "id % 50 AS o_custkey", "'F' AS o_orderstatus", "DATE'2024-01-02' AS o_orderdate", "'1-URGENT' AS o_orderpriority")
+    orders.coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    whole = star_load.load_dimensions
+
+    def broken(session, rows, into, number, **kw):
+        if number == "s1":
+            raise RuntimeError("disk full")
+        whole(session, rows, into, number, **kw)
+
+    monkeypatch.setattr(star_load, "load_dimensions", broken)
+    try:
+        with scratch_run(spark), pytest.raises(StreamingQueryException, match="disk full"):
+            stream_loads(spark, str(tmp_path))
+    finally:
+        for name in ("fato_julgados_stj", "dim_referencias_legais", "dim_assuntos_stj"):
+            spark.sql(f"DROP TABLE IF EXISTS q4_{name}")
+
+
 def test_fact_projection_stays_in_methods_that_the_jvm_compiles(spark):
     names = [f.name for f in STAGING.fields]
     df = spark.createDataFrame([], STAGING).select(*names)
