@@ -27,6 +27,8 @@ CELL_ROWS, MOST_CENTRES = 2_000, 4_096
 BLOCK_ROWS = 20_000
 #: Queries that a task holds while vectors pass by, and elements of a matrix of distances.
 SHARD_ROWS, MATRIX = 100_000, 2 << 20
+#: Vectors of neighbouring small blocks that are met together when most queries want them all.
+TOGETHER = 512
 #: Rings of a cell, of equal width, before they are joined to blocks.
 RINGS = 64
 #: What rounding may take off a distance, and a cosine distance at ``DISTANCE_DECIMALS``.
@@ -87,7 +89,8 @@ class Centres:
         dim = x.shape[1]
         if dim not in self.points:
             return np.zeros((len(x), len(cells)))
-        return _apart(x, self.points[dim])[:, cells - self.first[dim]]
+        # The wanted centres only: a caller may ask for one block at a time.
+        return _apart(x, self.points[dim][cells - self.first[dim]])
 
 
 def _centres(units: DataFrame, n: int) -> Centres:
@@ -340,20 +343,27 @@ def _meet(known: DataFrame, vectors: DataFrame, n_shards: int, centres: Centres,
                 waiting, dims = [], asked.column("dim").to_numpy()
                 held = {d: _Held(asked.filter(pa.array(dims == d)), d, k, exclude_self) for d in np.unique(dims).tolist()}
             batch, of = batch.slice(at), of[at:]
-            ids, ends = batch.column("id").to_numpy(), [*np.flatnonzero(np.diff(of)) + 1, len(of)]
-            for start, end in zip([0, *ends], ends):
-                block = int(of[start])
-                dim = int(blocks.dim[block])
+            ids, ends = batch.column("id").to_numpy(), np.array([*np.flatnonzero(np.diff(of)) + 1, len(of)])
+            starts, passed, last = np.array([0, *ends[:-1]]), of[ends - 1], 0
+            while last < len(ends):
+                first, dim = last, int(blocks.dim[passed[last]])
+                last += 1
                 if dim not in held:
                     continue
                 mine = held[dim]
-                far = centres.distances(mine.x, blocks.cell[block : block + 1])
-                least = blocks.bounds(far, np.array([block]))[:, 0]
-                which = np.flatnonzero(np.maximum(0.0, least) ** 2 / 2 <= mine.reach + ROUNDING)
-                if counter is not None:
-                    counter.add(len(which) * (end - start))
-                if len(which):
-                    mine.meet(which, ids[start:end], _matrix(batch.column("vec").slice(start, end - start), dim))
+                most = first + max(1, MATRIX // max(1, len(mine.ids)))
+                while last < min(most, len(ends)) and blocks.dim[passed[last]] == dim and ends[last] - starts[first] <= TOGETHER:
+                    last += 1
+                near = passed[first:last]
+                least = np.maximum(0.0, blocks.bounds(centres.distances(mine.x, blocks.cell[near]), near)) ** 2 / 2
+                together = last - first > 1 and (least <= (mine.reach + ROUNDING)[:, None]).mean() > 0.5
+                for a, b in [(first, last)] if together else [(i, i + 1) for i in range(first, last)]:
+                    which = np.flatnonzero((least[:, a - first : b - first] <= (mine.reach + ROUNDING)[:, None]).any(axis=1))
+                    start, end = int(starts[a]), int(ends[b - 1])
+                    if counter is not None:
+                        counter.add(len(which) * (end - start))
+                    if len(which):
+                        mine.meet(which, ids[start:end], _matrix(batch.column("vec").slice(start, end - start), dim))
         for mine in held.values():
             yield from mine.table().to_batches()
 

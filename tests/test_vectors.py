@@ -97,6 +97,17 @@ def test_vectors_without_structure_are_not_written_per_block(spark):
     assert got == exact(rows, 16, range(600), 4, True)
 
 
+def test_a_block_is_compared_with_its_own_centre_only(monkeypatch):
+    rng = np.random.default_rng(5)
+    points, x = rng.normal(size=(300, 8)), rng.normal(size=(40, 8))
+    centres = nn.Centres([(8, (v / np.linalg.norm(v)).tolist()) for v in points] + [(3, [1.0, 0.0, 0.0])])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    cells = np.array([centres.first[8] + 7, centres.first[8] + 200])
+    want, apart, pairs = nn._apart(x, centres.points[8])[:, [7, 200]], nn._apart, []
+    monkeypatch.setattr(nn, "_apart", lambda a, b: pairs.append(len(a) * len(b)) or apart(a, b))
+    assert np.allclose(centres.distances(x, cells), want, atol=1e-12) and sum(pairs) == 80
+
+
 def test_shards_hold_a_bounded_number_of_queries():
     asked = {0: 3, 1: 4, 2: 100, 3: 1, 5: 2}
     shape, n = nn._shards(asked, 10, 1)
