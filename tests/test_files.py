@@ -12,6 +12,7 @@ from ementario.operators import staging as st
 from ementario.operators.profile import profile_files
 from ementario.schemas import LONG_FIELDS, SOURCE
 from ementario.sources import folders, json_files, manifest, tables
+from ementario.sources import texts as places
 from ementario.sources.pages import page_links, resource_links, scan_resources
 from ementario.streaming.ingest import record_stream, start_staging
 from ementario.streaming.upserts import compact, compact_in_place, read_upserted, start_upsert
@@ -263,3 +264,27 @@ def test_ordered_projection_leaves_texts_out_of_the_shuffle(spark, monkeypatch):
         plans.append(got._jdf.queryExecution().executedPlan().toString())
     sent = plans[0].partition("Initial Plan")[0]
     assert sent.count("Exchange rangepartitioning") == 1 and sent.index("Exchange rangepartitioning") > sent.index("BroadcastHashJoin")
+
+
+def test_ordered_projection_sorts_places_of_texts_that_are_too_large_to_send(spark, monkeypatch):
+    long = "".join(chr(97 + k * k * 7 % 26) for k in range(300))
+    texts = spark.createDataFrame(
+        [(k, "ção" + long[k:] if k % 4 else None, "" if k % 3 else f"n{k}", k * 2) for k in range(50)] + [(7, "twice", None, 1), (None, "x", "x", 1)],
+        "k int, text string, note string, n int").repartition(3)
+    df = spark.createDataFrame([(r * 37 % 400 if r % 50 else None, r % 60 if r % 11 else None) for r in range(400)], "id int, at int")
+    on = F.col("at") == F.col("k")
+    want = df.join(texts, on, "left").select("text", "id", "n", "note")
+    monkeypatch.setattr(tables, "LOOKUP_BYTES", 0)
+    for piece in (places.PIECE_BYTES, 1000):
+        monkeypatch.setattr(places, "PIECE_BYTES", piece)
+        got = tables.ordered_projection(df, ["text", "id", "n", "note"], "id", texts, on)
+        found = [tuple(r) for r in got.collect()]
+        assert [r[1] for r in found] == sorted((r[1] for r in found), key=lambda x: (x is not None, x or 0))
+        assert sorted(map(str, found)) == sorted(str(tuple(r)) for r in want.collect())
+        plan = got._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+        assert "rangepartitioning" in plan and all("text#" not in line for line in plan[plan.index("rangepartitioning") :].splitlines())
+    by_text = tables.ordered_projection(df, ["id", "text"], "id", texts, F.concat(F.lit("n"), F.col("at")) == F.col("note"))
+    assert by_text.count() == 400
+    by_wide = tables.ordered_projection(df, ["id", "note"], "id", texts, F.concat(F.lit("n"), F.col("at")) == F.col("note"))
+    assert sorted(r.note for r in by_wide.collect() if r.note)[:1] == ["n0"]
+    assert tables.ordered_projection(df, ["id", "text"], "id", texts.limit(0), on).count() == 400
